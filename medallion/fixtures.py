@@ -184,14 +184,17 @@ def events_landing(spark: SparkSession, sf_dir: str) -> Landing:
     )
 
 
-def trail_landing(spark: SparkSession, sf_dir: str, columns: T.StructType, name: str) -> Landing:
+def trail_landing(
+    spark: SparkSession, sf_dir: str, columns: T.StructType, name: str, upper=("name",)
+) -> Landing:
     """Daily CSV folders of the client trail."""
 
     def write(path: str) -> None:
         rows = bronze(spark, sf_dir).select(*columns.names, F.col("load_date").alias("particao"))
         _write_landing(rows, path)
 
-    return Landing(path=_once(spark, sf_dir, name, write), schema=columns, options=CSV_TIMES)
+    path = _once(spark, sf_dir, name, write)
+    return Landing(path=path, schema=columns, upper=upper, options=CSV_TIMES)
 
 
 def faulty_landing(spark: SparkSession, sf_dir: str) -> Landing:

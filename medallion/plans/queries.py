@@ -338,7 +338,7 @@ def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as ``cdc_apply``, from CSV files taken in by several micro-batches."""
     folder = work_folder(spark, "cdc_stream")
     columns = _columns_of([*STATE_COLUMNS, "op"])
-    landing = fixtures.trail_landing(spark, sf_dir, columns, "change_landing")
+    landing = fixtures.trail_landing(spark, sf_dir, columns, "change_landing", upper=())
     deleted = T.StructField("deleted", T.BooleanType())
     kept = T.StructType([*_columns_of(STATE_COLUMNS).fields, deleted])
     state = fixtures.state_table(spark, f"{folder}/table", kept)

@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import add, or_
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from medallion.operators.dedupe import distinct_events
 from medallion.operators.windows import DayWindow
 from medallion.schema import DAY_FOLDER, DAY_FOLDER_GLOB, client_schema
+from medallion.sources import files
 
 BAD_LINE = "_bad_line"
 
@@ -41,8 +41,14 @@ class Landing:
         return [self.renames.get(name, name) for name in self.schema.names]
 
 
+def _line_schema(landing: Landing, lineage: bool = False) -> T.StructType:
+    added = [BAD_LINE, "load_date", "source_file"] if lineage else [BAD_LINE]
+    return T.StructType(
+        landing.schema.fields + [T.StructField(name, T.StringType()) for name in added]
+    )
+
+
 def _configured(reader, landing: Landing):
-    schema = T.StructType(landing.schema.fields + [T.StructField(BAD_LINE, T.StringType())])
     options = {
         "header": "true",
         "recursiveFileLookup": "true",
@@ -50,7 +56,7 @@ def _configured(reader, landing: Landing):
         "columnNameOfCorruptRecord": BAD_LINE,
         **landing.options,
     }
-    return reader.schema(schema).options(**options)
+    return reader.schema(_line_schema(landing)).options(**options)
 
 
 def _with_lineage(lines: DataFrame) -> DataFrame:
@@ -75,17 +81,16 @@ def _does_not_fit(landing: Landing) -> Column:
 def scan(spark: SparkSession, landing: Landing, window: DayWindow) -> DataFrame:
     """Every line of the window's folders, with its day and file.
 
-    The glob limits the file listing to the window. Days without a folder are simply
-    empty; only when none of the days has one is the whole base listed, which still
-    fails if the base itself is missing.
+    The glob limits the file listing to the window, and days without a folder are simply
+    empty.
     """
     reader = _configured(spark.read, landing)
-    try:
-        lines = reader.csv(f"{landing.path}/{DAY_FOLDER_GLOB}{window.glob()}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        lines = reader.csv(landing.path)
+    folders = f"{landing.path}/{DAY_FOLDER_GLOB}{window.glob()}"
+    if not files.matching(spark, folders):
+        if not files.exists(spark, landing.path):
+            raise FileNotFoundError(f"no landing folders at {landing.path}")
+        return spark.createDataFrame([], _line_schema(landing, lineage=True))
+    lines = reader.csv(folders)
     return _with_lineage(lines).where(window.holds(F.col("load_date")))
 
 

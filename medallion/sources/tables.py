@@ -4,29 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.windows import DayWindow
+from medallion.sources import files
 
 DAY = "load_date"
 # Partitions named in one ALTER TABLE statement.
 PARTITIONS_PER_STATEMENT = 500
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a parquet table with at least one finished file lies there."""
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-
-
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table under a fixed schema.
 
@@ -38,7 +27,7 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    if exists(spark, path):
+    if files.exists(spark, path):
         return read(spark, path, schema)
     return spark.createDataFrame([], schema)
 
@@ -72,15 +61,10 @@ def read_days(
     spark: SparkSession, path: str, schema: T.StructType, window: DayWindow
 ) -> DataFrame:
     """The window's days of a by-day table; only their folders are listed."""
-    if window.everything:
-        return read_or_empty(spark, path, schema)
-    reader = spark.read.schema(schema).option("basePath", path)
-    try:
-        rows = reader.parquet(f"{path}/{DAY}={window.glob()}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folders = f"{path}/{DAY}={window.glob()}"
+    if not files.matching(spark, folders):
         return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(folders)
     return rows.where(window.holds(F.col(DAY)))
 
 
@@ -94,7 +78,8 @@ def replace_days(df: DataFrame, path: str, window: DayWindow) -> int:
         return refresh_days(df, path)
     spark = df.sparkSession
     # Both sets of days are at most as long as the window.
-    before = read_days(spark, path, df.schema, window).select(DAY).distinct().collect()
+    folders = files.matching(spark, f"{path}/{DAY}={window.glob()}")
+    before = {name.partition("=")[2] for name in folders} & set(window.days())
     outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
     checked = F.when(window.holds(F.col(DAY)), F.col(DAY)).otherwise(F.raise_error(outside))
     rows, written = _observed(_by_day(df.withColumn(DAY, checked)))
@@ -103,7 +88,7 @@ def replace_days(df: DataFrame, path: str, window: DayWindow) -> int:
     ).parquet(path)
     metrics = written.get
     none = spark.createDataFrame([], df.drop(DAY).schema)
-    for day in sorted({row[DAY] for row in before} - set(metrics.get("days", ()))):
+    for day in sorted(before - set(metrics.get("days", ()))):
         none.write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
     return metrics.get("rows", 0)
 
