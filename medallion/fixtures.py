@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from medallion.operators.upsert import StateTable, upsert
 from medallion.plans.client_etl import silver_source
+from medallion.quality.engine import write_reference
 from medallion.schema import DATE, DOUBLE, LONG, MONEY, TEXT, TIME, struct
 from medallion.session import work_folder
 from medallion.sources import tables
@@ -121,8 +122,19 @@ def _address(customer_key):
     )
 
 
+ADDRESS = struct(country=TEXT, city=TEXT, street=TEXT, house_no=TEXT)
+
+
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known addresses: those of every customer outside the HOUSEHOLD segment."""
+
+    def write(path: str) -> None:
+        write_reference(_customer_addresses(spark, sf_dir), path, ADDRESS.names)
+
+    return tables.read(spark, _once(spark, sf_dir, "addresses", write), ADDRESS)
+
+
+def _customer_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("c_custkey")
     return (
         table(spark, sf_dir, "customer")

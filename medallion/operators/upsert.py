@@ -198,19 +198,3 @@ def _publish(spark: SparkSession, table: StateTable, staging: str, version: int)
     done.withColumn("phase", F.lit("published")).write.mode("append").parquet(
         f"{staging}/journal"
     )
-
-
-def merge_into(spark: SparkSession, source: DataFrame, table_name: str, table: StateTable) -> None:
-    """The same upsert as one MERGE, for a catalog table whose format supports it."""
-    newest = latest_per_key(source.select(*table.schema.names), table.key, table.order)
-    old = F.struct(*[F.col(f"{table_name}.{name}") for name in table.order])
-    new = F.struct(*[F.col(f"source.{name}") for name in table.order])
-    (
-        newest.alias("source")
-        .mergeInto(table_name, F.col(f"{table_name}.{table.key}") == F.col(f"source.{table.key}"))
-        .whenMatched(new > old)
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )

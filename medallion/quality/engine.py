@@ -45,17 +45,24 @@ def check_rows(
     )
 
 
+def write_reference(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Load a reference table: each complete combination of the columns once."""
+    df.select(*columns).na.drop().distinct().write.mode("overwrite").parquet(path)
+
+
 def check_reference(
     df: DataFrame, rule: ReferenceRule, key: str = "client_id", carry: Sequence[str] = ()
 ) -> DataFrame:
     """Rows whose value combination the reference lacks; a null part is never found.
 
     Only key and compared columns are shuffled. Spark broadcasts the reference when its
-    size allows, and otherwise splits a hot combination over several tasks.
+    size allows, and otherwise splits a hot combination over several tasks. It can do so
+    only if both sides come straight from their shuffle, so the reference must not be
+    made distinct here: copies in it change no result (see ``write_reference``).
     """
     columns = list(rule.columns)
     rows = df.select(F.col(key).alias("client_id"), *carry, *columns)
-    known = rule.reference.select(*columns).distinct()
+    known = rule.reference.select(*columns)
     return rows.join(known, columns, "left_anti").select(
         F.lit(rule.name).alias("rule"),
         F.lit("/".join(columns)).alias("analyzed_column"),

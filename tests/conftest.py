@@ -1,0 +1,41 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from medallion import session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    made = session.build(
+        "medallion-tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    made.sparkContext.setLogLevel("ERROR")
+    return made
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path)
+
+
+def final_plan(df) -> str:
+    """The physical plan after the query has run."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def tuples(df, *columns):
+    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)
