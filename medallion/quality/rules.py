@@ -118,28 +118,38 @@ def phone_extra(
 def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0) -> RowRule:
     """Value above ``multiplier`` times the mean of ``df``.
 
-    The threshold is a one-value subquery over the column alone: it never passes through
-    the driver, and the filter on it reaches the scan. For a decimal column it is the
-    exact mean times multiplier, rounded down to the column's scale, which keeps ``>``
-    exact: the rounded quotient is at most one unit too high, and a check by
-    multiplication, which does not round, takes that unit off.
+    The limit is a one-value subquery over the column alone: it never passes through the
+    driver, and has the column's type, so that the filter on it reaches the scan.
     """
-    kind = df.schema[column].dataType
     value = F.col(column)
+    kind = df.schema[column].dataType
     if isinstance(kind, T.DecimalType):
-        total = F.sum(value.cast("decimal(28,2)") if kind.scale == 2 else value)
-        n = F.count(value)
-        factor = F.lit(Decimal(str(multiplier)))
         unit = F.lit(Decimal(1).scaleb(-kind.scale))
-        near = (total * factor / n).cast(f"decimal(38,{kind.scale})")
-        threshold = F.when(near * n > total * factor, near - unit).otherwise(near)
+        limit = df.select(_lowest_above_mean(value, kind, multiplier, unit)).scalar()
+        violated, threshold = value >= limit, limit - unit
     else:
-        threshold = F.avg(value) * F.lit(multiplier)
-    limit = df.select(threshold.alias("threshold")).scalar()
+        threshold = df.select(F.avg(value) * F.lit(multiplier)).scalar()
+        violated = value > threshold
     params = F.concat(
-        F.lit(f'{{"multiplier":{multiplier},"threshold":"'), limit.cast("string"), F.lit('"}')
+        F.lit(f'{{"multiplier":{multiplier},"threshold":"'), threshold.cast("string"), F.lit('"}')
     )
-    return RowRule("salary_discrepant_mean", column, value > limit, _text(column), params)
+    return RowRule("salary_discrepant_mean", column, violated, _text(column), params)
+
+
+def _lowest_above_mean(value: Column, kind: T.DecimalType, multiplier: float, unit: Column) -> Column:
+    """The smallest number of the column's type above the mean times ``multiplier``; null,
+    which nothing reaches, if the type has none.
+
+    The quotient is rounded, so it may be one unit too high; a check by multiplication,
+    which is exact, takes that unit off.
+    """
+    total = F.sum(value.cast(f"decimal(28,{kind.scale})"))
+    n = F.count(value)
+    factor = F.lit(Decimal(str(multiplier)))
+    rounded = (total * factor / F.nullif(n, F.lit(0))).cast(f"decimal(38,{kind.scale})")
+    below = F.when(rounded * n > total * factor, rounded - unit).otherwise(rounded)
+    smallest = F.lit(-Decimal("9" * kind.precision).scaleb(-kind.scale))
+    return F.greatest(below + unit, smallest).try_cast(kind)
 
 
 @dataclass(frozen=True)

@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from medallion.operators.analytics import average_age, most_updated_clients
+from medallion.plans import report
+from medallion.schema import LONG, MONEY, TEXT, struct
+from tests.conftest import final_plan, tuples
+
+
+def test_ties_go_by_key(spark):
+    df = spark.createDataFrame([(c,) for c in [7, 7, 7, 3, 3, 9, 9, 1, 2, 5, 8]], "cod_cliente int")
+    top = most_updated_clients(df, "cod_cliente")
+    assert [tuple(r) for r in top.collect()] == [(7, 3), (3, 2), (9, 2), (1, 1), (2, 1)]
+    assert [r[0] for r in most_updated_clients(df, "cod_cliente", n=1).collect()] == [7]
+
+
+def test_copies_can_be_counted_once(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, "a"), (2, "b")], "id int, x string")
+    assert most_updated_clients(df, "id", 1).first().id == 1
+    top = most_updated_clients(df, "id", distinct_on=df.columns)
+    assert [tuple(r) for r in top.collect()] == [(2, 2), (1, 1)]
+
+
+def test_a_hot_client_is_counted_before_the_shuffle(spark):
+    df = spark.range(0, 9000, 1, 8).select((F.col("id") % 3 * F.col("id")).alias("client_id"))
+    plan = final_plan(most_updated_clients(df)).split("== Initial Plan ==")[0]
+    assert "partial_count" in plan.split("Exchange")[1]
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_average_age(spark):
+    df = spark.createDataFrame([("1990-01-01",), ("2000-01-01",), (None,), ("no date",)], "b string")
+    assert average_age(df, "b", "2020-01-01").first()[0] == 25.0
+    dates = df.select(F.try_to_date("b").alias("b"))
+    assert average_age(dates, "b", "2020-01-01").first()[0] == 25.0
+    assert average_age(dates.limit(0), "b", "2020-01-01").first()[0] is None
+    assert average_age(dates, "b").first()[0] > 29
+
+
+def test_gold_aggregates(spark):
+    kind = struct(client_id=LONG, country=TEXT, person_type=TEXT, income=MONEY)
+    df = spark.createDataFrame([], kind).unionByName(
+        spark.range(4).select(
+            F.col("id").alias("client_id"),
+            F.lit("BR").alias("country"),
+            F.when(F.col("id") < 3, "PF").alias("person_type"),
+            F.lit("99999999.99").cast("decimal(10,2)").alias("income"),
+        )
+    )
+    rows = report.clients_by_country(df)
+    assert sorted((str(r.person_type), r.clients, str(r.income)) for r in rows.collect()) == [
+        ("None", 1, "99999999.99"),
+        ("PF", 3, "299999999.97"),
+    ]
+    found = spark.createDataFrame([("r", "c"), ("r", "c"), ("s", "c")], "rule string, analyzed_column string")
+    assert tuples(report.violations_by_rule(found)) == [("r", "c", 2), ("s", "c", 1)]
+
+
+def test_unknown_key_is_an_error(spark):
+    with pytest.raises(Exception, match="nobody"):
+        most_updated_clients(spark.range(3), "nobody").collect()

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
+
+from medallion.operators import cdc
+from medallion.operators.upsert import StateTable, upsert
+from medallion.schema import LONG, TEXT, TIME, struct
+from medallion.sources.landing import Landing
+from medallion.streaming.changes import apply_change_stream
+from tests.conftest import tuples
+from tests.test_landing import put
+
+CHANGES = struct(client_id=LONG, event_id=LONG, updated_at=TIME, name=TEXT, op=TEXT)
+DAY = datetime(2024, 1, 1)
+STAMP = "2024-02-01 00:00:00"
+
+
+def change(client, number, day, op, name="n"):
+    return (client, number, DAY + timedelta(days=day), name, op)
+
+
+def state_of(events):
+    newest = {}
+    for e in events:
+        if e[0] not in newest or (e[2], e[1]) > (newest[e[0]][2], newest[e[0]][1]):
+            newest[e[0]] = e
+    return sorted((e[:4] for e in newest.values() if e[4] != "D"), key=repr)
+
+
+def dice_events(n=80):
+    dice = random.Random(11)
+    return [
+        change(dice.randrange(15), k, dice.randrange(8), dice.choice("IUUD"), dice.choice("xyz"))
+        for k in range(n)
+    ]
+
+
+def test_last_change_counts(spark):
+    events = [
+        change(1, 1, 0, "I"),
+        change(1, 2, 1, "U", "new"),
+        change(2, 3, 0, "I"),
+        change(2, 4, 1, "D"),
+        change(3, 5, 2, "D"),
+        change(3, 6, 3, "I", "back"),
+        change(4, 7, 0, None),
+    ]
+    df = spark.createDataFrame(events, CHANGES)
+    assert tuples(cdc.apply_changes(df)) == state_of(events)
+    assert [r[0] for r in tuples(cdc.apply_changes(df))] == [1, 3, 4]
+
+
+def table_for(folder):
+    kept = {f.name: f.dataType for f in CHANGES.fields if f.name != "op"}
+    return StateTable(folder + "/table", struct(**kept, deleted=BooleanType()), 3)
+
+
+def test_late_update_does_not_revive_a_deleted_client(spark, folder):
+    table, stamp = table_for(folder), F.lit(STAMP)
+    for number, batch in enumerate(
+        ([change(1, 1, 0, "I")], [change(1, 3, 5, "D")], [change(1, 2, 3, "U")])
+    ):
+        changes = cdc.with_tombstones(spark.createDataFrame(batch, CHANGES))
+        upsert(spark, table, changes, f"b{number}", folder + "/staging", stamp)
+    assert cdc.living(table.read(spark)).count() == 0
+    revived = cdc.with_tombstones(spark.createDataFrame([change(1, 9, 9, "I")], CHANGES))
+    upsert(spark, table, revived, "b9", folder + "/staging", stamp)
+    assert cdc.living(table.read(spark)).count() == 1
+
+
+def line(e):
+    return f"{e[0]},{e[1]},{e[2]:%Y-%m-%dT%H:%M:%S},{e[3]},{e[4]}"
+
+
+def run_stream(spark, folder, files_per_batch):
+    query = apply_change_stream(
+        spark,
+        Landing(folder + "/landing", CHANGES, upper=()),
+        table_for(folder),
+        folder + "/checkpoint",
+        F.lit(STAMP),
+        files_per_batch=files_per_batch,
+    )
+    query.awaitTermination()
+    return query
+
+
+@pytest.mark.parametrize("files_per_batch", [None, 2])
+def test_stream_gives_the_same_as_the_batch(spark, folder, files_per_batch):
+    events = dice_events()
+    header = ",".join(CHANGES.names)
+    for part in range(4):
+        day = f"particao_2024010{part + 1}"
+        put(folder + "/landing", day, "a.csv", *map(line, events[part::5]), header=header)
+    run_stream(spark, folder, files_per_batch)
+    # The last files come in later, and some of the same events once more.
+    late = [*events[4::5], *events[:10], change(99, 99, 0, "I")]
+    put(folder + "/landing", "particao_20240102", "late.csv", *map(line, late), "bad,line", header=header)
+    run_stream(spark, folder, files_per_batch)
+    expected = state_of([*events, change(99, 99, 0, "I")])
+    assert tuples(cdc.living(table_for(folder).read(spark))) == expected
+    run_stream(spark, folder, files_per_batch)
+    assert tuples(cdc.living(table_for(folder).read(spark))) == expected

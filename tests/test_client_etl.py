@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+
+from medallion.plans import client_etl
+from medallion.plans.client_etl import ClientEtl, bronze_schema, run
+from medallion.sources import tables
+from medallion.sources.landing import Landing
+from tests.test_landing import put
+
+HEADER = (
+    "cod_cliente,nm_cliente,nm_pais_cliente,nm_cidade_cliente,nm_rua_cliente,num_casa_cliente,"
+    "telefone_cliente,dt_nascimento_cliente,dt_atualizacao,tp_pessoa,vl_renda"
+)
+GOOD_PHONE = "(11)99999-9999"
+
+
+def line(client, name, updated, phone=GOOD_PHONE, income="10.00"):
+    return f"{client},{name},BR,SP,Rua A,1,{phone},1990-01-02,{updated},PF,{income}"
+
+
+@pytest.fixture
+def job(folder):
+    return ClientEtl(
+        landing=Landing(folder + "/landing"),
+        bronze_path=folder + "/bronze",
+        silver_path=folder + "/silver",
+        staging_path=folder + "/staging",
+        rejects_path=folder + "/rejects",
+        buckets=3,
+    )
+
+
+def drop(job, day, *lines, name="a.csv"):
+    put(job.landing.path, f"particao_{day}", name, *lines, header=HEADER)
+
+
+def go(spark, job, mode, today, start=None):
+    return run(spark, job, mode, today, datetime(2024, 1, 9, 6), start)
+
+
+def silver(spark, job):
+    rows = job.silver.read(spark).collect()
+    return {r.client_id: (r.name, r.phone, r.load_date) for r in rows}
+
+
+def bronze(spark, job):
+    schema = bronze_schema(job.landing)
+    rows = tables.read_or_empty(spark, job.bronze_path, schema).collect()
+    return sorted((r.load_date, r.client_id, r.name) for r in rows)
+
+
+def three_days(job):
+    drop(job, "20240101", line(1, "ana", "2024-01-01 08:00:00"), line(2, "bo", "2024-01-01 09:00:00", "11"))
+    drop(job, "20240102", line(1, "ana lima", "2024-01-02 08:00:00"), line(3, "cy", "2024-01-02 09:00:00"))
+    drop(job, "20240103", line(1, "late", "2024-01-01 07:00:00"), line(2, "bo", "2024-01-03 09:00:00"))
+
+
+EXPECTED = {
+    1: ("ANA LIMA", GOOD_PHONE, "20240102"),
+    2: ("BO", GOOD_PHONE, "20240103"),
+    3: ("CY", GOOD_PHONE, "20240102"),
+}
+
+
+def test_day_by_day(spark, job):
+    three_days(job)
+    first = go(spark, job, "d-1", date(2024, 1, 2))
+    assert first.bronze.first().rows == 2 and first.silver.first().inserted == 2
+    assert silver(spark, job)[2] == ("BO", None, "20240101")
+    go(spark, job, "d-1", date(2024, 1, 3))
+    third = go(spark, job, "d-1", date(2024, 1, 4)).silver.first()
+    assert (third.inserted, third.updated, third.stale) == (0, 1, 1)
+    assert silver(spark, job) == EXPECTED
+    assert len(bronze(spark, job)) == 6
+
+
+def test_running_a_day_again_changes_nothing(spark, job):
+    three_days(job)
+    for today in (2, 3, 4, 2, 3):
+        go(spark, job, "d-1", date(2024, 1, today))
+    assert silver(spark, job) == EXPECTED
+    assert len(bronze(spark, job)) == 6
+
+
+def test_from_a_start_day_and_in_full(spark, job):
+    three_days(job)
+    go(spark, job, "d-x", date(2024, 1, 3), "20240102")
+    assert {day for day, _, _ in bronze(spark, job)} == {"20240102", "20240103"}
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    assert silver(spark, job) == EXPECTED
+    assert len(bronze(spark, job)) == 6
+
+
+def test_a_corrected_file_replaces_its_day_in_bronze(spark, job):
+    three_days(job)
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    drop(job, "20240102", line(1, "ana maria", "2024-01-02 08:30:00"))
+    go(spark, job, "d-x", date(2024, 1, 2), "20240102")
+    assert [r for r in bronze(spark, job) if r[0] == "20240102"] == [("20240102", 1, "ANA MARIA")]
+    assert silver(spark, job)[1][0] == "ANA MARIA"
+
+
+def test_bad_lines_go_to_the_rejects(spark, job):
+    drop(
+        job,
+        "20240101",
+        line(1, "ana", "2024-01-01 08:00:00"),
+        line("", "nobody", "2024-01-01 08:00:00"),
+        line(4, "dan", "yesterday"),
+    )
+    go(spark, job, "d-1", date(2024, 1, 2))
+    assert list(silver(spark, job)) == [1]
+    found = spark.read.parquet(job.rejects_path)
+    assert sorted(r.reason for r in found.collect()) == ["bad_line", "null_key"]
+
+
+def test_a_day_without_files(spark, job):
+    three_days(job)
+    result = go(spark, job, "d-1", date(2024, 2, 2))
+    assert result.bronze.first().rows == 0
+    assert result.silver.first().inserted == 0
+    assert silver(spark, job) == {}
+
+
+def test_unknown_mode(spark, job):
+    with pytest.raises(ValueError, match="unknown mode"):
+        go(spark, job, "hourly", date(2024, 1, 2))
+
+
+def test_versions_of_equal_time_are_decided_by_contents(spark, job):
+    drop(job, "20240101", line(1, "ana", "2024-01-01 08:00:00"), line(1, "bea", "2024-01-01 08:00:00"))
+    go(spark, job, "d-1", date(2024, 1, 2))
+    assert silver(spark, job)[1][0] == "BEA"
+    assert client_etl.VERSION_ORDER[0] == "updated_at"
