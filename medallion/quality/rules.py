@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.functions.dates import completed_years, reference_date
+from medallion.functions.dates import completed_years, latest_birth, reference_date
 from medallion.functions.phones import AREA_CODES, area_code, digit_variety
 from medallion.schema import LENIENT_PHONE
 
@@ -86,12 +86,17 @@ def age_range(
     as_of: date | str | None = None,
 ) -> RowRule:
     """Completed years outside the range. A birth after ``as_of`` has a negative age, so
-    it is out of any range that starts at 0 or above."""
-    age = completed_years(F.col(column), reference_date(as_of))
+    it is out of any range that starts at 0 or above.
+
+    The range is turned into two dates that are constants of the plan, so rows are
+    compared with those, in the scan already, and an age is worked out for offenders only.
+    """
+    birth, today = F.col(column), reference_date(as_of)
+    age = completed_years(birth, today)
     params = F.concat(
         F.lit('{"age":'), age.cast("string"), F.lit(f',"max":{max_age},"min":{min_age}}}')
     )
-    violated = (age < min_age) | (age > max_age)
+    violated = (birth > latest_birth(today, min_age)) | (birth <= latest_birth(today, max_age + 1))
     return RowRule("birth_incoherent_age", column, violated, _text(column), params)
 
 

@@ -11,7 +11,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from medallion import schema
-from medallion.functions.dates import completed_years, fractional_years, reference_date
+from medallion.functions.dates import (
+    completed_years,
+    fractional_years,
+    latest_birth,
+    months_apart,
+    reference_date,
+)
 from medallion.functions.phones import null_unless
 from medallion.plans import report
 from medallion.quality import engine, rules
@@ -162,6 +168,30 @@ def test_months_and_years(spark, later, earlier, months):
     assert row.exact == months / 12 and row.whole == int(months // 12)
 
 
+def test_months_and_age_bounds_agree_with_the_built_in(spark):
+    span = F.lit(60_000)
+    day = F.date_add(F.lit("1880-01-01").cast("date"), F.pmod(F.xxhash64("id"), span).cast("int"))
+    other = F.date_add(
+        F.lit("1880-01-01").cast("date"), F.pmod(F.xxhash64("id", F.lit(1)), span).cast("int")
+    )
+    pairs = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, F.last_day(day)).otherwise(day).alias("a"),
+        F.when(F.col("id") % 2 == 0, F.last_day(other)).otherwise(other).alias("b"),
+    )
+    assert pairs.where(months_apart(F.col("a"), F.col("b")) != F.months_between("a", "b")).count() == 0
+    # Near a bound: births within a week of the day on which the years are completed.
+    close = pairs.select("a", F.explode(F.array(*[F.lit(n) for n in range(-5, 6)])).alias("n"))
+    close = close.select("a", F.date_add(F.add_months("a", -12 * 18), F.col("n")).alias("b"))
+    done = F.floor(F.months_between("a", "b") / 12) >= 18
+    assert close.where(done != (F.col("b") <= latest_birth(F.col("a"), 18))).count() == 0
+
+
+def test_age_range_reaches_the_scan(spark, folder):
+    column(spark, "birth_date", DATE, [AS_OF] * 5).write.parquet(folder + "/t")
+    found = engine.check_rows(spark.read.parquet(folder + "/t"), [rules.age_range(as_of=AS_OF)])
+    assert "PushedFilters: [Or(GreaterThan(birth_date,2006-06-15),LessThanOrEqual(" in final_plan(found)
+
+
 def test_age_before_birth_is_minus_one(spark):
     born = F.lit("2025-01-01").cast("date")
     assert spark.range(1).select(completed_years(born, reference_date("2024-01-01"))).first()[0] == -1
