@@ -49,6 +49,10 @@ EVENTS = struct(
     props=TEXT,
 )
 
+# A few hundred MB each; but some parallelism for small tables.
+ROWS_PER_BUCKET = 2_000_000
+FEWEST_BUCKETS = 8
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -70,9 +74,10 @@ def run_ts():
     return F.lit("2001-08-02 00:00:00").cast("timestamp_ntz")
 
 
-def state_buckets(spark: SparkSession) -> int:
-    """As many buckets as the session plans shuffle tasks."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def state_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets for one row per customer, by the row count in the file footers."""
+    customers = table(spark, sf_dir, "customer").count()
+    return max(FEWEST_BUCKETS, -(-customers // ROWS_PER_BUCKET))
 
 
 def trail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,18 +164,20 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, bronze_path(spark, sf_dir), TRAIL)
 
 
-def state_table(spark: SparkSession, path: str, schema: T.StructType = TRAIL) -> StateTable:
-    return StateTable(path, schema, state_buckets(spark))
+def state_table(
+    spark: SparkSession, sf_dir: str, path: str, schema: T.StructType = TRAIL
+) -> StateTable:
+    return StateTable(path, schema, state_buckets(spark, sf_dir))
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         source = silver_source(bronze(spark, sf_dir))
-        state = state_table(spark, f"{path}/table")
+        state = state_table(spark, sf_dir, f"{path}/table")
         upsert(spark, state, source, "first", f"{path}/staging", run_ts())
 
     path = _once(spark, sf_dir, "silver", write)
-    return state_table(spark, f"{path}/table").read(spark)
+    return state_table(spark, sf_dir, f"{path}/table").read(spark)
 
 
 def _write_landing(df: DataFrame, path: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_FORMAT = "%Y%m%d"
+ANY_DIGIT = "[0-9]"
 # Above this many days the landing glob names months instead of days.
 MAX_DAYS_IN_GLOB = 62
 
@@ -35,13 +36,13 @@ class DayWindow:
         return load_date.between(self.first.strftime(DAY_FORMAT), self.last.strftime(DAY_FORMAT))
 
     def glob(self) -> str:
-        """The part of a folder glob that narrows the file listing to the window."""
+        """The part of a folder glob that narrows the file listing to the window's days."""
         if self.everything:
-            return "*"
+            return ANY_DIGIT * 8
         days = self.days()
         if len(days) <= MAX_DAYS_IN_GLOB:
             return "{" + ",".join(days) + "}"
-        return "{" + ",".join(sorted({day[:6] for day in days})) + "}*"
+        return "{" + ",".join(sorted({day[:6] for day in days})) + "}" + ANY_DIGIT * 2
 
 
 def day_window(mode: str, as_of: date, start_day: str | None = None) -> DayWindow:

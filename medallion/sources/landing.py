@@ -101,7 +101,7 @@ def stream(
     reader = _configured(spark.readStream, landing)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_lineage(reader.csv(f"{landing.path}/{DAY_FOLDER_GLOB}*"))
+    return _with_lineage(reader.csv(f"{landing.path}/{DAY_FOLDER_GLOB}{DayWindow().glob()}"))
 
 
 def accepted(lines: DataFrame, landing: Landing) -> DataFrame:

@@ -64,6 +64,17 @@ def test_days_without_a_folder_are_empty(spark, folder):
     assert rejects(scan(spark, small(folder), window), small(folder)).count() == 0
 
 
+def test_long_windows_and_other_folders(spark, folder):
+    put(folder, "particao_20230115", "a.csv", good(1))
+    put(folder, "particao_20231231", "a.csv", good(2))
+    put(folder, "particao_20240101", "a.csv", good(3))
+    put(folder, "particao_latest", "a.csv", good(4))
+    put(folder, "particao_20230116_old", "a.csv", good(5))
+    window = DayWindow(date(2023, 1, 15), date(2023, 12, 30))
+    assert tuples(take_in(spark, small(folder), window), "id") == [(1,)]
+    assert tuples(take_in(spark, small(folder)), "id") == [(1,), (2,), (3,)]
+
+
 def test_a_landing_zone_that_is_not_there_is_an_error(spark, folder):
     with pytest.raises(FileNotFoundError):
         scan(spark, small(folder + "/nowhere"), EVERY)
