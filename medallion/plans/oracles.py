@@ -323,6 +323,10 @@ ORACLES: dict[str, str] = {
         f"SELECT {EVENT}, CASE WHEN CAST(ts AS date) >= date '2024-01-16' "
         "THEN upper(event_type) END AS channel FROM events"
     ),
+    "bronze_window": (
+        f"WITH {TRAIL} SELECT client_id, event_id, load_date FROM trail "
+        "WHERE year(updated_at) BETWEEN 1997 AND 1999"
+    ),
     "catalog_partitions": (
         f"WITH {TRAIL} SELECT load_date, count(*) AS events FROM trail GROUP BY load_date"
     ),

@@ -167,6 +167,13 @@ def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of some load days; the other days' folders are not listed."""
+    window = DayWindow(date(1997, 1, 1), date(1999, 12, 31))
+    rows = tables.read_days(spark, fixtures.bronze_path(spark, sf_dir), fixtures.TRAIL, window)
+    return rows.select("client_id", "event_id", "load_date")
+
+
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fixtures.bronze_path(spark, sf_dir)
     name = f"client_bronze_{uuid.uuid4().hex}"
@@ -368,6 +375,7 @@ QUERIES: dict[str, Query] = {
     "bronze_replace_days": bronze_replace_days,
     "bronze_full_refresh": bronze_full_refresh,
     "bronze_evolve": bronze_evolve,
+    "bronze_window": bronze_window,
     "catalog_partitions": catalog_partitions,
     "silver_latest": silver_latest,
     "silver_phone_clean": silver_phone_clean,

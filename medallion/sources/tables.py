@@ -39,12 +39,8 @@ def _by_day(df: DataFrame) -> DataFrame:
 
 
 def refresh_days(df: DataFrame, path: str) -> int:
-    """Replace the whole table, schema included. Returns the rows written."""
-    rows, written = _observed(_by_day(df))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        DAY
-    ).parquet(path)
-    return written.get.get("rows", 0)
+    """Replace the whole table, columns included. Returns the rows written."""
+    return replace_days(df, path, DayWindow())
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -72,17 +68,19 @@ def replace_days(df: DataFrame, path: str, window: DayWindow) -> int:
     """Make the window's days in the table exactly the rows given; a rerun changes nothing.
 
     A row outside the window stops the write. Days of the window that the table has but
-    ``df`` has not are emptied. Returns the rows written.
+    ``df`` has not are emptied. Old files go only when all new ones are written, so a job
+    that fails leaves the table as it was. Returns the rows written.
     """
-    if window.everything:
-        return refresh_days(df, path)
     spark = df.sparkSession
-    # Both sets of days are at most as long as the window.
+    # One name per day folder.
     folders = files.matching(spark, f"{path}/{DAY}={window.glob()}")
-    before = {name.partition("=")[2] for name in folders} & set(window.days())
-    outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
-    checked = F.when(window.holds(F.col(DAY)), F.col(DAY)).otherwise(F.raise_error(outside))
-    rows, written = _observed(_by_day(df.withColumn(DAY, checked)))
+    before = {name.partition("=")[2] for name in folders}
+    if not window.everything:
+        before &= set(window.days())
+        outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
+        checked = F.when(window.holds(F.col(DAY)), F.col(DAY)).otherwise(F.raise_error(outside))
+        df = df.withColumn(DAY, checked)
+    rows, written = _observed(_by_day(df))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         DAY
     ).parquet(path)

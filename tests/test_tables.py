@@ -66,6 +66,16 @@ def test_full_refresh_replaces_rows_and_columns(spark, folder):
     other = spark.createDataFrame([("x", "20240105")], "kind string, load_date string")
     tables.refresh_days(other, path)
     assert tuples(tables.read(spark, path, other.schema)) == [("x", "20240105")]
+    assert spark.read.parquet(path).columns == ["kind", "load_date"]
+
+
+def test_a_failed_refresh_leaves_the_table_as_it_was(spark, folder):
+    path = folder + "/t"
+    tables.refresh_days(rows(spark, (1, "20240101"), (9, "20240109")), path)
+    broken = rows(spark, (2, "20240101")).withColumn("id", F.raise_error(F.lit("bad source")))
+    with pytest.raises(Exception, match="bad source"):
+        tables.refresh_days(broken.withColumn("id", F.col("id").cast("bigint")), path)
+    assert full(spark, path) == [(1, "20240101"), (9, "20240109")]
 
 
 def test_days_are_text_and_prune_folders(spark, folder):
