@@ -54,6 +54,7 @@ ROWS_PER_BUCKET = 2_000_000
 FEWEST_BUCKETS = 8
 
 _written: dict[tuple[str, str, str], str] = {}
+_buckets: dict[tuple[str, str], int] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
@@ -76,8 +77,11 @@ def run_ts():
 
 def state_buckets(spark: SparkSession, sf_dir: str) -> int:
     """Buckets for one row per customer, by the row count in the file footers."""
-    customers = table(spark, sf_dir, "customer").count()
-    return max(FEWEST_BUCKETS, -(-customers // ROWS_PER_BUCKET))
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _buckets:
+        customers = table(spark, sf_dir, "customer").count()
+        _buckets[key] = max(FEWEST_BUCKETS, -(-customers // ROWS_PER_BUCKET))
+    return _buckets[key]
 
 
 def trail(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,7 +124,7 @@ def upsert(
     """Bring a batch of events into the table and return its audit row.
 
     ``source`` may hold many events per key, in any order, also older than the table's;
-    null keys must have been rejected before. The result does not depend on how the
+    an event without a key stops the run. The result does not depend on how the
     events were split into batches, and a batch brought in twice changes nothing.
     """
     last = _last_version(spark, staging)
@@ -165,9 +165,10 @@ def _last_version(spark: SparkSession, staging: str):
 
 def _merge_batch(spark, table, source, folder, compare) -> None:
     newest = latest_per_key(source.select(*table.schema.names), table.key, table.order)
-    newest.withColumn(BUCKET, table.bucket_of()).write.mode("overwrite").parquet(
-        f"{folder}/source"
-    )
+    key = F.col(table.key)
+    checked = F.when(key.isNotNull(), key).otherwise(F.raise_error(F.lit("event without a key")))
+    newest = newest.withColumn(table.key, checked).withColumn(BUCKET, table.bucket_of())
+    newest.write.mode("overwrite").parquet(f"{folder}/source")
     batch = tables.read(spark, f"{folder}/source", table.stored_schema)
     # At most ``table.buckets`` small integers; as literals they prune the table's folders.
     touched = [row[BUCKET] for row in batch.select(BUCKET).distinct().collect()]

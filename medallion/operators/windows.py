@@ -25,6 +25,10 @@ class DayWindow:
     def everything(self) -> bool:
         return self.first is None
 
+    @property
+    def single(self) -> bool:
+        return self.first is not None and self.first == self.last
+
     def days(self) -> list[str]:
         span = (self.last - self.first).days + 1
         return [(self.first + timedelta(days=n)).strftime(DAY_FORMAT) for n in range(span)]
@@ -45,6 +49,12 @@ class DayWindow:
         return "{" + ",".join(sorted({day[:6] for day in days})) + "}" + ANY_DIGIT * 2
 
 
+def one_day(day: str) -> DayWindow:
+    """The window of a single day, given as YYYYMMDD."""
+    parsed = datetime.strptime(day, DAY_FORMAT).date()
+    return DayWindow(parsed, parsed)
+
+
 def day_window(mode: str, as_of: date, start_day: str | None = None) -> DayWindow:
     """``d-1``: the day before ``as_of``. ``d-x``: ``start_day`` (YYYYMMDD) up to and with
     ``as_of``. ``full-refresh``: every day there is."""

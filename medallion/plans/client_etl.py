@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.functions.phones import null_unless
-from medallion.operators.upsert import StateTable, upsert
-from medallion.operators.windows import DayWindow, day_window
+from medallion.operators.upsert import BUCKET, StateTable, upsert
+from medallion.operators.windows import DayWindow, day_window, one_day
 from medallion.schema import BUSINESS_COLUMNS
 from medallion.sources import tables
 from medallion.sources.landing import Landing, accepted, ingest, rejects, scan
@@ -40,8 +40,12 @@ def bronze_schema(landing: Landing) -> T.StructType:
 
 @dataclass(frozen=True)
 class ClientEtl:
-    """Where the job reads and writes. ``rejects_path`` asks for the rejected lines too,
-    which costs a second parse of the window's files."""
+    """Where the job reads and writes.
+
+    ``rejects_path`` asks for the rejected lines too, which costs a second parse of the
+    window's files. ``bronze_table`` and ``silver_table`` are the catalog's names for the
+    tables; with them the job registers the partitions it wrote.
+    """
 
     landing: Landing
     bronze_path: str
@@ -49,6 +53,8 @@ class ClientEtl:
     staging_path: str
     buckets: int
     rejects_path: str | None = None
+    bronze_table: str | None = None
+    silver_table: str | None = None
     phone: str = "phone"
 
     @property
@@ -67,16 +73,25 @@ class EtlResult:
 
 
 def update_bronze(
-    spark: SparkSession, job: ClientEtl, window: DayWindow, mode: str, run_ts: datetime
+    spark: SparkSession,
+    job: ClientEtl,
+    window: DayWindow,
+    mode: str,
+    run_ts: datetime,
+    load_date: str | None = None,
 ) -> DataFrame:
     """Put the window's events into bronze in place of what it had for those days."""
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
-    columns = bronze_schema(job.landing).names
-    events = ingest(spark, job.landing, window, stamp).select(*columns)
-    rows = tables.replace_days(events, job.bronze_path, window)
+    schema = bronze_schema(job.landing)
+    days = one_day(load_date) if load_date else window
+    events = ingest(spark, job.landing, window, stamp, load_date).select(*schema.names)
+    rows = tables.replace_days(events, job.bronze_path, days)
     if job.rejects_path:
         found = rejects(scan(spark, job.landing, window), job.landing)
         tables.replace_days(found, job.rejects_path, window)
+    if job.bronze_table:
+        written = tables.partitions(spark, job.bronze_path, tables.DAY, days.glob())
+        tables.register(spark, job.bronze_table, job.bronze_path, schema, tables.DAY, written)
     return spark.createDataFrame(
         [(mode, run_ts, rows)], "operation string, run_ts timestamp_ntz, rows bigint"
     )
@@ -92,11 +107,16 @@ def silver_source(bronze: DataFrame, phone: str = "phone") -> DataFrame:
 
 
 def update_silver(
-    spark: SparkSession, job: ClientEtl, window: DayWindow, batch_id: str, run_ts: Column
+    spark: SparkSession, job: ClientEtl, days: DayWindow, batch_id: str, run_ts: Column
 ) -> DataFrame:
-    bronze = tables.read_days(spark, job.bronze_path, bronze_schema(job.landing), window)
+    bronze = tables.read_days(spark, job.bronze_path, bronze_schema(job.landing), days)
     source = silver_source(bronze, job.phone)
-    return upsert(spark, job.silver, source, batch_id, job.staging_path, run_ts)
+    audit = upsert(spark, job.silver, source, batch_id, job.staging_path, run_ts)
+    if job.silver_table:
+        schema = job.silver.stored_schema
+        written = tables.partitions(spark, job.silver_path, BUCKET)
+        tables.register(spark, job.silver_table, job.silver_path, schema, BUCKET, written)
+    return audit
 
 
 def run(
@@ -106,10 +126,16 @@ def run(
     as_of: date,
     run_ts: datetime,
     start_day: str | None = None,
+    load_date: str | None = None,
 ) -> EtlResult:
-    """One run of the job for the days that ``mode`` names, seen from ``as_of``."""
+    """One run of the job for the days that ``mode`` names, seen from ``as_of``.
+
+    ``load_date`` (YYYYMMDD) puts all of the run's events under the day of processing
+    instead of the days of their folders.
+    """
     window = day_window(mode, as_of, start_day)
-    bronze = update_bronze(spark, job, window, mode, run_ts)
+    bronze = update_bronze(spark, job, window, mode, run_ts, load_date)
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
-    silver = update_silver(spark, job, window, f"{mode}-{as_of:%Y%m%d}", stamp)
+    days = one_day(load_date) if load_date else window
+    silver = update_silver(spark, job, days, f"{mode}-{as_of:%Y%m%d}", stamp)
     return EtlResult(bronze, silver)

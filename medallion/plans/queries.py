@@ -177,8 +177,8 @@ def bronze_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fixtures.bronze_path(spark, sf_dir)
     name = f"client_bronze_{uuid.uuid4().hex}"
-    days = [folder.partition("=")[2] for folder in files.matching(spark, f"{path}/load_date=*")]
-    tables.register_days(spark, name, path, fixtures.TRAIL, days)
+    days = tables.partitions(spark, path, "load_date")
+    tables.register(spark, name, path, fixtures.TRAIL, "load_date", days)
     return spark.table(name).groupBy("load_date").agg(F.count(F.lit(1)).alias("events"))
 
 

@@ -32,10 +32,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def _by_day(df: DataFrame) -> DataFrame:
+def _by_day(df: DataFrame, window: DayWindow) -> DataFrame:
     # Rebalancing gives small days one file and splits a day that holds much of the
-    # data over several tasks; a plain repartition by day would put it into one.
-    return df.hint("rebalance", F.col(DAY))
+    # data over several tasks; a plain repartition by day would put it into one. Tasks
+    # that all write the same day need no further shuffle.
+    return df if window.single else df.hint("rebalance", F.col(DAY))
 
 
 def refresh_days(df: DataFrame, path: str) -> int:
@@ -73,14 +74,13 @@ def replace_days(df: DataFrame, path: str, window: DayWindow) -> int:
     """
     spark = df.sparkSession
     # One name per day folder.
-    folders = files.matching(spark, f"{path}/{DAY}={window.glob()}")
-    before = {name.partition("=")[2] for name in folders}
+    before = set(partitions(spark, path, DAY, window.glob()))
     if not window.everything:
         before &= set(window.days())
         outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
         checked = F.when(window.holds(F.col(DAY)), F.col(DAY)).otherwise(F.raise_error(outside))
         df = df.withColumn(DAY, checked)
-    rows, written = _observed(_by_day(df))
+    rows, written = _observed(_by_day(df, window))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         DAY
     ).parquet(path)
@@ -91,21 +91,33 @@ def replace_days(df: DataFrame, path: str, window: DayWindow) -> int:
     return metrics.get("rows", 0)
 
 
-def register_days(
-    spark: SparkSession, table: str, path: str, schema: T.StructType, days: Sequence[str]
+def register(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    column: str,
+    values: Sequence[str],
 ) -> None:
-    """Make a by-day table known to the catalog, and the given days as its partitions.
+    """Make a partitioned table known to the catalog, and the given values of its
+    partition column as partitions.
 
-    Only the days of the run are named, so the cost does not grow with the table.
+    Only the partitions of the run are named, so the cost does not grow with the table.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"PARTITIONED BY ({DAY}) LOCATION '{path}'"
+        f"PARTITIONED BY ({column}) LOCATION '{path}'"
     )
-    ordered = sorted(days)
+    ordered = sorted(values)
     for start in range(0, len(ordered), PARTITIONS_PER_STATEMENT):
-        named = " ".join(
-            f"PARTITION ({DAY}='{day}')" for day in ordered[start : start + PARTITIONS_PER_STATEMENT]
-        )
+        some = ordered[start : start + PARTITIONS_PER_STATEMENT]
+        named = " ".join(f"PARTITION ({column}='{value}')" for value in some)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {named}")
+    spark.catalog.refreshTable(table)
+
+
+def partitions(spark: SparkSession, path: str, column: str, glob: str = "*") -> list[str]:
+    """Values of the partition column that have a folder."""
+    folders = files.matching(spark, f"{path}/{column}={glob}")
+    return [name.partition("=")[2] for name in folders]

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -37,8 +39,8 @@ def drop(job, day, *lines, name="a.csv"):
     put(job.landing.path, f"particao_{day}", name, *lines, header=HEADER)
 
 
-def go(spark, job, mode, today, start=None):
-    return run(spark, job, mode, today, datetime(2024, 1, 9, 6), start)
+def go(spark, job, mode, today, start=None, load_date=None):
+    return run(spark, job, mode, today, datetime(2024, 1, 9, 6), start, load_date)
 
 
 def silver(spark, job):
@@ -135,3 +137,24 @@ def test_versions_of_equal_time_are_decided_by_contents(spark, job):
     go(spark, job, "d-1", date(2024, 1, 2))
     assert silver(spark, job)[1][0] == "BEA"
     assert client_etl.VERSION_ORDER[0] == "updated_at"
+
+
+def test_day_of_processing_as_load_date(spark, job):
+    three_days(job)
+    for _ in range(2):
+        go(spark, job, "d-x", date(2024, 1, 3), "20240101", load_date="20240103")
+    assert {day for day, _, _ in bronze(spark, job)} == {"20240103"}
+    assert {k: v[:2] for k, v in silver(spark, job).items()} == {k: v[:2] for k, v in EXPECTED.items()}
+
+
+def test_tables_are_registered_in_the_catalog(spark, job):
+    three_days(job)
+    names = {"bronze_table": f"b_{uuid.uuid4().hex}", "silver_table": f"s_{uuid.uuid4().hex}"}
+    named = replace(job, **names)
+    go(spark, named, "d-1", date(2024, 1, 2))
+    assert spark.table(named.bronze_table).count() == 2
+    go(spark, named, "d-x", date(2024, 1, 3), "20240102")
+    assert spark.table(named.bronze_table).count() == 6
+    assert spark.table(named.silver_table).count() == 3
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")

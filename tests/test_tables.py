@@ -113,6 +113,15 @@ def test_a_hot_day_is_written_by_several_tasks(spark, folder):
     assert tables.read(spark, path, SCHEMA).count() == 300_000
 
 
+def test_a_single_day_is_written_without_a_shuffle(spark, folder):
+    path = folder + "/t"
+    day = DayWindow(date(2024, 1, 1), date(2024, 1, 1))
+    many = spark.range(0, 1000, 1, 3).select("id", F.lit("20240101").alias("load_date"))
+    assert tables.replace_days(many, path, day) == 1000
+    files_written = [f for f in os.listdir(path + "/load_date=20240101") if f.endswith("parquet")]
+    assert len(files_written) == 3
+
+
 def test_older_files_lack_new_columns(spark, folder):
     path = folder + "/t"
     tables.refresh_days(rows(spark, (1, "20240101")), path)
@@ -128,9 +137,9 @@ def test_catalog_knows_the_registered_days(spark, folder):
     path, name = folder + "/t", f"days_{uuid.uuid4().hex}"
     tables.refresh_days(rows(spark, (1, "20240101"), (2, "20240102"), (3, "20240103")), path)
     for _ in range(2):
-        tables.register_days(spark, name, path, SCHEMA, ["20240101", "20240103"])
+        tables.register(spark, name, path, SCHEMA, "load_date", ["20240101", "20240103"])
     assert tuples(spark.table(name)) == [(1, "20240101"), (3, "20240103")]
-    tables.register_days(spark, name, path, SCHEMA, ["20240102"])
+    tables.register(spark, name, path, SCHEMA, "load_date", ["20240102"])
     assert spark.table(name).count() == 3
     spark.sql(f"DROP TABLE {name}")
 

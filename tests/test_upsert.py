@@ -76,6 +76,13 @@ def test_a_batch_brought_in_again_changes_nothing(lake):
     assert lake.rows() == before
 
 
+def test_an_event_without_a_key_stops_the_run(lake):
+    lake.bring(event(1, 1, 0))
+    with pytest.raises(Exception, match="event without a key"):
+        lake.bring(event(2, 2, 0), event(None, 3, 0))
+    assert lake.rows() == [event(1, 1, 0)]
+
+
 def test_any_split_into_batches_gives_the_same_table(spark, tmp_path):
     dice = random.Random(5)
     events = [
