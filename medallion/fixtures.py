@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from medallion.operators.upsert import StateTable, upsert
 from medallion.plans.client_etl import silver_source
 from medallion.quality.engine import write_reference
-from medallion.schema import DATE, DOUBLE, LONG, MONEY, TEXT, TIME, struct
+from medallion.schema import DATE, DOUBLE, LONG, MONEY, TEXT, TIME, client_schema, struct
 from medallion.session import work_folder
 from medallion.sources import tables
 from medallion.sources.landing import Landing
@@ -184,10 +184,11 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state_table(spark, sf_dir, f"{path}/table").read(spark)
 
 
-def _write_landing(df: DataFrame, path: str) -> None:
+def write_landing(df: DataFrame, path: str) -> None:
+    """Add CSV files in day folders, by the column ``particao``."""
     # One job for all days; the hot ones are split over several files.
     days = df.hint("rebalance", F.col("particao")).write.partitionBy("particao")
-    days.options(header="true", **CSV_TIMES).csv(path)
+    days.mode("append").options(header="true", **CSV_TIMES).csv(path)
 
 
 def events_landing(spark: SparkSession, sf_dir: str) -> Landing:
@@ -195,7 +196,7 @@ def events_landing(spark: SparkSession, sf_dir: str) -> Landing:
 
     def write(path: str) -> None:
         events = table(spark, sf_dir, "events").select(*EVENTS.names)
-        _write_landing(events.withColumn("particao", F.date_format("ts", "yyyyMMdd")), path)
+        write_landing(events.withColumn("particao", F.date_format("ts", "yyyyMMdd")), path)
 
     return Landing(
         path=_once(spark, sf_dir, "events_landing", write),
@@ -207,17 +208,14 @@ def events_landing(spark: SparkSession, sf_dir: str) -> Landing:
     )
 
 
-def trail_landing(
-    spark: SparkSession, sf_dir: str, columns: T.StructType, name: str, upper=("name",)
-) -> Landing:
+def client_landing(spark: SparkSession, sf_dir: str) -> Landing:
     """Daily CSV folders of the client trail."""
 
     def write(path: str) -> None:
-        rows = bronze(spark, sf_dir).select(*columns.names, F.col("load_date").alias("particao"))
-        _write_landing(rows, path)
+        rows = bronze(spark, sf_dir).withColumn("particao", F.col("load_date"))
+        write_landing(rows.select(*client_schema().names, "particao"), path)
 
-    path = _once(spark, sf_dir, name, write)
-    return Landing(path=path, schema=columns, upper=upper, options=CSV_TIMES)
+    return Landing(_once(spark, sf_dir, "client_landing", write), options=CSV_TIMES)
 
 
 def faulty_landing(spark: SparkSession, sf_dir: str) -> Landing:

@@ -18,10 +18,10 @@ from medallion.operators.upsert import StateTable, last_operation, upsert
 from medallion.operators.windows import DayWindow, day_window
 from medallion.plans import client_etl, report
 from medallion.quality import engine, rules
-from medallion.schema import BUSINESS_COLUMNS, PERSON_TYPES, TEXT, client_schema, struct
+from medallion.schema import BUSINESS_COLUMNS, PERSON_TYPES, TEXT, struct
 from medallion.session import work_folder
-from medallion.sources import files, tables
-from medallion.sources.landing import accepted, ingest, rejects, scan
+from medallion.sources import tables
+from medallion.sources.landing import Landing, accepted, ingest, rejects, scan
 from medallion.streaming.changes import apply_change_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,7 +242,7 @@ def client_etl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from a start day."""
     folder = work_folder(spark, "client_etl")
     job = client_etl.ClientEtl(
-        landing=fixtures.trail_landing(spark, sf_dir, client_schema(), "client_landing"),
+        landing=fixtures.client_landing(spark, sf_dir),
         bronze_path=f"{folder}/bronze",
         silver_path=f"{folder}/silver",
         staging_path=f"{folder}/staging",
@@ -339,19 +339,20 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as ``cdc_apply``, from CSV files taken in by several micro-batches."""
+    """The same as ``cdc_apply``, from CSV files that come in two deliveries: the newer
+    changes first, then the older ones, some of them for the second time."""
     folder = work_folder(spark, "cdc_stream")
     columns = _columns_of([*STATE_COLUMNS, "op"])
-    landing = fixtures.trail_landing(spark, sf_dir, columns, "change_landing", upper=())
+    landing = Landing(f"{folder}/landing", columns, upper=(), options=fixtures.CSV_TIMES)
     deleted = T.StructField("deleted", T.BooleanType())
     kept = T.StructType([*_columns_of(STATE_COLUMNS).fields, deleted])
     state = fixtures.state_table(spark, sf_dir, f"{folder}/table", kept)
-    # Two micro-batches however many files there are: each one rewrites the table.
-    half = -(-len(files.matching(spark, f"{landing.path}/*/*.csv")) // 2)
-    stream = apply_change_stream(
-        spark, landing, state, f"{folder}/checkpoint", fixtures.run_ts(), files_per_batch=half
-    )
-    stream.awaitTermination()
+    changes = fixtures.bronze(spark, sf_dir).withColumn("particao", F.col("load_date"))
+    for delivery in (_second_batch(changes), _first_batch(changes)):
+        fixtures.write_landing(delivery.select(*columns.names, "particao"), landing.path)
+        apply_change_stream(
+            spark, landing, state, f"{folder}/checkpoint", fixtures.run_ts()
+        ).awaitTermination()
     return comparable(cdc.living(state.read(spark)))
 
 

@@ -81,6 +81,8 @@ def run(
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """All violations of the rules: one pass for the row rules, one join per reference."""
+    if not rules:
+        raise ValueError("no rules to run")
     row_rules = [rule for rule in rules if isinstance(rule, RowRule)]
     parts = [check_rows(df, row_rules, key, carry)] if row_rules else []
     parts += [

@@ -24,6 +24,10 @@ from medallion.functions.phones import AREA_CODES, area_code, digit_variety
 from medallion.schema import LENIENT_PHONE
 
 
+# Digits up to which the mean rule works out its threshold without rounding.
+WIDEST_EXACT = 18
+
+
 @dataclass(frozen=True)
 class RowRule:
     """``violated`` decides, ``offender`` is the value shown, ``params`` a JSON text of
@@ -124,14 +128,14 @@ def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0)
     """Value above ``multiplier`` times the mean of ``df``.
 
     The limit is a one-value subquery over the column alone: it never passes through the
-    driver, and has the column's type, so that the filter on it reaches the scan.
+    driver, and has the column's type, so that the filter on it reaches the scan. For a
+    decimal column of up to 18 digits it is exact, for other types an average.
     """
     value = F.col(column)
     kind = df.schema[column].dataType
-    if isinstance(kind, T.DecimalType):
-        unit = F.lit(Decimal(1).scaleb(-kind.scale))
-        limit = df.select(_lowest_above_mean(value, kind, multiplier, unit)).scalar()
-        violated, threshold = value >= limit, limit - unit
+    if isinstance(kind, T.DecimalType) and kind.precision <= WIDEST_EXACT:
+        limit = df.select(_lowest_above_mean(value, kind, multiplier)).scalar()
+        violated, threshold = value >= limit, limit - F.lit(_unit(kind))
     else:
         threshold = df.select(F.avg(value) * F.lit(multiplier)).scalar()
         violated = value > threshold
@@ -141,20 +145,25 @@ def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0)
     return RowRule("salary_discrepant_mean", column, violated, _text(column), params)
 
 
-def _lowest_above_mean(value: Column, kind: T.DecimalType, multiplier: float, unit: Column) -> Column:
+def _unit(kind: T.DecimalType) -> Decimal:
+    return Decimal(1).scaleb(-kind.scale)
+
+
+def _lowest_above_mean(value: Column, kind: T.DecimalType, multiplier: float) -> Column:
     """The smallest number of the column's type above the mean times ``multiplier``; null,
     which nothing reaches, if the type has none.
 
-    The quotient is rounded, so it may be one unit too high; a check by multiplication,
-    which is exact, takes that unit off.
+    Worked out in units of the last decimal place. The quotient is rounded, so it may be
+    one unit too high; a check by multiplication, which is exact, takes that unit off.
     """
-    total = F.sum(value.cast(f"decimal(28,{kind.scale})"))
+    units = (value * F.lit(Decimal(10) ** kind.scale)).cast("decimal(28,0)")
+    product = F.sum(units).cast("decimal(30,0)") * F.lit(Decimal(str(multiplier)))
     n = F.count(value)
-    factor = F.lit(Decimal(str(multiplier)))
-    rounded = (total * factor / F.nullif(n, F.lit(0))).cast(f"decimal(38,{kind.scale})")
-    below = F.when(rounded * n > total * factor, rounded - unit).otherwise(rounded)
-    smallest = F.lit(-Decimal("9" * kind.precision).scaleb(-kind.scale))
-    return F.greatest(below + unit, smallest).try_cast(kind)
+    rounded = (product / F.nullif(n, F.lit(0))).cast("decimal(30,0)")
+    lowest = F.when(rounded * n > product, rounded).otherwise(rounded + 1)
+    smallest = F.lit(1 - Decimal(10) ** kind.precision)
+    in_units = F.greatest(lowest, smallest).try_cast(T.DecimalType(kind.precision, 0))
+    return (in_units * F.lit(_unit(kind))).cast(kind)
 
 
 @dataclass(frozen=True)

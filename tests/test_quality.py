@@ -216,6 +216,20 @@ def test_mean_outlier_is_exact(spark):
         assert ids(outliers(column(spark, "income", MONEY, values))) == expected
 
 
+@pytest.mark.parametrize("kind", ["decimal(18,8)", "decimal(18,0)", "decimal(5,5)"])
+def test_mean_outlier_is_exact_for_other_scales(spark, kind):
+    precision, scale = map(int, kind[8:-1].split(","))
+    dice = random.Random(4)
+    units = [dice.randrange(10 ** (precision - 1)) for _ in range(20)]
+    mean = sum(units) * 12345 // (len(units) * 10000)
+    units += [mean + d for d in (-1, 0, 1) if mean + d < 10**precision]
+    values = [Decimal(u).scaleb(-scale) for u in units]
+    expected = [i for i, u in enumerate(units) if u * len(units) * 10000 > 12345 * sum(units)]
+    df = column(spark, "income", MONEY, []).select("client_id", F.col("income").cast(kind))
+    found = outliers(spark.createDataFrame(list(enumerate(values)), df.schema), 1.2345)
+    assert ids(found) == expected != []
+
+
 def test_mean_outlier_at_the_threshold(spark):
     # The mean is 1/3: above 3 times the mean is above exactly 1.
     values = [Decimal("1.00"), Decimal("0.00"), Decimal("0.00")]
