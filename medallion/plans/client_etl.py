@@ -14,7 +14,7 @@ from medallion.operators.upsert import BUCKET, StateTable, upsert
 from medallion.operators.windows import DayWindow, day_window, one_day
 from medallion.schema import BUSINESS_COLUMNS
 from medallion.sources import tables
-from medallion.sources.landing import Landing, accepted, ingest, rejects, scan
+from medallion.sources.landing import Landing, ingest, rejects, scan
 
 # Files carry no event number, so versions of equal time are put in order by the load
 # day and then by their contents.
@@ -72,6 +72,11 @@ class EtlResult:
     silver: DataFrame
 
 
+def written_days(window: DayWindow, load_date: str | None) -> DayWindow:
+    """The days of bronze that a run replaces; a full refresh replaces all of them."""
+    return one_day(load_date) if load_date and not window.everything else window
+
+
 def update_bronze(
     spark: SparkSession,
     job: ClientEtl,
@@ -83,7 +88,7 @@ def update_bronze(
     """Put the window's events into bronze in place of what it had for those days."""
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
     schema = bronze_schema(job.landing)
-    days = one_day(load_date) if load_date else window
+    days = written_days(window, load_date)
     events = ingest(spark, job.landing, window, stamp, load_date).select(*schema.names)
     rows = tables.replace_days(events, job.bronze_path, days)
     if job.rejects_path:
@@ -136,6 +141,6 @@ def run(
     window = day_window(mode, as_of, start_day)
     bronze = update_bronze(spark, job, window, mode, run_ts, load_date)
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
-    days = one_day(load_date) if load_date else window
+    days = written_days(window, load_date)
     silver = update_silver(spark, job, days, f"{mode}-{as_of:%Y%m%d}", stamp)
     return EtlResult(bronze, silver)

@@ -144,7 +144,8 @@ def bronze_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_folder(spark, "bronze_full_refresh")
     events = _daily_events(spark, sf_dir)
     tables.refresh_days(events, path)
-    tables.refresh_days(events.drop("props", "value").withColumn("kind", F.upper("event_type")), path)
+    other = events.drop("props", "value").withColumn("kind", F.upper("event_type"))
+    tables.refresh_days(other, path)
     schema = T.StructType(
         [*fixtures.EVENTS.fields[:4], *struct(kind=TEXT, load_date=TEXT).fields]
     )

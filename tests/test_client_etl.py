@@ -144,7 +144,12 @@ def test_day_of_processing_as_load_date(spark, job):
     for _ in range(2):
         go(spark, job, "d-x", date(2024, 1, 3), "20240101", load_date="20240103")
     assert {day for day, _, _ in bronze(spark, job)} == {"20240103"}
-    assert {k: v[:2] for k, v in silver(spark, job).items()} == {k: v[:2] for k, v in EXPECTED.items()}
+    expected = {client: row[:2] for client, row in EXPECTED.items()}
+    assert {client: row[:2] for client, row in silver(spark, job).items()} == expected
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    assert {day for day, _, _ in bronze(spark, job)} == {"20240101", "20240102", "20240103"}
+    go(spark, job, "full-refresh", date(2024, 1, 4), load_date="20240104")
+    assert {day for day, _, _ in bronze(spark, job)} == {"20240104"}
 
 
 def test_tables_are_registered_in_the_catalog(spark, job):
