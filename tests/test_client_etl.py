@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 import pytest
 
-from medallion.plans import client_etl
+from medallion.plans import client_etl, report
 from medallion.plans.client_etl import ClientEtl, bronze_schema, run
 from medallion.sources import tables
 from medallion.sources.landing import Landing
@@ -163,3 +163,18 @@ def test_tables_are_registered_in_the_catalog(spark, job):
     assert spark.table(named.silver_table).count() == 3
     for name in names.values():
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_report_on_the_tables_of_the_job(spark, job):
+    three_days(job)
+    drop(job, "20240104", line(5, "eve", "2024-01-04 08:00:00", income="-1.00"))
+    go(spark, job, "full-refresh", date(2024, 1, 5))
+    bronze_rows = tables.read(spark, job.bronze_path, bronze_schema(job.landing))
+    known = bronze_rows.select("country", "city", "street", "house_no")
+    found = report.quality_report(job.silver.read(spark), bronze_rows, known, date(2024, 1, 5))
+    assert sorted((r.rule, r.client_id) for r in found.collect()) == [
+        ("negative_salary", 5),
+        ("phone_pattern", 2),
+    ]
+    missing = report.quality_report(job.silver.read(spark), bronze_rows, known.limit(0))
+    assert missing.where("rule = 'address_not_found'").count() == 4
