@@ -9,8 +9,8 @@ buckets it has keys in. Each batch goes in steps that read only finished tables:
 3. the merged buckets replace those of the table, and the journal gets ``published``.
 
 A run that dies in step 3 leaves a merged version that is not published. The next run
-publishes it before it reads the table, so a half-replaced table is never read. A table
-takes one writer at a time.
+publishes it before it reads the table, so a half-replaced table is never read. Bringing
+the same batch in again is then harmless. A table takes one writer at a time.
 """
 
 from __future__ import annotations
@@ -130,8 +130,6 @@ def upsert(
     last = _last_version(spark, staging)
     if last and last["phase"] == "merged":
         _publish(spark, table, staging, last["version"])
-        if last["batch_id"] == batch_id:
-            return last_operation(spark, staging)
     version = last["version"] + 1 if last else 1
     folder = _folder(staging, version)
     _merge_batch(spark, table, source, folder, compare)
@@ -154,7 +152,8 @@ def last_operation(spark: SparkSession, staging: str) -> DataFrame:
 
 
 def _folder(staging: str, version: int) -> str:
-    return f"{staging}/version={version}"
+    # Two folders in turn: the one written to never holds the version to be published.
+    return f"{staging}/slot={version % 2}"
 
 
 def _last_version(spark: SparkSession, staging: str):
@@ -178,7 +177,9 @@ def _merge_batch(spark, table, source, folder, compare) -> None:
     placed = F.when(F.col(BUCKET) == table.bucket_of(), F.col(BUCKET))
     current = current.withColumn(BUCKET, placed.otherwise(F.raise_error(moved)))
     merged = merge(current, batch, table, compare)
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{folder}/merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        BUCKET
+    ).parquet(f"{folder}/merged")
 
 
 def _counts(spark: SparkSession, merged_path: str) -> DataFrame:

@@ -292,7 +292,7 @@ ORACLES: dict[str, str] = {
         f"SELECT *, load_date AS source_day, '2024-01-31 06:00:00.000000' AS ingested_at FROM ({LANDED})"
     ),
     "ingest_rejects": f"""WITH {FAULTY}
-      SELECT CASE WHEN fault <> 'keyless' THEN k END AS event_id,
+      SELECT CASE WHEN fault <> 'keyless' THEN CAST(k AS varchar) END AS event_id,
         CASE WHEN fault <> 'short' THEN event_type END AS event_type,
         CASE fault WHEN 'wrong' THEN k || ',' || t || ',zz,' || event_type
                    WHEN 'short' THEN k || ',' || t

@@ -72,7 +72,8 @@ def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fixtures.faulty_landing(spark, sf_dir)
     found = rejects(scan(spark, landing, DayWindow()), landing)
-    return found.select("event_id", "event_type", "line", "reason", "load_date")
+    event = F.col("event_id").cast("string").alias("event_id")
+    return found.select(event, "event_type", "line", "reason", "load_date")
 
 
 def ingest_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:

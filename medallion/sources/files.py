@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import SparkSession
 
 
-def matching(spark: SparkSession, glob: str) -> list[str]:
-    """Names of the entries a Hadoop glob matches, hidden ones (``_``, ``.``) left out."""
+def _names(spark: SparkSession, glob: str) -> Iterator[str]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(glob)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    found = path.getFileSystem(conf).globStatus(path) or []
-    names = (status.getPath().getName() for status in found)
-    return [name for name in names if not name.startswith(("_", "."))]
+    for status in path.getFileSystem(conf).globStatus(path) or []:
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            yield name
+
+
+def matching(spark: SparkSession, glob: str) -> list[str]:
+    """Names of the entries a Hadoop glob matches, hidden ones (``_``, ``.``) left out."""
+    return list(_names(spark, glob))
+
+
+def any_matching(spark: SparkSession, glob: str) -> bool:
+    return next(_names(spark, glob), None) is not None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder holds anything finished; writes in progress are hidden."""
-    return bool(matching(spark, f"{path}/*"))
+    return any_matching(spark, f"{path}/*")

@@ -86,7 +86,7 @@ def scan(spark: SparkSession, landing: Landing, window: DayWindow) -> DataFrame:
     """
     reader = _configured(spark.read, landing)
     folders = f"{landing.path}/{DAY_FOLDER_GLOB}{window.glob()}"
-    if not files.matching(spark, folders):
+    if not files.any_matching(spark, folders):
         if not files.exists(spark, landing.path):
             raise FileNotFoundError(f"no landing folders at {landing.path}")
         return spark.createDataFrame([], _line_schema(landing, lineage=True))

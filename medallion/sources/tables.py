@@ -59,7 +59,7 @@ def read_days(
 ) -> DataFrame:
     """The window's days of a by-day table; only their folders are listed."""
     folders = f"{path}/{DAY}={window.glob()}"
-    if not files.matching(spark, folders):
+    if not files.any_matching(spark, folders):
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).option("basePath", path).parquet(folders)
     return rows.where(window.holds(F.col(DAY)))

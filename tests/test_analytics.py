@@ -10,14 +10,16 @@ from tests.conftest import final_plan, tuples
 
 
 def test_ties_go_by_key(spark):
-    df = spark.createDataFrame([(c,) for c in [7, 7, 7, 3, 3, 9, 9, 1, 2, 5, 8]], "cod_cliente int")
+    events = [7, 7, 7, 3, 3, 9, 9, 1, 2, 5, 8]
+    df = spark.createDataFrame([(client,) for client in events], "cod_cliente int")
     top = most_updated_clients(df, "cod_cliente")
     assert [tuple(r) for r in top.collect()] == [(7, 3), (3, 2), (9, 2), (1, 1), (2, 1)]
     assert [r[0] for r in most_updated_clients(df, "cod_cliente", n=1).collect()] == [7]
 
 
 def test_copies_can_be_counted_once(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, "a"), (2, "b")], "id int, x string")
+    rows = [(1, "a"), (1, "a"), (1, "a"), (2, "a"), (2, "b")]
+    df = spark.createDataFrame(rows, "id int, x string")
     assert most_updated_clients(df, "id", 1).first().id == 1
     top = most_updated_clients(df, "id", distinct_on=df.columns)
     assert [tuple(r) for r in top.collect()] == [(2, 2), (1, 1)]
@@ -31,7 +33,8 @@ def test_a_hot_client_is_counted_before_the_shuffle(spark):
 
 
 def test_average_age(spark):
-    df = spark.createDataFrame([("1990-01-01",), ("2000-01-01",), (None,), ("no date",)], "b string")
+    texts = ["1990-01-01", "2000-01-01", None, "no date"]
+    df = spark.createDataFrame([(text,) for text in texts], "b string")
     assert average_age(df, "b", "2020-01-01").first()[0] == 25.0
     dates = df.select(F.try_to_date("b").alias("b"))
     assert average_age(dates, "b", "2020-01-01").first()[0] == 25.0
@@ -54,7 +57,8 @@ def test_gold_aggregates(spark):
         ("None", 1, "99999999.99"),
         ("PF", 3, "299999999.97"),
     ]
-    found = spark.createDataFrame([("r", "c"), ("r", "c"), ("s", "c")], "rule string, analyzed_column string")
+    names = "rule string, analyzed_column string"
+    found = spark.createDataFrame([("r", "c"), ("r", "c"), ("s", "c")], names)
     assert tuples(report.violations_by_rule(found)) == [("r", "c", 2), ("s", "c", 1)]
 
 

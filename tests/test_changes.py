@@ -100,7 +100,8 @@ def test_stream_gives_the_same_as_the_batch(spark, folder, files_per_batch):
     run_stream(spark, folder, files_per_batch)
     # The last files come in later, and some of the same events once more.
     late = [*events[4::5], *events[:10], change(99, 99, 0, "I")]
-    put(folder + "/landing", "particao_20240102", "late.csv", *map(line, late), "bad,line", header=header)
+    lines = [*map(line, late), "bad,line"]
+    put(folder + "/landing", "particao_20240102", "late.csv", *lines, header=header)
     run_stream(spark, folder, files_per_batch)
     expected = state_of([*events, change(99, 99, 0, "I")])
     assert tuples(cdc.living(table_for(folder).read(spark))) == expected

@@ -55,9 +55,12 @@ def bronze(spark, job):
 
 
 def three_days(job):
-    drop(job, "20240101", line(1, "ana", "2024-01-01 08:00:00"), line(2, "bo", "2024-01-01 09:00:00", "11"))
-    drop(job, "20240102", line(1, "ana lima", "2024-01-02 08:00:00"), line(3, "cy", "2024-01-02 09:00:00"))
-    drop(job, "20240103", line(1, "late", "2024-01-01 07:00:00"), line(2, "bo", "2024-01-03 09:00:00"))
+    first = line(1, "ana", "2024-01-01 08:00:00"), line(2, "bo", "2024-01-01 09:00:00", "11")
+    second = line(1, "ana lima", "2024-01-02 08:00:00"), line(3, "cy", "2024-01-02 09:00:00")
+    third = line(1, "late", "2024-01-01 07:00:00"), line(2, "bo", "2024-01-03 09:00:00")
+    drop(job, "20240101", *first)
+    drop(job, "20240102", *second)
+    drop(job, "20240103", *third)
 
 
 EXPECTED = {
@@ -133,7 +136,8 @@ def test_unknown_mode(spark, job):
 
 
 def test_versions_of_equal_time_are_decided_by_contents(spark, job):
-    drop(job, "20240101", line(1, "ana", "2024-01-01 08:00:00"), line(1, "bea", "2024-01-01 08:00:00"))
+    same_time = "2024-01-01 08:00:00"
+    drop(job, "20240101", line(1, "ana", same_time), line(1, "bea", same_time))
     go(spark, job, "d-1", date(2024, 1, 2))
     assert silver(spark, job)[1][0] == "BEA"
     assert client_etl.VERSION_ORDER[0] == "updated_at"

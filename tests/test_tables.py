@@ -28,8 +28,8 @@ def test_replacing_days_twice_is_the_same_as_once(spark, folder):
     path = folder + "/t"
     tables.refresh_days(rows(spark, (1, "20240101"), (9, "20240109")), path)
     for _ in range(2):
-        written = tables.replace_days(rows(spark, (2, "20240102"), (3, "20240101")), path, FIRST_THREE)
-        assert written == 2
+        batch = rows(spark, (2, "20240102"), (3, "20240101"))
+        assert tables.replace_days(batch, path, FIRST_THREE) == 2
     assert full(spark, path) == [(2, "20240102"), (3, "20240101"), (9, "20240109")]
 
 
@@ -125,7 +125,8 @@ def test_a_single_day_is_written_without_a_shuffle(spark, folder):
 def test_older_files_lack_new_columns(spark, folder):
     path = folder + "/t"
     tables.refresh_days(rows(spark, (1, "20240101")), path)
-    wider = spark.createDataFrame([(2, "x", "20240102")], "id bigint, kind string, load_date string")
+    names = "id bigint, kind string, load_date string"
+    wider = spark.createDataFrame([(2, "x", "20240102")], names)
     tables.replace_days(wider, path, DayWindow(date(2024, 1, 2), date(2024, 1, 2)))
     assert tuples(tables.read(spark, path, wider.schema)) == [
         (1, None, "20240101"),

@@ -107,6 +107,25 @@ def test_any_split_into_batches_gives_the_same_table(spark, tmp_path):
                 assert mine == {c: (e[1], e[2], e[3]) for c, e in newest.items()}
 
 
+def test_a_client_with_a_third_of_all_events(spark, folder):
+    lake = Lake(spark, folder, buckets=8)
+    number = F.col("id")
+    events = spark.range(0, 60_000, 1, 8).select(
+        F.when(number % 3 == 0, 0).otherwise(number % 5000).cast("bigint").alias("client_id"),
+        number.alias("event_id"),
+        F.lit(str(DAY)).cast("timestamp_ntz").alias("updated_at"),
+        number.cast("string").alias("kind"),
+        F.lit("p").alias("phone"),
+    )
+    stamp = F.lit(str(DAY)).cast("timestamp_ntz")
+    audit = upsert(spark, lake.table, events, "all", lake.staging, stamp).first()
+    newest = {}
+    for n in range(60_000):
+        newest[0 if n % 3 == 0 else n % 5000] = n
+    assert audit.inserted == len(newest)
+    assert {row[0]: row[1] for row in lake.rows()} == newest
+
+
 def test_only_changes_of_the_compared_columns_count(lake):
     lake.bring(event(1, 1, 1, "a", "p"), event(2, 2, 1, "a", "p"))
     audit = lake.bring(event(1, 3, 5, "a", "q"), event(2, 4, 5, "b", "q"), compare=("kind",))
@@ -166,15 +185,30 @@ def test_a_run_that_died_while_publishing_is_finished_first(spark, folder, lake,
     assert lake.rows() == sorted([*expected, event(3, 200, 2, "third")], key=repr)
 
 
-def test_a_repeated_run_resumes_its_own_publish(lake, monkeypatch):
+def test_a_repeated_run_finishes_and_merges_again(lake, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(module, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             lake.bring(event(1, 1, 0), batch="one")
     assert lake.rows() == []
-    audit = lake.bring(event(1, 1, 0), batch="one")
-    assert (audit.version, audit.inserted) == (1, 1)
-    assert lake.rows() == [event(1, 1, 0)]
+    # The batch is repeated with one more event, which must not be missed.
+    audit = lake.bring(event(1, 1, 0), event(2, 2, 0), batch="one")
+    assert (audit.version, audit.inserted, audit.unchanged) == (2, 1, 1)
+    assert lake.rows() == [event(1, 1, 0), event(2, 2, 0)]
+
+
+def test_staging_does_not_grow_and_keeps_nothing_old(spark, lake):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        lake.bring(*[event(c, c, 0) for c in range(20)])
+        for number in range(1, 5):
+            lake.bring(event(number, 100 + number, 5))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    assert sorted(os.listdir(lake.staging)) == ["journal", "slot=0", "slot=1"]
+    expected = [event(c, 100 + c, 5) if 1 <= c <= 4 else event(c, c, 0) for c in range(20)]
+    assert lake.rows() == sorted(expected, key=repr)
 
 
 def test_last_operation_is_the_latest_batch(spark, lake):

@@ -41,6 +41,7 @@ def test_long_windows_are_listed_by_month():
 
 
 def test_predicate_keeps_the_bounds(spark):
-    days = spark.createDataFrame([("20240226",), ("20240227",), ("20240301",), ("20240302",)], "d string")
+    known = ["20240226", "20240227", "20240301", "20240302"]
+    days = spark.createDataFrame([(day,) for day in known], "d string")
     kept = days.where(day_window("d-x", TODAY, "20240227").holds(days.d)).collect()
     assert [row.d for row in kept] == ["20240227", "20240301"]
