@@ -29,6 +29,8 @@ from medallion.sources import tables
 BUCKET = "bucket"
 ACTION = "_action"
 ACTIONS = ("inserted", "updated", "unchanged", "stale", "kept")
+# A batch of at most this many keys, counted before the merge, is broadcast.
+SMALL_BATCH = 200_000
 JOURNAL = struct(
     version=LONG,
     batch_id=TEXT,
@@ -70,46 +72,74 @@ def merge(
     row wins, the one in the table if neither is newer. With ``compare``, a newer row
     that agrees in all those columns changes nothing but the order columns, which must
     move on so that an event between the two versions still counts as late.
+
+    Both sides are shuffled to one bucket per task, and the window needs no shuffle of
+    its own.
     """
     sides = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
-    # One bucket per task, and the window below needs no shuffle of its own.
     sides = sides.repartitionById(table.buckets, F.col(BUCKET))
-    newest_first = Window.partitionBy(BUCKET, table.key).orderBy(
-        *[F.desc_nulls_last(name) for name in table.order], F.asc("_new")
-    )
-    payload = [name for name in table.schema.names if name != table.key]
-    ranked = sides.withColumns(
+    table_first = Window.partitionBy(BUCKET, table.key).orderBy("_new")
+    everything = F.struct(*_payload(table))
+    pairs = sides.withColumns(
         {
-            "_rank": F.row_number().over(newest_first),
-            "_other": F.lead(F.struct(*(payload if compare else table.order))).over(newest_first),
+            "_rank": F.row_number().over(table_first),
+            "_incoming": F.lead(everything).over(table_first),
         }
     ).where(F.col("_rank") == 1)
+    # A row of the batch that comes first has no partner in the table.
+    action = F.when(F.col("_new") == 1, "inserted").otherwise(_action(table, compare))
+    return _resolved(pairs.withColumn(ACTION, action), table)
+
 
-    def same(names: Sequence[str]) -> Column:
-        return F.struct(*names).eqNullSafe(F.struct(*[F.col("_other")[name] for name in names]))
-
-    alone = F.col("_other").isNull()
-    from_source = F.col("_new") == 1
-    unchanged = from_source & same(compare) if compare else F.lit(False)
-    action = (
-        F.when(alone & from_source, "inserted")
-        .when(alone, "kept")
-        .when(unchanged, "unchanged")
-        .when(from_source, "updated")
-        .when(same(table.order), "unchanged")
-        .otherwise("stale")
+def merge_small(
+    target: DataFrame, source: DataFrame, table: StateTable, compare: Sequence[str] = ()
+) -> DataFrame:
+    """The same for a batch small enough to be sent to every task: the table's rows are
+    neither shuffled nor sorted."""
+    keys = [BUCKET, table.key]
+    incoming = source.select(*keys, F.struct(*_payload(table)).alias("_incoming"))
+    pairs = target.join(F.broadcast(incoming), keys, "left")
+    present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    absent = source.join(F.broadcast(present), keys, "left_anti")
+    inserted = absent.repartitionById(table.buckets, F.col(BUCKET)).select(
+        *table.schema.names, BUCKET, F.lit("inserted").alias(ACTION)
     )
-    ranked = ranked.withColumn(ACTION, action)
+    return _resolved(pairs.withColumn(ACTION, _action(table, compare)), table).unionByName(inserted)
+
+
+def _payload(table: StateTable) -> list[str]:
+    return [name for name in table.schema.names if name != table.key]
+
+
+def _action(table: StateTable, compare: Sequence[str]) -> Column:
+    """What a row ``_incoming`` of the batch does to the row of the table it belongs to."""
+
+    def both(names: Sequence[str]) -> tuple[Column, Column]:
+        return F.struct(*names), F.struct(*[F.col("_incoming")[name] for name in names])
+
+    held, offered = both(table.order)
+    # Structs compare field by field, and null is smaller than any value.
+    action = F.when(F.col("_incoming").isNull(), "kept").when(held > offered, "stale")
+    action = action.when(held.eqNullSafe(offered), "unchanged")
     if compare:
-        held = (F.col(ACTION) == "unchanged") & from_source
-        ranked = ranked.withColumns(
-            {
-                name: F.when(held, F.col("_other")[name]).otherwise(F.col(name))
-                for name in payload
-                if name not in table.order
-            }
-        )
-    return ranked.select(*table.schema.names, BUCKET, ACTION)
+        old, new = both(compare)
+        action = action.when(old.eqNullSafe(new), "unchanged")
+    return action.otherwise("updated")
+
+
+def _resolved(pairs: DataFrame, table: StateTable) -> DataFrame:
+    """Put the incoming values in where the action says so."""
+    updated = F.col(ACTION) == "updated"
+    moved_on = F.col(ACTION).isin("updated", "unchanged")
+    values = {
+        name: F.when(moved_on if name in table.order else updated, F.col("_incoming")[name])
+        .otherwise(F.col(name))
+        .alias(name)
+        for name in _payload(table)
+    }
+    return pairs.select(
+        *[values.get(name, F.col(name)) for name in table.schema.names], BUCKET, ACTION
+    )
 
 
 def upsert(
@@ -176,7 +206,8 @@ def _merge_batch(spark, table, source, folder, compare) -> None:
     moved = F.lit(f"the table was not written with {table.buckets} buckets")
     placed = F.when(F.col(BUCKET) == table.bucket_of(), F.col(BUCKET))
     current = current.withColumn(BUCKET, placed.otherwise(F.raise_error(moved)))
-    merged = merge(current, batch, table, compare)
+    small = batch.count() <= SMALL_BATCH
+    merged = (merge_small if small else merge)(current, batch, table, compare)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         BUCKET
     ).parquet(f"{folder}/merged")

@@ -39,6 +39,12 @@ class Lake:
         return tuples(self.table.read(self.spark))
 
 
+@pytest.fixture(params=[0, module.SMALL_BATCH], ids=["shuffled", "broadcast"], autouse=True)
+def either_way(request, monkeypatch):
+    """Each test runs with all batches taken as large, and with all taken as small."""
+    monkeypatch.setattr(module, "SMALL_BATCH", request.param)
+
+
 @pytest.fixture
 def lake(spark, folder):
     return Lake(spark, folder)
@@ -230,6 +236,24 @@ def test_merge_shuffles_once_by_bucket(spark, lake):
     assert final.count("Exchange") == 1 and "shufflepartitionidpassthrough" in final
 
 
+def test_a_small_batch_leaves_the_table_unshuffled(spark, lake):
+    lake.bring(*[event(c, c, 0) for c in range(40)])
+    stored = tables.read(spark, lake.table.path, lake.table.stored_schema)
+    batch = stored.where("client_id < 3").withColumn("kind", F.lit("z"))
+    plan = final_plan(module.merge_small(stored, batch, lake.table)).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in plan
+    # The rows to insert are the only ones that may be shuffled; here there are none.
+    assert "shufflepartitionidpassthrough" not in plan
+
+
+def test_rows_without_a_time_are_the_oldest(lake):
+    lake.bring((1, 1, None, "a", "p"), event(2, 2, 1))
+    audit = lake.bring(event(1, 0, 0, "b"), (2, 9, None, "c", "p"))
+    assert counts(audit) == {"inserted": 0, "updated": 1, "unchanged": 0, "stale": 1}
+    assert lake.rows() == [event(1, 0, 0, "b"), event(2, 2, 1)]
+
+
 def test_latest_drops_old_versions_before_the_shuffle(spark):
     df = spark.range(0, 3000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("client_id"),
