@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as contract
 import check
 from medallion import session
+from medallion.plans.oracles import ORACLES
+from medallion.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,10 +17,15 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+def test_contract_has_all_of_them():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_its_sql(spark, duck, name):
     df = contract.queries()[name](spark, SF)
     got = check.rows_of(df.columns, df.collect())
