@@ -27,6 +27,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches that tasks hold: their rows alone would not bound long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` text bytes, or of one longer text."""
     sizes = texts.cast(pa.binary()) if not pa.types.is_binary(texts.type) else texts

@@ -7,10 +7,27 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import decontamination, language_id, mixing, simhash, token_blocks
+from medallion.llm import (
+    decontamination,
+    embedding_dedup,
+    html_extraction,
+    language_id,
+    line_dedup,
+    mixing,
+    pii_surrogates,
+    quality_model,
+    simhash,
+    token_blocks,
+)
 from medallion.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+# A stand-in: users bring a secret of their own.
+SURROGATE_KEY = b"replace this key"
+
+
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replace(table(spark, sf_dir, "documents"), SURROGATE_KEY)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +38,18 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -30,6 +59,11 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contained(documents, benchmark)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality_model.classify(documents, labels)
+
+
 def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     return token_blocks.tokenized(table(spark, sf_dir, "documents"), path)
@@ -38,10 +72,15 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_pii_surrogates,
         op2_language_id,
         op3_simhash_near_dedup,
+        op4_embedding_near_dedup,
+        op5_html_extraction,
+        op6_line_dedup,
         op7_source_mixing,
         op8_benchmark_decontamination,
+        op9_quality_classifier,
         op10_token_blocks,
     )
 }
