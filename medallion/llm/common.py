@@ -27,6 +27,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or with more underscores one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the Arrow batches that tasks hold: their rows alone would not bound long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
@@ -35,8 +43,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` text bytes, or of one longer text."""
-    sizes = texts.cast(pa.binary()) if not pa.types.is_binary(texts.type) else texts
-    lengths = np.array([0 if v is None else v for v in pc.binary_length(sizes).to_pylist()])
+    lengths = pc.binary_length(texts).fill_null(0).to_numpy()
     start, total = 0, 0
     for i, n in enumerate(lengths):
         if i > start and total + n > limit:
@@ -47,6 +54,22 @@ def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of about ``limit`` bytes of text, which span batches or parts of one."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for start, end in slices(batch.column(column), limit):
+            part = batch.slice(start, end - start)
+            held.append(part)
+            size += pc.sum(pc.binary_length(part.column(column))).as_py() or 0
+            if size >= limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def arrow_table(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import arrow_table, slices
+from medallion.llm.common import arrow_table, bounded_batches, slices
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -148,6 +148,7 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     either side gives no rows, and other columns are ignored.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     found = spark.createDataFrame([], FOUND_DDL)
     for block in _blocks(benchmark):
@@ -183,6 +184,7 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text contains no benchmark item; see
     ``contained``. Rows with null text or null doc_id are judged like any other."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     for block in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)
 

@@ -14,23 +14,23 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator, Sequence
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import slices
+from medallion.llm.common import bounded_batches, slices
 
 UNKNOWN = "und"
 # Bounds of the labelled sample: documents of a language, code points taken of each, and
 # code points of all languages together, shared evenly.
 SAMPLE_DOCUMENTS = 80
-SAMPLE_CHARS = 1_000
-MODEL_CHARS = 160_000
+SAMPLE_CHARS = 500
+MODEL_CHARS = 80_000
 PIECE = 1_024
-BATCH_BYTES = 3_000_000
+BATCH_BYTES = 1_500_000
 BLANK, OTHER, FIRST = 0, 1, 2
 
 
@@ -39,8 +39,9 @@ class Automata:
 
     A state is the index of its row in the flat table. An entry holds twice the following
     state, plus one if the letter does not continue the phrase; it then leads to where that
-    letter, as the first of a new phrase, leads. A letter that a language never saw leads to a
-    state from which every letter begins a new phrase.
+    letter, as the first of a new phrase, leads. The last state of a language is one from which
+    every letter begins a new phrase: pieces start there, and a letter that the language never
+    saw leads there.
     """
 
     def __init__(self, samples: dict[str, str]):
@@ -48,11 +49,11 @@ class Automata:
         letters = sorted({c for text in samples.values() for c in text.lower() if c.isalpha()})
         self.codes = _codes(letters)
         self.width = FIRST + len(letters)
-        tables, self.roots, offset = [], [], 0
+        tables, self.starts, offset = [], [], 0
         for language in self.languages:
             rows = _suffix_automaton(_collapsed(self.encode(samples[language])), self.width)
             tables.append(self._entries(rows, offset))
-            self.roots.append(offset)
+            self.starts.append(offset + len(rows) * self.width)
             offset += tables[-1].size
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int64)
 
@@ -70,13 +71,13 @@ class Automata:
     def phrases(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases per piece and language; the pieces in falling order of length."""
         found = np.zeros((len(self.languages), len(starts)), np.int32)
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(starts), axis=1)
+        state = np.repeat(np.array(self.starts, np.int32)[:, None], len(starts), axis=1)
         for step in range(int(lengths[0]) if len(lengths) else 0):
             active = int(np.searchsorted(-lengths, -step, side="left"))
             entry = self.table[state[:, :active] + codes[starts[:active] + step]]
             found[:, :active] += entry & 1
             state[:, :active] = entry >> 1
-        return found + (lengths > 0)
+        return found
 
     def classify(self, texts: Sequence[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
@@ -160,7 +161,7 @@ def _suffix_automaton(codes: np.ndarray, width: int) -> np.ndarray:
                 target = twin
             link[new] = target
         last = new
-    rows = np.full((len(following), width), -1, np.int64)
+    rows = np.full((len(following), width), -1, np.int32)
     for i, row in enumerate(following):
         for code, target in row.items():
             rows[i, code] = target
@@ -199,7 +200,7 @@ def learn(docs: DataFrame) -> dict[str, str]:
     return {k: v for k, v in samples.items() if any(c.isalpha() for c in v)}
 
 
-@cache
+@lru_cache(maxsize=1)
 def _automata(samples: tuple[tuple[str, str], ...]) -> Automata:
     return Automata(dict(samples))
 
@@ -223,6 +224,7 @@ def identify(docs: DataFrame) -> DataFrame:
     is nothing to learn from. Repeated rows are answered one by one; other columns are ignored.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(tuple(sorted(learn(docs).items())))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,6 +255,7 @@ def with_language(docs: DataFrame) -> DataFrame:
     to learn from. Rows that share an id and a text share the verdict.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(tuple(sorted(learn(docs).items())))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -179,9 +179,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines that ``near_duplicates`` doesn't keep taken out of the text."""
     found = _classified(docs).where("not kept")
     dropped = found.groupBy("doc_id", "_text").agg(F.collect_set("line_no").alias("_dropped"))
-    dropped = written(dropped, "dropped").withColumnRenamed("doc_id", "_doc")
-    matches = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_doc"))
-    joined = docs.join(dropped, matches & (F.xxhash64(docs["text"]) == F.col("_text")), "left")
-    kept = F.filter(F.split(docs["text"], "\n"), lambda x, i: ~F.array_contains(F.col("_dropped"), i))
-    text = F.when(F.col("_dropped").isNull(), docs["text"]).otherwise(F.array_join(kept, "\n"))
+    dropped = written(dropped, "dropped")
+    same = docs["doc_id"].cast("bigint").eqNullSafe(dropped["doc_id"])
+    joined = docs.join(dropped, same & (F.xxhash64(docs["text"]) == dropped["_text"]), "left")
+    lines, numbers = F.split(docs["text"], "\n"), dropped["_dropped"]
+    kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(numbers, i)), "\n")
+    text = F.when(numbers.isNull(), docs["text"]).otherwise(kept)
     return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import WORD, written
+from medallion.llm.common import WORD, unused, written
 
 # Weights of the sources in code point order, over and over.
 WEIGHTS = (1, 2, 3)
@@ -25,9 +25,9 @@ def words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def hash_of(doc_id: str) -> Column:
+def hash_of(doc_id: Column) -> Column:
     """60 bits of the id's MD5; a null id counts as an empty one."""
-    digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 
@@ -109,16 +109,16 @@ def _planned(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("source").alias("source"),
         words("text").alias("size"),
-        hash_of("doc_id").alias("_hash"),
+        hash_of(F.col("doc_id")).alias("_hash"),
     )
     sizes = written(rows, "sizes")
     wanted = written(targets(sizes), "targets")
     return sizes, written(thresholds(sizes, wanted), "thresholds")
 
 
-def _times() -> Column:
-    more = F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0)
-    return F.least(F.col("_copies") + more, F.lit(MOST_COPIES))
+def _times(hashed: Column, plan: DataFrame) -> Column:
+    more = F.when(hashed < plan["_threshold"], 1).otherwise(0)
+    return F.least(plan["_copies"] + more, F.lit(MOST_COPIES))
 
 
 def mix(docs: DataFrame) -> DataFrame:
@@ -132,8 +132,9 @@ def mix(docs: DataFrame) -> DataFrame:
     sizes, plan = _planned(docs)
     plan = plan.withColumnRenamed("source", "_source")
     joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    times = _times(sizes["_hash"], plan)
     return joined.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _times()).alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken")
     )
 
 
@@ -141,12 +142,11 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The rows that the mix takes, all columns of ``docs``, each as often as it is taken; see
     ``mix``. Rows without words go with their hash like any other."""
     _, plan = _planned(docs)
-    plan = plan.select(F.col("source").alias("_source"), "_copies", "_threshold")
-    joined = docs.withColumn("_hash", hash_of("doc_id")).join(
-        plan, docs["source"].eqNullSafe(F.col("_source"))
-    )
-    often = joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), _times())))
-    return often.select(*[docs[c] for c in docs.columns])
+    joined = docs.join(plan, docs["source"].eqNullSafe(plan["source"]))
+    copy = unused(docs, "_copy")
+    copies = F.array_repeat(F.lit(0), _times(hash_of(docs["doc_id"]), plan))
+    often = joined.select(*[docs[c] for c in docs.columns], F.explode(copies).alias(copy))
+    return often.drop(copy)
 
 
 ORACLE = r"""

@@ -33,6 +33,8 @@ PHONE = re.compile(
 SECRET = re.compile(
     r"(?<![\w/+])(?:(?=[A-Fa-f]*\d)(?:[0-9a-f]{32,}|[0-9A-F]{32,})|(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_\w{36,}|sk[-_]\w{20,})(?![\w/+=])"
 )
+HEX = re.compile(r"[0-9a-fA-F]+")
+SECRET_PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|sk[-_]|")
 DIGIT = re.compile(r"\d")
 
 LOOPBACK, PRIVATE = ipaddress.IPv4Network("127.0.0.0/8"), ipaddress.IPv4Network("10.0.0.0/8")
@@ -92,7 +94,7 @@ def _address(text: str) -> bool:
 # Kind, pattern, normal form, and whether a match counts. Earlier kinds win where they overlap.
 Found = tuple[str, re.Pattern, Callable[[str], str], Callable[[str], bool]]
 WITH_DIGITS: list[Found] = [
-    ("secret", SECRET, str.lower, lambda v: True),
+    ("secret", SECRET, lambda v: v.lower() if HEX.fullmatch(v) else v, lambda v: True),
     ("iban", IBAN, lambda v: v.replace(" ", ""), lambda v: _mod97(v) == 1),
     ("card", CARD, _digits, luhn),
     ("ip", IPV4, str, _address),
@@ -186,7 +188,10 @@ def surrogate(key: bytes, kind: str, value: str, tries: int = 0) -> str:
         place = Stream(key, "domain", domain, 0)  # addresses at one domain stay together
         return f"{_alike(draw, local)}@{_alike(place, names)}.{top}"
     if kind == "secret":
-        return "".join(draw.choice("0123456789abcdef") if c in "0123456789abcdef" else _letter(draw, c) for c in value)
+        if HEX.fullmatch(value):
+            return "".join(draw.choice("0123456789abcdef") for _ in value)
+        prefix = SECRET_PREFIX.match(value)[0]
+        return prefix + _alike(draw, value[len(prefix) :])
     if kind == "card":
         body = value[0] + draw.digits("1" + value[2:-1])
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
@@ -207,7 +212,9 @@ def surrogate(key: bytes, kind: str, value: str, tries: int = 0) -> str:
 
 
 def _letter(draw: Stream, char: str) -> str:
-    return chr(97 + draw.below(26)) if char.isalpha() else str(draw.below(10)) if char.isdigit() else char
+    if char.isalpha():
+        return chr((65 if char.isupper() else 97) + draw.below(26))
+    return str(draw.below(10)) if char.isdigit() else char
 
 
 def _alike(draw: Stream, text: str) -> str:

@@ -36,6 +36,8 @@ QUANTILE = 0.99
 STEADY = 100
 # Steps of cross-entropy in which the quantile is found, in nats.
 STEP = 1e-3
+# No symbol is less probable: a few counts may leave nothing for what they lack.
+LEAST = 1e-7
 BATCH_BYTES = 1_500_000
 
 
@@ -171,6 +173,7 @@ def costs(shares: list[DataFrame], weights: list[DataFrame]) -> np.ndarray:
         table = share.toPandas()
         here.ravel()[table["gram"].to_numpy()] += table["share"].to_numpy().astype(np.float32)
         lower = here.ravel()
+    np.maximum(lower, LEAST, out=lower)
     return -np.log(lower, out=lower).astype(np.float16)
 
 

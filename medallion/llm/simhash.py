@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import arrow_table, slices, written
+from medallion.llm.common import arrow_table, bounded_batches, slices, written
 from medallion.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -230,6 +230,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component; rows that share a doc_id join what is linked to either. Equal fingerprints are
     one node, so that groups of exact copies cost one row, and other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     prints = written(rows.mapInArrow(_fingerprint_batches, "doc_id bigint, _fp bigint"), "prints")
     nodes = written(prints.groupBy("_fp").agg(F.min("doc_id").alias("_node")), "nodes")
@@ -260,14 +261,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     standing = written(standing, "standing")
     single = written(standing.where("_rows = 1"), "single")
     several = written(standing.where("_rows > 1"), "several")
-    matches = F.col("doc_id") == F.col("_kept")
-    repeated = docs.join(several, matches, "left_semi")
+    repeated = docs.join(several, docs["doc_id"] == several["_kept"], "left_semi")
     order = F.struct(repeated["text"], F.xxhash64(*repeated.columns))
     first = repeated.groupBy(repeated["doc_id"]).agg(
         F.min_by(F.struct(*repeated.columns), order).alias("_row")
     )
     return (
-        docs.join(single, matches, "left_semi")
+        docs.join(single, docs["doc_id"] == single["_kept"], "left_semi")
         .unionByName(first.select("_row.*"))
         .unionByName(docs.where(F.col("doc_id").isNull()))
     )
