@@ -5,8 +5,9 @@ than edits are allowed, so that each line within reach has at least one segment
 unchanged, shifted by no more than the edits before or after it allow. Segments are indexed
 under the line's length and the segment's number; a line probes the index of each length that
 it may be near to, at the few places where such a segment can be. Equal lines are one row
-before this, keys are hashes, and a candidate pair is met once and verified on the whole lines
-by a banded edit distance whose band is a word of bits.
+before this, keys are hashes, and a candidate pair is met once. What the counts of a few
+letters can rule out goes first; the rest is verified on the whole lines by a banded edit
+distance whose band is a word of bits.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ MAX_EDITS = 2
 # Shorter lines, blanks at the ends not counted, are no duplicates of anything.
 MIN_CHARS = 30
 SEGMENTS = MAX_EDITS + 1
+# Letters that a line's sketch counts, a byte for each.
+SKETCHED = "etaoinsr"
 
 
 def _segment(length: Column, number: int) -> tuple[Column, Column]:
@@ -100,6 +103,24 @@ def within(left: str, right: str, edits: int = MAX_EDITS) -> Column:
     return F.when(F.abs(difference) <= edits, reached > 0).otherwise(False)
 
 
+def sketch(text: Column) -> Column:
+    """The counts of some letters, at most 255 of each, as bytes of a number."""
+    counted = F.lit(0).cast("bigint")
+    for place, letter in enumerate(SKETCHED):
+        count = F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
+        counted = counted.bitwiseOR(F.shiftleft(F.least(count, F.lit(255)).cast("bigint"), 8 * place))
+    return counted
+
+
+def _possible(left: Column, right: Column) -> Column:
+    """An edit changes the counts by two at most."""
+    apart = F.lit(0)
+    for place in range(len(SKETCHED)):
+        one, other = (F.shiftrightunsigned(x, 8 * place).bitwiseAND(F.lit(255)) for x in (left, right))
+        apart = apart + F.abs(one - other)
+    return apart <= 2 * MAX_EDITS
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """One row per line of at least ``MIN_CHARS`` code points: the document, the line's number
     from 0, the text without blanks at its ends, and two hashes of it."""
@@ -115,19 +136,23 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def links(lines: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of ids of the distinct lines (_id, _line) that are near duplicates."""
+    """Pairs (a, b), a < b, of ids of the distinct lines (_id, _line, _sketch) that are near
+    duplicates."""
     index = lines.select("_id", _keys([(0, i, 0) for i in range(1, SEGMENTS + 1)]).alias("_key"))
     probe = lines.select(F.col("_id").alias("_other"), _keys(probes()).alias("_key"))
     met = index.join(probe, "_key").where("_id <> _other")
-    met = written(
-        met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b")).distinct(),
-        "candidates",
+    met = met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b")).distinct()
+    left, right = (
+        lines.select(F.col("_id").alias(side), F.col("_sketch").alias(f"_{side}")) for side in ("a", "b")
     )
-    ids = met.select(F.col("a").alias("_id")).union(met.select("b")).distinct()
+    met = met.join(left, "a").join(right, "b").where(_possible(F.col("_a"), F.col("_b")))
+    met = written(met.select("a", "b"), "candidates")
+    ids = written(met.select(F.col("a").alias("_id")).union(met.select("b")).distinct(), "ids")
     texts = written(lines.join(ids, "_id", "left_semi").select("_id", "_line"), "texts")
-    left = texts.select(F.col("_id").alias("a"), F.col("_line").alias("_left"))
-    right = texts.select(F.col("_id").alias("b"), F.col("_line").alias("_right"))
-    return met.join(left, "a").join(right, "b").where(within("_left", "_right")).select("a", "b")
+    left, right = (
+        texts.select(F.col("_id").alias(side), F.col("_line").alias(f"_{side}")) for side in ("a", "b")
+    )
+    return met.join(left, "a").join(right, "b").where(within("_a", "_b")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -146,7 +171,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _classified(docs: DataFrame) -> DataFrame:
     lines = occurrences(docs).groupBy("_h1", "_h2", "_line").agg(F.count("*").alias("_copies"))
-    lines = written(lines.withColumn("_id", F.monotonically_increasing_id()), "lines")
+    lines = lines.withColumn("_id", F.monotonically_increasing_id())
+    lines = written(lines.withColumn("_sketch", sketch(F.col("_line"))), "lines")
     pairs = written(links(lines), "links")
     counts = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).groupBy("_id").agg(
         F.count("*").alias("n_links")
