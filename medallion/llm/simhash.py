@@ -254,7 +254,8 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     component's.
 
     Of repeated rows of that id one stays: the one with the smallest text, nulls first. Rows
-    without doc_id belong to no group and stay.
+    without doc_id belong to no group and stay. The ids that stay are as many as the groups:
+    they are merged with the documents, never broadcast.
     """
     standing = near_duplicates(docs).where("doc_id = component_id")
     standing = standing.groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_rows"))
@@ -267,7 +268,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
         F.min_by(F.struct(*repeated.columns), order).alias("_row")
     )
     return (
-        docs.join(single, docs["doc_id"] == single["_kept"], "left_semi")
+        docs.join(single.hint("merge"), docs["doc_id"] == single["_kept"], "left_semi")
         .unionByName(first.select("_row.*"))
         .unionByName(docs.where(F.col("doc_id").isNull()))
     )
