@@ -9,6 +9,7 @@ queries on them start from a table scan as they would in a lake.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +50,10 @@ EVENTS = struct(
     props=TEXT,
 )
 
-# A few hundred MB each; but some parallelism for small tables.
-ROWS_PER_BUCKET = 2_000_000
-FEWEST_BUCKETS = 8
+# Of the state tables here, at every size, so that audits do not depend on it.
+STATE_BUCKETS = 8
 
 _written: dict[tuple[str, str, str], str] = {}
-_buckets: dict[tuple[str, str], int] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
@@ -75,15 +74,6 @@ def run_ts():
     return F.lit("2001-08-02 00:00:00").cast("timestamp_ntz")
 
 
-def state_buckets(spark: SparkSession, sf_dir: str) -> int:
-    """Buckets for one row per customer, by the row count in the file footers."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _buckets:
-        customers = table(spark, sf_dir, "customer").count()
-        _buckets[key] = max(FEWEST_BUCKETS, -(-customers // ROWS_PER_BUCKET))
-    return _buckets[key]
-
-
 def trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     k, u, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
@@ -168,20 +158,16 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, bronze_path(spark, sf_dir), TRAIL)
 
 
-def state_table(
-    spark: SparkSession, sf_dir: str, path: str, schema: T.StructType = TRAIL
-) -> StateTable:
-    return StateTable(path, schema, state_buckets(spark, sf_dir))
+def state_table(path: str, schema: T.StructType = TRAIL) -> StateTable:
+    return StateTable(path, schema, STATE_BUCKETS)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         source = silver_source(bronze(spark, sf_dir))
-        state = state_table(spark, sf_dir, f"{path}/table")
-        upsert(spark, state, source, "first", f"{path}/staging", run_ts())
+        upsert(spark, state_table(path), source, "first", run_ts())
 
-    path = _once(spark, sf_dir, "silver", write)
-    return state_table(spark, sf_dir, f"{path}/table").read(spark)
+    return state_table(_once(spark, sf_dir, "silver", write)).read(spark)
 
 
 def write_landing(df: DataFrame, path: str) -> None:
@@ -209,28 +195,56 @@ def events_landing(spark: SparkSession, sf_dir: str) -> Landing:
 
 
 def client_landing(spark: SparkSession, sf_dir: str) -> Landing:
-    """Daily CSV folders of the client trail."""
+    """Daily CSV folders of the client trail, its events a microsecond apart at least, so that
+    no two versions of a client have the same time."""
+
+    def write(path: str) -> None:
+        rows = distinct_times(bronze(spark, sf_dir)).withColumn("particao", F.col("load_date"))
+        write_landing(rows.select(*client_schema().names, "particao"), path)
+
+    path = _once(spark, sf_dir, "client_landing", write)
+    return Landing(path, options=CSV_TIMES, header=client_schema().names)
+
+
+def corrected_landing(spark: SparkSession, sf_dir: str) -> Landing:
+    """The same from 1996 on, delivered again: every fifth event is withdrawn, and every
+    seventh has another street at the same time."""
 
     def write(path: str) -> None:
-        rows = bronze(spark, sf_dir).withColumn("particao", F.col("load_date"))
+        rows = distinct_times(bronze(spark, sf_dir)).where(
+            (F.col("load_date") >= "19960101") & (F.col("event_id") % 5 != 0)
+        )
+        street = F.when(F.col("event_id") % 7 == 0, F.concat("street", F.lit(" B")))
+        rows = rows.withColumn("street", F.coalesce(street, F.col("street")))
+        rows = rows.withColumn("particao", F.col("load_date"))
         write_landing(rows.select(*client_schema().names, "particao"), path)
 
-    return Landing(_once(spark, sf_dir, "client_landing", write), options=CSV_TIMES)
+    path = _once(spark, sf_dir, "corrected_landing", write)
+    return Landing(path, options=CSV_TIMES, header=client_schema().names)
+
+
+def distinct_times(trail: DataFrame) -> DataFrame:
+    micros = F.make_dt_interval(secs=F.col("event_id") / F.lit(Decimal(1_000_000)))
+    return trail.withColumn("updated_at", F.col("updated_at") + micros)
 
 
 def faulty_landing(spark: SparkSession, sf_dir: str) -> Landing:
-    """The events as CSV lines, some of them with a fault."""
+    """The events as CSV lines of all columns, quotes and commas in the last, some of them with a
+    fault."""
 
     def write(path: str) -> None:
         k = F.col("event_id")
         event, user, kind = k.cast("string"), F.col("user_id").cast("string"), F.col("event_type")
+        value = F.col("value").cast("string")
+        props = F.concat(F.lit('"'), F.replace("props", F.lit('"'), F.lit('""')), F.lit(', x"'))
         time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         line = (
-            F.when(k % 11 == 0, F.concat_ws(",", event, time, F.lit("zz"), kind))
+            F.when(k % 11 == 0, F.concat_ws(",", event, time, F.lit("zz"), kind, value, props))
             .when(k % 13 == 0, F.concat_ws(",", event, time))
-            .when(k % 17 == 0, F.concat_ws(",", event, time, user, kind, F.lit("extra")))
-            .when(k % 19 == 0, F.concat_ws(",", F.lit(""), time, user, kind))
-            .otherwise(F.concat_ws(",", event, time, user, kind))
+            .when(k % 17 == 0, F.concat_ws(",", event, time, user, kind, value, props, F.lit("extra")))
+            .when(k % 19 == 0, F.concat_ws(",", F.lit(""), time, user, kind, value, props))
+            .when(k % 23 == 0, F.concat_ws(",", event, time, user, kind, F.lit("1.5.2"), props))
+            .otherwise(F.concat_ws(",", event, time, user, kind, value, props))
         )
         day = F.date_format("ts", "yyyyMMdd").alias("particao")
         lines = table(spark, sf_dir, "events").select(line.alias("value"), day)
@@ -238,8 +252,8 @@ def faulty_landing(spark: SparkSession, sf_dir: str) -> Landing:
 
     return Landing(
         path=_once(spark, sf_dir, "faulty_landing", write),
-        schema=T.StructType(EVENTS.fields[:4]),
+        schema=EVENTS,
         required=("event_id",),
         upper=(),
-        options={**CSV_TIMES, "header": "false", "pathGlobFilter": "*.txt"},
+        options={**CSV_TIMES, "header": "false", "pathGlobFilter": "*.txt", "escape": '"'},
     )

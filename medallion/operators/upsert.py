@@ -1,20 +1,22 @@
 """Keyed latest-wins upsert into a hash-bucketed parquet table.
 
-The table is partitioned by a hash bucket of the key, and a batch rewrites only the
-buckets it has keys in. Each batch goes in steps that read only finished tables:
-
-1. the batch, reduced to the newest row per key, is written below the staging folder;
-2. touched buckets and batch are merged, with the action taken on each row, into a folder
-   of their own, and the journal gets a ``merged`` row with the counts per action;
-3. the merged buckets replace those of the table, and the journal gets ``published``.
-
-A run that dies in step 3 leaves a merged version that is not published. The next run
-publishes it before it reads the table, so a half-replaced table is never read. Bringing
-the same batch in again is then harmless. A table takes one writer at a time.
+The table is cut into buckets by a hash of the key, and a batch rewrites only the buckets it
+has keys in. Each bucket lies in the folder of the run that last wrote it; the newest entry
+of the journal beside them says which run that is. A batch goes in three steps:
+
+1. the batch, reduced to the newest row per key, is written to a work folder;
+2. touched buckets and batch are merged and written, once, to a folder of the run's own;
+3. one new journal entry, with the counts per action, makes them the table's.
+
+Readers follow the entry they found and never see half a batch. A run that dies leaves files
+that no entry names and nobody reads. Of two writers that start from the same version the
+first to make its entry wins, and the other one's run fails without effect. ``vacuum`` deletes
+the folders that no kept version names.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,27 +26,24 @@ from pyspark.sql import types as T
 
 from medallion.operators.dedupe import latest_per_key
 from medallion.schema import LONG, TEXT, TIME, struct
-from medallion.sources import tables
+from medallion.sources import files, journal
 
 BUCKET = "bucket"
 ACTION = "_action"
 ACTIONS = ("inserted", "updated", "unchanged", "stale", "kept")
-# A batch of at most this many keys, counted before the merge, is broadcast.
-SMALL_BATCH = 200_000
-JOURNAL = struct(
+OPERATION = struct(
     version=LONG,
     batch_id=TEXT,
     run_ts=TIME,
     operation=TEXT,
-    phase=TEXT,
     **dict.fromkeys(ACTIONS, LONG),
 )
 
 
 @dataclass(frozen=True)
 class StateTable:
-    """A one-row-per-key table. ``buckets`` is fixed for the life of the table: choose it
-    so that one bucket is a task's work (a few hundred MB)."""
+    """A one-row-per-key table. Choose ``buckets`` so that one is a task's work (a few hundred
+    MB); ``rebucket`` changes it."""
 
     path: str
     schema: T.StructType
@@ -52,6 +51,10 @@ class StateTable:
     key: str = "client_id"
     order: Sequence[str] = ("updated_at", "event_id")
 
+    @property
+    def journal(self) -> str:
+        return f"{self.path}/versions"
+
     @property
     def stored_schema(self) -> T.StructType:
         return T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
@@ -59,8 +62,22 @@ class StateTable:
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
+    def folder(self, run: str, bucket: str) -> str:
+        return f"{self.path}/data/run={run}/{BUCKET}={bucket}"
+
+    def folders(self, spark: SparkSession) -> dict[str, str]:
+        """Where the newest version's buckets lie, by bucket."""
+        now = journal.newest(spark, self.journal)
+        return {b: self.folder(run, b) for b, run in now["runs"].items()} if now else {}
+
     def read(self, spark: SparkSession) -> DataFrame:
-        return tables.read_or_empty(spark, self.path, self.stored_schema).drop(BUCKET)
+        return self._read(spark, self.folders(spark).values()).drop(BUCKET)
+
+    def _read(self, spark: SparkSession, folders) -> DataFrame:
+        if not folders:
+            return spark.createDataFrame([], self.stored_schema)
+        reader = spark.read.schema(self.stored_schema).option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders).select(*self.stored_schema.names)
 
 
 def merge(
@@ -69,9 +86,9 @@ def merge(
     """Rows after the merge, with the action taken on each.
 
     Both sides hold at most one row per key, and both have the bucket column. The newer
-    row wins, the one in the table if neither is newer. With ``compare``, a newer row
-    that agrees in all those columns changes nothing but the order columns, which must
-    move on so that an event between the two versions still counts as late.
+    row wins, the one in the table if neither is newer. With ``compare``, a newer row that
+    agrees in those columns counts as unchanged; the table's rows are the same with or
+    without.
 
     Both sides are shuffled to one bucket per task, and the window needs no shuffle of
     its own.
@@ -79,75 +96,43 @@ def merge(
     sides = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
     sides = sides.repartitionById(table.buckets, F.col(BUCKET))
     table_first = Window.partitionBy(BUCKET, table.key).orderBy("_new")
-    everything = F.struct(*_payload(table))
+    payload = [name for name in table.schema.names if name != table.key]
     pairs = sides.withColumns(
         {
             "_rank": F.row_number().over(table_first),
-            "_incoming": F.lead(everything).over(table_first),
+            "_incoming": F.lead(F.struct(*payload)).over(table_first),
         }
     ).where(F.col("_rank") == 1)
     # A row of the batch that comes first has no partner in the table.
     action = F.when(F.col("_new") == 1, "inserted").otherwise(_action(table, compare))
-    return _resolved(pairs.withColumn(ACTION, action), table)
-
-
-def merge_small(
-    target: DataFrame, source: DataFrame, table: StateTable, compare: Sequence[str] = ()
-) -> DataFrame:
-    """The same for a batch small enough to be sent to every task: the table's rows are
-    neither shuffled nor sorted."""
-    keys = [BUCKET, table.key]
-    incoming = source.select(*keys, F.struct(*_payload(table)).alias("_incoming"))
-    pairs = target.join(F.broadcast(incoming), keys, "left")
-    present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-    absent = source.join(F.broadcast(present), keys, "left_anti")
-    inserted = absent.repartitionById(table.buckets, F.col(BUCKET)).select(
-        *table.schema.names, BUCKET, F.lit("inserted").alias(ACTION)
+    newer = _side(table.order) < _side(table.order, "_incoming")
+    values = {n: F.when(newer, F.col("_incoming")[n]).otherwise(F.col(n)).alias(n) for n in payload}
+    return pairs.select(
+        *[values.get(name, F.col(name)) for name in table.schema.names], BUCKET, action.alias(ACTION)
     )
-    return _resolved(pairs.withColumn(ACTION, _action(table, compare)), table).unionByName(inserted)
 
 
-def _payload(table: StateTable) -> list[str]:
-    return [name for name in table.schema.names if name != table.key]
+def _side(names: Sequence[str], inside: str | None = None) -> Column:
+    # Structs compare field by field, and null is smaller than any value.
+    return F.struct(*[F.col(inside)[name] if inside else F.col(name) for name in names])
 
 
 def _action(table: StateTable, compare: Sequence[str]) -> Column:
     """What a row ``_incoming`` of the batch does to the row of the table it belongs to."""
-
-    def both(names: Sequence[str]) -> tuple[Column, Column]:
-        return F.struct(*names), F.struct(*[F.col("_incoming")[name] for name in names])
-
-    held, offered = both(table.order)
-    # Structs compare field by field, and null is smaller than any value.
+    held, offered = _side(table.order), _side(table.order, "_incoming")
     action = F.when(F.col("_incoming").isNull(), "kept").when(held > offered, "stale")
     action = action.when(held.eqNullSafe(offered), "unchanged")
     if compare:
-        old, new = both(compare)
-        action = action.when(old.eqNullSafe(new), "unchanged")
+        same = _side(compare).eqNullSafe(_side(compare, "_incoming"))
+        action = action.when(same, "unchanged")
     return action.otherwise("updated")
 
 
-def _resolved(pairs: DataFrame, table: StateTable) -> DataFrame:
-    """Put the incoming values in where the action says so."""
-    updated = F.col(ACTION) == "updated"
-    moved_on = F.col(ACTION).isin("updated", "unchanged")
-    values = {
-        name: F.when(moved_on if name in table.order else updated, F.col("_incoming")[name])
-        .otherwise(F.col(name))
-        .alias(name)
-        for name in _payload(table)
-    }
-    return pairs.select(
-        *[values.get(name, F.col(name)) for name in table.schema.names], BUCKET, ACTION
-    )
-
-
 def upsert(
     spark: SparkSession,
     table: StateTable,
     source: DataFrame,
     batch_id: str,
-    staging: str,
     run_ts: Column,
     compare: Sequence[str] = (),
 ) -> DataFrame:
@@ -157,77 +142,96 @@ def upsert(
     an event without a key stops the run. The result does not depend on how the
     events were split into batches, and a batch brought in twice changes nothing.
     """
-    last = _last_version(spark, staging)
-    if last and last["phase"] == "merged":
-        _publish(spark, table, staging, last["version"])
-    version = last["version"] + 1 if last else 1
-    folder = _folder(staging, version)
-    _merge_batch(spark, table, source, folder, compare)
-    _counts(spark, f"{folder}/merged").select(
-        F.lit(version).cast("bigint").alias("version"),
-        F.lit(batch_id).alias("batch_id"),
-        run_ts.cast("timestamp_ntz").alias("run_ts"),
-        F.lit("upsert").alias("operation"),
-        F.lit("merged").alias("phase"),
-        *ACTIONS,
-    ).write.mode("append").parquet(f"{staging}/journal")
-    _publish(spark, table, staging, version)
-    return last_operation(spark, staging)
-
-
-def last_operation(spark: SparkSession, staging: str) -> DataFrame:
+    now = _present(spark, table)
+
+    def merged(batch: DataFrame, touched: list[str]) -> DataFrame:
+        held = [table.folder(now["runs"][b], b) for b in touched if b in now["runs"]]
+        return merge(table._read(spark, held), batch, table, compare)
+
+    return _written(spark, table, now, source, "upsert", batch_id, run_ts, merged, now["runs"])
+
+
+def rebuild(
+    spark: SparkSession, table: StateTable, source: DataFrame, batch_id: str, run_ts: Column
+) -> DataFrame:
+    """Make the table the newest rows of ``source`` alone, and return the audit row."""
+    now = _present(spark, table, any_buckets=True)
+
+    def merged(batch: DataFrame, _: list[str]) -> DataFrame:
+        rows = batch.repartitionById(table.buckets, F.col(BUCKET))
+        return rows.withColumn(ACTION, F.lit("inserted"))
+
+    return _written(spark, table, now, source, "rebuild", batch_id, run_ts, merged, {})
+
+
+def rebucket(spark: SparkSession, table: StateTable, batch_id: str, run_ts: Column) -> DataFrame:
+    """Write the table anew in ``table.buckets`` buckets, whatever number it had."""
+    now = _present(spark, table, any_buckets=True)
+
+    def merged(batch: DataFrame, _: list[str]) -> DataFrame:
+        rows = batch.repartitionById(table.buckets, F.col(BUCKET))
+        return rows.withColumn(ACTION, F.lit("kept"))
+
+    return _written(spark, table, now, table.read(spark), "rebucket", batch_id, run_ts, merged, {})
+
+
+def last_operation(spark: SparkSession, table: StateTable) -> DataFrame:
     """Version, time, operation and counts of the latest finished batch, as one row."""
-    done = tables.read_or_empty(spark, f"{staging}/journal", JOURNAL).where("phase = 'published'")
-    return done.orderBy(F.desc("version")).limit(1).drop("phase")
+    return operations(spark, table).orderBy(F.desc("version")).limit(1)
+
 
+def operations(spark: SparkSession, table: StateTable) -> DataFrame:
+    """The same for all finished batches."""
+    return journal.history(spark, table.journal, OPERATION)
 
-def _folder(staging: str, version: int) -> str:
-    # Two folders in turn: the one written to never holds the version to be published.
-    return f"{staging}/slot={version % 2}"
 
+def vacuum(spark: SparkSession, table: StateTable) -> None:
+    """Delete the folders of runs that the newest version does not name. Not to be run while
+    the table is being written, or an older version still being read."""
+    now = journal.newest(spark, table.journal)
+    named = set(now["runs"].values()) if now else set()
+    for name in files.matching(spark, f"{table.path}/data/run=*"):
+        if name.partition("=")[2] not in named:
+            files.delete(spark, f"{table.path}/data/{name}")
 
-def _last_version(spark: SparkSession, staging: str):
-    journal = tables.read_or_empty(spark, f"{staging}/journal", JOURNAL)
-    # 'published' sorts after 'merged'.
-    return journal.orderBy(F.desc("version"), F.desc("phase")).limit(1).first()
 
+def _present(spark: SparkSession, table: StateTable, any_buckets: bool = False) -> dict:
+    now = journal.newest(spark, table.journal) or {"version": 0, "runs": {}, "buckets": table.buckets}
+    if now["buckets"] != table.buckets and not any_buckets:
+        raise ValueError(f"the table was not written with {table.buckets} buckets; see rebucket")
+    return now
 
-def _merge_batch(spark, table, source, folder, compare) -> None:
+
+def _written(spark, table, now, source, operation, batch_id, run_ts, merged, runs) -> DataFrame:
+    run = uuid.uuid4().hex
+    work, data = f"{table.path}/work/run={run}", f"{table.path}/data/run={run}"
     newest = latest_per_key(source.select(*table.schema.names), table.key, table.order)
     key = F.col(table.key)
     checked = F.when(key.isNotNull(), key).otherwise(F.raise_error(F.lit("event without a key")))
     newest = newest.withColumn(table.key, checked).withColumn(BUCKET, table.bucket_of())
-    newest.write.mode("overwrite").parquet(f"{folder}/source")
-    batch = tables.read(spark, f"{folder}/source", table.stored_schema)
-    # At most ``table.buckets`` small integers; as literals they prune the table's folders.
-    touched = [row[BUCKET] for row in batch.select(BUCKET).distinct().collect()]
-    current = tables.read_or_empty(spark, table.path, table.stored_schema)
-    current = current.where(F.col(BUCKET).isin(touched))
-    moved = F.lit(f"the table was not written with {table.buckets} buckets")
-    placed = F.when(F.col(BUCKET) == table.bucket_of(), F.col(BUCKET))
-    current = current.withColumn(BUCKET, placed.otherwise(F.raise_error(moved)))
-    small = batch.count() <= SMALL_BATCH
-    merged = (merge_small if small else merge)(current, batch, table, compare)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        BUCKET
-    ).parquet(f"{folder}/merged")
-
-
-def _counts(spark: SparkSession, merged_path: str) -> DataFrame:
-    # Counted on the finished table: counters inside the merge job would count a task
+    newest.write.parquet(work)
+    batch = spark.read.schema(table.stored_schema).parquet(work)
+    # At most ``table.buckets`` small integers.
+    touched = [str(row[BUCKET]) for row in batch.select(BUCKET).distinct().collect()]
+    merged(batch, touched).write.partitionBy(BUCKET).parquet(data)
+    counts = _counts(spark, data) if touched else dict.fromkeys(ACTIONS, 0)
+    entry = {
+        "batch_id": batch_id,
+        "run_ts": spark.range(1).select(run_ts.cast("timestamp_ntz").cast("string")).first()[0],
+        "operation": operation,
+        "buckets": table.buckets,
+        "runs": {**runs, **dict.fromkeys(touched, run)},
+        **counts,
+    }
+    journal.add(spark, table.journal, now["version"] + 1, entry)
+    files.delete(spark, work)
+    return last_operation(spark, table)
+
+
+def _counts(spark: SparkSession, data: str) -> dict[str, int]:
+    # Counted on the finished files: counters inside the merge job would count a task
     # twice when a lost executor makes it run again.
     schema = T.StructType([T.StructField(ACTION, T.StringType())])
-    actions = tables.read(spark, merged_path, schema)
-    return actions.agg(*[F.count_if(F.col(ACTION) == name).alias(name) for name in ACTIONS])
-
-
-def _publish(spark: SparkSession, table: StateTable, staging: str, version: int) -> None:
-    merged = tables.read(spark, f"{_folder(staging, version)}/merged", table.stored_schema)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        BUCKET
-    ).parquet(table.path)
-    journal = tables.read(spark, f"{staging}/journal", JOURNAL)
-    done = journal.where((F.col("version") == version) & (F.col("phase") == "merged"))
-    done.withColumn("phase", F.lit("published")).write.mode("append").parquet(
-        f"{staging}/journal"
-    )
+    actions = spark.read.schema(schema).parquet(data)
+    row = actions.agg(*[F.count_if(F.col(ACTION) == name).alias(name) for name in ACTIONS]).first()
+    return row.asDict()

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 DAY_FORMAT = "%Y%m%d"
 ANY_DIGIT = "[0-9]"
-# Above this many days the landing glob names months instead of days.
-MAX_DAYS_IN_GLOB = 62
 
 
 @dataclass(frozen=True)
@@ -41,12 +39,7 @@ class DayWindow:
 
     def glob(self) -> str:
         """The part of a folder glob that narrows the file listing to the window's days."""
-        if self.everything:
-            return ANY_DIGIT * 8
-        days = self.days()
-        if len(days) <= MAX_DAYS_IN_GLOB:
-            return "{" + ",".join(days) + "}"
-        return "{" + ",".join(sorted({day[:6] for day in days})) + "}" + ANY_DIGIT * 2
+        return ANY_DIGIT * 8 if self.everything else "{" + ",".join(self.days()) + "}"
 
 
 def one_day(day: str) -> DayWindow:

@@ -1,7 +1,12 @@
-"""The daily job: landing files to bronze, bronze to silver."""
+"""The daily job: landing files to bronze, bronze to silver.
+
+    python -m medallion.plans.client_etl --mode d-1 --landing L --bronze B --silver S --buckets N
+"""
 
 from __future__ import annotations
 
+import argparse
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -9,19 +14,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion import session
 from medallion.functions.phones import null_unless
-from medallion.operators.upsert import BUCKET, StateTable, upsert
+from medallion.operators.upsert import BUCKET, StateTable, rebuild, upsert
 from medallion.operators.windows import DayWindow, day_window, one_day
-from medallion.schema import BUSINESS_COLUMNS
-from medallion.sources import tables
-from medallion.sources.landing import Landing, ingest, rejects, scan
-
-# Files carry no event number, so versions of equal time are put in order by the load
-# day and then by their contents.
-VERSION_ORDER = (
-    "updated_at",
-    "load_date",
-    *(name for name in BUSINESS_COLUMNS if name not in ("client_id", "updated_at")),
+from medallion.schema import LONG, TEXT, TIME, struct
+from medallion.session import work_folder
+from medallion.sources import journal, tables
+from medallion.sources.landing import (
+    Landing,
+    bad_lines,
+    days_found,
+    events,
+    good_lines,
+    judged,
+    scan,
+)
+
+# Files carry no event number: of versions of equal time the later load day counts, then
+# the later ingest. What one ingest brings twice is decided by a hash of the contents.
+CONTENT = "content_hash"
+VERSION_ORDER = ("updated_at", "load_date", "ingested_at", CONTENT)
+BRONZE_OPERATION = struct(
+    version=LONG,
+    operation=TEXT,
+    run_ts=TIME,
+    rows=LONG,
+    rejects=LONG,
+    days=T.ArrayType(T.StringType()),
 )
 
 
@@ -42,26 +62,32 @@ def bronze_schema(landing: Landing) -> T.StructType:
 class ClientEtl:
     """Where the job reads and writes.
 
-    ``rejects_path`` asks for the rejected lines too, which costs a second parse of the
-    window's files. ``bronze_table`` and ``silver_table`` are the catalog's names for the
-    tables; with them the job registers the partitions it wrote.
+    Rejected lines go to a by-day table of their own, by default beside bronze.
+    ``bronze_table`` and ``silver_table`` are the catalog's names for the tables; with them
+    the job registers what it wrote.
     """
 
     landing: Landing
     bronze_path: str
     silver_path: str
-    staging_path: str
     buckets: int
     rejects_path: str | None = None
     bronze_table: str | None = None
     silver_table: str | None = None
     phone: str = "phone"
 
+    @property
+    def rejects(self) -> str:
+        return self.rejects_path or f"{self.bronze_path}_rejects"
+
+    @property
+    def journal(self) -> str:
+        return f"{self.bronze_path}_journal"
+
     @property
     def silver(self) -> StateTable:
-        return StateTable(
-            self.silver_path, bronze_schema(self.landing), self.buckets, "client_id", VERSION_ORDER
-        )
+        schema = T.StructType([*bronze_schema(self.landing).fields, T.StructField(CONTENT, LONG)])
+        return StateTable(self.silver_path, schema, self.buckets, "client_id", VERSION_ORDER)
 
 
 @dataclass(frozen=True)
@@ -72,9 +98,9 @@ class EtlResult:
     silver: DataFrame
 
 
-def written_days(window: DayWindow, load_date: str | None) -> DayWindow:
-    """The days of bronze that a run replaces; a full refresh replaces all of them."""
-    return one_day(load_date) if load_date and not window.everything else window
+def bronze_operations(spark: SparkSession, job: ClientEtl) -> DataFrame:
+    """What each run wrote to bronze: rows, rejected lines and days."""
+    return journal.history(spark, job.journal, BRONZE_OPERATION)
 
 
 def update_bronze(
@@ -85,21 +111,50 @@ def update_bronze(
     run_ts: datetime,
     load_date: str | None = None,
 ) -> DataFrame:
-    """Put the window's events into bronze in place of what it had for those days."""
+    """Put the window's events into bronze in place of what it had for those days.
+
+    A day whose landing folder is gone stays as it is; one whose folder is there without a
+    good line becomes empty. A full refresh takes the place of everything, and is refused if
+    there is no folder at all. The files are parsed once.
+    """
+    found = days_found(spark, job.landing, window)
+    if window.everything and not found:
+        raise FileNotFoundError(f"no day folders in {job.landing.path}: nothing to refresh from")
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
     schema = bronze_schema(job.landing)
-    days = written_days(window, load_date)
-    events = ingest(spark, job.landing, window, stamp, load_date).select(*schema.names)
-    rows = tables.replace_days(events, job.bronze_path, days)
-    if job.rejects_path:
-        found = rejects(scan(spark, job.landing, window), job.landing)
-        tables.replace_days(found, job.rejects_path, window)
-    if job.bronze_table:
-        written = tables.partitions(spark, job.bronze_path, tables.DAY, days.glob())
-        tables.register(spark, job.bronze_table, job.bronze_path, schema, tables.DAY, written)
-    return spark.createDataFrame(
-        [(mode, run_ts, rows)], "operation string, run_ts timestamp_ntz, rows bigint"
+    lines = _parsed(spark, job, window)
+    rows = events(good_lines(lines, job.landing), job.landing, stamp, load_date)
+    days = None if window.everything else found
+    if load_date and not window.everything:
+        window, days = one_day(load_date), [load_date] if found else []
+    written, filled = tables.write_days(rows.select(*schema.names), job.bronze_path, window, days)
+    rejected = tables.replace_days(
+        bad_lines(lines), job.rejects, DayWindow(), None if days is None else found
     )
+    if job.bronze_table:
+        everything = window.everything
+        listed = tables.partitions(spark, job.bronze_path, tables.DAY, window.glob())
+        tables.register(
+            spark, job.bronze_table, job.bronze_path, schema, tables.DAY, listed, everything
+        )
+    last = journal.newest(spark, job.journal)
+    version = last["version"] + 1 if last else 1
+    entry = {
+        "operation": mode,
+        "run_ts": run_ts.isoformat(" "),
+        "rows": written,
+        "rejects": rejected,
+        "days": filled,
+    }
+    journal.add(spark, job.journal, version, entry)
+    return bronze_operations(spark, job).where(F.col("version") == version)
+
+
+def _parsed(spark: SparkSession, job: ClientEtl, window: DayWindow) -> DataFrame:
+    lines = judged(scan(spark, job.landing, window), job.landing)
+    path = work_folder(spark, "lines")
+    lines.write.parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
 
 
 def silver_source(bronze: DataFrame, phone: str = "phone") -> DataFrame:
@@ -114,13 +169,21 @@ def silver_source(bronze: DataFrame, phone: str = "phone") -> DataFrame:
 def update_silver(
     spark: SparkSession, job: ClientEtl, days: DayWindow, batch_id: str, run_ts: Column
 ) -> DataFrame:
+    """Upsert those days of bronze; all days make silver anew.
+
+    A version brought in again counts as unchanged.
+    """
     bronze = tables.read_days(spark, job.bronze_path, bronze_schema(job.landing), days)
-    source = silver_source(bronze, job.phone)
-    audit = upsert(spark, job.silver, source, batch_id, job.staging_path, run_ts)
+    business = job.landing.business_columns
+    source = silver_source(bronze, job.phone).withColumn(CONTENT, F.xxhash64(*business))
+    if days.everything:
+        audit = rebuild(spark, job.silver, source, batch_id, run_ts)
+    else:
+        same = [name for name in [*business, "load_date"] if name != job.silver.key]
+        audit = upsert(spark, job.silver, source, batch_id, run_ts, same)
     if job.silver_table:
-        schema = job.silver.stored_schema
-        written = tables.partitions(spark, job.silver_path, BUCKET)
-        tables.register(spark, job.silver_table, job.silver_path, schema, BUCKET, written)
+        schema, folders = job.silver.stored_schema, job.silver.folders(spark)
+        tables.register(spark, job.silver_table, job.silver_path, schema, BUCKET, folders, True)
     return audit
 
 
@@ -141,6 +204,40 @@ def run(
     window = day_window(mode, as_of, start_day)
     bronze = update_bronze(spark, job, window, mode, run_ts, load_date)
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
-    days = written_days(window, load_date)
+    days = one_day(load_date) if load_date and not window.everything else window
     silver = update_silver(spark, job, days, f"{mode}-{as_of:%Y%m%d}", stamp)
     return EtlResult(bronze, silver)
+
+
+def main(arguments: Sequence[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Landing files to bronze and silver.")
+    parser.add_argument("--mode", required=True, choices=("d-1", "d-x", "full-refresh"))
+    parser.add_argument("--start-day", help="first day of d-x, YYYYMMDD")
+    parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+    parser.add_argument("--load-date", help="day of processing for all events, YYYYMMDD")
+    for name in ("landing", "bronze", "silver"):
+        parser.add_argument(f"--{name}", required=True)
+    parser.add_argument("--buckets", type=int, required=True)
+    parser.add_argument("--rejects")
+    parser.add_argument("--bronze-table")
+    parser.add_argument("--silver-table")
+    given = parser.parse_args(arguments)
+    job = ClientEtl(
+        Landing(given.landing),
+        given.bronze,
+        given.silver,
+        given.buckets,
+        given.rejects,
+        given.bronze_table,
+        given.silver_table,
+    )
+    spark = session.build("client-etl")
+    result = run(
+        spark, job, given.mode, given.as_of, datetime.now(), given.start_day, given.load_date
+    )
+    result.bronze.show(truncate=False)
+    result.silver.show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -230,12 +230,42 @@ LANDED = (
 
 FAULTY = """
 faulty AS (
-  SELECT event_id AS k, event_type, ts, user_id, strftime(ts, '%Y%m%d') AS load_date,
+  SELECT event_id AS k, event_type, ts, user_id, value, props || ', x' AS props,
+    strftime(ts, '%Y%m%d') AS load_date,
     strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS t,
+    ',"' || replace(props, '"', '""') || ', x"' AS shown_props,
     CASE WHEN event_id % 11 = 0 THEN 'wrong' WHEN event_id % 13 = 0 THEN 'short'
-         WHEN event_id % 17 = 0 THEN 'long' WHEN event_id % 19 = 0 THEN 'keyless' END AS fault
+         WHEN event_id % 17 = 0 THEN 'long' WHEN event_id % 19 = 0 THEN 'keyless'
+         WHEN event_id % 23 = 0 THEN 'number' END AS fault
   FROM events
 )"""
+REJECTS = f"""WITH {FAULTY}
+  SELECT CASE WHEN fault <> 'keyless' THEN CAST(k AS varchar) END AS event_id,
+    CASE WHEN fault <> 'short' THEN event_type END AS event_type,
+    CASE WHEN fault NOT IN ('short', 'number') THEN value END AS value,
+    CASE WHEN fault <> 'short' THEN props END AS props,
+    CASE fault WHEN 'wrong' THEN k || ',' || t || ',zz,' || event_type || ',' || value || shown_props
+               WHEN 'short' THEN k || ',' || t
+               WHEN 'long' THEN k || ',' || t || ',' || user_id || ',' || event_type || ',' || value
+                 || shown_props || ',extra'
+               WHEN 'number' THEN k || ',' || t || ',' || user_id || ',' || event_type || ',1.5.2'
+                 || shown_props
+               END AS line,
+    CASE fault WHEN 'keyless' THEN 'null_key' ELSE 'bad_line' END AS reason, load_date
+  FROM faulty WHERE fault IS NOT NULL"""
+BRONZE_AUDIT = f"""WITH {FAULTY}, runs AS (
+    SELECT * FROM (VALUES
+      (1, 'full-refresh', '2024-01-31 06:00:00.000000', '00000000', '99999999'),
+      (2, 'd-x', '2024-01-31 07:00:00.000000', '20240110', '20240112'),
+      (3, 'd-1', '2024-01-31 08:00:00.000000', '20231231', '20231231')
+    ) AS r(version, operation, run_ts, low, high))
+  SELECT CAST(version AS bigint) AS version, operation, run_ts,
+    count(*) FILTER (WHERE k IS NOT NULL AND fault IS NULL) AS rows,
+    count(fault) AS rejects,
+    coalesce(string_agg(DISTINCT load_date, ',' ORDER BY load_date) FILTER (WHERE fault IS NULL), '')
+      AS days
+  FROM runs LEFT JOIN faulty ON load_date BETWEEN low AND high
+  GROUP BY version, operation, run_ts"""
 
 FIRST = "updated_at < timestamp '1999-01-01'"
 SECOND = "updated_at >= timestamp '1997-01-01'"
@@ -254,20 +284,35 @@ def batch_counts(old: str, new: str, same: str = "false") -> str:
     LEFT JOIN ({latest(f'(SELECT * FROM trail WHERE {old})')}) o ON n.client_id = o.client_id"""
 
 
+EARLIER = strict_phone("(" + latest(f"(SELECT * FROM trail WHERE {FIRST})") + ")")
 INCREMENTAL = f"""
 WITH {SILVER},
-earlier AS ({strict_phone('(' + latest(f'(SELECT * FROM trail WHERE {FIRST})') + ')')}),
-seen AS ({category('earlier', ', updated_at')} UNION ALL {nulls(REQUIRED, 'earlier', ', updated_at')}),
-todo AS (SELECT * FROM silver s WHERE NOT EXISTS (
-  SELECT 1 FROM seen WHERE seen.client_id = s.client_id AND seen.updated_at = s.updated_at))
-{category('todo')} UNION ALL {nulls(REQUIRED, 'todo')}"""
-
-ETL_ORDER = ", ".join(
-    f"{name} DESC NULLS LAST"
-    for name in (
-        "updated_at load_date name country city street house_no phone birth_date person_type income"
-    ).split()
+earlier AS ({EARLIER}),
+seen AS ({category('earlier', ', updated_at')}),
+found AS ({category('silver', ', updated_at')} UNION ALL {nulls(REQUIRED, 'silver', ', updated_at')})
+SELECT * REPLACE ({TIME.format('updated_at')}), '20010802' AS run_date FROM found
+WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.client_id = found.client_id
+  AND seen.updated_at IS NOT DISTINCT FROM found.updated_at AND seen.rule = found.rule)"""
+PERSISTED = f"""
+WITH {TRAIL}, before AS (
+  WITH silver AS ({EARLIER}) {silver_rules(', ' + TIME.format('updated_at'))}
+), now AS (
+  WITH silver AS ({strict_phone('(' + latest('trail') + ')')})
+  {silver_rules(', ' + TIME.format('updated_at'))}
 )
+SELECT *, '2001-08-02 00:00:00.000000' AS checked_at FROM (
+  SELECT *, '20010801' AS run_date FROM before UNION ALL SELECT *, '20010802' AS run_date FROM now)"""
+
+# Two deliveries of the client files: all events, and those from 1996 on once more, some of them
+# withdrawn and some with another street.
+DELIVERIES = f"""{TRAIL}, first_delivery AS (
+  SELECT * REPLACE (upper(name) AS name, updated_at + to_microseconds(event_id) AS updated_at)
+  FROM trail
+), second_delivery AS (
+  SELECT * REPLACE (CASE WHEN event_id % 7 = 0 THEN street || ' B' ELSE street END AS street)
+  FROM first_delivery WHERE load_date >= '19960101' AND event_id % 5 <> 0
+)"""
+ETL_ORDER = "updated_at DESC, load_date DESC, ingest DESC"
 ETL_COLUMNS = STATE.replace("event_id, ", "") + ", load_date"
 CURRENT = f"WITH {TRAIL} SELECT {STATE} FROM ({latest('trail')})"
 LIVING = f"{CURRENT} WHERE op <> 'D'"
@@ -291,17 +336,10 @@ ORACLES: dict[str, str] = {
     "ingest_csv": (
         f"SELECT *, load_date AS source_day, '2024-01-31 06:00:00.000000' AS ingested_at FROM ({LANDED})"
     ),
-    "ingest_rejects": f"""WITH {FAULTY}
-      SELECT CASE WHEN fault <> 'keyless' THEN CAST(k AS varchar) END AS event_id,
-        CASE WHEN fault <> 'short' THEN event_type END AS event_type,
-        CASE fault WHEN 'wrong' THEN k || ',' || t || ',zz,' || event_type
-                   WHEN 'short' THEN k || ',' || t
-                   WHEN 'long' THEN k || ',' || t || ',' || user_id || ',' || event_type || ',extra'
-                   END AS line,
-        CASE fault WHEN 'keyless' THEN 'null_key' ELSE 'bad_line' END AS reason, load_date
-      FROM faulty WHERE fault IS NOT NULL""",
+    "ingest_rejects": REJECTS,
+    "cdc_rejects": REJECTS,
     "ingest_accepted": f"""WITH {FAULTY}
-      SELECT k AS event_id, {TIME.format('ts')}, user_id, event_type, load_date
+      SELECT k AS event_id, {TIME.format('ts')}, user_id, event_type, value, props, load_date
       FROM faulty WHERE fault IS NULL""",
     "window_d1": f"{LANDED} WHERE CAST(ts AS date) = date '2024-01-30'",
     "window_dx": f"{LANDED} WHERE CAST(ts AS date) BETWEEN date '2024-01-20' AND date '2024-01-31'",
@@ -311,6 +349,11 @@ ORACLES: dict[str, str] = {
         f"(SELECT DISTINCT {EVENT} FROM (SELECT * FROM events UNION ALL SELECT * FROM events))"
     ),
     "bronze_append": f"SELECT {EVENT} FROM events WHERE CAST(ts AS date) <= date '2024-01-30'",
+    "bronze_missing_day": f"""SELECT * REPLACE (
+        CASE WHEN load_date > '20240110' THEN upper(event_type) ELSE event_type END AS event_type)
+      FROM (SELECT {EVENT} FROM events)
+      WHERE load_date BETWEEN '20240101' AND '20240131' AND load_date <> '20240120'""",
+    "bronze_audit": BRONZE_AUDIT,
     "bronze_replace_days": f"""SELECT {EVENT} FROM events
       WHERE CAST(ts AS date) NOT BETWEEN date '2024-01-10' AND date '2024-01-12'
       UNION ALL SELECT {EVENT} FROM events
@@ -328,13 +371,16 @@ ORACLES: dict[str, str] = {
         "WHERE year(updated_at) BETWEEN 1997 AND 1999"
     ),
     "catalog_partitions": (
-        f"WITH {TRAIL} SELECT load_date, count(*) AS events FROM trail GROUP BY load_date"
+        f"WITH {TRAIL} SELECT load_date, lower(person_type) AS kind, count(*) AS events FROM trail "
+        "WHERE load_date <> '19950101' GROUP BY ALL"
     ),
     "silver_latest": CURRENT,
     "silver_phone_clean": (
         f"WITH {TRAIL} {strict_phone('(SELECT client_id, event_id, phone FROM trail)')}"
     ),
     "silver_upsert": CURRENT,
+    "silver_changed_rows": CURRENT,
+    "silver_rebuild": f"WITH {TRAIL} SELECT {STATE} FROM ({latest(f'(SELECT * FROM trail WHERE {FIRST})')})",
     "silver_upsert_changed": (
         f"WITH {TRAIL} SELECT 'new' AS batch_id, "
         + batch_counts(
@@ -346,10 +392,15 @@ ORACLES: dict[str, str] = {
     "batch_audit": (
         f"WITH {TRAIL} SELECT CAST(2 AS bigint) AS version, 'late' AS batch_id, "
         "'2001-08-02 00:00:00.000000' AS run_ts, 'upsert' AS operation, "
+        f"(SELECT count(DISTINCT client_id) FROM trail WHERE {SECOND} AND client_id NOT IN "
+        f"(SELECT client_id FROM trail WHERE {FIRST})) AS kept, "
         + batch_counts(SECOND, FIRST)
     ),
-    "client_etl": f"""WITH {TRAIL}, cleaned AS ({strict_phone(
-        '(SELECT * REPLACE (upper(name) AS name) FROM trail)')})
+    "client_etl": f"""WITH {DELIVERIES}, cleaned AS ({strict_phone(
+        '(SELECT *, 1 AS ingest FROM first_delivery UNION ALL SELECT *, 2 FROM second_delivery)')})
+      SELECT {ETL_COLUMNS} FROM ({latest('cleaned', ETL_ORDER)})""",
+    "client_etl_refresh": f"""WITH {DELIVERIES}, cleaned AS ({strict_phone(
+        '(SELECT *, 2 AS ingest FROM second_delivery)')})
       SELECT {ETL_COLUMNS} FROM ({latest('cleaned', ETL_ORDER)})""",
     "dq_category": f"WITH {SILVER} {category()}",
     "dq_negative": f"WITH {SILVER} {negative()}",
@@ -362,11 +413,8 @@ ORACLES: dict[str, str] = {
     "dq_reference_missing": f"WITH {SILVER} {address()}",
     "dq_report": f"WITH {SILVER} {REPORT}",
     "dq_incremental": INCREMENTAL,
-    "dq_persisted": (
-        f"WITH {SILVER}, found AS ({silver_rules(', ' + TIME.format('updated_at'))}) "
-        "SELECT *, '20010801' AS run_date FROM found "
-        "UNION ALL SELECT *, '20010802' AS run_date FROM found"
-    ),
+    "dq_persisted": PERSISTED,
+    "dq_mean_outlier_wide": f"WITH {SILVER} SELECT client_id, offender FROM ({outlier()})",
     "top_updated": top("trail"),
     "top_updated_distinct": top(
         "(SELECT DISTINCT * FROM (SELECT * FROM trail UNION ALL SELECT * FROM trail))"

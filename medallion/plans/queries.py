@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,13 @@ from medallion import fixtures
 from medallion.functions.phones import null_unless
 from medallion.operators import analytics, cdc
 from medallion.operators.dedupe import distinct_events, latest_per_key
-from medallion.operators.upsert import StateTable, last_operation, upsert
+from medallion.operators.upsert import StateTable, last_operation, rebuild, upsert
 from medallion.operators.windows import DayWindow, day_window
 from medallion.plans import client_etl, report
 from medallion.quality import engine, rules
 from medallion.schema import BUSINESS_COLUMNS, PERSON_TYPES, TEXT, struct
 from medallion.session import work_folder
-from medallion.sources import tables
+from medallion.sources import files, tables
 from medallion.sources.landing import Landing, accepted, ingest, rejects, scan
 from medallion.streaming.changes import apply_change_stream
 
@@ -73,7 +74,7 @@ def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fixtures.faulty_landing(spark, sf_dir)
     found = rejects(scan(spark, landing, DayWindow()), landing)
     event = F.col("event_id").cast("string").alias("event_id")
-    return found.select(event, "event_type", "line", "reason", "load_date")
+    return found.select(event, "event_type", "value", "props", "line", "reason", "load_date")
 
 
 def ingest_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +115,7 @@ def bronze_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last day brought in twice, after the days before it."""
+    """The last day brought in after the days before it, and once more."""
     path = work_folder(spark, "bronze_append")
     events = _daily_events(spark, sf_dir)
     last = day_window("d-1", EVENTS_AS_OF)
@@ -125,6 +126,41 @@ def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read(spark, path, _daily_schema()))
 
 
+def bronze_missing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all of January when the landing has lost the days before the 11th, and holds
+    the 20th without any line: only the latter becomes empty."""
+    folder = work_folder(spark, "bronze_missing_day")
+    days = _daily_events(spark, sf_dir).withColumn("particao", F.col("load_date"))
+    landing = Landing(f"{folder}/landing", fixtures.EVENTS, ("event_id",), (), options=fixtures.CSV_TIMES)
+    job = client_etl.ClientEtl(landing, f"{folder}/bronze", f"{folder}/silver", fixtures.STATE_BUCKETS)
+    fixtures.write_landing(days.select(*fixtures.EVENTS.names, "particao"), landing.path)
+    january = DayWindow(date(2024, 1, 1), date(2024, 1, 31))
+    client_etl.update_bronze(spark, job, january, "d-x", datetime(2024, 1, 31))
+    later = days.where((F.col("load_date") >= "20240111") & (F.col("load_date") != "20240120"))
+    later = later.withColumn("event_type", F.upper("event_type"))
+    left = replace(landing, path=f"{folder}/left")
+    fixtures.write_landing(later.select(*fixtures.EVENTS.names, "particao"), left.path)
+    files.create_text(spark, f"{left.path}/particao=20240120/empty.csv", ",".join(fixtures.EVENTS.names))
+    client_etl.update_bronze(spark, replace(job, landing=left), january, "d-x", datetime(2024, 2, 1))
+    return comparable(tables.read(spark, job.bronze_path, _daily_schema()))
+
+
+def bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the runs of a job wrote: all days, some of them again, and a day without folder."""
+    folder = work_folder(spark, "bronze_audit")
+    landing = fixtures.faulty_landing(spark, sf_dir)
+    job = client_etl.ClientEtl(landing, f"{folder}/bronze", f"{folder}/silver", fixtures.STATE_BUCKETS)
+    runs = (
+        ("full-refresh", DayWindow(), datetime(2024, 1, 31, 6)),
+        ("d-x", DayWindow(date(2024, 1, 10), date(2024, 1, 12)), datetime(2024, 1, 31, 7)),
+        ("d-1", DayWindow(date(2023, 12, 31), date(2023, 12, 31)), datetime(2024, 1, 31, 8)),
+    )
+    for mode, window, stamp in runs:
+        client_etl.update_bronze(spark, job, window, mode, stamp)
+    audit = client_etl.bronze_operations(spark, job)
+    return comparable(audit.withColumn("days", F.concat_ws(",", "days")))
+
+
 def bronze_replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three days replaced by their rows of one kind; the last of them becomes empty."""
     path = work_folder(spark, "bronze_replace_days")
@@ -154,14 +190,13 @@ def bronze_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the 16th on, files have one more column; older days show it as null."""
+    """Half of January has files with one more column; other days show it as null."""
     path = work_folder(spark, "bronze_evolve")
     events = _daily_events(spark, sf_dir)
-    old, new = DayWindow(date(2024, 1, 1), date(2024, 1, 15)), DayWindow(
-        date(2024, 1, 16), date(2024, 1, 31)
-    )
+    new = DayWindow(date(2024, 1, 16), date(2024, 1, 31))
     day = F.col("load_date")
-    tables.replace_days(events.where(old.holds(day)), path, old)
+    narrow = events.where((day < "20240116") | (day > "20240131"))
+    tables.refresh_days(narrow, path)
     wider = events.where(new.holds(day)).withColumn("channel", F.upper("event_type"))
     tables.replace_days(wider, path, new)
     return comparable(
@@ -177,11 +212,16 @@ def bronze_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fixtures.bronze_path(spark, sf_dir)
+    """The catalog after a refresh that drops the year 1995 and brings one more column."""
+    path = work_folder(spark, "catalog_partitions")
     name = f"client_bronze_{uuid.uuid4().hex}"
-    days = tables.partitions(spark, path, "load_date")
-    tables.register(spark, name, path, fixtures.TRAIL, "load_date", days)
-    return spark.table(name).groupBy("load_date").agg(F.count(F.lit(1)).alias("events"))
+    trail = fixtures.bronze(spark, sf_dir)
+    wider = trail.where("load_date <> '19950101'").withColumn("kind", F.lower("person_type"))
+    for table in (trail, wider.select(*trail.columns[:-1], "kind", "load_date")):
+        tables.refresh_days(table, path)
+        days = tables.partitions(spark, path, "load_date")
+        tables.register(spark, name, path, table.schema, "load_date", days, everything=True)
+    return spark.table(name).groupBy("load_date", "kind").agg(F.count(F.lit(1)).alias("events"))
 
 
 # Silver ---------------------------------------------------------------------------------
@@ -197,8 +237,8 @@ def silver_phone_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trail.withColumn("phone", null_unless(F.col("phone")))
 
 
-def _state(spark: SparkSession, sf_dir: str, folder: str) -> StateTable:
-    return fixtures.state_table(spark, sf_dir, f"{folder}/table", _columns_of(STATE_COLUMNS))
+def _state(folder: str) -> StateTable:
+    return fixtures.state_table(folder, _columns_of(STATE_COLUMNS))
 
 
 def _columns_of(names) -> T.StructType:
@@ -206,54 +246,79 @@ def _columns_of(names) -> T.StructType:
 
 
 def _two_batches(spark, sf_dir, folder, compare=()) -> DataFrame:
-    trail, state = fixtures.bronze(spark, sf_dir), _state(spark, sf_dir, folder)
-    stamp, staging = fixtures.run_ts(), f"{folder}/staging"
-    upsert(spark, state, _second_batch(trail), "new", staging, stamp, compare)
-    return upsert(spark, state, _first_batch(trail), "late", staging, stamp, compare)
+    trail, state, stamp = fixtures.bronze(spark, sf_dir), _state(folder), fixtures.run_ts()
+    upsert(spark, state, _second_batch(trail), "new", stamp, compare)
+    return upsert(spark, state, _first_batch(trail), "late", stamp, compare)
 
 
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newer events first, then older ones, some of them for the second time."""
     folder = work_folder(spark, "silver_upsert")
     _two_batches(spark, sf_dir, folder)
-    return comparable(_state(spark, sf_dir, folder).read(spark))
+    return comparable(_state(folder).read(spark))
 
 
 def silver_upsert_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts when only a change of kind of person or phone counts as an update."""
-    folder = work_folder(spark, "silver_upsert_changed")
-    trail, state = fixtures.bronze(spark, sf_dir), _state(spark, sf_dir, folder)
-    stamp, staging = fixtures.run_ts(), f"{folder}/staging"
-    compare = ("person_type", "phone")
-    upsert(spark, state, _first_batch(trail), "old", staging, stamp, compare)
-    return upsert(spark, state, _second_batch(trail), "new", staging, stamp, compare).select(
+    trail, state = fixtures.bronze(spark, sf_dir), _state(work_folder(spark, "silver_upsert_changed"))
+    stamp, compare = fixtures.run_ts(), ("person_type", "phone")
+    upsert(spark, state, _first_batch(trail), "old", stamp, compare)
+    return upsert(spark, state, _second_batch(trail), "new", stamp, compare).select(
         "batch_id", "inserted", "updated", "unchanged", "stale"
     )
 
 
+def silver_changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table itself after such batches, one by one: the same as without."""
+    trail, state = fixtures.bronze(spark, sf_dir), _state(work_folder(spark, "silver_changed_rows"))
+    for number in range(3):
+        part = trail.where(F.col("event_id") % 3 == number)
+        upsert(spark, state, part, f"{number}", fixtures.run_ts(), ("person_type", "phone"))
+    return comparable(state.read(spark))
+
+
+def silver_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table made anew from the older events alone, in another number of buckets."""
+    folder = work_folder(spark, "silver_rebuild")
+    _two_batches(spark, sf_dir, folder)
+    state = replace(_state(folder), buckets=3)
+    rebuild(spark, state, _first_batch(fixtures.bronze(spark, sf_dir)), "anew", fixtures.run_ts())
+    return comparable(state.read(spark))
+
+
 def batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_folder(spark, "batch_audit")
     _two_batches(spark, sf_dir, folder)
-    audit = last_operation(spark, f"{folder}/staging")
-    # How many untouched clients a batch carries along depends on the bucket count.
-    return comparable(audit.drop("kept"))
+    return comparable(last_operation(spark, _state(folder)))
 
 
-def client_etl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily job end to end: CSV to bronze to silver, a full load and a rerun of it
-    from a start day."""
-    folder = work_folder(spark, "client_etl")
-    job = client_etl.ClientEtl(
-        landing=fixtures.client_landing(spark, sf_dir),
-        bronze_path=f"{folder}/bronze",
-        silver_path=f"{folder}/silver",
-        staging_path=f"{folder}/staging",
-        buckets=fixtures.state_buckets(spark, sf_dir),
+def _client_job(spark: SparkSession, sf_dir: str, folder: str) -> client_etl.ClientEtl:
+    landing = fixtures.client_landing(spark, sf_dir)
+    return client_etl.ClientEtl(
+        landing, f"{folder}/bronze", f"{folder}/silver", fixtures.STATE_BUCKETS
     )
-    stamp = datetime(2001, 8, 2, 6)
-    client_etl.run(spark, job, "full-refresh", AS_OF, stamp)
-    client_etl.run(spark, job, "d-x", AS_OF, stamp, "20000101")
-    return comparable(job.silver.read(spark).drop("source_file", "ingested_at"))
+
+
+def _full_load_and_corrections(spark, sf_dir, folder) -> client_etl.ClientEtl:
+    job = _client_job(spark, sf_dir, folder)
+    client_etl.run(spark, job, "full-refresh", AS_OF, datetime(2001, 8, 1, 6))
+    later = replace(job, landing=fixtures.corrected_landing(spark, sf_dir))
+    client_etl.run(spark, later, "d-x", AS_OF, datetime(2001, 8, 2, 6), "19960101")
+    return later
+
+
+def client_etl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job end to end: CSV to bronze to silver, a full load and a run from a start day
+    over a landing zone with corrections of the same time."""
+    job = _full_load_and_corrections(spark, sf_dir, work_folder(spark, "client_etl"))
+    return comparable(job.silver.read(spark).drop("source_file", "ingested_at", client_etl.CONTENT))
+
+
+def client_etl_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh after that: events that were withdrawn are gone from silver."""
+    job = _full_load_and_corrections(spark, sf_dir, work_folder(spark, "client_etl_refresh"))
+    client_etl.run(spark, job, "full-refresh", AS_OF, datetime(2001, 8, 3, 6))
+    return comparable(job.silver.read(spark).drop("source_file", "ingested_at", client_etl.CONTENT))
 
 
 # Quality --------------------------------------------------------------------------------
@@ -287,32 +352,43 @@ def _versioned_violations(spark: SparkSession, sf_dir: str, silver: DataFrame) -
 
 
 def dq_persisted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The violations of two runs, the second of them made twice."""
+    """The violations of two runs on an earlier and the present state; the second run is made
+    twice, first on the wrong state."""
     path = work_folder(spark, "dq_persisted")
-    found = _versioned_violations(spark, sf_dir, fixtures.silver(spark, sf_dir))
-    for run_date in ("20010801", "20010802", "20010802"):
+    now = _versioned_violations(spark, sf_dir, fixtures.silver(spark, sf_dir))
+    before = _versioned_violations(spark, sf_dir, _earlier_silver(spark, sf_dir))
+    for found, run_date in ((before, "20010801"), (before, "20010802"), (now, "20010802")):
         engine.record(found, path, run_date)
-    return comparable(engine.recorded(spark, path, found.schema).drop("checked_at"))
+    return comparable(engine.recorded(spark, path, now.schema))
+
+
+def _earlier_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = client_etl.silver_source(fixtures.bronze(spark, sf_dir))
+    return latest_per_key(_first_batch(cleaned), "client_id", ORDER)
 
 
 def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violations recorded on an earlier state; then only what they do not cover."""
+    """What a run records that is made twice, after one on an earlier state with fewer rules."""
     path = work_folder(spark, "dq_incremental")
-    earlier = latest_per_key(
-        _first_batch(client_etl.silver_source(fixtures.bronze(spark, sf_dir))), "client_id", ORDER
-    )
-    found = engine.check_rows(
-        earlier,
-        [rules.category("person_type", PERSON_TYPES), rules.required(BUSINESS_COLUMNS)],
-        carry=("updated_at",),
-    )
-    engine.record(found, path, "19990101")
-    todo = engine.not_yet_recorded(
-        fixtures.silver(spark, sf_dir), engine.recorded(spark, path, found.schema)
-    )
-    return engine.check_rows(
-        todo, [rules.category("person_type", PERSON_TYPES), rules.required(BUSINESS_COLUMNS)]
-    )
+    category, nulls = rules.category("person_type", PERSON_TYPES), rules.required(BUSINESS_COLUMNS)
+    earlier = _earlier_silver(spark, sf_dir)
+    seen = engine.check_rows(earlier, [category], carry=("updated_at",))
+    engine.record(seen, path, "19990101")
+    for _ in range(2):
+        rows = fixtures.silver(spark, sf_dir)
+        found = engine.check_rows(rows, [category, nulls], carry=("updated_at",))
+        known = engine.recorded(spark, path, found.schema)
+        engine.record(engine.not_yet_recorded(found, known, "20010802"), path, "20010802")
+    recorded = engine.recorded(spark, path, seen.schema)
+    return comparable(recorded.where("run_date = '20010802'"))
+
+
+def dq_mean_outlier_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean rule on incomes of 38 digits."""
+    silver = fixtures.silver(spark, sf_dir)
+    wide = silver.withColumn("income", F.col("income").cast("decimal(38,10)"))
+    found = engine.check_rows(wide, [rules.mean_outlier(wide)])
+    return found.select("client_id", F.col("offender").cast("decimal(10,2)").cast("string").alias("offender"))
 
 
 # Analytics, change capture, gold --------------------------------------------------------
@@ -348,7 +424,7 @@ def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = Landing(f"{folder}/landing", columns, upper=(), options=fixtures.CSV_TIMES)
     deleted = T.StructField("deleted", T.BooleanType())
     kept = T.StructType([*_columns_of(STATE_COLUMNS).fields, deleted])
-    state = fixtures.state_table(spark, sf_dir, f"{folder}/table", kept)
+    state = fixtures.state_table(f"{folder}/table", kept)
     changes = fixtures.bronze(spark, sf_dir).withColumn("particao", F.col("load_date"))
     for delivery in (_second_batch(changes), _first_batch(changes)):
         fixtures.write_landing(delivery.select(*columns.names, "particao"), landing.path)
@@ -358,6 +434,21 @@ def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(cdc.living(state.read(spark)))
 
 
+def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that the change stream could not take in."""
+    folder = work_folder(spark, "cdc_rejects")
+    landing = fixtures.faulty_landing(spark, sf_dir)
+    kept = [f for f in fixtures.EVENTS.fields if f.name != "event_type"]
+    columns = T.StructType([*kept, T.StructField("deleted", T.BooleanType())])
+    state = StateTable(f"{folder}/table", columns, fixtures.STATE_BUCKETS, "event_id", ("ts",))
+    apply_change_stream(
+        spark, landing, state, f"{folder}/checkpoint", fixtures.run_ts(), op="event_type"
+    ).awaitTermination()
+    found = spark.read.parquet(f"{folder}/checkpoint/rejects")
+    event = F.col("event_id").cast("string").alias("event_id")
+    return found.select(event, "event_type", "value", "props", "line", "reason", "load_date")
+
+
 def gold_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(report.clients_by_country(fixtures.silver(spark, sf_dir)))
 
@@ -375,6 +466,8 @@ QUERIES: dict[str, Query] = {
     "window_full": _window("full-refresh"),
     "bronze_distinct": bronze_distinct,
     "bronze_append": bronze_append,
+    "bronze_missing_day": bronze_missing_day,
+    "bronze_audit": bronze_audit,
     "bronze_replace_days": bronze_replace_days,
     "bronze_full_refresh": bronze_full_refresh,
     "bronze_evolve": bronze_evolve,
@@ -384,8 +477,11 @@ QUERIES: dict[str, Query] = {
     "silver_phone_clean": silver_phone_clean,
     "silver_upsert": silver_upsert,
     "silver_upsert_changed": silver_upsert_changed,
+    "silver_changed_rows": silver_changed_rows,
+    "silver_rebuild": silver_rebuild,
     "batch_audit": batch_audit,
     "client_etl": client_etl_runs,
+    "client_etl_refresh": client_etl_refresh,
     "dq_category": _rule(lambda df: rules.category("person_type", PERSON_TYPES)),
     "dq_negative": _rule(lambda df: rules.negative()),
     "dq_future_date": _rule(lambda df: rules.future_date(as_of=AS_OF)),
@@ -394,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "dq_pattern": _rule(lambda df: rules.pattern(), on=fixtures.bronze),
     "dq_phone_extra": _rule(lambda df: rules.phone_extra(min_digits=4), on=fixtures.bronze),
     "dq_mean_outlier": _rule(rules.mean_outlier),
+    "dq_mean_outlier_wide": dq_mean_outlier_wide,
     "dq_reference_missing": dq_reference_missing,
     "dq_report": dq_report,
     "dq_incremental": dq_incremental,
@@ -404,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "avg_age_per_client": _average_age(fixtures.silver),
     "cdc_apply": cdc_apply,
     "cdc_stream": cdc_stream,
+    "cdc_rejects": cdc_rejects,
     "gold_clients": gold_clients,
     "gold_dq_summary": gold_dq_summary,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ def check_rows(
     Clean rows are filtered out first, so only offenders are expanded. ``carry`` names
     further columns to keep.
     """
+    if not rules:
+        raise ValueError("no rules to run")
     findings = [
         F.when(
             rule.violated,
@@ -62,7 +64,10 @@ def check_reference(
     """
     columns = list(rule.columns)
     rows = df.select(F.col(key).alias("client_id"), *carry, *columns)
-    known = rule.reference.select(*columns)
+    names = list(rule.reference_columns or columns)
+    known = rule.reference.select(
+        *[F.col(there).alias(here) for here, there in zip(columns, names, strict=True)]
+    )
     return rows.join(known, columns, "left_anti").select(
         F.lit(rule.name).alias("rule"),
         F.lit("/".join(columns)).alias("analyzed_column"),
@@ -94,11 +99,22 @@ def run(
 
 
 def not_yet_recorded(
-    df: DataFrame, recorded: DataFrame, version: str = "updated_at", key: str = "client_id"
+    found: DataFrame,
+    recorded: DataFrame,
+    run_date: str,
+    version: str = "updated_at",
+    key: str = "client_id",
 ) -> DataFrame:
-    """Rows that no recorded violation is about in their present version."""
-    known = recorded.select(F.col("client_id").alias(key), version).distinct()
-    return df.join(known, [key, version], "left_anti")
+    """Violations that no other run has recorded for the same client, version and rule.
+
+    What the run's own date holds is left out, so that a run made again finds and records all
+    of it again. Null versions are equal to each other.
+    """
+    names = [key, version, "rule"]
+    others = recorded.where(F.col(RUN_DATE) != run_date)
+    known = others.select(*[F.col(name).alias(f"_{name}") for name in names])
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names))
+    return found.join(known, same, "left_anti")
 
 
 def record(violations: DataFrame, path: str, run_date: str) -> None:

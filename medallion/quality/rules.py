@@ -24,8 +24,13 @@ from medallion.functions.phones import AREA_CODES, area_code, digit_variety
 from medallion.schema import LENIENT_PHONE
 
 
-# Digits up to which the mean rule works out its threshold without rounding.
-WIDEST_EXACT = 18
+# The mean rule adds up decimals in two halves of so many digits.
+HALF_DIGITS = 19
+HALF = Decimal(10) ** HALF_DIGITS
+# The names of the rules.
+CATEGORY, NEGATIVE, FUTURE = "categorical_domain", "negative_salary", "birth_future_date"
+NULLS, PHONE, AGE = "nulls_required", "phone_pattern", "birth_incoherent_age"
+MEAN, ADDRESS, PHONE_EXTRA = "salary_discrepant_mean", "address_not_found", "phone_extra"
 
 
 @dataclass(frozen=True)
@@ -52,17 +57,17 @@ def category(column: str, allowed: Sequence[str]) -> RowRule:
     """Value not in the allowed list. An empty list allows nothing, null included."""
     violated = ~F.col(column).isin(*allowed) if allowed else F.lit(True)
     return RowRule(
-        "categorical_domain", column, violated, _text(column), _params(allowed=list(allowed))
+        CATEGORY, column, violated, _text(column), _params(allowed=list(allowed))
     )
 
 
 def negative(column: str = "income") -> RowRule:
-    return RowRule("negative_salary", column, F.col(column) < 0, _text(column), _params())
+    return RowRule(NEGATIVE, column, F.col(column) < 0, _text(column), _params())
 
 
 def future_date(column: str = "birth_date", as_of: date | str | None = None) -> RowRule:
     violated = F.col(column) > reference_date(as_of)
-    return RowRule("birth_future_date", column, violated, _text(column), _params())
+    return RowRule(FUTURE, column, violated, _text(column), _params())
 
 
 def required(columns: Sequence[str]) -> RowRule:
@@ -74,13 +79,13 @@ def required(columns: Sequence[str]) -> RowRule:
     )
     params = F.concat(F.lit('{"null":["'), listed, F.lit('"]}'))
     return RowRule(
-        "nulls_required", ",".join(columns), violated, F.lit(None).cast("string"), params
+        NULLS, ",".join(columns), violated, F.lit(None).cast("string"), params
     )
 
 
 def pattern(column: str = "phone", regex: str = LENIENT_PHONE) -> RowRule:
     violated = ~F.col(column).rlike(regex)
-    return RowRule("phone_pattern", column, violated, _text(column), _params(pattern=regex))
+    return RowRule(PHONE, column, violated, _text(column), _params(pattern=regex))
 
 
 def age_range(
@@ -101,7 +106,7 @@ def age_range(
         F.lit('{"age":'), age.cast("string"), F.lit(f',"max":{max_age},"min":{min_age}}}')
     )
     violated = (birth > latest_birth(today, min_age)) | (birth <= latest_birth(today, max_age + 1))
-    return RowRule("birth_incoherent_age", column, violated, _text(column), params)
+    return RowRule(AGE, column, violated, _text(column), params)
 
 
 def phone_extra(
@@ -121,7 +126,7 @@ def phone_extra(
         digit_variety(phone).cast("string"),
         F.lit("}"),
     )
-    return RowRule("phone_extra", column, violated, phone, params)
+    return RowRule(PHONE_EXTRA, column, violated, phone, params)
 
 
 def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0) -> RowRule:
@@ -129,11 +134,11 @@ def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0)
 
     The limit is a one-value subquery over the column alone: it never passes through the
     driver, and has the column's type, so that the filter on it reaches the scan. For a
-    decimal column of up to 18 digits it is exact, for other types an average.
+    decimal column of any width it is exact, for other types an average.
     """
     value = F.col(column)
     kind = df.schema[column].dataType
-    if isinstance(kind, T.DecimalType) and kind.precision <= WIDEST_EXACT:
+    if isinstance(kind, T.DecimalType):
         limit = df.select(_lowest_above_mean(value, kind, multiplier)).scalar()
         violated, threshold = value >= limit, limit - F.lit(_unit(kind))
     else:
@@ -142,7 +147,7 @@ def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0)
     params = F.concat(
         F.lit(f'{{"multiplier":{multiplier},"threshold":"'), threshold.cast("string"), F.lit('"}')
     )
-    return RowRule("salary_discrepant_mean", column, violated, _text(column), params)
+    return RowRule(MEAN, column, violated, _text(column), params)
 
 
 def _unit(kind: T.DecimalType) -> Decimal:
@@ -153,23 +158,45 @@ def _lowest_above_mean(value: Column, kind: T.DecimalType, multiplier: float) ->
     """The smallest number of the column's type above the mean times ``multiplier``; null,
     which nothing reaches, if the type has none.
 
-    Worked out in units of the last decimal place. The quotient is rounded, so it may be
-    one unit too high; a check by multiplication, which is exact, takes that unit off.
+    Worked out in units of the last decimal place, in two halves of 19 digits: the sums of
+    the halves are exact, and so is a long division with them.
     """
-    units = (value * F.lit(Decimal(10) ** kind.scale)).cast("decimal(28,0)")
-    product = F.sum(units).cast("decimal(30,0)") * F.lit(Decimal(str(multiplier)))
-    n = F.count(value)
-    rounded = (product / F.nullif(n, F.lit(0))).cast("decimal(30,0)")
-    lowest = F.when(rounded * n > product, rounded).otherwise(rounded + 1)
-    smallest = F.lit(1 - Decimal(10) ** kind.precision)
-    in_units = F.greatest(lowest, smallest).try_cast(T.DecimalType(kind.precision, 0))
+    if kind.scale > HALF_DIGITS:
+        raise ValueError(f"a decimal may have at most {HALF_DIGITS} places: {kind.simpleString()}")
+    step, unit = Decimal(10) ** (HALF_DIGITS - kind.scale), Decimal(10) ** kind.scale
+    # Cut towards zero, as the halves of a negative number are both negative then.
+    whole = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("decimal(38,0)")
+    below = whole % F.lit(step)
+    high = ((whole - below) / F.lit(step)).cast("decimal(20,0)")
+    places = (value - whole).cast(T.DecimalType(kind.scale + 1, kind.scale))
+    low = (below * F.lit(unit) + places * F.lit(unit)).cast("decimal(19,0)")
+    factor = Decimal(str(multiplier))
+    divisor = 10 ** max(0, -factor.as_tuple().exponent)
+    times = F.lit(Decimal(int(factor * divisor)))
+    rows = (F.nullif(F.count(value), F.lit(0)) * divisor).cast("decimal(18,0)")
+    highs, lows = F.sum(high) * times, F.sum(low) * times
+    upper = _floor_of_quotient(highs, rows)
+    rest = (highs - upper * rows).cast("decimal(18,0)") * F.lit(HALF) + lows
+    lower = _floor_of_quotient(rest, rows) + 1
+    smallest = F.lit(Decimal(1 - 10**kind.precision))
+    lowest = F.try_add(F.try_multiply(upper, F.lit(HALF)), lower)
+    lowest = F.when(upper < -HALF, smallest).otherwise(F.greatest(lowest, smallest))
+    in_units = F.when(upper < HALF, lowest).try_cast(T.DecimalType(kind.precision, 0))
     return (in_units * F.lit(_unit(kind))).cast(kind)
 
 
+def _floor_of_quotient(dividend: Column, divisor: Column) -> Column:
+    # The quotient is rounded, so it may be one too high; multiplication is exact.
+    rounded = (dividend / divisor).cast("decimal(24,0)")
+    return F.when(rounded * divisor > dividend, rounded - 1).otherwise(rounded)
+
+
 @dataclass(frozen=True)
 class ReferenceRule:
-    """The combination of ``columns`` must occur in ``reference`` (same names there)."""
+    """The combination of ``columns`` must occur in ``reference``, where the columns have the
+    names in ``reference_columns``, or the same ones."""
 
     reference: DataFrame
     columns: Sequence[str] = ("country", "city", "street", "house_no")
-    name: str = "address_not_found"
+    name: str = ADDRESS
+    reference_columns: Sequence[str] = ()

@@ -57,6 +57,10 @@ ORIGINAL = {name: landed for landed, name in CANONICAL.items()}
 BUSINESS_COLUMNS = tuple(name for _, _, name, _ in CLIENT_COLUMNS)
 
 
+# The header line of the original client files.
+CLIENT_HEADER = tuple(in_file for in_file, _, _, _ in CLIENT_COLUMNS)
+
+
 # Short names of the types in use, for ``struct``.
 LONG, TEXT, DOUBLE = T.LongType(), T.StringType(), T.DoubleType()
 DATE, TIME, MONEY = T.DateType(), T.TimestampNTZType(), T.DecimalType(10, 2)
@@ -67,11 +71,7 @@ def struct(**columns: T.DataType) -> T.StructType:
 
 
 def client_schema() -> T.StructType:
-    """Schema of the client CSV under canonical names.
-
-    A CSV read under an explicit schema goes by position, so the file's header may
-    keep its own names.
-    """
+    """Schema of the client CSV under canonical names, in the order of the file."""
     return T.StructType([T.StructField(name, kind) for _, _, name, kind in CLIENT_COLUMNS])
 
 

@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from medallion.operators.dedupe import distinct_events
 from medallion.operators.windows import DayWindow
-from medallion.schema import DAY_FOLDER, DAY_FOLDER_GLOB, client_schema
+from medallion.schema import CLIENT_HEADER, DAY_FOLDER, DAY_FOLDER_GLOB, client_schema
 from medallion.sources import files
 
-BAD_LINE = "_bad_line"
+BAD_LINE, REASON = "_bad_line", "reason"
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,10 @@ class Landing:
     ``required`` columns must not be null. ``upper`` columns are upper-cased and
     ``renames`` applied after the read. With ``keep_bad_lines`` a line that does not fit
     the schema stays, with nulls for what could not be read; otherwise it is a reject.
+
+    ``header`` are the column names in the files, in order; by default those of the
+    original client files for their schema, and the schema's own names for any other. A
+    file with another header stops the run.
     """
 
     path: str
@@ -35,6 +39,12 @@ class Landing:
     renames: Mapping[str, str] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
     keep_bad_lines: bool = False
+    header: Sequence[str] = ()
+
+    @property
+    def file_names(self) -> list[str]:
+        default = CLIENT_HEADER if self.schema == client_schema() else self.schema.names
+        return list(self.header or default)
 
     @property
     def business_columns(self) -> list[str]:
@@ -51,19 +61,27 @@ def _line_schema(landing: Landing, lineage: bool = False) -> T.StructType:
 def _configured(reader, landing: Landing):
     options = {
         "header": "true",
+        "enforceSchema": "false",
         "recursiveFileLookup": "true",
         "pathGlobFilter": "*.csv",
         "columnNameOfCorruptRecord": BAD_LINE,
         **landing.options,
     }
-    return reader.schema(_line_schema(landing)).options(**options)
+    in_file = [
+        T.StructField(name, field.dataType)
+        for name, field in zip(landing.file_names, landing.schema.fields, strict=True)
+    ]
+    bad = T.StructField(BAD_LINE, T.StringType())
+    return reader.schema(T.StructType([*in_file, bad])).options(**options)
 
 
-def _with_lineage(lines: DataFrame) -> DataFrame:
+def _with_lineage(lines: DataFrame, landing: Landing) -> DataFrame:
     file = F.col("_metadata.file_path")
+    names = dict(zip(landing.file_names, landing.schema.names, strict=True))
+    lines = lines.select(*[F.col(a).alias(b) for a, b in names.items()], BAD_LINE, "_metadata")
     return lines.withColumns(
         {"load_date": F.regexp_extract(file, DAY_FOLDER, 1), "source_file": file}
-    )
+    ).drop("_metadata")
 
 
 def _any_null(names: Sequence[str]) -> Column:
@@ -91,7 +109,7 @@ def scan(spark: SparkSession, landing: Landing, window: DayWindow) -> DataFrame:
             raise FileNotFoundError(f"no landing folders at {landing.path}")
         return spark.createDataFrame([], _line_schema(landing, lineage=True))
     lines = reader.csv(folders)
-    return _with_lineage(lines).where(window.holds(F.col("load_date")))
+    return _with_lineage(lines, landing).where(window.holds(F.col("load_date")))
 
 
 def stream(
@@ -101,30 +119,46 @@ def stream(
     reader = _configured(spark.readStream, landing)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_lineage(reader.csv(f"{landing.path}/{DAY_FOLDER_GLOB}{DayWindow().glob()}"))
+    lines = reader.csv(f"{landing.path}/{DAY_FOLDER_GLOB}{DayWindow().glob()}")
+    return _with_lineage(lines, landing)
 
 
-def accepted(lines: DataFrame, landing: Landing) -> DataFrame:
-    """The lines that fit the schema and have their required columns, cleaned."""
-    good = ~_any_null(landing.required)
+def judged(lines: DataFrame, landing: Landing) -> DataFrame:
+    """The lines with the reason why one is rejected; null for a good one."""
+    reason = F.when(_any_null(landing.required), "null_key")
     if not landing.keep_bad_lines:
-        good = good & ~_does_not_fit(landing)
-    rows = lines.where(good).drop(BAD_LINE)
+        reason = F.when(_does_not_fit(landing), "bad_line").otherwise(reason)
+    return lines.withColumn(REASON, reason)
+
+
+def good_lines(lines: DataFrame, landing: Landing) -> DataFrame:
+    """Of judged lines the good ones, cleaned."""
+    rows = lines.where(F.col(REASON).isNull()).drop(BAD_LINE, REASON)
     return rows.withColumns({name: F.upper(name) for name in landing.upper}).withColumnsRenamed(
         dict(landing.renames)
     )
 
 
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """Of judged lines the others: what was read of them, the raw line if it was bad, and why."""
+    return lines.where(F.col(REASON).isNotNull()).withColumnRenamed(BAD_LINE, "line")
+
+
+def accepted(lines: DataFrame, landing: Landing) -> DataFrame:
+    """The lines that fit the schema and have their required columns, cleaned."""
+    return good_lines(judged(lines, landing), landing)
+
+
 def rejects(lines: DataFrame, landing: Landing) -> DataFrame:
-    """The other lines: what was read of them, the raw line if it was bad, and why."""
-    reason = F.when(_any_null(landing.required), "null_key")
-    if not landing.keep_bad_lines:
-        reason = F.when(_does_not_fit(landing), "bad_line").otherwise(reason)
-    return (
-        lines.withColumn("reason", reason)
-        .where(F.col("reason").isNotNull())
-        .withColumnRenamed(BAD_LINE, "line")
-    )
+    """The other lines, with the reason."""
+    return bad_lines(judged(lines, landing))
+
+
+def days_found(spark: SparkSession, landing: Landing, window: DayWindow) -> list[str]:
+    """The days of the window that have a folder."""
+    names = files.matching(spark, f"{landing.path}/{DAY_FOLDER_GLOB}{window.glob()}")
+    days = sorted({name[-8:] for name in names})
+    return days if window.everything else sorted(set(days).intersection(window.days()))
 
 
 def ingest(
@@ -141,6 +175,13 @@ def ingest(
     row has the day of its folder.
     """
     rows = accepted(scan(spark, landing, window), landing)
+    return events(rows, landing, ingested_at, load_date)
+
+
+def events(
+    rows: DataFrame, landing: Landing, ingested_at: Column, load_date: str | None = None
+) -> DataFrame:
+    """Accepted lines without exact copies, as ``ingest`` returns them."""
     if load_date is not None:
         rows = rows.withColumn("load_date", F.lit(load_date))
     return distinct_events(rows, [*landing.business_columns, "load_date"]).withColumn(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -65,30 +65,45 @@ def read_days(
     return rows.where(window.holds(F.col(DAY)))
 
 
-def replace_days(df: DataFrame, path: str, window: DayWindow) -> int:
-    """Make the window's days in the table exactly the rows given; a rerun changes nothing.
+def replace_days(
+    df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
+) -> int:
+    """The same as ``write_days``; returns the rows written."""
+    return write_days(df, path, window, days)[0]
 
-    A row outside the window stops the write. Days of the window that the table has but
-    ``df`` has not are emptied. Old files go only when all new ones are written, so a job
-    that fails leaves the table as it was. Returns the rows written.
+
+def write_days(
+    df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
+) -> tuple[int, list[str]]:
+    """Make days of the table exactly the rows given; a rerun changes nothing.
+
+    The days are those of the window, or of them the ones in ``days``: a row of another day
+    stops the write, and a day that the table has but ``df`` has not is emptied. The new files
+    are all written before old ones go, then day by day; a driver lost meanwhile leaves some
+    days new and some old, and a rerun makes all of them new. Returns the rows written and
+    their days.
     """
     spark = df.sparkSession
     # One name per day folder.
     before = set(partitions(spark, path, DAY, window.glob()))
+    held = window.holds(F.col(DAY))
     if not window.everything:
         before &= set(window.days())
+    if days is not None:
+        before &= set(days)
+        held &= F.col(DAY).isin(*days)
+    if days is not None or not window.everything:
         outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
-        checked = F.when(window.holds(F.col(DAY)), F.col(DAY)).otherwise(F.raise_error(outside))
-        df = df.withColumn(DAY, checked)
+        df = df.withColumn(DAY, F.when(held, F.col(DAY)).otherwise(F.raise_error(outside)))
     rows, written = _observed(_by_day(df, window))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         DAY
     ).parquet(path)
     metrics = written.get
-    none = spark.createDataFrame([], df.drop(DAY).schema)
-    for day in sorted(before - set(metrics.get("days", ()))):
-        none.write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
-    return metrics.get("rows", 0)
+    filled = sorted(metrics.get("days", ()))
+    for day in sorted(before.difference(filled)):
+        files.delete(spark, f"{path}/{DAY}={day}")
+    return metrics.get("rows", 0), filled
 
 
 def register(
@@ -97,26 +112,48 @@ def register(
     path: str,
     schema: T.StructType,
     column: str,
-    values: Sequence[str],
+    folders: Mapping[str, str] | Sequence[str],
+    everything: bool = False,
 ) -> None:
-    """Make a partitioned table known to the catalog, and the given values of its
-    partition column as partitions.
+    """Make a partitioned table known to the catalog, and the given values of its partition
+    column as partitions, in the folders given for them or below ``path``.
 
-    Only the partitions of the run are named, so the cost does not grow with the table.
+    Only the partitions of the run are named, so the cost does not grow with the table; with
+    ``everything`` they are all there are, and partitions that the catalog has beyond them are
+    dropped. A table with other columns is registered anew, which needs all partitions.
     """
+    if spark.catalog.tableExists(table) and _types(spark.table(table).schema) != _types(schema):
+        if not everything:
+            raise ValueError(f"{table} has other columns: register all of its partitions")
+        spark.sql(f"DROP TABLE {table}")  # external: the files stay
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
         f"PARTITIONED BY ({column}) LOCATION '{path}'"
     )
-    ordered = sorted(values)
-    for start in range(0, len(ordered), PARTITIONS_PER_STATEMENT):
-        some = ordered[start : start + PARTITIONS_PER_STATEMENT]
-        named = " ".join(f"PARTITION ({column}='{value}')" for value in some)
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {named}")
+    known = {row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    gone = known.difference(folders) if everything else set()
+    located = dict(folders) if isinstance(folders, Mapping) else {}
+    # A partition may have moved to another folder.
+    _alter(spark, table, column, "DROP IF EXISTS", {v: None for v in gone | known.intersection(located)}, ", ")
+    _alter(spark, table, column, "ADD IF NOT EXISTS", {v: located.get(v) for v in folders}, " ")
     spark.catalog.refreshTable(table)
 
 
+def _types(schema: T.StructType) -> dict[str, T.DataType]:
+    return {field.name: field.dataType for field in schema.fields}
+
+
+def _alter(spark, table, column, what, folders: Mapping[str, str | None], between: str) -> None:
+    ordered = sorted(folders)
+    for start in range(0, len(ordered), PARTITIONS_PER_STATEMENT):
+        named = between.join(
+            f"PARTITION ({column}='{value}')" + (f" LOCATION '{folders[value]}'" if folders[value] else "")
+            for value in ordered[start : start + PARTITIONS_PER_STATEMENT]
+        )
+        spark.sql(f"ALTER TABLE {table} {what} {named}")
+
+
 def partitions(spark: SparkSession, path: str, column: str, glob: str = "*") -> list[str]:
     """Values of the partition column that have a folder."""
     folders = files.matching(spark, f"{path}/{column}={glob}")

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators.cdc import with_tombstones
 from medallion.operators.upsert import StateTable, upsert
-from medallion.sources.landing import Landing, accepted, stream
+from medallion.sources.landing import Landing, bad_lines, good_lines, judged, stream
 
 
 def apply_change_stream(
@@ -18,23 +18,31 @@ def apply_change_stream(
     run_ts: Column,
     op: str = "op",
     files_per_batch: int | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Upsert all files that have come in since the last run, then stop.
 
     Each micro-batch is one upsert. A batch replayed after a failure, or files that come
     in out of order, lead to the same table. A batch rewrites every bucket it touches, so
     at scale large batches are cheaper: limit them only as far as memory for the file
-    list demands. Staging lies below the checkpoint, since both number the same batches.
+    list demands. Lines that cannot be taken in go to ``rejects_path``, by default below the
+    checkpoint, in a folder per batch.
     """
+    rejected = rejects_path or f"{checkpoint}/rejects"
 
     def upsert_batch(batch: DataFrame, number: int) -> None:
-        changes = with_tombstones(batch, op)
-        staging = f"{checkpoint}/staging"
-        upsert(batch.sparkSession, table, changes, f"stream-{number}", staging, run_ts)
-
-    changes = accepted(stream(spark, landing, files_per_batch), landing)
+        session = batch.sparkSession
+        # Parsed once: both the changes and the rejects are taken from the finished file.
+        work = f"{checkpoint}/work"
+        batch.write.mode("overwrite").parquet(work)
+        lines = session.read.schema(batch.schema).parquet(work)
+        bad_lines(lines).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+        changes = with_tombstones(good_lines(lines, landing), op)
+        upsert(session, table, changes, f"stream-{number}", run_ts)
+
+    lines = judged(stream(spark, landing, files_per_batch), landing)
     return (
-        changes.writeStream.foreachBatch(upsert_batch)
+        lines.writeStream.foreachBatch(upsert_batch)
         .option("checkpointLocation", f"{checkpoint}/stream")
         .trigger(availableNow=True)
         .start()

@@ -66,10 +66,10 @@ def test_late_update_does_not_revive_a_deleted_client(spark, folder):
         ([change(1, 1, 0, "I")], [change(1, 3, 5, "D")], [change(1, 2, 3, "U")])
     ):
         changes = cdc.with_tombstones(spark.createDataFrame(batch, CHANGES))
-        upsert(spark, table, changes, f"b{number}", folder + "/staging", stamp)
+        upsert(spark, table, changes, f"b{number}", stamp)
     assert cdc.living(table.read(spark)).count() == 0
     revived = cdc.with_tombstones(spark.createDataFrame([change(1, 9, 9, "I")], CHANGES))
-    upsert(spark, table, revived, "b9", folder + "/staging", stamp)
+    upsert(spark, table, revived, "b9", stamp)
     assert cdc.living(table.read(spark)).count() == 1
 
 
@@ -103,6 +103,8 @@ def test_stream_gives_the_same_as_the_batch(spark, folder, files_per_batch):
     lines = [*map(line, late), "bad,line"]
     put(folder + "/landing", "particao_20240102", "late.csv", *lines, header=header)
     run_stream(spark, folder, files_per_batch)
+    found = spark.read.parquet(folder + "/checkpoint/rejects").collect()
+    assert [(r.line, r.reason) for r in found] == [("bad,line", "bad_line")]
     expected = state_of([*events, change(99, 99, 0, "I")])
     assert tuples(cdc.living(table_for(folder).read(spark))) == expected
     run_stream(spark, folder, files_per_batch)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import shutil
 import uuid
 from dataclasses import replace
 from datetime import date, datetime
@@ -29,8 +30,6 @@ def job(folder):
         landing=Landing(folder + "/landing"),
         bronze_path=folder + "/bronze",
         silver_path=folder + "/silver",
-        staging_path=folder + "/staging",
-        rejects_path=folder + "/rejects",
         buckets=3,
     )
 
@@ -118,7 +117,7 @@ def test_bad_lines_go_to_the_rejects(spark, job):
     )
     go(spark, job, "d-1", date(2024, 1, 2))
     assert list(silver(spark, job)) == [1]
-    found = spark.read.parquet(job.rejects_path)
+    found = spark.read.parquet(job.rejects)
     assert sorted(r.reason for r in found.collect()) == ["bad_line", "null_key"]
 
 
@@ -135,14 +134,90 @@ def test_unknown_mode(spark, job):
         go(spark, job, "hourly", date(2024, 1, 2))
 
 
-def test_versions_of_equal_time_are_decided_by_contents(spark, job):
+def test_of_versions_of_equal_time_the_later_ingest_counts(spark, job):
+    same_time = "2024-01-01 08:00:00"
+    drop(job, "20240101", line(1, "zoe", same_time))
+    go(spark, job, "d-1", date(2024, 1, 2))
+    drop(job, "20240101", line(1, "ana", same_time))
+    later = run(spark, job, "d-1", date(2024, 1, 2), datetime(2024, 1, 10, 6)).silver.first()
+    assert silver(spark, job)[1][0] == "ANA" and (later.updated, later.stale) == (1, 0)
+
+
+def test_versions_of_one_ingest_are_decided_the_same_way_each_time(spark, job):
     same_time = "2024-01-01 08:00:00"
     drop(job, "20240101", line(1, "ana", same_time), line(1, "bea", same_time))
     go(spark, job, "d-1", date(2024, 1, 2))
-    assert silver(spark, job)[1][0] == "BEA"
+    chosen = silver(spark, job)[1][0]
+    again = run(spark, job, "d-1", date(2024, 1, 2), datetime(2024, 1, 10, 6)).silver.first()
+    assert silver(spark, job)[1][0] == chosen and (again.updated, again.unchanged) == (0, 1)
     assert client_etl.VERSION_ORDER[0] == "updated_at"
 
 
+def test_days_whose_folder_is_gone_stay_in_bronze(spark, job):
+    three_days(job)
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    before = bronze(spark, job)
+    for day in ("20240101", "20240102"):
+        shutil.rmtree(f"{job.landing.path}/particao_{day}")
+    for mode, start in (("d-x", "20240101"), ("d-1", None)):
+        result = go(spark, job, mode, date(2024, 1, 3), start)
+        assert bronze(spark, job) == before
+    assert result.bronze.first().rows == 0
+    drop(job, "20240102")
+    go(spark, job, "d-1", date(2024, 1, 3))
+    assert bronze(spark, job) == [row for row in before if row[0] != "20240102"]
+
+
+def test_a_full_refresh_from_nothing_is_refused(spark, job):
+    three_days(job)
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    before = bronze(spark, job)
+    empty = replace(job, landing=replace(job.landing, path=job.landing.path + "_other"))
+    put(empty.landing.path, "", "a.csv", header=HEADER)
+    with pytest.raises(FileNotFoundError, match="nothing to refresh from"):
+        go(spark, empty, "full-refresh", date(2024, 1, 4))
+    assert bronze(spark, job) == before
+
+
+def test_a_full_refresh_forgets_withdrawn_clients(spark, job):
+    three_days(job)
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    drop(job, "20240102", line(1, "ana lima", "2024-01-02 08:00:00"))
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    assert silver(spark, job) == {c: row for c, row in EXPECTED.items() if c != 3}
+
+
+def test_bronze_journal(spark, job):
+    three_days(job)
+    drop(job, "20240102", line(1, "ana", "2024-01-02 08:00:00"), line("", "x", "2024-01-02 08:00:00"))
+    go(spark, job, "full-refresh", date(2024, 1, 4))
+    go(spark, job, "d-1", date(2024, 1, 3))
+    rows = client_etl.bronze_operations(spark, job).collect()
+    assert [(r.version, r.operation, r.rows, r.rejects, r.days) for r in rows] == [
+        (1, "full-refresh", 5, 1, ["20240101", "20240102", "20240103"]),
+        (2, "d-1", 1, 1, ["20240102"]),
+    ]
+    assert rows[0].run_ts == datetime(2024, 1, 9, 6)
+
+
+def test_a_file_with_another_header_stops_the_run(spark, job):
+    three_days(job)
+    swapped = HEADER.replace("nm_pais_cliente,nm_cidade_cliente", "nm_cidade_cliente,nm_pais_cliente")
+    put(job.landing.path, "particao_20240102", "odd.csv", line(9, "x", "2024-01-02 08:00:00"), header=swapped)
+    with pytest.raises(Exception, match="odd.csv"):
+        go(spark, job, "d-1", date(2024, 1, 3))
+
+
+def test_the_job_from_the_command_line(spark, job, capsys, monkeypatch):
+    three_days(job)
+    monkeypatch.setattr(client_etl.session, "build", lambda *_: spark)
+    paths = ["--landing", job.landing.path, "--bronze", job.bronze_path, "--silver", job.silver_path]
+    mode = ["--mode", "d-x", "--start-day", "20240101", "--as-of", "2024-01-03", "--buckets", "3"]
+    client_etl.main(mode + paths)
+    assert silver(spark, job) == EXPECTED
+    assert "upsert" in capsys.readouterr().out
+
+
 def test_day_of_processing_as_load_date(spark, job):
     three_days(job)
     for _ in range(2):

@@ -35,52 +35,46 @@ def column(spark, name, kind, values):
     return spark.createDataFrame(list(enumerate(values)), struct(client_id=LONG, **{name: kind}))
 
 
-# The null rule: usual case, every value null, unknown column.
+# The null rule: some values null, all of them null, a column that is not there.
 
-PEOPLE = [
-    ("123", "Leon", "(11)9999-4356"),
-    ("321", None, "(11)99459-4356"),
-    ("333", "Ashley", None),
-    ("444", "Nemesis", "(11)9119-4356"),
-]
-PEOPLE_COLUMNS = ["cod_cliente", "nm_cliente", "num_telefone_cliente"]
+ROOMS = [(7, "north", 3.5), (8, None, 1.0), (9, "south", None), (10, None, None)]
+ROOM_COLUMNS = ["cod_cliente", "side", "height"]
 
 
 def null_check(df, columns):
     return engine.run(df, [rules.required(columns)], key="cod_cliente")
 
 
-def test_nulls_usual_case_under_original_names(spark):
-    df = spark.createDataFrame(PEOPLE, PEOPLE_COLUMNS)
-    found = schema.to_original(null_check(df, PEOPLE_COLUMNS[1:])).collect()
-    assert {r.cod_cliente for r in found} == {"321", "333"}
-    assert {r.data_quality_offensor_cat for r in found} == {"nulls_required"}
-    assert {r.analyzed_column for r in found} == {"nm_cliente,num_telefone_cliente"}
-    assert all(r.offensor is None and r.created_at is not None for r in found)
-    assert sorted(r.rule_params for r in found) == [
-        '{"null":["nm_cliente"]}',
-        '{"null":["num_telefone_cliente"]}',
-    ]
+def test_rows_with_a_null_under_original_names(spark):
+    df = spark.createDataFrame(ROOMS, ROOM_COLUMNS)
+    found = schema.to_original(null_check(df, ["height", "side"])).collect()
+    assert {r.cod_cliente: json.loads(r.rule_params)["null"] for r in found} == {
+        8: ["side"],
+        9: ["height"],
+        10: ["height", "side"],
+    }
+    assert len(found) == 3
+    first = found[0]
+    assert (first.data_quality_offensor_cat, first.analyzed_column) == ("nulls_required", "height,side")
+    assert first.offensor is None and first.created_at is not None
 
 
-def test_nulls_everywhere(spark):
-    df = spark.createDataFrame(
-        [("123", None, None), ("321", None, None)],
-        "cod_cliente string, nm_cliente string, num_telefone_cliente string",
-    )
-    found = null_check(df, PEOPLE_COLUMNS[1:])
-    assert sorted(r.client_id for r in found.collect()) == ["123", "321"]
-    assert json.loads(found.first().rule_params) == {"null": PEOPLE_COLUMNS[1:]}
+def test_a_column_of_nulls_alone(spark):
+    df = spark.range(5).select(F.col("id").alias("cod_cliente"), F.lit(None).cast("date").alias("since"))
+    found = null_check(df, ["since"])
+    assert sorted(r.client_id for r in found.collect()) == [0, 1, 2, 3, 4]
+    assert null_check(df, ["cod_cliente"]).count() == 0
 
 
-def test_nulls_unknown_column(spark):
-    df = spark.createDataFrame(PEOPLE, PEOPLE_COLUMNS)
+def test_a_column_that_is_not_there(spark):
+    df = spark.createDataFrame(ROOMS, ROOM_COLUMNS)
     with pytest.raises(AnalysisException):
-        null_check(df, ["no_such_column"]).count()
+        null_check(df, ["side", "depth"]).count()
+
 
 
 def test_no_required_columns_no_offenders(spark):
-    df = spark.createDataFrame(PEOPLE, PEOPLE_COLUMNS)
+    df = spark.createDataFrame(ROOMS, ROOM_COLUMNS)
     assert null_check(df, []).count() == 0
 
 
@@ -406,14 +400,91 @@ def test_recorded_runs_are_replaced_by_a_rerun(spark, folder):
     assert engine.recorded(spark, folder + "/none", found.schema).count() == 0
 
 
-def test_only_new_versions_are_checked_again(spark):
-    df = clients(spark)
-    seen = engine.check_rows(df, [rules.negative()], carry=("updated_at",))
-    todo = engine.not_yet_recorded(df, seen)
-    assert engine.check_rows(todo, [rules.negative()]).count() == 0
-    assert todo.count() == df.count() - seen.count()
+def carried(df, *chosen):
+    return engine.check_rows(df, list(chosen), carry=("updated_at",))
+
+
+def test_only_new_versions_are_recorded_again(spark, folder):
+    df, path = clients(spark), folder + "/v"
+    found = carried(df, rules.negative())
+    engine.record(found, path, "20240101")
+    known = engine.recorded(spark, path, found.schema)
+    assert engine.not_yet_recorded(found, known, "20240102").count() == 0
     newer = df.withColumn("updated_at", F.lit("2024-02-02 00:00:00").cast("timestamp_ntz"))
-    assert engine.not_yet_recorded(newer, seen).count() == df.count()
+    later = carried(newer, rules.negative())
+    assert engine.not_yet_recorded(later, known, "20240102").count() == found.count() > 0
+
+
+def test_a_run_made_again_records_all_of_it_again(spark, folder):
+    path = folder + "/v"
+    found = carried(clients(spark), rules.negative())
+    for _ in range(2):
+        known = engine.recorded(spark, path, found.schema)
+        engine.record(engine.not_yet_recorded(found, known, "20240101"), path, "20240101")
+    assert engine.recorded(spark, path, found.schema).count() == found.count() > 0
+
+
+def test_a_rule_added_later_sees_recorded_rows(spark, folder):
+    df, path = clients(spark), folder + "/v"
+    found = carried(df, rules.negative())
+    engine.record(found, path, "20240101")
+    both = carried(df, rules.negative(), rules.negative("client_id"), rules.required(["phone"]))
+    known = engine.recorded(spark, path, found.schema)
+    left = engine.not_yet_recorded(both, known, "20240102")
+    assert left.count() == carried(df, rules.required(["phone"])).count() > 0
+
+
+def test_versions_without_a_time_are_recorded_once(spark, folder):
+    path = folder + "/v"
+    df = clients(spark).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    found = carried(df, rules.negative())
+    engine.record(found, path, "20240101")
+    known = engine.recorded(spark, path, found.schema)
+    assert engine.not_yet_recorded(found, known, "20240102").count() == 0
+
+
+def test_no_rules_are_an_error(spark):
+    for check in (engine.check_rows, engine.run):
+        with pytest.raises(ValueError, match="no rules"):
+            check(clients(spark), [])
+
+
+def test_reference_under_its_own_names(spark):
+    df = clients(spark)
+    theirs = df.select(F.col("country").alias("land"), F.col("city").alias("ort")).limit(1)
+    rule = rules.ReferenceRule(theirs, ("country", "city"), reference_columns=("land", "ort"))
+    same = rules.ReferenceRule(theirs.toDF("country", "city"), ("country", "city"))
+    found = engine.check_reference(df, rule)
+    assert tuples(found) == tuples(engine.check_reference(df, same))
+    assert found.columns[:2] == ["rule", "analyzed_column"]
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "decimal(19,2)", "decimal(38,2)", "decimal(38,19)"])
+def test_mean_of_any_decimal_is_exact(spark, kind):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(["0.01", "0.02", "0.02", "0.06"])], "client_id int, v string")
+    df = df.select("client_id", F.col("v").cast(kind).alias("income"))
+    rule = rules.mean_outlier(df, "income", 2.0)
+    found = engine.check_rows(df, [rule]).collect()
+    assert [r.client_id for r in found] == [3]  # the mean is 0.0275
+    shown = json.loads(found[0].rule_params)["threshold"]
+    places = int(kind.partition(",")[2][:-1])
+    assert Decimal(shown) == (Decimal("0.05") if places == 2 else Decimal("0.055"))
+
+
+def test_mean_of_the_widest_decimals(spark):
+    units = [10**38 - 1, 10**38 - 2, -(10**38) + 1, 5, 10**37, 3 * 10**37 + 7]
+    df = spark.createDataFrame([(i, str(u)) for i, u in enumerate(units)], "client_id int, v string")
+    df = df.select("client_id", F.col("v").cast("decimal(38,0)").alias("income"))
+    for multiplier in (0.5, 1.0, 1.25):
+        want = {i for i, u in enumerate(units) if u * len(units) * 100 > sum(units) * int(multiplier * 100)}
+        found = engine.check_rows(df, [rules.mean_outlier(df, "income", multiplier)])
+        assert {r.client_id for r in found.collect()} == want
+
+
+def test_too_many_places_are_refused(spark):
+    df = spark.range(1).select(F.lit(0).cast("decimal(38,20)").alias("income"))
+    with pytest.raises(ValueError, match="at most 19 places"):
+        rules.mean_outlier(df)
 
 
 def test_names_go_both_ways():

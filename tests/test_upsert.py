@@ -1,17 +1,27 @@
 from __future__ import annotations
 
+import glob
 import os
 import random
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from medallion.operators import upsert as module
 from medallion.operators.dedupe import latest_per_key
-from medallion.operators.upsert import StateTable, last_operation, upsert
+from medallion.operators.upsert import (
+    StateTable,
+    last_operation,
+    operations,
+    rebucket,
+    rebuild,
+    upsert,
+    vacuum,
+)
 from medallion.schema import LONG, TEXT, TIME, struct
-from medallion.sources import tables
+from medallion.sources import journal
 from tests.conftest import final_plan, tuples
 
 SCHEMA = struct(client_id=LONG, event_id=LONG, updated_at=TIME, kind=TEXT, phone=TEXT)
@@ -24,27 +34,23 @@ def event(client, number, day, kind="a", phone="p"):
 
 class Lake:
     def __init__(self, spark, folder, buckets=4):
-        self.spark, self.staging = spark, folder + "/staging"
+        self.spark = spark
         self.table = StateTable(folder + "/table", SCHEMA, buckets)
         self.batches = 0
 
     def bring(self, *events, batch=None, compare=()):
         self.batches += 1
         source = self.spark.createDataFrame(list(events), SCHEMA)
-        stamp = F.lit(str(DAY + timedelta(days=self.batches))).cast("timestamp_ntz")
         name = batch or f"b{self.batches}"
-        return upsert(self.spark, self.table, source, name, self.staging, stamp, compare).first()
+        return upsert(self.spark, self.table, source, name, self.stamp(), compare).first()
+
+    def stamp(self):
+        return F.lit(str(DAY + timedelta(days=self.batches))).cast("timestamp_ntz")
 
     def rows(self):
         return tuples(self.table.read(self.spark))
 
 
-@pytest.fixture(params=[0, module.SMALL_BATCH], ids=["shuffled", "broadcast"], autouse=True)
-def either_way(request, monkeypatch):
-    """Each test runs with all batches taken as large, and with all taken as small."""
-    monkeypatch.setattr(module, "SMALL_BATCH", request.param)
-
-
 @pytest.fixture
 def lake(spark, folder):
     return Lake(spark, folder)
@@ -106,11 +112,7 @@ def test_any_split_into_batches_gives_the_same_table(spark, tmp_path):
             lake = Lake(spark, str(tmp_path / f"{number}{compare}"))
             for part in (events[: cut[0]], events[cut[0] : cut[1]], events[cut[1] :]):
                 lake.bring(*part, compare=compare)
-            if not compare:
-                assert lake.rows() == sorted(newest.values(), key=repr)
-            else:
-                mine = {row[0]: (row[1], row[2], row[3]) for row in lake.rows()}
-                assert mine == {c: (e[1], e[2], e[3]) for c, e in newest.items()}
+            assert lake.rows() == sorted(newest.values(), key=repr)
 
 
 def test_a_client_with_a_third_of_all_events(spark, folder):
@@ -124,7 +126,7 @@ def test_a_client_with_a_third_of_all_events(spark, folder):
         F.lit("p").alias("phone"),
     )
     stamp = F.lit(str(DAY)).cast("timestamp_ntz")
-    audit = upsert(spark, lake.table, events, "all", lake.staging, stamp).first()
+    audit = upsert(spark, lake.table, events, "all", stamp).first()
     newest = {}
     for n in range(60_000):
         newest[0 if n % 3 == 0 else n % 5000] = n
@@ -136,8 +138,8 @@ def test_only_changes_of_the_compared_columns_count(lake):
     lake.bring(event(1, 1, 1, "a", "p"), event(2, 2, 1, "a", "p"))
     audit = lake.bring(event(1, 3, 5, "a", "q"), event(2, 4, 5, "b", "q"), compare=("kind",))
     assert counts(audit) == {"inserted": 0, "updated": 1, "unchanged": 1, "stale": 0}
-    # Client 1 keeps its phone, but an event from before day 5 is late from now on.
-    assert lake.rows() == [event(1, 3, 5, "a", "p"), event(2, 4, 5, "b", "q")]
+    # The table follows the newer event all the same.
+    assert lake.rows() == [event(1, 3, 5, "a", "q"), event(2, 4, 5, "b", "q")]
     assert counts(lake.bring(event(1, 9, 3, "z"), compare=("kind",)))["stale"] == 1
 
 
@@ -147,20 +149,32 @@ def test_compared_nulls_are_equal(lake):
     assert counts(lake.bring(event(1, 3, 3, "a"), compare=("kind",)))["updated"] == 1
 
 
-def test_untouched_buckets_are_not_rewritten(lake):
+def test_untouched_buckets_are_not_rewritten(spark, lake):
     lake.bring(*[event(c, c, 0) for c in range(40)])
+    before = lake.table.folders(spark)
+    lake.bring(event(3, 100, 9))
+    after = lake.table.folders(spark)
+    assert len(before) == 4 and len({b for b in after if after[b] != before[b]}) == 1
 
-    def written():
-        return {
-            d: sorted(f for f in os.listdir(f"{lake.table.path}/{d}") if f.endswith("parquet"))
-            for d in os.listdir(lake.table.path)
-            if d.startswith("bucket")
-        }
 
-    before = written()
-    lake.bring(event(3, 100, 9))
-    changed = {d for d, names in written().items() if names != before[d]}
-    assert len(before) == 4 and len(changed) == 1
+def records_written(table):
+    """Counts the rows of the data files written from now on."""
+    before = set(glob.glob(f"{table.path}/data/**/*.parquet", recursive=True))
+
+    def new():
+        files = set(glob.glob(f"{table.path}/data/**/*.parquet", recursive=True)) - before
+        return sum(pq.read_metadata(f).num_rows for f in files)
+
+    return new
+
+
+def test_a_touched_bucket_is_written_once(spark, lake):
+    lake.bring(*[event(c, c, 0) for c in range(400)])
+    touched = lake.table.folders(spark)
+    written = records_written(lake.table)
+    audit = lake.bring(event(3, 500, 9))
+    moved = {b for b, f in lake.table.folders(spark).items() if touched[b] != f}
+    assert written() == audit.updated + audit.kept and len(moved) == 1
 
 
 def test_another_bucket_count_is_noticed(spark, folder, lake):
@@ -170,58 +184,90 @@ def test_another_bucket_count_is_noticed(spark, folder, lake):
     assert len(lake.rows()) == 40
 
 
-def test_a_run_that_died_while_publishing_is_finished_first(spark, folder, lake, monkeypatch):
+def test_a_run_that_dies_leaves_the_table_as_it_was(spark, lake, monkeypatch):
     lake.bring(*[event(c, c, 0) for c in range(10)])
+    before = lake.rows()
 
-    def dies(spark, table, staging, version):
-        # Some buckets are gone from the table and their new files not there yet.
-        half = tables.read(spark, table.path, table.stored_schema).where("bucket < 2")
-        empty = spark.createDataFrame([], half.drop("bucket").schema)
-        for bucket in (0, 1):
-            empty.write.mode("overwrite").parquet(f"{table.path}/bucket={bucket}")
+    def dies(*_):
         raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(module, "_publish", dies)
-        with pytest.raises(RuntimeError):
-            lake.bring(*[event(c, 100 + c, 1, "second") for c in range(10)], batch="second")
-    assert len(lake.rows()) < 10
-    lake.bring(event(3, 200, 2, "third"))
-    expected = [event(c, 100 + c, 1, "second") for c in range(10) if c != 3]
-    assert lake.rows() == sorted([*expected, event(3, 200, 2, "third")], key=repr)
-
-
-def test_a_repeated_run_finishes_and_merges_again(lake, monkeypatch):
-    with monkeypatch.context() as patch:
-        patch.setattr(module, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-        with pytest.raises(RuntimeError):
-            lake.bring(event(1, 1, 0), batch="one")
-    assert lake.rows() == []
-    # The batch is repeated with one more event, which must not be missed.
-    audit = lake.bring(event(1, 1, 0), event(2, 2, 0), batch="one")
-    assert (audit.version, audit.inserted, audit.unchanged) == (2, 1, 1)
-    assert lake.rows() == [event(1, 1, 0), event(2, 2, 0)]
-
-
-def test_staging_does_not_grow_and_keeps_nothing_old(spark, lake):
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        lake.bring(*[event(c, c, 0) for c in range(20)])
-        for number in range(1, 5):
-            lake.bring(event(number, 100 + number, 5))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    assert sorted(os.listdir(lake.staging)) == ["journal", "slot=0", "slot=1"]
-    expected = [event(c, 100 + c, 5) if 1 <= c <= 4 else event(c, c, 0) for c in range(20)]
-    assert lake.rows() == sorted(expected, key=repr)
+    for step in ("_counts", "journal.add"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"medallion.operators.upsert.{step}", dies)
+            with pytest.raises(RuntimeError):
+                lake.bring(*[event(c, 100 + c, 1, "second") for c in range(10)], batch="second")
+        assert lake.rows() == before
+    audit = lake.bring(event(3, 200, 2, "third"))
+    assert (audit.version, audit.updated) == (2, 1)
+    assert lake.rows() == sorted([e for e in before if e[0] != 3] + [event(3, 200, 2, "third")], key=repr)
+
+
+def test_of_two_writers_one_fails(spark, lake, monkeypatch):
+    lake.bring(event(1, 1, 0))
+    counts_of, inside = module._counts, []
+
+    def overtaken(*arguments):
+        if not inside:
+            inside.append(True)
+            lake.bring(event(1, 2, 2, "other"), event(5, 5, 2))
+        return counts_of(*arguments)
+
+    monkeypatch.setattr(module, "_counts", overtaken)
+    with pytest.raises(journal.ConcurrentWrite):
+        lake.bring(event(1, 3, 1, "slow"))
+    assert lake.rows() == [event(1, 2, 2, "other"), event(5, 5, 2)]
+    assert operations(spark, lake.table).count() == 2
+
+
+def test_a_reader_keeps_the_version_it_found(spark, lake):
+    lake.bring(event(1, 1, 0), event(2, 2, 0))
+    reader = lake.table.read(spark)
+    lake.bring(event(1, 3, 1, "new"))
+    assert tuples(reader) == [event(1, 1, 0), event(2, 2, 0)]
+
+
+def test_vacuum_deletes_what_no_version_names(spark, lake):
+    for number in range(3):
+        lake.bring(*[event(c, 10 * number + c, number) for c in range(20)])
+    before = lake.rows()
+    vacuum(spark, lake.table)
+    assert lake.rows() == before
+    assert len(os.listdir(lake.table.path + "/data")) == 1
+    assert os.listdir(lake.table.path + "/work") == []
+
+
+def test_rebuild_forgets_what_the_source_lacks(spark, folder, lake):
+    lake.bring(*[event(c, c, 0) for c in range(20)])
+    source = spark.createDataFrame([event(1, 1, 0), event(1, 50, 1, "b"), event(30, 2, 0)], SCHEMA)
+    wider = Lake(spark, folder, buckets=9)
+    audit = rebuild(spark, wider.table, source, "all", lake.stamp()).first()
+    assert wider.rows() == [event(1, 50, 1, "b"), event(30, 2, 0)]
+    assert (audit.version, audit.operation, audit.inserted) == (2, "rebuild", 2)
+
+
+def test_another_number_of_buckets(spark, folder, lake):
+    lake.bring(*[event(c, c, 0) for c in range(40)])
+    before = lake.rows()
+    wider = Lake(spark, folder, buckets=11)
+    audit = rebucket(spark, wider.table, "wider", lake.stamp()).first()
+    assert (audit.operation, audit.kept) == ("rebucket", 40)
+    assert wider.rows() == before and len(wider.table.folders(spark)) > 4
+    wider.bring(event(3, 100, 9))
+    assert len(wider.rows()) == 40
+
+
+def test_an_empty_batch_is_an_operation_too(spark, lake):
+    assert lake.bring().inserted == 0 and lake.rows() == []
+    lake.bring(event(1, 1, 0))
+    assert counts(lake.bring()) == {"inserted": 0, "updated": 0, "unchanged": 0, "stale": 0}
+    assert lake.rows() == [event(1, 1, 0)]
 
 
 def test_last_operation_is_the_latest_batch(spark, lake):
-    assert last_operation(spark, lake.staging).count() == 0
+    assert last_operation(spark, lake.table).count() == 0
     lake.bring(event(1, 1, 0))
     lake.bring(event(1, 2, 1), event(2, 3, 1))
-    last = last_operation(spark, lake.staging).first()
+    last = last_operation(spark, lake.table).first()
     assert (last.version, last.batch_id, last.operation) == (2, "b2", "upsert")
     assert last.run_ts == DAY + timedelta(days=2)
     assert counts(last) == {"inserted": 1, "updated": 1, "unchanged": 0, "stale": 0}
@@ -236,17 +282,6 @@ def test_merge_shuffles_once_by_bucket(spark, lake):
     assert final.count("Exchange") == 1 and "shufflepartitionidpassthrough" in final
 
 
-def test_a_small_batch_leaves_the_table_unshuffled(spark, lake):
-    lake.bring(*[event(c, c, 0) for c in range(40)])
-    stored = tables.read(spark, lake.table.path, lake.table.stored_schema)
-    batch = stored.where("client_id < 3").withColumn("kind", F.lit("z"))
-    plan = final_plan(module.merge_small(stored, batch, lake.table)).split("== Initial Plan ==")[0]
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    assert "Exchange hashpartitioning" not in plan
-    # The rows to insert are the only ones that may be shuffled; here there are none.
-    assert "shufflepartitionidpassthrough" not in plan
-
-
 def test_rows_without_a_time_are_the_oldest(lake):
     lake.bring((1, 1, None, "a", "p"), event(2, 2, 1))
     audit = lake.bring(event(1, 0, 0, "b"), (2, 9, None, "c", "p"))
