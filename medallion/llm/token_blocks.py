@@ -22,17 +22,18 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import arrow_table, slices
+from medallion.llm.common import arrow_table, bounded_batches, gathered
 from medallion.session import work_folder
 
 MAGIC = b"PFR1"
@@ -41,9 +42,15 @@ PERCENTILE = 0.9
 HEAD = 6
 END_ID = 1
 SEGMENT_IDS = 1 << 17
-BATCH_BYTES = 2_000_000
-# Words whose ids a worker keeps; emptied when full.
-KEPT_WORDS = 400_000
+BATCH_BYTES = 4_000_000
+# Words of plain letters, and others, whose ids a worker keeps; emptied when full.
+KEPT_WORDS = 700_000
+WORDS_A_CALL = 1_000
+# How the tokenizer marks the last token of a word.
+WORD_END = "</w>"
+# Words of Latin letters whose lower case is one letter too, and ASCII marks.
+LETTERS = "^[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+$"
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 # Blocks
@@ -147,31 +154,95 @@ def _blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 # Tokens
 
 
+class Known:
+    """Words and their ids, held as columns: the words, and for each where its ids begin and how
+    many they are."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.encode = encode
+        self.forget()
+
+    def forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The row of each of the words, all different; unknown ones are encoded first."""
+        if len(self.words) > KEPT_WORDS:
+            self.forget()
+        found = pc.index_in(words, value_set=self.words)
+        unknown = found.is_null().to_numpy(zero_copy_only=False)
+        rows = found.fill_null(0).to_numpy().astype(np.int64)
+        if unknown.any():
+            new = words.filter(pa.array(unknown))
+            ids, sizes = self.encode(new.to_pylist())
+            rows[unknown] = len(self.words) + np.arange(len(new))
+            self.words = pa.concat_arrays([self.words, new])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+        return rows
+
+
 class Encoder:
     """Encodes texts word by word with the tokenizers library and remembers words.
 
     The tokenizer's rules never join characters across ASCII white space and drop it, so the
-    ids of a text are those of its words, one after the other.
+    ids of a text are those of its words, one after the other. A word of Latin letters and
+    trailing ASCII marks is cut between them, as the tokenizer does; such letters are encoded
+    in one call for many words and told apart by their last tokens.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
-        documents = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        used = set().union(*documents)
-        if len(self.known) + len(used) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in used if w not in self.known]
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, one in zip(new, encoded, strict=True):
-            self.known[word] = np.array(one.ids, "<u4").tobytes()
-        get, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(get, words)) + end, "<u4") for words in documents]
+        # For lower-case Latin words between blanks its normal form and its cuts change nothing.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)]
+        )
+        size = self.tokenizer.get_vocab_size()
+        tokens = map(self.tokenizer.id_to_token, range(size))
+        self.last = np.array([(t or "").endswith(WORD_END) for t in tokens])
+        self.letters, self.others = Known(self._letters), Known(self._whole)
+
+    def encode(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        which = words.indices.to_numpy()
+        sizes, starts, before = [], [], 0
+        # Each word is its letters and what follows them, either of which may be nothing.
+        for known, part in zip((self.letters, self.others), _cut(words.dictionary), strict=True):
+            part = part.dictionary_encode()
+            rows = known.places(part.dictionary)[part.indices.to_numpy()][which]
+            sizes.append(known.sizes[rows])
+            starts.append(before + (np.cumsum(known.sizes) - known.sizes)[rows])
+            before += len(known.ids)
+        lengths, firsts = np.stack(sizes, axis=1).ravel(), np.stack(starts, axis=1).ravel()
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        at = np.repeat(firsts - ends[:-1], lengths) + np.arange(ends[-1])
+        ids = np.concatenate([self.letters.ids, self.others.ids])[at]
+        bounds = ends[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())].tolist()
+        last = np.array([END_ID], "<u4")
+        return [np.concatenate([ids[a:b], last]) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = _ids(self.tokenizer, words)
+        return np.concatenate([*ids, np.zeros(0, "<u4")]), np.array([len(i) for i in ids], np.int64)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters; the empty word has no ids."""
+        groups = [words[i : i + WORDS_A_CALL] for i in range(0, len(words), WORDS_A_CALL)]
+        ids = np.concatenate([*_ids(self.plain, [" ".join(g) for g in groups]), np.zeros(0, "<u4")])
+        ends = np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1))
+        sizes = np.array([1 if word else 0 for word in words], np.int64)
+        if len(ends) - 1 != sizes.sum():
+            raise ValueError("the tokenizer does not mark the end of each word")
+        sizes[sizes > 0] = np.diff(ends)
+        return ids, sizes
 
 
 @cache
@@ -179,6 +250,26 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
+    encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    return [np.array(e.ids, "<u4") for e in encoded]
+
+
+def _cut(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words of Latin letters, in lower case, and the marks after them; other words are all in
+    the second part."""
+    trimmed = pc.utf8_rtrim(words, characters=MARKS)
+    plain = pc.match_substring_regex(trimmed, LETTERS)
+    letters = pc.if_else(plain, pc.utf8_lower(trimmed), "")
+    skipped = np.where(plain.to_numpy(zero_copy_only=False), pc.binary_length(trimmed).to_numpy(), 0)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    lengths = np.diff(offsets) - skipped
+    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    at = np.repeat(offsets[:-1] + skipped - ends[:-1], lengths) + np.arange(ends[-1])
+    rest = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at]
+    return letters, pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(rest))
+
+
 SEGMENTS = pa.schema(
     [
         ("part", pa.int32()),
@@ -207,21 +298,20 @@ def write(docs: DataFrame, path: str, tokenizer: str) -> None:
         def segment() -> pa.RecordBatch:
             return arrow_table(SEGMENTS, [part], [number], [first], [held], [pack(doc_ids, documents)])
 
-        for batch in batches:
-            for start, end in slices(batch.column("text"), BATCH_BYTES):
-                some = batch.slice(start, end - start)
-                encoded = encoder.encode(some.column("text").to_pylist())
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoded, strict=True):
-                    doc_ids.append(doc_id)
-                    documents.append(ids)
-                    held += len(ids)
-                    if held >= SEGMENT_IDS:
-                        yield segment()
-                        number, first, held = number + 1, first + held, 0
-                        doc_ids, documents = [], []
+        for some in gathered(batches, "text", BATCH_BYTES):
+            encoded = encoder.encode(some.column("text"))
+            for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoded, strict=True):
+                doc_ids.append(doc_id)
+                documents.append(ids)
+                held += len(ids)
+                if held >= SEGMENT_IDS:
+                    yield segment()
+                    number, first, held = number + 1, first + held, 0
+                    doc_ids, documents = [], []
         if doc_ids:
             yield segment()
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"))
     ordered = rows.repartitionByRange(F.asc_nulls_first("doc_id"))
     ordered = ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
