@@ -197,3 +197,27 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
+
+
+ORACLE = r"""
+WITH doc_words AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(lower(text), '(?:[a-z0-9]|[^\x00-\x7F])+') AS w
+    FROM documents
+), doc_shingles AS (
+    SELECT DISTINCT r, doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
+    FROM doc_words, unnest(range(1, len(w) - 3)) AS places(i)
+), item_words AS (
+    SELECT item_id, text, regexp_extract_all(lower(text), '(?:[a-z0-9]|[^\x00-\x7F])+') AS w
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), item_shingles AS (
+    SELECT DISTINCT item_id, text, array_to_string(w[i : i + 4], ' ') AS shingle
+    FROM item_words, unnest(range(1, len(w) - 3)) AS places(i)
+), items AS (
+    SELECT *, count(*) OVER (PARTITION BY item_id, text) AS shingles FROM item_shingles
+)
+SELECT doc_id, item_id, count(*) AS shared, shingles, count(*) / shingles AS containment
+FROM doc_shingles JOIN items USING (shingle)
+GROUP BY r, doc_id, item_id, text, shingles
+HAVING count(*) * 5 >= shingles * 4
+"""

@@ -240,3 +240,22 @@ def _blocks(placed: DataFrame) -> DataFrame:
         "_high", F.greatest("_block", "_other")
     )
 
+
+ORACLE = """
+WITH RECURSIVE vectors AS (
+    SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), pairs AS (
+    SELECT a.r AS a, b.r AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.r <> b.r
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reached AS (
+    SELECT r AS a, r AS b FROM vectors
+    UNION
+    SELECT reached.a, pairs.b FROM reached JOIN pairs ON reached.b = pairs.a
+), components AS (
+    SELECT a, min(vec_id) AS component_id FROM reached JOIN vectors ON r = b GROUP BY a
+), counts AS (
+    SELECT a, count(*) AS n_links FROM pairs GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN components ON components.a = r LEFT JOIN counts ON counts.a = r
+"""

@@ -85,4 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES = {"op7_source_mixing": mixing.ORACLE}
+ORACLES = {
+    "op4_embedding_near_dedup": embedding_dedup.ORACLE,
+    "op7_source_mixing": mixing.ORACLE,
+    "op8_benchmark_decontamination": decontamination.ORACLE,
+}
