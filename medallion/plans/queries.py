@@ -19,7 +19,7 @@ from medallion.operators.upsert import StateTable, last_operation, rebuild, upse
 from medallion.operators.windows import DayWindow, day_window
 from medallion.plans import client_etl, report
 from medallion.quality import engine, rules
-from medallion.schema import BUSINESS_COLUMNS, PERSON_TYPES, TEXT, struct
+from medallion.schema import BUSINESS_COLUMNS, DAY_FOLDER, PERSON_TYPES, TEXT, struct
 from medallion.session import work_folder
 from medallion.sources import files, tables
 from medallion.sources.landing import Landing, accepted, ingest, rejects, scan
@@ -66,7 +66,7 @@ def _second_batch(trail: DataFrame) -> DataFrame:
 def ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fixtures.events_landing(spark, sf_dir)
     rows = ingest(spark, landing, DayWindow(), F.lit("2024-01-31 06:00:00").cast("timestamp_ntz"))
-    folder_day = F.regexp_extract("source_file", r"particao[_=](\d{8})", 1)
+    folder_day = F.regexp_extract("source_file", DAY_FOLDER, 1)
     return comparable(rows.withColumn("source_day", folder_day).drop("source_file"))
 
 
