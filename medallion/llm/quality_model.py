@@ -1,7 +1,7 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney n-gram model.
 
 The model is one of characters: 64 symbols, of which the most frequent letters and marks of
-the trusted text have one each and all others share the rest by their code point. Four-gram
+the corpus have one each and all others share the rest by their code point. Four-gram
 counts of all trusted documents are summed over the cluster; the counts of the lower orders,
 discounts, weights of contexts and probabilities follow by aggregations and joins of count
 tables that are sharded by hash, order by order. What comes out has at most 64^4
@@ -32,7 +32,7 @@ OWN_SYMBOLS = 52
 BLANK = 0
 # Share of a language's trusted documents that pass, and the symbols of average text by which
 # a document's cross-entropy is steadied, as a few letters tell little.
-QUANTILE = 0.99
+QUANTILE = 0.998
 STEADY = 100
 # Steps of cross-entropy in which the quantile is found, in nats.
 STEP = 1e-3
@@ -82,9 +82,8 @@ def grams(texts: Sequence[str], alphabet: str) -> tuple[np.ndarray, np.ndarray]:
     return number[padded < np.repeat(lengths, lengths + pad)[: len(number)]], lengths
 
 
-def frequent(trusted: DataFrame) -> str:
-    """The most frequent characters of the trusted text but blanks and digits, whose own symbols
-    come first."""
+def frequent(docs: DataFrame) -> str:
+    """The most frequent characters of the texts, blanks left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, lowered = np.zeros(0x110000, np.int64), _lowered()
@@ -97,7 +96,7 @@ def frequent(trusted: DataFrame) -> str:
         used = np.flatnonzero(totals)
         yield arrow_table(pa.schema([("point", pa.int32()), ("n", pa.int64())]), used, totals[used])
 
-    counts = trusted.select("text").mapInArrow(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n"))
+    counts = docs.where("text is not null").select("text").mapInArrow(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n"))
     top = counts.where("point <> 32").orderBy(F.desc("n"), "point").limit(OWN_SYMBOLS).collect()
     return "".join(sorted(chr(r["point"]) for r in top))
 
@@ -178,9 +177,11 @@ def costs(shares: list[DataFrame], weights: list[DataFrame]) -> np.ndarray:
 
 
 def trusted_text(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents labelled as good and not as toxic."""
+    """Documents labelled as good and not as toxic. There may be as many as documents, so that
+    their ids are merged with the documents, never broadcast."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) <> 1").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.where("text is not null").join(good, F.col("doc_id") == F.col("_id"), "left_semi")
+    known = docs.where("text is not null")
+    return known.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
 
 
 SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("_sum", pa.float64()), ("_n", pa.int64())])
@@ -219,7 +220,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     trusted = trusted_text(rows, labels)
-    alphabet = frequent(trusted)
+    alphabet = frequent(rows)
     table = costs(*probabilities(gram_counts(trusted, alphabet)))
     scored = written(_scored(spark, rows, table, alphabet), "scored")
     limits = written(thresholds(trusted_text(scored.withColumn("text", F.lit("")), labels)), "limits")
