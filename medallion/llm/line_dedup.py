@@ -12,6 +12,8 @@ distance whose band is a word of bits.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +28,6 @@ SEGMENTS = MAX_EDITS + 1
 SKETCHED = "etaoinsr"
 
 
-def _segment(length: Column, number: int) -> tuple[Column, Column]:
-    """Position and length of a segment; the last ones are one longer where it doesn't divide."""
-    base = F.floor(length / SEGMENTS).cast("int")
-    plain = SEGMENTS - length % SEGMENTS
-    longer = F.greatest(F.lit(number - 1) - plain, F.lit(0))
-    extra = F.when(F.lit(number) > plain, 1).otherwise(0)
-    return base * (number - 1) + longer + 1, base + extra
-
-
 def probes() -> list[tuple[int, int, int]]:
     """(how much shorter, segment, shift) for all places where a line is to be probed.
 
@@ -50,57 +43,67 @@ def probes() -> list[tuple[int, int, int]]:
     return found
 
 
-def _keys(places: list[tuple[int, int, int]]) -> Column:
-    """Hash keys of the line's text at the places, null where the line is too short."""
-    length = F.length("_line")
-    keys = []
-    for shorter, number, shift in places:
-        other = length - shorter
-        position, size = _segment(other, number)
-        start = position + shift
-        fits = (other >= MIN_CHARS) & (start >= 1) & (start + size - 1 <= length)
-        text = F.substring(F.col("_line"), start, size)
-        keys.append(F.when(fits, F.xxhash64(F.lit(number), other, text)))
-    return F.explode(F.array_compact(F.array(*keys)))
+def _keyed(lines: DataFrame, places: list[tuple[int, int, int]], name: str) -> DataFrame:
+    """Ids of the lines, under that name, with the hash keys of their text at the places; places
+    that a line is too short for have none.
+
+    A line of n code points has segments of n div SEGMENTS, the last n % SEGMENTS one longer.
+    They are cut out of its UTF-32 form, where places need not be counted out.
+    """
+    listed = F.array(*[F.struct(*map(F.lit, place)) for place in places])
+    rows = lines.select("_id", "_length", F.encode("_line", "UTF-32").alias("_code"))
+    rows = rows.select("*", F.inline(listed).alias("_shorter", "_number", "_shift"))
+    rows = rows.withColumn("_other", F.expr("_length - _shorter")).where(F.col("_other") >= MIN_CHARS)
+    rows = rows.withColumn("_base", F.expr(f"int(_other div {SEGMENTS})"))
+    rows = rows.withColumn("_plain", F.expr(f"{SEGMENTS} - _other % {SEGMENTS}"))
+    rows = rows.withColumn(
+        "_start", F.expr("_base * (_number - 1) + greatest(_number - 1 - _plain, 0) + 1 + _shift")
+    ).withColumn("_size", F.expr("_base + if(_number > _plain, 1, 0)"))
+    rows = rows.where("_start >= 1 and _start + _size - 1 <= _length")
+    key = F.expr("xxhash64(_number, _other, substring(_code, 4 * _start - 3, 4 * _size))")
+    return rows.select(F.col("_id").alias(name), key.alias("_key"))
+
+
+def letters(text: str) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
 
 
 def within(left: str, right: str, edits: int = MAX_EDITS) -> Column:
-    """Whether two texts are within ``edits`` edits (insert, delete, replace a code point).
+    """Whether two columns of letters are within ``edits`` edits (insert, delete, replace one).
 
     Bit d of word e says that the left text up to d - ``edits`` past the place and the right
     text up to it are at most e edits apart. Each letter of the right text updates all words,
-    and in them the whole band at once.
+    and in them the whole band at once. The columns must be stored ones: an expression would be
+    evaluated for each letter.
     """
-    a, b = (F.filter(F.split(text, ""), lambda c: c != "") for text in (left, right))
     width = 2 * edits + 1
     band = (1 << width) - 1
-    # With nothing read of the right text, dropping d letters of the left takes d edits.
-    first = [sum(1 << (d + edits) for d in range(e + 1)) for e in range(edits + 1)]
-    begin = F.struct(F.lit(0).alias("at"), *[F.lit(w).alias(f"w{e}") for e, w in enumerate(first)])
-
-    def step(state: Column, letter: Column) -> Column:
-        at = state["at"]
-        equal = F.lit(0)
-        for bit in range(width):
-            same = F.get(a, at + (bit - edits)) == letter
-            equal = equal.bitwiseOR(F.when(same, 1 << bit).otherwise(0))
+
+    def equal(letter: Column, at: Column) -> Column:
+        bits = [F.when(F.get(left, at + (bit - edits)) == letter, 1 << bit).otherwise(0) for bit in range(width)]
+        return reduce(Column.bitwiseOR, bits)
+
+    def step(state: Column, mask: Column) -> Column:
         words: list[Column] = []
         for e in range(edits + 1):
-            old = state[f"w{e}"]
-            word = old.bitwiseAND(equal)
+            word = state[f"w{e}"].bitwiseAND(mask)
             if e:
                 before = state[f"w{e - 1}"]
                 word = word.bitwiseOR(before).bitwiseOR(F.shiftright(before, 1))
                 word = word.bitwiseOR(F.shiftleft(words[-1], 1).bitwiseAND(F.lit(band)))
             words.append(word)
-        return F.struct((at + 1).alias("at"), *[w.alias(f"w{e}") for e, w in enumerate(words)])
+        return _words(words)
 
-    last = F.aggregate(b, begin, step)[f"w{edits}"]
-    difference = F.length(left) - F.length(right)
-    reached = last.bitwiseAND(
-        F.element_at(F.array(*[F.lit(1 << bit) for bit in range(width)]), difference + edits + 1)
-    )
-    return F.when(F.abs(difference) <= edits, reached > 0).otherwise(False)
+    # With nothing read of the right text, dropping d letters of the left takes d edits.
+    first = [F.lit(sum(1 << (d + edits) for d in range(e + 1))) for e in range(edits + 1)]
+    last = F.aggregate(F.transform(right, equal), _words(first), step)[f"w{edits}"]
+    difference = F.size(left) - F.size(right)
+    wanted = F.element_at(F.array(*[F.lit(1 << bit) for bit in range(width)]), difference + edits + 1)
+    return F.when(F.abs(difference) <= edits, last.bitwiseAND(wanted) > 0).otherwise(False)
+
+
+def _words(words: list[Column]) -> Column:
+    return F.struct(*[word.alias(f"w{e}") for e, word in enumerate(words)])
 
 
 def sketch(text: Column) -> Column:
@@ -136,10 +139,10 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def links(lines: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of ids of the distinct lines (_id, _line, _sketch) that are near
-    duplicates."""
-    index = lines.select("_id", _keys([(0, i, 0) for i in range(1, SEGMENTS + 1)]).alias("_key"))
-    probe = lines.select(F.col("_id").alias("_other"), _keys(probes()).alias("_key"))
+    """Pairs (a, b), a < b, of ids of the distinct lines (_id, _line, _length, _sketch) that are
+    near duplicates."""
+    index = _keyed(lines, [(0, i, 0) for i in range(1, SEGMENTS + 1)], "_id")
+    probe = _keyed(lines, probes(), "_other")
     met = index.join(probe, "_key").where("_id <> _other")
     met = met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b")).distinct()
     left, right = (
@@ -148,9 +151,10 @@ def links(lines: DataFrame) -> DataFrame:
     met = met.join(left, "a").join(right, "b").where(_possible(F.col("_a"), F.col("_b")))
     met = written(met.select("a", "b"), "candidates")
     ids = written(met.select(F.col("a").alias("_id")).union(met.select("b")).distinct(), "ids")
-    texts = written(lines.join(ids, "_id", "left_semi").select("_id", "_line"), "texts")
+    texts = lines.join(ids, "_id", "left_semi").select("_id", letters("_line").alias("_letters"))
+    texts = written(texts, "letters")
     left, right = (
-        texts.select(F.col("_id").alias(side), F.col("_line").alias(f"_{side}")) for side in ("a", "b")
+        texts.select(F.col("_id").alias(side), F.col("_letters").alias(f"_{side}")) for side in ("a", "b")
     )
     return met.join(left, "a").join(right, "b").where(within("_a", "_b")).select("a", "b")
 
@@ -172,6 +176,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _classified(docs: DataFrame) -> DataFrame:
     lines = occurrences(docs).groupBy("_h1", "_h2", "_line").agg(F.count("*").alias("_copies"))
     lines = lines.withColumn("_id", F.monotonically_increasing_id())
+    lines = lines.withColumn("_length", F.length("_line"))
     lines = written(lines.withColumn("_sketch", sketch(F.col("_line"))), "lines")
     pairs = written(links(lines), "links")
     counts = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).groupBy("_id").agg(

@@ -57,11 +57,17 @@ def test_within_two_edits(spark):
     for _ in range(600):
         a = "".join(draw.choices("abé", k=draw.randrange(1, 14)))
         pairs.append((a, changed(draw, a + "q", draw.randrange(5))))
-    df = spark.createDataFrame(pairs, "a string, b string")
+    df = spark.createDataFrame([(list(a), list(b)) for a, b in pairs], "a array<string>, b array<string>")
     for r in df.select("a", "b", line_dedup.within("a", "b").alias("near")).collect():
         assert r["near"] == (edits(r["a"], r["b"]) <= 2), (r["a"], r["b"])
 
 
+def test_letters_are_code_points(spark):
+    texts = ["", "aé", "😀 b"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", line_dedup.letters("t").alias("l"))
+    assert all(r["l"] == list(r["t"]) for r in df.collect())
+
+
 def test_against_all_pairs(spark):
     draw = random.Random(2)
     base = ["".join(draw.choices("abcde fgh", k=draw.randrange(28, 60))).strip() for _ in range(40)]
