@@ -14,6 +14,7 @@ its language.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -188,15 +189,16 @@ SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("_sum", pa.f
 
 
 def _scored(spark: SparkSession, rows: DataFrame, table: np.ndarray, alphabet: str) -> DataFrame:
-    shared = spark.sparkContext.broadcast(table)
+    shared = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        costs_of = np.frombuffer(zlib.decompress(shared.value), np.float16)
         for batch in batches:
             for start, end in slices(batch.column("text"), BATCH_BYTES):
                 part = batch.slice(start, end - start)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 number, lengths = grams(texts, alphabet)
-                sums = np.concatenate(([0.0], np.cumsum(shared.value[number], dtype=np.float64)))
+                sums = np.concatenate(([0.0], np.cumsum(costs_of[number], dtype=np.float64)))
                 ends = np.cumsum(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("lang"), pa.array(sums[ends] - sums[ends - lengths]), pa.array(lengths)],

@@ -35,7 +35,7 @@ from medallion.llm.components import components
 SHINGLE_WORDS = 4
 MAX_DISTANCE = 4
 HASH_SEED = 42
-BATCH_BYTES = 1_000_000
+BATCH_BYTES = 500_000
 SEGMENT_BITS = 16
 # Fixed values of the Golay code: 23 bits carry 12, by this generator polynomial.
 CODE_BITS, DATA_BITS, GENERATOR = 23, 12, 0b101011100011
@@ -101,8 +101,8 @@ def golay_lists() -> np.ndarray:
     for bit in range(DATA_BITS):
         words ^= np.where(data >> bit & 1, GENERATOR << bit, 0)
     lists = np.full((1 << SEGMENT_BITS, 6), -1, np.int64)
-    for start in range(0, 1 << SEGMENT_BITS, 1024):
-        distance = np.bitwise_count(np.arange(start, start + 1024)[:, None] ^ words)
+    for start in range(0, 1 << SEGMENT_BITS, 128):
+        distance = np.bitwise_count(np.arange(start, start + 128)[:, None] ^ words)
         rows, numbers = np.nonzero(distance <= LIST_RADIUS)
         order = np.lexsort((distance[rows, numbers], rows))
         rows, numbers = rows[order], numbers[order]

@@ -42,10 +42,11 @@ PERCENTILE = 0.9
 HEAD = 6
 END_ID = 1
 SEGMENT_IDS = 1 << 17
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 # Words of plain letters, and others, whose ids a worker keeps; emptied when full.
-KEPT_WORDS = 700_000
-WORDS_A_CALL = 1_000
+KEPT_WORDS = 400_000
+# What goes to the tokenizer at once: words in a text, and texts.
+WORDS_A_CALL, TEXTS_A_CALL = 100, 100
 # How the tokenizer marks the last token of a word.
 WORD_END = "</w>"
 # Words of Latin letters whose lower case is one letter too, and ASCII marks.
@@ -197,8 +198,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         # For lower-case Latin words between blanks its normal form and its cuts change nothing.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)]
         )
@@ -251,8 +251,11 @@ def _encoder(path: str) -> Encoder:
 
 
 def _ids(tokenizer, texts: list[str]) -> list[np.ndarray]:
-    encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-    return [np.array(e.ids, "<u4") for e in encoded]
+    found: list[np.ndarray] = []
+    for start in range(0, len(texts), TEXTS_A_CALL):
+        encoded = tokenizer.encode_batch_fast(texts[start : start + TEXTS_A_CALL], add_special_tokens=False)
+        found += [np.array(e.ids, "<u4") for e in encoded]
+    return found
 
 
 def _cut(words: pa.Array) -> tuple[pa.Array, pa.Array]:
