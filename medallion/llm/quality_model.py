@@ -1,29 +1,35 @@
-"""Quality by the perplexity of an interpolated modified Kneser-Ney n-gram model.
-
-The model is one of characters: 64 symbols, of which the most frequent letters and marks of
-the corpus have one each and all others share the rest by their code point. Four-gram
-counts of all trusted documents are summed over the cluster; the counts of the lower orders,
-discounts, weights of contexts and probabilities follow by aggregations and joins of count
-tables that are sharded by hash, order by order. What comes out has at most 64^4
-probabilities, whatever the corpus, and goes to the tasks as half-precision numbers (33.5 MB),
-where each document's characters are looked up: rows of n-grams per document are never made.
-
-A document passes if its cross-entropy is not above the quantile of the trusted documents of
-its language.
+"""Quality by the perplexity of an interpolated modified Kneser-Ney n-gram model of words.
+
+Words are lower-cased runs of letters and digits, other marks, and single characters of scripts
+that put no blanks between words. Trigrams of all trusted documents but a held-out share are
+counted by 64-bit word hashes, without a limit on the vocabulary; counts, discounts, context
+weights and values are tables sharded by hash, whose size grows with the trusted text. A word
+never seen is spelled by a model of characters (64 symbols, four-grams), times the share of each
+character among those of its symbol.
+
+The log probability of a word after two others is a sum of one value for each of the grams and
+contexts that the model knows, see ``word_values``; so a document's is the sum of its grams'
+values. The grams of each distinct text are combined in each task, joined with the values and
+summed per text.
+
+A document passes if its cross-entropy is not above a limit that follows from the held-out
+trusted documents of its language.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medallion.llm.common import arrow_table, bounded_batches, slices, written
+from medallion.llm.common import arrow_table, bounded_batches, gathered, slices, written
 
 ORDER = 4
 BITS = 6
@@ -40,6 +46,21 @@ STEP = 1e-3
 # No symbol is less probable: a few counts may leave nothing for what they lack.
 LEAST = 1e-7
 BATCH_BYTES = 1_500_000
+# Text whose grams are combined before they are shuffled.
+PIECE_BYTES = 4_000_000
+# One in so many distinct trusted texts is held out of the counts and sets the limits.
+HELD_OUT = 5
+# Costs and values are summed as whole numbers of this part of a nat, in any order alike.
+UNIT = 1 << 20
+# Characters of scripts without blanks between words: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+|[^\w\s]")
+# Stand before and after the words of a text; no word is like them.
+START, END = "<start", "<end"
+# Keys of the rows that carry what spelling a text costs, and how many words it has.
+SPELLED, WORDS = 0, 1
+# Nats added to the limit over the root of the documents it was found in: few tell little.
+ALLOWANCE = 1.0
 
 
 def _lowered() -> np.ndarray:
@@ -83,8 +104,8 @@ def grams(texts: Sequence[str], alphabet: str) -> tuple[np.ndarray, np.ndarray]:
     return number[padded < np.repeat(lengths, lengths + pad)[: len(number)]], lengths
 
 
-def frequent(docs: DataFrame) -> str:
-    """The most frequent characters of the texts, blanks left out."""
+def characters(docs: DataFrame) -> DataFrame:
+    """(point, n): how often each character occurs in the texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals, lowered = np.zeros(0x110000, np.int64), _lowered()
@@ -97,11 +118,31 @@ def frequent(docs: DataFrame) -> str:
         used = np.flatnonzero(totals)
         yield arrow_table(pa.schema([("point", pa.int32()), ("n", pa.int64())]), used, totals[used])
 
-    counts = docs.where("text is not null").select("text").mapInArrow(count, "point int, n bigint").groupBy("point").agg(F.sum("n").alias("n"))
+    counts = docs.where("text is not null").select("text").mapInArrow(count, "point int, n bigint")
+    return counts.groupBy("point").agg(F.sum("n").alias("n"))
+
+
+def _alphabet(counts: DataFrame) -> str:
     top = counts.where("point <> 32").orderBy(F.desc("n"), "point").limit(OWN_SYMBOLS).collect()
     return "".join(sorted(chr(r["point"]) for r in top))
 
 
+def frequent(docs: DataFrame) -> str:
+    """The most frequent characters of the texts, blanks left out."""
+    return _alphabet(characters(docs))
+
+
+def shares_of_symbols(counts: DataFrame, alphabet: str) -> np.ndarray:
+    """Minus the log of each code point's share among those of its symbol, one added to each."""
+    rows = counts.toPandas()
+    totals = np.ones(0x110000)
+    totals[rows["point"].to_numpy()] += rows["n"].to_numpy()
+    lowered, codes = _lowered(), _codes(alphabet)
+    stands = lowered == np.arange(0x110000)
+    symbols = np.bincount(codes[stands], totals[stands], SYMBOLS)
+    return -np.log(totals[lowered] / symbols[codes]).astype(np.float32)
+
+
 def gram_counts(trusted: DataFrame, alphabet: str) -> DataFrame:
     """(gram, n) over all trusted text, combined in each task before it is shuffled."""
 
@@ -185,27 +226,183 @@ def trusted_text(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(good.hint("merge"), F.col("doc_id") == F.col("_id"), "left_semi")
 
 
-SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("_sum", pa.float64()), ("_n", pa.int64())])
+# Words
 
 
-def _scored(spark: SparkSession, rows: DataFrame, table: np.ndarray, alphabet: str) -> DataFrame:
-    shared = spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
+def _mixed(seed: np.ndarray | np.uint64, value: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of one more bigint after what gave the seed."""
+    one, two, three, four, five = (
+        np.uint64(p)
+        for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs_of = np.frombuffer(zlib.decompress(shared.value), np.float16)
-        for batch in batches:
-            for start, end in slices(batch.column("text"), BATCH_BYTES):
-                part = batch.slice(start, end - start)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                number, lengths = grams(texts, alphabet)
-                sums = np.concatenate(([0.0], np.cumsum(costs_of[number], dtype=np.float64)))
-                ends = np.cumsum(lengths)
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+    found = (seed + five + np.uint64(8)) ^ (turned(value * two, 31) * one)
+    found = turned(found, 27) * one + four
+    found = (found ^ (found >> np.uint64(33))) * two
+    found = (found ^ (found >> np.uint64(29))) * three
+    return found ^ (found >> np.uint64(32))
+
+
+def _numbered(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """For each word its place among the distinct ones, the hashes of those, and those."""
+    places, distinct = pd.factorize(np.array(words, object))
+    return places, pd.util.hash_array(distinct, categorize=False), distinct.tolist()
+
+
+def _spelling(words: Sequence[str], table: np.ndarray, own: np.ndarray, alphabet: str) -> np.ndarray:
+    """What spelling each word and a blank after it costs, in units."""
+    texts = [" " if w in (START, END) else w + " " for w in words]
+    number, lengths = grams(texts, alphabet)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    each = table[number].astype(np.float64) + own[points]
+    return np.rint(np.add.reduceat(each, np.cumsum(lengths) - lengths) * UNIT).astype(np.int64)
+
+
+def _sequence(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of all texts with their marks, which text each is of, and its place there."""
+    words: list[str] = []
+    sizes = []
+    for text in texts:
+        found = WORD.findall(text.lower())
+        words += [START, START, *found, END]
+        sizes.append(len(found) + 3)
+    sizes = np.array(sizes, np.int64)
+    return words, np.repeat(np.arange(len(sizes)), sizes), np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+class Speller:
+    """The model of characters, sent to the tasks compressed: what a symbol costs after others,
+    and a character among those of its symbol."""
+
+    def __init__(self, spark: SparkSession, table: np.ndarray, own: np.ndarray, alphabet: str):
+        self.alphabet = alphabet
+        self.shared = spark.sparkContext.broadcast(tuple(zlib.compress(x.tobytes(), 1) for x in (table, own)))
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, str]:
+        table, own = map(zlib.decompress, self.shared.value)
+        return np.frombuffer(table, np.float16), np.frombuffer(own, np.float32), self.alphabet
+
+
+TRIGRAMS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("n", pa.int64()), ("spelled", pa.int64())])
+
+
+def trigram_counts(texts: DataFrame, speller: Speller) -> DataFrame:
+    """(a, b, c, n, spelled): hashes of three words in a row, how often they are, and what the
+    last one costs spelled; combined in each task before they are shuffled."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = speller.tables()
+        for piece in gathered(batches, "text", PIECE_BYTES):
+            words, _, place = _sequence(piece.column("text").to_pylist())
+            numbers, hashes, distinct = _numbered(words)
+            last = np.flatnonzero(place >= 2)
+            # The first two words as one number, so that two sorts tell trigrams apart.
+            pairs, before = np.unique(numbers[last - 2] * len(distinct) + numbers[last - 1], return_inverse=True)
+            found, n = np.unique(before * len(distinct) + numbers[last], return_counts=True)
+            before, word = np.divmod(found, len(distinct))
+            first, second = np.divmod(pairs[before], len(distinct))
+            ids = hashes.view(np.int64)
+            spelled = _spelling(distinct, *tables)
+            yield arrow_table(TRIGRAMS, ids[first], ids[second], ids[word], n, spelled[word])
+
+    rows = texts.select("text").mapInArrow(count, "a bigint, b bigint, c bigint, n bigint, spelled bigint")
+    return rows.groupBy("a", "b", "c").agg(F.sum("n").alias("n"), F.max("spelled").alias("spelled"))
+
+
+def word_values(counts: DataFrame) -> DataFrame:
+    """(key, value): what each gram, by the hash of its words' hashes, adds to the log probability
+    of a text beyond its spelling, in units.
+
+    With p of each order interpolated with the order below by the weight w of its context, and
+    the lowest order with the spelling, the log probability of a word is that of its spelling
+    plus, order by order, log w of the context if it was seen and log p - log (w * lower p) of
+    the gram if it was seen. A gram's value is the sum of both, as it is the context of what
+    follows; what was never seen adds nothing. The empty context has the key ``WORDS``.
+    """
+    three = written(counts, "trigrams")
+    two = written(three.groupBy("b", "c").agg(F.count("*").alias("n"), F.max("spelled").alias("spelled")), "bigrams")
+    one = written(two.groupBy("c").agg(F.count("*").alias("n"), F.max("spelled").alias("spelled")), "words")
+    parts, lower = [], None
+    for table, words in ((one, ["c"]), (two, ["b", "c"]), (three, ["a", "b", "c"])):
+        found = discounts(table)
+        taken = _by_count(*map(F.lit, found))
+        context = words[:-1]
+        sums = table.groupBy(*context).agg(F.sum("n").alias("_total"), F.sum(taken).alias("_taken"))
+        sums = sums.withColumn("_weight", F.greatest(F.col("_taken") / F.col("_total"), F.lit(LEAST))).drop("_taken")
+        sums = written(sums, "contexts")
+        if lower is None:
+            joined = table.withColumn("_lower", F.exp(-F.col("spelled") / UNIT)).crossJoin(F.broadcast(sums))
+            parts.append(sums.select(F.lit(WORDS).cast("bigint").alias("key"), F.log("_weight").alias("value")))
+        else:
+            joined = table.join(sums, context).join(lower, words[1:])
+            parts.append(sums.select(F.xxhash64(*context).alias("key"), F.log("_weight").alias("value")))
+        rest = F.greatest(F.col("_weight") * F.col("_lower"), F.lit(1e-300))
+        joined = joined.withColumn("_p", (F.col("n") - taken) / F.col("_total") + rest).withColumn("_rest", rest)
+        joined = written(joined.select(*words, "_p", "_rest"), "shares")
+        parts.append(joined.select(F.xxhash64(*words).alias("key"), F.log(F.col("_p") / F.col("_rest")).alias("value")))
+        lower = joined.select(*words, F.col("_p").alias("_lower"))
+    values = parts[0]
+    for part in parts[1:]:
+        values = values.unionByName(part)
+    values = values.select("key", F.round(F.col("value") * UNIT).cast("bigint").alias("value"))
+    return values.groupBy("key").agg(F.sum("value").alias("value"))
+
+
+GRAMS = pa.schema([("key", pa.int64()), ("texts", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+
+
+def text_grams(rows: DataFrame, speller: Speller) -> DataFrame:
+    """(key, texts, counts): for each gram of a task's piece the distinct texts (_text) that it is
+    in, and how often. Under the key ``SPELLED`` the counts are the costs of spelling, under
+    ``WORDS`` those of words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = speller.tables()
+        for piece in gathered(batches, "text", PIECE_BYTES):
+            texts = dict(zip(piece.column("_text").to_pylist(), piece.column("text").to_pylist(), strict=True))
+            ids = np.array(list(texts), np.int64)
+            words, of, place = _sequence(list(texts.values()))
+            numbers, hashes, distinct = _numbered(words)
+            spelled = np.bincount(of, _spelling(distinct, *tables)[numbers] * (place >= 2), len(ids))
+            hashed = hashes[numbers]
+            singles = _mixed(np.uint64(42), hashed)
+            pairs = _mixed(singles[:-1], hashed[1:])
+            triples = _mixed(pairs[:-1], hashed[2:])
+            later, last = place >= 1, place >= 2
+            keys = np.concatenate([singles[later], pairs[later[1:]], triples[last[2:]]])
+            owners = np.concatenate([of[later], of[1:][later[1:]], of[2:][last[2:]]])
+            codes, keys = pd.factorize(keys)
+            found, n = np.unique(codes * len(ids) + owners, return_counts=True)
+            code, owner = np.divmod(found, len(ids))
+            ends = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=len(keys)))))
+            for lists in (
+                (keys.view(np.int64), ends, ids[owner], n),
+                (np.array([SPELLED]), np.array([0, len(ids)]), ids, np.rint(spelled).astype(np.int64)),
+                (np.array([WORDS]), np.array([0, len(ids)]), ids, np.bincount(of[last], minlength=len(ids))),
+            ):
+                key, offsets, listed, counts = lists
+                offsets = pa.array(offsets, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("lang"), pa.array(sums[ends] - sums[ends - lengths]), pa.array(lengths)],
-                    schema=SCORED,
+                    [pa.array(key, pa.int64()), *(pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (listed, counts))],
+                    schema=GRAMS,
                 )
 
-    return rows.mapInArrow(score, "doc_id bigint, lang string, _sum double, _n bigint")
+    return rows.select("_text", "text").mapInArrow(count, "key bigint, texts array<bigint>, counts array<bigint>")
+
+
+def text_costs(found: DataFrame, values: DataFrame) -> DataFrame:
+    """(_text, _sum): minus the log probability of each distinct text, in nats. A text that
+    several pieces have is counted as often, which its rows of spelling tell."""
+    spelled = values.sparkSession.createDataFrame([(SPELLED, -1)], "key bigint, value bigint")
+    known = found.join(values.where(F.col("key") != SPELLED).unionByName(spelled), "key")
+    each = known.select("key", "value", F.inline(F.arrays_zip("texts", "counts")).alias("_text", "_n"))
+    sums = each.groupBy("_text").agg(
+        F.sum(-F.col("value") * F.col("_n")).alias("_cost"), F.count_if(F.col("key") == SPELLED).alias("_times")
+    )
+    return sums.select("_text", (F.col("_cost") / F.col("_times") / UNIT).alias("_sum"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -220,11 +417,23 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    trusted = trusted_text(rows, labels)
-    alphabet = frequent(rows)
-    table = costs(*probabilities(gram_counts(trusted, alphabet)))
-    scored = written(_scored(spark, rows, table, alphabet), "scored")
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("lang").cast("string").alias("lang"),
+        F.xxhash64("text").alias("_text"),
+        "text",
+    )
+    held = F.pmod("_text", F.lit(HELD_OUT)) == 0
+    learnt = trusted_text(rows, labels).where(~held)
+    counts = written(characters(rows), "characters")
+    alphabet = _alphabet(counts)
+    table = costs(*probabilities(gram_counts(learnt, alphabet)))
+    speller = Speller(spark, table, shares_of_symbols(counts, alphabet), alphabet)
+    values = written(word_values(trigram_counts(learnt, speller)), "values")
+    sums = text_costs(text_grams(rows.where("length(text) > 0"), speller), values)
+    scored = rows.select("doc_id", "lang", "_text", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("_n"))
+    scored = scored.join(sums, "_text", "left").withColumn("_sum", F.coalesce("_sum", F.lit(0.0))).withColumn("_held", held)
+    scored = written(scored, "scored")
     limits = written(thresholds(trusted_text(scored.withColumn("text", F.lit("")), labels)), "limits")
     everything = limits.where("_all").select(F.col("threshold").alias("_t"), F.col("mean").alias("_m"))
     own = limits.where("not _all").select(F.col("lang").alias("_lang"), "threshold", "mean")
@@ -242,17 +451,21 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def thresholds(scored: DataFrame) -> DataFrame:
     """(lang, mean, threshold, _all): for each language and, where ``_all``, for all together the
-    mean cross-entropy of a symbol and the quantile of the documents'. The quantile is found
-    in a histogram with steps of ``STEP``."""
-    both = scored.where("_n > 0").select("lang", "_sum", "_n", F.explode(F.array(F.lit(True), F.lit(False))).alias("_all"))
+    mean cross-entropy of a character and the quantile of the documents', with an allowance for
+    few documents. Only held-out documents count where there are any. The quantile is found in
+    a histogram with steps of ``STEP``."""
+    both = scored.where("_n > 0").select("lang", "_sum", "_n", "_held", F.explode(F.array(F.lit(True), F.lit(False))).alias("_all"))
     both = both.withColumn("lang", F.when(~F.col("_all"), F.col("lang"))).where("_all or lang is not null")
     group = ["_all", "lang"]
-    means = written(both.groupBy(*group).agg((F.sum("_sum") / F.sum("_n")).alias("mean"), F.count("*").alias("_docs")), "means")
-    means = means.select(F.col("_all").alias("_a"), F.col("lang").alias("_l"), "mean", "_docs")
-    joined = both.join(means, (F.col("_all") == F.col("_a")) & F.col("lang").eqNullSafe(F.col("_l")))
+    means = both.groupBy(*group, "_held").agg((F.sum("_sum") / F.sum("_n")).alias("mean"), F.count("*").alias("_docs"))
+    means = means.groupBy(*group).agg(F.max(F.struct("_held", "mean", "_docs")).alias("_best"))
+    means = written(means.select(F.col("_all").alias("_a"), F.col("lang").alias("_l"), "_best.*").withColumnRenamed("_held", "_h"), "means")
+    same = (F.col("_all") == F.col("_a")) & F.col("lang").eqNullSafe(F.col("_l")) & (F.col("_held") == F.col("_h"))
+    joined = both.join(means, same)
     cross = (F.col("_sum") + STEADY * F.col("mean")) / (F.col("_n") + STEADY)
     bucket = F.ceil(cross / STEP).alias("_bucket")
     counts = joined.groupBy(*group, "mean", "_docs", bucket).agg(F.count("*").alias("_c"))
     upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_bucket"))
     enough = counts.withColumn("_upto", upto).where(F.col("_upto") >= F.ceil(QUANTILE * F.col("_docs")))
-    return enough.groupBy(*group, "mean").agg((F.min("_bucket") * STEP).alias("threshold"))
+    limit = F.min("_bucket") * STEP + ALLOWANCE / F.sqrt(F.max("_docs"))
+    return enough.groupBy(*group, "mean").agg(limit.alias("threshold"))

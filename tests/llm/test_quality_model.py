@@ -109,3 +109,83 @@ def test_labelled_documents(spark):
     bad = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
     assert sum(good) >= 0.97 * len(good)
     assert sum(bad) <= 0.4 * len(bad)
+
+
+def words_by_hand(texts, spelled):
+    """Cost of a text after the textbook's sums over trigrams of words."""
+    grams = Counter()
+    for text in texts:
+        found = [quality_model.START] * 2 + quality_model.WORD.findall(text) + [quality_model.END]
+        grams.update(tuple(found[i : i + 3]) for i in range(len(found) - 2))
+    orders = {3: grams}
+    for n in (2, 1):
+        orders[n] = Counter(g[1:] for g in orders[n + 1])
+
+    def discount(n, count):
+        seen = Counter(orders[n].values())
+        n1, n2, n3, n4 = (seen[k] for k in (1, 2, 3, 4))
+        k = min(count, 3)
+        here, above = [(n1, n2), (n2, n3), (n3, n4)][k - 1]
+        share = n1 / (n1 + 2 * n2) if n1 else 0.0
+        return min(max(k - (k + 1) * share * above / here, 0.0), k) if here else share
+
+    def probability(gram):
+        n = len(gram)
+        if not n:
+            return None
+        after = {g: c for g, c in orders[n].items() if g[:-1] == gram[:-1]}
+        lower = probability(gram[1:]) if n > 1 else math.exp(-spelled[gram[0]])
+        if not after:
+            return lower
+        total = sum(after.values())
+        weight = max(sum(discount(n, c) for c in after.values()) / total, quality_model.LEAST)
+        count = after.get(gram, 0)
+        return (count - discount(n, count) if count else 0) / total + weight * lower
+
+    def cost(text):
+        found = [quality_model.START] * 2 + quality_model.WORD.findall(text) + [quality_model.END]
+        return sum(-math.log(probability(tuple(found[i : i + 3]))) for i in range(len(found) - 2))
+
+    return cost
+
+
+def speller_of(docs):
+    counts = quality_model.characters(docs)
+    alphabet = quality_model.frequent(docs)
+    table = quality_model.costs(*quality_model.probabilities(quality_model.gram_counts(docs, alphabet)))
+    return quality_model.Speller(docs.sparkSession, table, quality_model.shares_of_symbols(counts, alphabet), alphabet)
+
+
+def test_words_against_the_formula(spark):
+    texts = [EN, EN[5:40], "the cat sat on the dog, the cat lay", "xyz é 123"]
+    docs = docs_of(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    speller = speller_of(docs)
+    values = quality_model.word_values(quality_model.trigram_counts(docs, speller))
+    asked = [EN[10:50], "the cat sat by qqq", "mat mat mat mat", "日本の 猫", EN, EN]
+    rows = spark.createDataFrame([(hash(t) % 1000, t) for t in asked], "_text bigint, text string").repartition(3)
+    costs = quality_model.text_costs(quality_model.text_grams(rows, speller), values)
+    found = {r["_text"]: r["_sum"] for r in costs.collect()}
+    words = sorted({w for t in texts + asked for w in [*quality_model.WORD.findall(t), quality_model.END]})
+    spelled = dict(zip(words, quality_model._spelling(words, *speller.tables()) / quality_model.UNIT, strict=True))
+    cost = words_by_hand(texts, spelled)
+    assert len(found) == len(set(asked))
+    for text in asked:
+        assert found[hash(text) % 1000] == pytest.approx(cost(text), abs=1e-3)
+
+
+def test_letters_beyond_the_symbols_are_told_apart(spark):
+    """All 52 symbols are Latin ones; Cyrillic letters 11 code points apart share theirs."""
+    latin = [("".join(chr(0x100 + 2 * ((i + k) % 56) + 1) for k in range(40)) + " ") * 20 for i in range(56)]
+    good = "где мама мыла раму там папа пил чай "
+    moved = "".join(c if c == " " else chr(ord("а") + (ord(c) - ord("а") + 11) % 32) if (ord(c) - ord("а")) < 21 else c for c in good)
+    rows = [(i, t, "xx") for i, t in enumerate(latin)] + [(100 + i, good * (i + 3), "ru") for i in range(30)]
+    rows += [(200, good * 5, "ru"), (201, moved * 5, "ru"), (202, "раму чай мама где пил папа там мыла " * 5, "ru")]
+    labels = labels_of(spark, [(i, 1, 0) for i, _, _ in rows if i < 200])
+    found = {r["doc_id"]: r for r in quality_model.classify(docs_of(spark, rows), labels).collect()}
+    assert found[200]["kept"] and not found[201]["kept"] and not found[202]["kept"]
+
+
+def test_repeated_words_cost(spark):
+    rows = [(i, EN[i % 7 :] + EN[: i % 5], "en") for i in range(60)] + [(100, "the " * 100, "en")]
+    found = quality_model.classify(docs_of(spark, rows), labels_of(spark, [(i, 1, 0) for i in range(60)]))
+    assert {r["doc_id"]: r["kept"] for r in found.collect()}[100] is False
