@@ -189,3 +189,17 @@ def test_repeated_words_cost(spark):
     rows = [(i, EN[i % 7 :] + EN[: i % 5], "en") for i in range(60)] + [(100, "the " * 100, "en")]
     found = quality_model.classify(docs_of(spark, rows), labels_of(spark, [(i, 1, 0) for i in range(60)]))
     assert {r["doc_id"]: r["kept"] for r in found.collect()}[100] is False
+
+
+def test_held_out_bad_and_toxic_rows_are_caught(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    held = {r[0] for r in docs.where(f"pmod(xxhash64(text), {quality_model.HELD_OUT}) = 0").select("doc_id").collect()}
+    kept = {r["doc_id"]: r["kept"] for r in QUERIES["op9_quality_classifier"](spark, sf).collect()}
+    labels = [r for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["doc_id"] in held]
+    good = [kept[r["doc_id"]] for r in labels if r["quality"] == 1 and r["toxic"] != 1]
+    bad = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
+    toxic = [kept[r["doc_id"]] for r in labels if r["toxic"] == 1]
+    assert sum(good) >= 0.97 * len(good)
+    assert sum(bad) <= 0.22 * len(bad)
+    assert sum(toxic) <= 0.12 * len(toxic)
