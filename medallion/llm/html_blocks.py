@@ -8,19 +8,22 @@ from dataclasses import dataclass
 
 # Fixed values of HTML: elements whose text is not shown or not prose, elements without an end
 # tag, and elements that begin a block of text of their own.
-HIDDEN = "script style noscript template textarea select svg math iframe object head title".split()
+HIDDEN = "script style noscript template textarea select svg annotation-xml annotation iframe object head title".split()
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html label legend li main "
     "menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+# What may stand in a head; anything else ends one that is left open.
+IN_HEAD = set("base basefont bgsound head link meta noscript script style template title".split())
 LANDMARKS = set("article aside body footer form header main nav section".split())
 # An element of the first kind ends where one of the second kind begins.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}}
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|(?P<empty><svg\b[^>]*/>)"
     r"|<(?P<hidden>" + "|".join(HIDDEN[:-2]) + r")\b[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:\s[^<>\"']*(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)?)/?>"
     r"|<[!?/][^>]*>",
@@ -67,6 +70,7 @@ def blocks(page: str) -> list[Block]:
 
     for token in TOKEN.finditer(page):
         start = token.start()
+        _end_head(stack, "", page[at:start])
         if start > at and not _in_head(stack):
             piece = page[at:start]
             pieces.append(piece)
@@ -75,9 +79,11 @@ def blocks(page: str) -> list[Block]:
         at = token.end()
         tag = (token["tag"] or "").lower()
         if not tag:
-            if token["hidden"]:
+            if token["hidden"] or token["empty"]:
                 pieces.append(" ")
             continue
+        if not token["end"]:
+            _end_head(stack, tag, "")
         if tag in BLOCKS:
             flush()
         elif tag == "br":
@@ -85,9 +91,10 @@ def blocks(page: str) -> list[Block]:
         if token["end"]:
             links = max(0, links - (tag == "a"))
             _close(stack, tag)
-        elif tag not in VOID:
+        elif tag not in VOID and not (tag == "math" and token[0].endswith("/>")):
             links += tag == "a"
             _open(stack, tag, token["attributes"] or "")
+    _end_head(stack, "", page[at:])
     if at < len(page) and not _in_head(stack):
         pieces.append(page[at:])
     flush()
@@ -98,6 +105,12 @@ def _in_head(stack: list[_Element]) -> bool:
     return stack[-1].tag in ("head", "title") or len(stack) > 2 and stack[-2].tag == "head"
 
 
+def _end_head(stack: list[_Element], tag: str, text: str) -> None:
+    """An open head ends at the first element or text that may not stand in it."""
+    if stack[-1].tag == "head" and (text.strip() or tag and tag not in IN_HEAD):
+        stack.pop()
+
+
 def _close(stack: list[_Element], tag: str) -> None:
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag == tag:

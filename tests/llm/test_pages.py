@@ -107,3 +107,13 @@ def test_given_pages(spark):
         texts = [" ".join(html.unescape(x).split()) for x in parts]
         right += found[r["page_id"]] == "\n\n".join(t for t in texts if t)
     assert len(found) == len(pages) and right >= 0.98 * len(pages)
+
+
+def test_nothing_is_lost_after_empty_elements_formulas_and_open_heads():
+    texts = lambda page: [b.text for b in blocks(page)]
+    assert texts('<p>one</p><svg class="i"/><p>two</p>') == ["one", "two"]
+    assert texts("<p>one</p><math/><p>two</p>") == ["one", "two"]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["so x=1 holds"]
+    assert texts("<p>a<svg><text>no</text></svg>b") == ["a b"]
+    assert texts("<head><title>T</title><meta charset=x><p>one</p><p>two <b>three</b></p>") == ["one", "two three"]
+    assert texts("<html><head><title>T</title><link rel=x>plain<p>one") == ["plain", "one"]
