@@ -131,9 +131,12 @@ def _matches(kind, pattern, normal, counts, text: str) -> Iterator[Mention]:
 
 def _names(text: str) -> Iterator[Mention]:
     """Capitalised words after a form of address: the last one is the family name, those before
-    it given names; and the same family names wherever else they stand in the text."""
-    families: dict[str, str] = {}
-    places: dict[int, Mention] = {}
+    it given names; and the same names wherever else they stand in the text, in any case.
+
+    A person is the first given name with the family name. Whoever has a neutral title takes the
+    gender that the same person's other titles tell; initials are not looked up again."""
+    people: list[tuple[str, list[tuple[int, str]]]] = []
+    genders: dict[tuple[str, str], str] = {}
     for match in PERSON.finditer(text):
         gender = TITLES[match["title"] or match["short"]]
         words = []
@@ -141,15 +144,29 @@ def _names(text: str) -> Iterator[Mention]:
             if not word[0][0].isupper():
                 break
             words.append((match.start("name") + word.start(), word[0]))
+        if words:
+            people.append((gender, words))
+            if gender != "n":
+                genders.setdefault((words[0][1].lower(), words[-1][1].lower()), gender)
+    places: dict[int, Mention] = {}
+    families: dict[str, str] = {}
+    given: dict[str, str] = {}
+    for gender, words in people:
+        if gender == "n":
+            gender = genders.get((words[0][1].lower(), words[-1][1].lower()), "n")
         for i, (start, word) in enumerate(words):
             kind = "family" if i == len(words) - 1 else f"given_{gender}"
             places[start] = Mention(start, start + len(word), kind, f"{_script(word)}:{word.lower()}")
-            if kind == "family":
-                families[word] = kind
-    for word in families:
-        for match in re.finditer(rf"(?<!\w){re.escape(word)}(?!\w)", text):
-            start = match.start()
-            places.setdefault(start, Mention(start, match.end(), "family", f"{_script(word)}:{word.lower()}"))
+            known = families if kind == "family" else given
+            if known.get(word.lower(), "given_n") == "given_n":
+                known[word.lower()] = kind
+    kinds = given | families
+    again = sorted((re.escape(word) for word in kinds if len(word) > 1), key=len, reverse=True)
+    if again:
+        for match in re.finditer(rf"(?<!\w)(?:{'|'.join(again)})(?!\w)", text, re.IGNORECASE):
+            start, word = match.start(), match[0].lower()
+            if word in kinds:
+                places.setdefault(start, Mention(start, match.end(), kinds[word], f"{_script(word)}:{word}"))
     yield from places.values()
 
 

@@ -130,3 +130,19 @@ def test_texts_keep_all_but_their_mentions(spark):
         assert re.fullmatch("(.+?)".join(pieces), r["text"], re.DOTALL)
         for m in find(r["before"]):
             assert m.kind == "family" or r["before"][m.start : m.end] not in r["text"]
+
+
+def test_names_are_found_again_in_any_case():
+    text = "Mr John Smith came. Later John and SMITH left; john smith stayed, Johnny too. Dr A Weber had a cat."
+    found = [text[m.start : m.end] for m in find(text)]
+    assert found == ["John", "Smith", "John", "SMITH", "john", "smith", "A", "Weber"]
+    _, replaced = pii_surrogates._replaced(KEY, text, None)
+    assert not re.search(r"\b(john|smith)\b", replaced, re.IGNORECASE) and "Johnny" in replaced
+
+
+def test_one_person_has_one_surrogate():
+    text = "Dr Anna Weber and Frau Anna Weber; Anna, Prof. Anna Weber, Dr Kim Weber."
+    assert {m.value: m.kind for m in find(text)} == {"latin:anna": "given_f", "latin:weber": "family", "latin:kim": "given_n"}
+    _, replaced = pii_surrogates._replaced(KEY, text, None)
+    names = re.fullmatch(r"Dr (\w+) (\w+) and Frau (\w+) (\w+); (\w+), Prof. (\w+) (\w+), Dr (\w+) (\w+)\.", replaced)
+    assert names[1] == names[3] == names[5] == names[6] and names[2] == names[4] == names[7] == names[9]
