@@ -351,7 +351,7 @@ def word_values(counts: DataFrame) -> DataFrame:
             joined = table.withColumn("_lower", F.exp(-F.col("spelled") / UNIT)).crossJoin(F.broadcast(sums))
             parts.append(sums.select(F.lit(WORDS).cast("bigint").alias("key"), F.log("_weight").alias("value")))
         else:
-            joined = table.join(sums, context).join(lower, words[1:])
+            joined = table.join(sums.hint("merge"), context).join(lower.hint("merge"), words[1:])
             parts.append(sums.select(F.xxhash64(*context).alias("key"), F.log("_weight").alias("value")))
         rest = F.greatest(F.col("_weight") * F.col("_lower"), F.lit(1e-300))
         joined = joined.withColumn("_p", (F.col("n") - taken) / F.col("_total") + rest).withColumn("_rest", rest)
@@ -428,7 +428,7 @@ def text_costs(found: DataFrame, values: DataFrame) -> DataFrame:
     if "odds" not in values.columns:
         values = values.withColumn("odds", F.lit(None).cast("double"))
     spelled = values.sparkSession.createDataFrame([(SPELLED, -1, None)], "key bigint, value bigint, odds double")
-    known = found.join(values.where(F.col("key") != SPELLED).unionByName(spelled), "key")
+    known = found.join(values.where(F.col("key") != SPELLED).unionByName(spelled).hint("merge"), "key")
     each = known.select("key", "value", "odds", F.inline(F.arrays_zip("texts", "counts")).alias("_text", "_n"))
     sums = each.groupBy("_text").agg(
         F.sum(-F.col("value") * F.col("_n")).alias("_cost"),
@@ -463,11 +463,11 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     table = costs(*probabilities(gram_counts(learnt, alphabet)))
     speller = Speller(spark, table, shares_of_symbols(counts, alphabet), alphabet)
     odds = evidence(*(text_grams(x, speller) for x in (bad_text(rows, labels).where(~held), learnt)))
-    values = word_values(trigram_counts(learnt, speller)).join(odds, "key", "full")
+    values = word_values(trigram_counts(learnt, speller)).join(odds.hint("merge"), "key", "full")
     values = written(values.withColumn("value", F.coalesce("value", F.lit(0))), "values")
     sums = text_costs(text_grams(rows.where("length(text) > 0"), speller), values)
     scored = rows.select("doc_id", "lang", "_text", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("_n"))
-    scored = scored.join(sums, "_text", "left").withColumn("_sum", F.coalesce("_sum", F.lit(0.0))).withColumn("_held", held)
+    scored = scored.join(sums.hint("merge"), "_text", "left").withColumn("_sum", F.coalesce("_sum", F.lit(0.0))).withColumn("_held", held)
     scored = scored.withColumn("_odds", F.round(F.coalesce("_odds", F.lit(0.0)), 2))
     scored = written(scored, "scored")
     judged = written(trusted_text(scored.withColumn("text", F.lit("")), labels), "judged")
