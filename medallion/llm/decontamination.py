@@ -1,13 +1,13 @@
 """Benchmark decontamination: MinHash containment search for short items in long documents.
 
 An item is contained in a document if the document has at least four fifths of its distinct
-five-word shingles. Items are partitioned by size. An item of n shingles is sketched by its
+five-word shingles. An item of n shingles is sketched by its
 smallest shingle hashes, as many as may be missing and one more: a document that contains the
 item lacks fewer, so it has at least one of them. The length of the sketch follows from the
-partition's sizes, not from the documents', so that nothing is missed however long a document
-is, where the minima of a whole long document would almost never be those of a short item. A
-document only looks for items of the partitions that it is large enough for. Candidates are
-verified by the shingles themselves.
+item's size, not from the documents', so that nothing is missed however long a document
+is, where the minima of a whole long document would almost never be those of a short item. One
+index holds items of all sizes; candidates that a document is too small for are passed over, the
+others verified by the shingles themselves. Items under five words have no shingle.
 
 Documents are scanned once for each block of items and never shuffled. Only words that the
 block's items use have a number; a shingle with any other word is passed over at once.
@@ -110,7 +110,7 @@ class Block:
             shingles = set(zip(*[w.tolist() for w in windows], strict=True))
             for candidate in sorted(candidates):
                 item = self.items[candidate]
-                # The size partition: a document with fewer shingles can't hold the item.
+                # A document with fewer shingles can't hold the item.
                 if len(shingles) >= item.needed:
                     shared = len(item.shingles & shingles)
                     if shared >= item.needed:
