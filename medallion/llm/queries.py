@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from medallion.llm import (
     decontamination,
     embedding_dedup,
+    hard_negatives,
     html_extraction,
     language_id,
     line_dedup,
     mixing,
+    packing,
     pii_surrogates,
     quality_model,
+    resampling,
     simhash,
     token_blocks,
 )
@@ -69,6 +72,19 @@ def op10_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.tokenized(table(spark, sf_dir, "documents"), path)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resample(documents, benchmark)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op13_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -82,6 +98,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_quality_classifier,
         op10_token_blocks,
+        op11_importance_resampling,
+        op12_hard_negatives,
+        op13_pattern_packing,
     )
 }
 
@@ -89,4 +108,6 @@ ORACLES = {
     "op4_embedding_near_dedup": embedding_dedup.ORACLE,
     "op7_source_mixing": mixing.ORACLE,
     "op8_benchmark_decontamination": decontamination.ORACLE,
+    "op11_importance_resampling": resampling.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }

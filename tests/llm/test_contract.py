@@ -28,7 +28,7 @@ def documents(spark):
 
 def test_one_query_for_each_operator():
     numbers = [name.partition("_")[0] for name in queries.QUERIES]
-    assert numbers == [f"op{n}" for n in range(1, 11)]
+    assert numbers == [f"op{n}" for n in range(1, 14)]
     assert set(contract.queries()) >= {*queries.QUERIES, "pipeline"}
 
 
@@ -84,6 +84,26 @@ def test_tokens_against_whole_texts(spark, documents):
         at += len(ids)
 
 
+def test_packing_against_whole_texts(spark, documents):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = queries.QUERIES["op13_pattern_packing"](spark, SF).collect()
+    want, total = set(), 0
+    for i, r in documents.items():
+        ids = tokenizer.encode(r["text"] or "", add_special_tokens=False).ids + [0]
+        total += len(ids)
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            want.add((i, piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    assert {tuple(r)[:5] for r in rows} == want
+    assert len(rows) == len(want)
+    held = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == held.get(r["sequence_id"], 0)
+        held[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(held.values()) <= 2048
+    assert len(held) <= -(-total // 2048) + 1
+
+
 def test_pipeline_against_its_stages_by_hand(spark, documents):
     rows = corpus_pipeline.run(spark, SF).collect()
     kept = {i: r["text"] for i, r in documents.items() if any(c.isalpha() for c in r["text"] or "")}

@@ -1,0 +1,126 @@
+"""Hard negatives: the curve, zone bounds, all pairs by hand, odd rows."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from medallion.llm import hard_negatives
+from medallion.llm.common import written
+from tests.conftest import tuples
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows):
+    held = []
+    for number, (i, x, label) in enumerate(rows):
+        if i is None or label is None or not x or any(v is None or not math.isfinite(v) for v in x):
+            continue
+        whole = [math.floor(256 * float(np.float32(v))) for v in x]
+        held.append((number, i, (label + 1) % 10 if i % 7 == 0 else label, whole))
+    result = []
+    for a, i, label, x in held:
+        if i % 100:
+            continue
+        others = sorted(
+            ((-sum(p * q for p, q in zip(x, y)), j, b, other) for b, j, other, y in held if b != a and len(y) == len(x))
+        )
+        for score, j, _, _ in [o for o in others if o[3] == label][:5]:
+            near = [o for o in others if o[3] != label and 30 * -score <= 100 * -o[0] <= 90 * -score]
+            result += [(i, j, rank + 1, o[1], -score, -o[0]) for rank, o in enumerate(near[:10])]
+    return sorted(result, key=repr)
+
+
+def clustered(n, dim=8, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dim))
+    rows = []
+    for i in range(n):
+        x = centres[i % 6] + 0.4 * rng.normal(size=dim)
+        rows.append((i, (x / np.linalg.norm(x)).tolist(), int(rng.integers(0, 4))))
+    return rows
+
+
+@pytest.mark.parametrize("dim, bits", [(2, 4), (3, 3), (4, 2)])
+def test_the_curve_visits_neighbours(dim, bits):
+    cells = np.stack(np.meshgrid(*[np.arange(1 << bits)] * dim), -1).reshape(-1, dim)
+    keys = [k.tobytes() for k in hard_negatives.hilbert_keys(cells, bits)]
+    assert len(set(keys)) == len(cells)
+    path = cells[sorted(range(len(keys)), key=keys.__getitem__)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_intervals_hold_all_products():
+    rng = np.random.default_rng(1)
+    anchors, rows = rng.integers(-300, 300, (7, 5)), rng.integers(-300, 300, (40, 5))
+    least, most = hard_negatives.intervals(anchors, rows.min(axis=0)[None], rows.max(axis=0)[None])
+    products = anchors @ rows.T
+    assert (least[:, 0] <= products.min(axis=1)).all() and (products.max(axis=1) <= most[:, 0]).all()
+
+
+def test_products_beyond_doubles_are_exact():
+    left, right = np.array([[1 << 27, 1]]), np.array([[1 << 27, 1], [(1 << 27) - 1, 3]])
+    assert hard_negatives._products(left, right).tolist() == [[(1 << 54) + 1, (1 << 54) - (1 << 27) + 3]]
+
+
+def test_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "BLOCK", 16)
+    monkeypatch.setattr(hard_negatives, "SHELF", 2)
+    monkeypatch.setattr(hard_negatives, "TILE", 3)
+    rows = clustered(900)
+    rows = [(i * 25, x, label) for i, x, label in rows]
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    got = tuples(hard_negatives.mine(df))
+    assert len(got) > 1000
+    assert got == brute(rows)
+
+
+def test_zone_maps_leave_blocks_unread(spark, monkeypatch):
+    """Of clustered vectors most blocks are read for few of the anchors."""
+    monkeypatch.setattr(hard_negatives, "BLOCK", 16)
+    stored = {}
+
+    def kept(df, name):
+        stored[name] = written(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(hard_negatives, "written", kept)
+    rows = [(i * 25, x, 0) for i, x, _ in clustered(1200, dim=4)]
+    blocks = hard_negatives.blocks_of(hard_negatives.labelled(spark.createDataFrame(rows, VECTORS)))
+    anchors = hard_negatives.anchors_of(blocks)
+    limits = {"low": F.array(F.lit(-hard_negatives.NO_LIMIT)), "high": F.array(F.lit(hard_negatives.NO_LIMIT))}
+    assert hard_negatives.search(blocks, anchors.withColumns(limits), 5, True).count() == 5 * 300
+    visits = sum(byte.bit_count() for r in stored["needed"].collect() for byte in r["readers"])
+    assert 0 < visits < 0.5 * 300 * blocks.count()
+
+
+def test_odd_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i * 20, rng.normal(size=3).tolist(), i % 3) for i in range(60)]
+    rows += [
+        (None, [1.0, 0.0, 0.0], 1), (100, None, 1), (100, [], 1), (200, [1.0, None, 0.0], 1),
+        (300, [float("nan"), 0.0, 0.0], 1), (300, [float("inf"), 0.0, 0.0], 1), (400, [1.0, 0.0, 0.0], None),
+        (500, [0.0, 0.0, 0.0], 1), (600, [1.0, 2.0], 1), (601, [1.0, 2.5], 1), (602, [0.5, 1.0], 2),
+        (20, rows[1][1], 1), (20, rows[1][1], 1), (700, rows[1][1], 1), (700, rows[1][1], 1),
+    ]
+    df = spark.createDataFrame(rows, VECTORS).selectExpr("*", "1 AS row", "'x' AS score", "2 AS rank")
+    got = tuples(hard_negatives.mine(df))
+    assert got == brute(rows)
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INTEGER)")
+    connection.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    assert sorted(connection.execute(hard_negatives.ORACLE).fetchall(), key=repr) == got
+    huge = [(0, [1e30, 1.0, 0.0], 1)]
+    assert tuples(hard_negatives.mine(spark.createDataFrame(rows + huge, VECTORS))) == got
+
+
+def test_few_rows(spark):
+    for rows in ([], [(100, [1.0], 1)], [(100, [1.0], 1), (1, [1.0], 1)]):
+        assert hard_negatives.mine(spark.createDataFrame(rows, VECTORS)).collect() == []
+    rows = [(100, [1.0], 1), (1, [1.0], 1), (2, [0.5], 2)]
+    assert tuples(hard_negatives.mine(spark.createDataFrame(rows, VECTORS))) == [(100, 1, 1, 2, 65536, 32768)]
