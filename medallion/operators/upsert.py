@@ -1,17 +1,20 @@
-"""Keyed latest-wins upsert into a hash-bucketed parquet table.
+"""Keyed latest-wins upsert into a table that is clustered by its key.
 
-The table is cut into buckets by a hash of the key, and a batch rewrites only the buckets it
-has keys in. Each bucket lies in the folder of the run that last wrote it; the newest entry
-of the journal beside them says which run that is. A batch goes in three steps:
+The table has one or two layers, each a bucketed Parquet table: the base, and over it the rows
+that changed since the base was written. Spark knows how both are clustered, so a join with a
+batch moves the batch alone. A batch goes in four steps:
 
 1. the batch, reduced to the newest row per key, is written to a work folder;
-2. touched buckets and batch are merged and written, once, to a folder of the run's own;
-3. one new journal entry, with the counts per action, makes them the table's.
-
-Readers follow the entry they found and never see half a batch. A run that dies leaves files
-that no entry names and nobody reads. Of two writers that start from the same version the
-first to make its entry wins, and the other one's run fails without effect. ``vacuum`` deletes
-the folders that no kept version names.
+2. each of its rows is judged against the key and order columns of the row that the table holds;
+3. rows that win are laid over the changed ones, which are written anew; once these are more
+   than ``fold`` of the table, a new base is written instead;
+4. one new journal entry, with the counts per action, names the layers.
+
+So a batch costs its own size and that of the changed rows, not that of the table; a batch that
+wins nothing writes nothing. Readers follow the entry they found and never see half a batch. A
+run that dies leaves files that no entry names and nobody reads. Of two writers that start from
+the same version the first to make its entry wins, and the other one's run fails without effect.
+``vacuum`` deletes the folders that the newest version does not name.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +31,9 @@ from medallion.operators.dedupe import latest_per_key
 from medallion.schema import LONG, TEXT, TIME, struct
 from medallion.sources import files, journal
 
-BUCKET = "bucket"
-ACTION = "_action"
+# The version in which a row came to be as it is.
+VERSION = "_version"
+ACTION, WINS, HELD = "_action", "_wins", "_held"
 ACTIONS = ("inserted", "updated", "unchanged", "stale", "kept")
 OPERATION = struct(
     version=LONG,
@@ -38,18 +42,24 @@ OPERATION = struct(
     operation=TEXT,
     **dict.fromkeys(ACTIONS, LONG),
 )
+EMPTY = {"version": 0, "base": None, "changes": None, "base_version": 0, "rows": 0, "changed_rows": 0}
 
 
 @dataclass(frozen=True)
 class StateTable:
-    """A one-row-per-key table. Choose ``buckets`` so that one is a task's work (a few hundred
-    MB); ``rebucket`` changes it."""
+    """A one-row-per-key table.
+
+    Choose ``buckets`` so that one is a task's work (a few hundred MB); ``rebucket`` changes it.
+    ``fold`` is the share of the rows that may lie in the changed layer: more make small batches
+    cheaper, and reading dearer.
+    """
 
     path: str
     schema: T.StructType
     buckets: int
     key: str = "client_id"
     order: Sequence[str] = ("updated_at", "event_id")
+    fold: float = 0.25
 
     @property
     def journal(self) -> str:
@@ -57,59 +67,73 @@ class StateTable:
 
     @property
     def stored_schema(self) -> T.StructType:
-        return T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-
-    def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        return T.StructType(self.schema.fields + [T.StructField(VERSION, LONG)])
 
-    def folder(self, run: str, bucket: str) -> str:
-        return f"{self.path}/data/run={run}/{BUCKET}={bucket}"
+    def folder(self, run: str) -> str:
+        return f"{self.path}/data/run={run}"
 
-    def folders(self, spark: SparkSession) -> dict[str, str]:
-        """Where the newest version's buckets lie, by bucket."""
-        now = journal.newest(spark, self.journal)
-        return {b: self.folder(run, b) for b, run in now["runs"].items()} if now else {}
+    def version(self, spark: SparkSession) -> int:
+        """The newest version; 0 before the first batch."""
+        return (journal.newest(spark, self.journal) or EMPTY)["version"]
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, self.folders(spark).values()).drop(BUCKET)
-
-    def _read(self, spark: SparkSession, folders) -> DataFrame:
-        if not folders:
-            return spark.createDataFrame([], self.stored_schema)
-        reader = spark.read.schema(self.stored_schema).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).select(*self.stored_schema.names)
-
-
-def merge(
-    target: DataFrame, source: DataFrame, table: StateTable, compare: Sequence[str] = ()
-) -> DataFrame:
-    """Rows after the merge, with the action taken on each.
-
-    Both sides hold at most one row per key, and both have the bucket column. The newer
-    row wins, the one in the table if neither is newer. With ``compare``, a newer row that
-    agrees in those columns counts as unchanged; the table's rows are the same with or
-    without.
-
-    Both sides are shuffled to one bucket per task, and the window needs no shuffle of
-    its own.
-    """
-    sides = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
-    sides = sides.repartitionById(table.buckets, F.col(BUCKET))
-    table_first = Window.partitionBy(BUCKET, table.key).orderBy("_new")
-    payload = [name for name in table.schema.names if name != table.key]
-    pairs = sides.withColumns(
-        {
-            "_rank": F.row_number().over(table_first),
-            "_incoming": F.lead(F.struct(*payload)).over(table_first),
-        }
-    ).where(F.col("_rank") == 1)
-    # A row of the batch that comes first has no partner in the table.
-    action = F.when(F.col("_new") == 1, "inserted").otherwise(_action(table, compare))
-    newer = _side(table.order) < _side(table.order, "_incoming")
-    values = {n: F.when(newer, F.col("_incoming")[n]).otherwise(F.col(n)).alias(n) for n in payload}
-    return pairs.select(
-        *[values.get(name, F.col(name)) for name in table.schema.names], BUCKET, action.alias(ACTION)
-    )
+        return self.rows(spark).drop(VERSION)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The rows with the version that each is from."""
+        return self._rows(spark, journal.newest(spark, self.journal) or EMPTY)
+
+    def changed_since(self, spark: SparkSession, version: int) -> DataFrame:
+        """Of the rows, with their versions, those that came in after that version.
+
+        The base is read only if it was written after it.
+        """
+        now = journal.newest(spark, self.journal) or EMPTY
+        return self._rows(spark, now, version).where(F.col(VERSION) > version)
+
+    def _rows(self, spark: SparkSession, now: dict, since: int = 0) -> DataFrame:
+        layers = [self._layer(spark, now, name) for name in ("base", "changes") if now[name]]
+        if len(layers) == 2 and now["base_version"] <= since:
+            return layers[1]
+        if len(layers) == 2:
+            base, changes = layers
+            return base.join(changes.select(self.key), self.key, "left_anti").unionByName(changes)
+        return layers[0] if layers else spark.createDataFrame([], self.stored_schema)
+
+    def register(self, spark: SparkSession, name: str) -> None:
+        """Make the newest version known to the catalog as a view, in one statement."""
+        now = journal.newest(spark, self.journal) or EMPTY
+        columns = ", ".join(f"`{c}`" for c in self.schema.names)
+        if not now["base"]:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in self.schema)
+            query = f"SELECT {nothing} WHERE false"
+        else:
+            for layer in ("base", "changes"):
+                if now[layer]:
+                    self._layer(spark, now, layer)
+            query = f"SELECT {columns} FROM {_name(now['base'])}"
+            if now["changes"]:
+                over = _name(now["changes"])
+                query += f" LEFT ANTI JOIN {over} USING (`{self.key}`) UNION ALL SELECT {columns} FROM {over}"
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+    def _layer(self, spark: SparkSession, now: dict, layer: str) -> DataFrame:
+        return self._bucketed(spark, _name(now[layer]), self.folder(now[layer]), now["buckets"])
+
+    def _bucketed(self, spark: SparkSession, name: str, folder: str, buckets: int) -> DataFrame:
+        # Only the catalog can tell Spark that files are clustered. An entry is made by whoever
+        # needs it, so that it does not matter whether the catalog outlives the session.
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored_schema)
+        where = folder.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{self.key}`) "
+            f"SORTED BY (`{self.key}`) INTO {buckets} BUCKETS LOCATION '{where}'"
+        )
+        return spark.table(name)
+
+
+def _name(run: str) -> str:
+    return f"state_{run}"
 
 
 def _side(names: Sequence[str], inside: str | None = None) -> Column:
@@ -117,15 +141,47 @@ def _side(names: Sequence[str], inside: str | None = None) -> Column:
     return F.struct(*[F.col(inside)[name] if inside else F.col(name) for name in names])
 
 
-def _action(table: StateTable, compare: Sequence[str]) -> Column:
-    """What a row ``_incoming`` of the batch does to the row of the table it belongs to."""
-    held, offered = _side(table.order), _side(table.order, "_incoming")
-    action = F.when(F.col("_incoming").isNull(), "kept").when(held > offered, "stale")
+def judge(
+    batch: DataFrame, layers: Sequence[DataFrame], table: StateTable, compare: Sequence[str] = ()
+) -> DataFrame:
+    """The rows of the batch, with the action that each takes and whether it wins.
+
+    ``layers`` are the table's, the upper one first; what they hold counts from the first that
+    has the key. The newer row wins, the one in the table if neither is newer. With ``compare``,
+    a newer row that agrees in those columns counts as unchanged; it wins all the same.
+
+    Of the layers only key, order and compared columns of the batch's keys are looked at, where
+    they lie.
+    """
+    named = dict.fromkeys([*table.order, *compare])
+    keys = batch.select(table.key)
+    sides = batch
+    for number, layer in enumerate(layers):
+        held = layer.select(table.key, F.struct(*named).alias(f"{HELD}{number}"))
+        sides = sides.join(held.join(keys, table.key, "left_semi"), table.key, "left")
+    found = [F.col(f"{HELD}{number}") for number in range(len(layers))]
+    sides = sides.withColumn(HELD, F.coalesce(*found) if found else F.lit(None))
+    if not found:
+        return sides.withColumns({ACTION: F.lit("inserted"), WINS: F.lit(True)}).drop(HELD)
+    held, offered = _side(table.order, HELD), _side(table.order)
+    new = F.col(HELD).isNull()
+    action = F.when(new, "inserted").when(held > offered, "stale")
     action = action.when(held.eqNullSafe(offered), "unchanged")
     if compare:
-        same = _side(compare).eqNullSafe(_side(compare, "_incoming"))
-        action = action.when(same, "unchanged")
-    return action.otherwise("updated")
+        action = action.when(_side(compare).eqNullSafe(_side(compare, HELD)), "unchanged")
+    judged = sides.withColumns({ACTION: action.otherwise("updated"), WINS: new | (held < offered)})
+    return judged.drop(HELD, *[f"{HELD}{number}" for number in range(len(layers))])
+
+
+def lay_over(lower: DataFrame, upper: DataFrame, table: StateTable) -> DataFrame:
+    """All rows of ``upper``, and those of ``lower`` whose key it lacks. Clustered sides are
+    joined where they lie."""
+    rest = [name for name in table.stored_schema.names if name != table.key]
+    below = lower.select(table.key, F.struct(*rest).alias("_below"))
+    above = upper.select(table.key, F.struct(*rest).alias("_above"))
+    taken = F.coalesce("_above", "_below")
+    both = below.join(above, table.key, "full_outer").select(table.key, taken.alias("_taken"))
+    return both.select(table.key, "_taken.*").select(*table.stored_schema.names)
 
 
 def upsert(
@@ -142,37 +198,57 @@ def upsert(
     an event without a key stops the run. The result does not depend on how the
     events were split into batches, and a batch brought in twice changes nothing.
     """
-    now = _present(spark, table)
-
-    def merged(batch: DataFrame, touched: list[str]) -> DataFrame:
-        held = [table.folder(now["runs"][b], b) for b in touched if b in now["runs"]]
-        return merge(table._read(spark, held), batch, table, compare)
-
-    return _written(spark, table, now, source, "upsert", batch_id, run_ts, merged, now["runs"])
+    now, run = _present(spark, table), uuid.uuid4().hex
+    work = f"{table.path}/work/run={run}"
+    batch = _newest(spark, table, source, f"{work}/batch")
+    layers = [table._layer(spark, now, name) for name in ("changes", "base") if now[name]]
+    judged = judge(batch, layers, table, compare).withColumn(VERSION, F.lit(now["version"] + 1).cast("bigint"))
+    judged.write.parquet(f"{work}/judged")
+    judged = spark.read.schema(judged.schema).parquet(f"{work}/judged")
+    counts = _counts(judged)
+    won = counts.pop("won")
+    entry = {**now, "rows": now["rows"] + counts["inserted"]}
+    winners = judged.where(WINS).select(*table.stored_schema.names)
+    if won and won + now["changed_rows"] <= table.fold * now["rows"]:
+        changed = lay_over(layers[0], winners, table) if now["changes"] else winners
+        entry |= {"changes": run, "changed_rows": _write(spark, table, changed, run, not now["changes"])}
+    elif won:
+        over = lay_over(layers[0], winners, table) if now["changes"] else winners
+        whole = lay_over(layers[-1], over, table) if now["base"] else over
+        _write(spark, table, whole, run, not now["base"])
+        entry |= {"base": run, "base_version": now["version"] + 1, "changes": None, "changed_rows": 0}
+    counts["kept"] = now["rows"] - sum(counts[name] for name in ("updated", "unchanged", "stale"))
+    return _entered(spark, table, entry, "upsert", batch_id, run_ts, counts, work)
 
 
 def rebuild(
     spark: SparkSession, table: StateTable, source: DataFrame, batch_id: str, run_ts: Column
 ) -> DataFrame:
-    """Make the table the newest rows of ``source`` alone, and return the audit row."""
-    now = _present(spark, table, any_buckets=True)
-
-    def merged(batch: DataFrame, _: list[str]) -> DataFrame:
-        rows = batch.repartitionById(table.buckets, F.col(BUCKET))
-        return rows.withColumn(ACTION, F.lit("inserted"))
-
-    return _written(spark, table, now, source, "rebuild", batch_id, run_ts, merged, {})
+    """Make the table the newest rows of ``source`` alone, and return the audit row. A row that
+    is as new as the one held keeps the version that it is from."""
+    now, run = _present(spark, table, any_buckets=True), uuid.uuid4().hex
+    work = f"{table.path}/work/run={run}"
+    batch = _newest(spark, table, source, f"{work}/batch")
+    held = table.rows(spark).select(table.key, _side(table.order).alias(HELD), F.col(VERSION).alias("_from"))
+    same = F.col(HELD).eqNullSafe(_side(table.order))
+    version = F.when(same, F.col("_from")).otherwise(F.lit(now["version"] + 1).cast("bigint"))
+    versioned = batch.join(held, table.key, "left").withColumn(VERSION, version)
+    versioned = versioned.select(*table.stored_schema.names)
+    return _anew(spark, table, now, versioned, run, "rebuild", "inserted", batch_id, run_ts, work)
 
 
 def rebucket(spark: SparkSession, table: StateTable, batch_id: str, run_ts: Column) -> DataFrame:
     """Write the table anew in ``table.buckets`` buckets, whatever number it had."""
-    now = _present(spark, table, any_buckets=True)
+    now, run = _present(spark, table, any_buckets=True), uuid.uuid4().hex
+    rows = table.rows(spark)
+    return _anew(spark, table, now, rows, run, "rebucket", "kept", batch_id, run_ts, None)
 
-    def merged(batch: DataFrame, _: list[str]) -> DataFrame:
-        rows = batch.repartitionById(table.buckets, F.col(BUCKET))
-        return rows.withColumn(ACTION, F.lit("kept"))
 
-    return _written(spark, table, now, table.read(spark), "rebucket", batch_id, run_ts, merged, {})
+def _anew(spark, table, now, rows, run, operation, action, batch_id, run_ts, work) -> DataFrame:
+    many = _write(spark, table, rows, run, True)
+    entry = EMPTY | {"base": run, "base_version": now["version"] + 1, "rows": many, "version": now["version"]}
+    counts = dict.fromkeys(ACTIONS, 0) | {action: many}
+    return _entered(spark, table, entry, operation, batch_id, run_ts, counts, work)
 
 
 def last_operation(spark: SparkSession, table: StateTable) -> DataFrame:
@@ -188,50 +264,58 @@ def operations(spark: SparkSession, table: StateTable) -> DataFrame:
 def vacuum(spark: SparkSession, table: StateTable) -> None:
     """Delete the folders of runs that the newest version does not name. Not to be run while
     the table is being written, or an older version still being read."""
-    now = journal.newest(spark, table.journal)
-    named = set(now["runs"].values()) if now else set()
+    now = journal.newest(spark, table.journal) or EMPTY
     for name in files.matching(spark, f"{table.path}/data/run=*"):
-        if name.partition("=")[2] not in named:
-            files.delete(spark, f"{table.path}/data/{name}")
+        run = name.partition("=")[2]
+        if run not in (now["base"], now["changes"]):
+            spark.sql(f"DROP TABLE IF EXISTS {_name(run)}")
+            files.delete(spark, table.folder(run))
 
 
 def _present(spark: SparkSession, table: StateTable, any_buckets: bool = False) -> dict:
-    now = journal.newest(spark, table.journal) or {"version": 0, "runs": {}, "buckets": table.buckets}
+    now = journal.newest(spark, table.journal) or {**EMPTY, "buckets": table.buckets}
     if now["buckets"] != table.buckets and not any_buckets:
         raise ValueError(f"the table was not written with {table.buckets} buckets; see rebucket")
     return now
 
 
-def _written(spark, table, now, source, operation, batch_id, run_ts, merged, runs) -> DataFrame:
-    run = uuid.uuid4().hex
-    work, data = f"{table.path}/work/run={run}", f"{table.path}/data/run={run}"
+def _newest(spark: SparkSession, table: StateTable, source: DataFrame, path: str) -> DataFrame:
     newest = latest_per_key(source.select(*table.schema.names), table.key, table.order)
     key = F.col(table.key)
     checked = F.when(key.isNotNull(), key).otherwise(F.raise_error(F.lit("event without a key")))
-    newest = newest.withColumn(table.key, checked).withColumn(BUCKET, table.bucket_of())
-    newest.write.parquet(work)
-    batch = spark.read.schema(table.stored_schema).parquet(work)
-    # At most ``table.buckets`` small integers.
-    touched = [str(row[BUCKET]) for row in batch.select(BUCKET).distinct().collect()]
-    merged(batch, touched).write.partitionBy(BUCKET).parquet(data)
-    counts = _counts(spark, data) if touched else dict.fromkeys(ACTIONS, 0)
+    newest.withColumn(table.key, checked).write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def _counts(judged: DataFrame) -> dict[str, int]:
+    # Counted on finished files: counters inside the writing job would count a task
+    # twice when a lost executor makes it run again.
+    actions = [F.count_if(F.col(ACTION) == name).alias(name) for name in ACTIONS]
+    return judged.agg(*actions, F.count_if(F.col(WINS)).alias("won")).first().asDict()
+
+
+def _write(spark: SparkSession, table: StateTable, rows: DataFrame, run: str, spread: bool) -> int:
+    """Write a layer, one file per bucket, and return its number of rows. Rows that come out of a
+    join of layers are clustered already; others are to be spread."""
+    if spread:
+        rows = rows.repartition(table.buckets, table.key)
+    writer = rows.write.format("parquet").bucketBy(table.buckets, table.key).sortBy(table.key)
+    writer.option("path", table.folder(run)).saveAsTable(_name(run))
+    return spark.table(_name(run)).count()
+
+
+def _entered(spark, table, layers, operation, batch_id, run_ts, counts, work) -> DataFrame:
+    version = layers["version"] + 1
+    named = {name: layers[name] for name in EMPTY if name != "version"}
     entry = {
+        **named,
         "batch_id": batch_id,
         "run_ts": spark.range(1).select(run_ts.cast("timestamp_ntz").cast("string")).first()[0],
         "operation": operation,
         "buckets": table.buckets,
-        "runs": {**runs, **dict.fromkeys(touched, run)},
         **counts,
     }
-    journal.add(spark, table.journal, now["version"] + 1, entry)
-    files.delete(spark, work)
+    journal.add(spark, table.journal, version, entry)
+    if work:
+        files.delete(spark, work)
     return last_operation(spark, table)
-
-
-def _counts(spark: SparkSession, data: str) -> dict[str, int]:
-    # Counted on the finished files: counters inside the merge job would count a task
-    # twice when a lost executor makes it run again.
-    schema = T.StructType([T.StructField(ACTION, T.StringType())])
-    actions = spark.read.schema(schema).parquet(data)
-    row = actions.agg(*[F.count_if(F.col(ACTION) == name).alias(name) for name in ACTIONS]).first()
-    return row.asDict()

@@ -14,20 +14,24 @@ ANY_DIGIT = "[0-9]"
 
 @dataclass(frozen=True)
 class DayWindow:
-    """Days ``first`` to ``last`` inclusive; both None means every day."""
+    """Days ``first`` to ``last`` inclusive, or the days ``listed``; none of them means every
+    day."""
 
     first: date | None = None
     last: date | None = None
+    listed: tuple[str, ...] | None = None
 
     @property
     def everything(self) -> bool:
-        return self.first is None
+        return self.first is None and self.listed is None
 
     @property
     def single(self) -> bool:
-        return self.first is not None and self.first == self.last
+        return not self.everything and len(self.days()) == 1
 
     def days(self) -> list[str]:
+        if self.listed is not None:
+            return sorted(self.listed)
         span = (self.last - self.first).days + 1
         return [(self.first + timedelta(days=n)).strftime(DAY_FORMAT) for n in range(span)]
 
@@ -35,6 +39,8 @@ class DayWindow:
         """Predicate on the bare partition column, so that partitions are pruned."""
         if self.everything:
             return F.lit(True)
+        if self.listed is not None:
+            return load_date.isin(*self.listed)
         return load_date.between(self.first.strftime(DAY_FORMAT), self.last.strftime(DAY_FORMAT))
 
     def glob(self) -> str:

@@ -16,11 +16,11 @@ from pyspark.sql import types as T
 
 from medallion import session
 from medallion.functions.phones import null_unless
-from medallion.operators.upsert import BUCKET, StateTable, rebuild, upsert
+from medallion.operators.upsert import StateTable, rebuild, upsert
 from medallion.operators.windows import DayWindow, day_window, one_day
 from medallion.schema import LONG, TEXT, TIME, struct
 from medallion.session import work_folder
-from medallion.sources import journal, tables
+from medallion.sources import journal, ledger, tables
 from medallion.sources.landing import (
     Landing,
     bad_lines,
@@ -31,6 +31,7 @@ from medallion.sources.landing import (
     scan,
 )
 
+NEW_FILES = "new-files"
 # Files carry no event number: of versions of equal time the later load day counts, then
 # the later ingest. What one ingest brings twice is decided by a hash of the contents.
 CONTENT = "content_hash"
@@ -62,7 +63,8 @@ def bronze_schema(landing: Landing) -> T.StructType:
 class ClientEtl:
     """Where the job reads and writes.
 
-    Rejected lines go to a by-day table of their own, by default beside bronze.
+    Rejected lines go to a by-day table of their own, by default beside bronze, and so does the
+    ledger of the files taken in.
     ``bronze_table`` and ``silver_table`` are the catalog's names for the tables; with them
     the job registers what it wrote.
     """
@@ -80,9 +82,13 @@ class ClientEtl:
     def rejects(self) -> str:
         return self.rejects_path or f"{self.bronze_path}_rejects"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.bronze_path}_files"
+
     @property
     def journal(self) -> str:
-        return f"{self.bronze_path}_journal"
+        return f"{self.bronze_path}/{tables.VERSIONS}"
 
     @property
     def silver(self) -> StateTable:
@@ -103,6 +109,13 @@ def bronze_operations(spark: SparkSession, job: ClientEtl) -> DataFrame:
     return journal.history(spark, job.journal, BRONZE_OPERATION)
 
 
+def rejects(spark: SparkSession, job: ClientEtl) -> DataFrame:
+    """The lines that the newest run of each day could not take in, and why."""
+    added = struct(line=TEXT, load_date=TEXT, source_file=TEXT, reason=TEXT)
+    schema = T.StructType([*job.landing.schema.fields, *added.fields])
+    return tables.read_days(spark, job.rejects, schema, DayWindow())
+
+
 def update_bronze(
     spark: SparkSession,
     job: ClientEtl,
@@ -116,10 +129,14 @@ def update_bronze(
     A day whose landing folder is gone stays as it is; one whose folder is there without a
     good line becomes empty. A full refresh takes the place of everything, and is refused if
     there is no folder at all. The files are parsed once.
+
+    One entry makes all days new and holds the audit. What follows it, rejects, ledger and
+    catalog, is made good by a rerun if the driver is lost in between.
     """
     found = days_found(spark, job.landing, window)
     if window.everything and not found:
         raise FileNotFoundError(f"no day folders in {job.landing.path}: nothing to refresh from")
+    listed = ledger.listing(spark, job.landing, window)
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
     schema = bronze_schema(job.landing)
     lines = _parsed(spark, job, window)
@@ -127,29 +144,28 @@ def update_bronze(
     days = None if window.everything else found
     if load_date and not window.everything:
         window, days = one_day(load_date), [load_date] if found else []
-    written, filled = tables.write_days(rows.select(*schema.names), job.bronze_path, window, days)
-    rejected = tables.replace_days(
+    new = tables.stage_days(rows.select(*schema.names), job.bronze_path, window, days)
+    rejected = tables.stage_days(
         bad_lines(lines), job.rejects, DayWindow(), None if days is None else found
     )
+    version = new.commit(operation=mode, run_ts=run_ts.isoformat(" "), rejects=rejected.rows)
+    rejected.commit()
+    ledger.record(listed, job.ledger, found)
     if job.bronze_table:
         everything = window.everything
-        listed = tables.partitions(spark, job.bronze_path, tables.DAY, window.glob())
+        folders = tables.day_folders(spark, job.bronze_path, window)
         tables.register(
-            spark, job.bronze_table, job.bronze_path, schema, tables.DAY, listed, everything
+            spark, job.bronze_table, job.bronze_path, schema, tables.DAY, folders, everything
         )
-    last = journal.newest(spark, job.journal)
-    version = last["version"] + 1 if last else 1
-    entry = {
-        "operation": mode,
-        "run_ts": run_ts.isoformat(" "),
-        "rows": written,
-        "rejects": rejected,
-        "days": filled,
-    }
-    journal.add(spark, job.journal, version, entry)
     return bronze_operations(spark, job).where(F.col("version") == version)
 
 
+def late_days(spark: SparkSession, job: ClientEtl, window: DayWindow = DayWindow()) -> DayWindow:
+    """Days of the window whose files are not those that were last taken in."""
+    listed = ledger.listing(spark, job.landing, window)
+    return DayWindow(listed=tuple(ledger.changed_days(spark, listed, job.ledger, window)))
+
+
 def _parsed(spark: SparkSession, job: ClientEtl, window: DayWindow) -> DataFrame:
     lines = judged(scan(spark, job.landing, window), job.landing)
     path = work_folder(spark, "lines")
@@ -182,8 +198,7 @@ def update_silver(
         same = [name for name in [*business, "load_date"] if name != job.silver.key]
         audit = upsert(spark, job.silver, source, batch_id, run_ts, same)
     if job.silver_table:
-        schema, folders = job.silver.stored_schema, job.silver.folders(spark)
-        tables.register(spark, job.silver_table, job.silver_path, schema, BUCKET, folders, True)
+        job.silver.register(spark, job.silver_table)
     return audit
 
 
@@ -198,10 +213,19 @@ def run(
 ) -> EtlResult:
     """One run of the job for the days that ``mode`` names, seen from ``as_of``.
 
+    ``new-files`` takes in the days, from ``start_day`` on or of all time, in which files have
+    come, changed or gone since they were last taken in.
+
     ``load_date`` (YYYYMMDD) puts all of the run's events under the day of processing
     instead of the days of their folders.
     """
-    window = day_window(mode, as_of, start_day)
+    if mode == NEW_FILES:
+        if load_date:
+            raise ValueError("new-files takes whole days of the landing zone: no load_date")
+        within = day_window("d-x", as_of, start_day) if start_day else DayWindow()
+        window = late_days(spark, job, within)
+    else:
+        window = day_window(mode, as_of, start_day)
     bronze = update_bronze(spark, job, window, mode, run_ts, load_date)
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
     days = one_day(load_date) if load_date and not window.everything else window
@@ -211,8 +235,8 @@ def run(
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Landing files to bronze and silver.")
-    parser.add_argument("--mode", required=True, choices=("d-1", "d-x", "full-refresh"))
-    parser.add_argument("--start-day", help="first day of d-x, YYYYMMDD")
+    parser.add_argument("--mode", required=True, choices=("d-1", "d-x", "full-refresh", NEW_FILES))
+    parser.add_argument("--start-day", help="first day of d-x or new-files, YYYYMMDD")
     parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
     parser.add_argument("--load-date", help="day of processing for all events, YYYYMMDD")
     for name in ("landing", "bronze", "silver"):

@@ -353,6 +353,11 @@ ORACLES: dict[str, str] = {
         CASE WHEN load_date > '20240110' THEN upper(event_type) ELSE event_type END AS event_type)
       FROM (SELECT {EVENT} FROM events)
       WHERE load_date BETWEEN '20240101' AND '20240131' AND load_date <> '20240120'""",
+    "bronze_late_files": f"""WITH daily AS (SELECT {EVENT} FROM events)
+      SELECT *, CASE WHEN load_date = '20240120' OR load_date IN (
+          SELECT load_date FROM daily WHERE event_id % 7 = 0 AND load_date <= '20240110')
+        THEN '2024-02-01' ELSE '2024-01-31' END || ' 00:00:00.000000' AS ingested_at
+      FROM daily WHERE load_date <> '20240120' OR event_type <> 'click'""",
     "bronze_audit": BRONZE_AUDIT,
     "bronze_replace_days": f"""SELECT {EVENT} FROM events
       WHERE CAST(ts AS date) NOT BETWEEN date '2024-01-10' AND date '2024-01-12'

@@ -19,6 +19,7 @@ from medallion.operators.upsert import StateTable, last_operation, rebuild, upse
 from medallion.operators.windows import DayWindow, day_window
 from medallion.plans import client_etl, report
 from medallion.quality import engine, rules
+from medallion.quality.incremental import check_changes, violations
 from medallion.schema import BUSINESS_COLUMNS, DAY_FOLDER, PERSON_TYPES, TEXT, struct
 from medallion.session import work_folder
 from medallion.sources import files, tables
@@ -145,6 +146,29 @@ def bronze_missing_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read(spark, job.bronze_path, _daily_schema()))
 
 
+def bronze_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all of January, and one over new files when a seventh of the events of its first
+    ten days have come in late and the file of the 20th was delivered anew without clicks. The
+    time of ingest tells which days were taken in again."""
+    folder = work_folder(spark, "bronze_late_files")
+    events = _daily_events(spark, sf_dir).withColumn("particao", F.col("load_date"))
+    landing = Landing(f"{folder}/landing", fixtures.EVENTS, ("event_id",), (), options=fixtures.CSV_TIMES)
+    job = client_etl.ClientEtl(landing, f"{folder}/bronze", f"{folder}/silver", fixtures.STATE_BUCKETS)
+    late = (F.col("event_id") % 7 == 0) & (F.col("load_date") <= "20240110")
+    columns = [*fixtures.EVENTS.names, "particao"]
+    fixtures.write_landing(events.where(~late).select(*columns), landing.path)
+    client_etl.update_bronze(spark, job, DayWindow(), "full-refresh", datetime(2024, 1, 31))
+    fixtures.write_landing(events.where(late).select(*columns), landing.path)
+    files.delete(spark, f"{landing.path}/particao=20240120")
+    anew = events.where((F.col("load_date") == "20240120") & (F.col("event_type") != "click"))
+    fixtures.write_landing(anew.select(*columns), landing.path)
+    for stamp in (datetime(2024, 2, 1), datetime(2024, 2, 2)):
+        window = client_etl.late_days(spark, job)
+        client_etl.update_bronze(spark, job, window, client_etl.NEW_FILES, stamp)
+    rows = tables.read(spark, job.bronze_path, client_etl.bronze_schema(landing))
+    return comparable(rows.drop("source_file"))
+
+
 def bronze_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the runs of a job wrote: all days, some of them again, and a day without folder."""
     folder = work_folder(spark, "bronze_audit")
@@ -219,7 +243,7 @@ def catalog_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     wider = trail.where("load_date <> '19950101'").withColumn("kind", F.lower("person_type"))
     for table in (trail, wider.select(*trail.columns[:-1], "kind", "load_date")):
         tables.refresh_days(table, path)
-        days = tables.partitions(spark, path, "load_date")
+        days = tables.day_folders(spark, path)
         tables.register(spark, name, path, table.schema, "load_date", days, everything=True)
     return spark.table(name).groupBy("load_date", "kind").agg(F.count(F.lit(1)).alias("events"))
 
@@ -369,18 +393,17 @@ def _earlier_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a run records that is made twice, after one on an earlier state with fewer rules."""
-    path = work_folder(spark, "dq_incremental")
+    folder = work_folder(spark, "dq_incremental")
+    path, state = f"{folder}/violations", _state(f"{folder}/silver")
     category, nulls = rules.category("person_type", PERSON_TYPES), rules.required(BUSINESS_COLUMNS)
-    earlier = _earlier_silver(spark, sf_dir)
-    seen = engine.check_rows(earlier, [category], carry=("updated_at",))
-    engine.record(seen, path, "19990101")
+    cleaned = client_etl.silver_source(fixtures.bronze(spark, sf_dir))
+    upsert(spark, state, _first_batch(cleaned), "first", fixtures.run_ts())
+    check_changes(spark, state, [category], path, "19990101")
+    upsert(spark, state, cleaned, "second", fixtures.run_ts())
     for _ in range(2):
-        rows = fixtures.silver(spark, sf_dir)
-        found = engine.check_rows(rows, [category, nulls], carry=("updated_at",))
-        known = engine.recorded(spark, path, found.schema)
-        engine.record(engine.not_yet_recorded(found, known, "20010802"), path, "20010802")
-    recorded = engine.recorded(spark, path, seen.schema)
-    return comparable(recorded.where("run_date = '20010802'"))
+        check_changes(spark, state, [category, nulls], path, "20010802")
+    recorded = violations(spark, path, state).where("run_date = '20010802'")
+    return comparable(recorded.drop("checked_at"))
 
 
 def dq_mean_outlier_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -467,6 +490,7 @@ QUERIES: dict[str, Query] = {
     "bronze_distinct": bronze_distinct,
     "bronze_append": bronze_append,
     "bronze_missing_day": bronze_missing_day,
+    "bronze_late_files": bronze_late_files,
     "bronze_audit": bronze_audit,
     "bronze_replace_days": bronze_replace_days,
     "bronze_full_refresh": bronze_full_refresh,

@@ -102,7 +102,7 @@ def not_yet_recorded(
     found: DataFrame,
     recorded: DataFrame,
     run_date: str,
-    version: str = "updated_at",
+    version: str | Sequence[str] = "updated_at",
     key: str = "client_id",
 ) -> DataFrame:
     """Violations that no other run has recorded for the same client, version and rule.
@@ -110,7 +110,7 @@ def not_yet_recorded(
     What the run's own date holds is left out, so that a run made again finds and records all
     of it again. Null versions are equal to each other.
     """
-    names = [key, version, "rule"]
+    names = [key, *([version] if isinstance(version, str) else version), "rule"]
     others = recorded.where(F.col(RUN_DATE) != run_date)
     known = others.select(*[F.col(name).alias(f"_{name}") for name in names])
     same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names))

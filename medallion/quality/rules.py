@@ -36,13 +36,17 @@ MEAN, ADDRESS, PHONE_EXTRA = "salary_discrepant_mean", "address_not_found", "pho
 @dataclass(frozen=True)
 class RowRule:
     """``violated`` decides, ``offender`` is the value shown, ``params`` a JSON text of
-    the rule's settings with sorted keys."""
+    the rule's settings with sorted keys. A rule is ``settled`` if a row that it passed once
+    passes for ever, whatever other rows and the date become. ``settings`` tells rules of one
+    name and column apart, by default by what decides and is shown."""
 
     name: str
     column: str
     violated: Column
     offender: Column
     params: Column
+    settled: bool = True
+    settings: str | None = None
 
 
 def _params(**settings) -> Column:
@@ -67,7 +71,8 @@ def negative(column: str = "income") -> RowRule:
 
 def future_date(column: str = "birth_date", as_of: date | str | None = None) -> RowRule:
     violated = F.col(column) > reference_date(as_of)
-    return RowRule(FUTURE, column, violated, _text(column), _params())
+    # Settled although the date goes on: what is not in the future will not be.
+    return RowRule(FUTURE, column, violated, _text(column), _params(), settings="")
 
 
 def required(columns: Sequence[str]) -> RowRule:
@@ -106,7 +111,7 @@ def age_range(
         F.lit('{"age":'), age.cast("string"), F.lit(f',"max":{max_age},"min":{min_age}}}')
     )
     violated = (birth > latest_birth(today, min_age)) | (birth <= latest_birth(today, max_age + 1))
-    return RowRule(AGE, column, violated, _text(column), params)
+    return RowRule(AGE, column, violated, _text(column), params, settled=False)
 
 
 def phone_extra(
@@ -147,7 +152,7 @@ def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0)
     params = F.concat(
         F.lit(f'{{"multiplier":{multiplier},"threshold":"'), threshold.cast("string"), F.lit('"}')
     )
-    return RowRule(MEAN, column, violated, _text(column), params)
+    return RowRule(MEAN, column, violated, _text(column), params, settled=False)
 
 
 def _unit(kind: T.DecimalType) -> Decimal:
@@ -194,9 +199,11 @@ def _floor_of_quotient(dividend: Column, divisor: Column) -> Column:
 @dataclass(frozen=True)
 class ReferenceRule:
     """The combination of ``columns`` must occur in ``reference``, where the columns have the
-    names in ``reference_columns``, or the same ones."""
+    names in ``reference_columns``, or the same ones. It is ``settled`` if nothing ever leaves
+    the reference."""
 
     reference: DataFrame
     columns: Sequence[str] = ("country", "city", "street", "house_no")
     name: str = ADDRESS
     reference_columns: Sequence[str] = ()
+    settled: bool = False

@@ -29,7 +29,11 @@ def numbers(spark: SparkSession, folder: str) -> list[int]:
 def newest(spark: SparkSession, folder: str) -> dict | None:
     """The last entry, with its ``version``."""
     found = numbers(spark, folder)
-    return json.loads(files.read_text(spark, _file(folder, found[-1]))) if found else None
+    return entry(spark, folder, found[-1]) if found else None
+
+
+def entry(spark: SparkSession, folder: str, number: int) -> dict:
+    return json.loads(files.read_text(spark, _file(folder, number)))
 
 
 def add(spark: SparkSession, folder: str, version: int, entry: dict) -> None:

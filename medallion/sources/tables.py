@@ -1,17 +1,27 @@
-"""Parquet tables of the lake: by-day bronze, audit log, catalog entries."""
+"""Parquet tables of the lake: by-day bronze, catalog entries.
+
+A by-day table has its days in folders of the runs that wrote them, and a journal beside them
+whose newest entry names the folder of each day. A run replaces any number of days with one
+entry: a driver lost before leaves all of them old, and of two writers that start from the same
+version the later one fails without effect. Readers keep the version they found until
+``vacuum_days`` deletes its folders.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.windows import DayWindow
-from medallion.sources import files
+from medallion.sources import files, journal
 
 DAY = "load_date"
+VERSIONS = "versions"
 # Partitions named in one ALTER TABLE statement.
 PARTITIONS_PER_STATEMENT = 500
 
@@ -21,9 +31,12 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
     The schema gives partition columns their right type (paths alone would turn days
     into integers) and columns missing from older files come back null, without a look
-    at every footer.
+    at every footer. Of a by-day table it is the newest version.
     """
-    return spark.read.schema(schema).parquet(path)
+    now = journal.newest(spark, f"{path}/{VERSIONS}")
+    if now is None:
+        return spark.read.schema(schema).parquet(path)
+    return _read_folders(spark, path, schema, day_folders(spark, path, now=now))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -32,6 +45,38 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, window: DayWindow
+) -> DataFrame:
+    """The window's days of a by-day table; only their folders are listed."""
+    rows = _read_folders(spark, path, schema, day_folders(spark, path, window))
+    return rows.where(window.holds(F.col(DAY)))
+
+
+def _read_folders(
+    spark: SparkSession, path: str, schema: T.StructType, folders: Mapping[str, str]
+) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", f"{path}/data")
+    return reader.parquet(*folders.values()).select(*schema.names)
+
+
+def day_folders(
+    spark: SparkSession, path: str, window: DayWindow | None = None, now: dict | None = None
+) -> dict[str, str]:
+    """Folder of each day that the table has, or has in the window; one name per day."""
+    now = now or journal.newest(spark, f"{path}/{VERSIONS}")
+    found = {
+        day: f"{path}/data/run={run}/{DAY}={day}"
+        for run, days in (now["folders"] if now else {}).items()
+        for day in days
+    }
+    if window is not None and not window.everything:
+        found = {day: found[day] for day in window.days() if day in found}
+    return dict(sorted(found.items()))
+
+
 def _by_day(df: DataFrame, window: DayWindow) -> DataFrame:
     # Rebalancing gives small days one file and splits a day that holds much of the
     # data over several tasks; a plain repartition by day would put it into one. Tasks
@@ -39,11 +84,6 @@ def _by_day(df: DataFrame, window: DayWindow) -> DataFrame:
     return df if window.single else df.hint("rebalance", F.col(DAY))
 
 
-def refresh_days(df: DataFrame, path: str) -> int:
-    """Replace the whole table, columns included. Returns the rows written."""
-    return replace_days(df, path, DayWindow())
-
-
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     # Measured in the writing tasks themselves, each of which counts once however often
     # it is tried.
@@ -54,56 +94,83 @@ def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
     return rows, written
 
 
-def read_days(
-    spark: SparkSession, path: str, schema: T.StructType, window: DayWindow
-) -> DataFrame:
-    """The window's days of a by-day table; only their folders are listed."""
-    folders = f"{path}/{DAY}={window.glob()}"
-    if not files.any_matching(spark, folders):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).option("basePath", path).parquet(folders)
-    return rows.where(window.holds(F.col(DAY)))
+@dataclass(frozen=True)
+class StagedDays:
+    """Finished files of some days that no entry names yet."""
 
+    spark: SparkSession
+    path: str
+    version: int
+    folders: Mapping[str, list[str]]
+    rows: int
+    days: list[str]
 
-def replace_days(
-    df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
-) -> int:
-    """The same as ``write_days``; returns the rows written."""
-    return write_days(df, path, window, days)[0]
+    def commit(self, **facts) -> int:
+        """Make the days the table's, all at once, and return the new version.
 
+        Raises ``ConcurrentWrite``, without effect, if the table has changed meanwhile. The
+        entry holds ``facts`` too.
+        """
+        entry = {"folders": self.folders, "rows": self.rows, "days": self.days, **facts}
+        journal.add(self.spark, f"{self.path}/{VERSIONS}", self.version, entry)
+        return self.version
 
-def write_days(
+
+def stage_days(
     df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
-) -> tuple[int, list[str]]:
-    """Make days of the table exactly the rows given; a rerun changes nothing.
+) -> StagedDays:
+    """Write the files with which days of the table become exactly the rows given.
 
     The days are those of the window, or of them the ones in ``days``: a row of another day
-    stops the write, and a day that the table has but ``df`` has not is emptied. The new files
-    are all written before old ones go, then day by day; a driver lost meanwhile leaves some
-    days new and some old, and a rerun makes all of them new. Returns the rows written and
-    their days.
+    stops the write, and a day that the table has but ``df`` has not is emptied. The files lie
+    in a folder of this run alone; nobody reads them before ``commit``.
     """
-    spark = df.sparkSession
-    # One name per day folder.
-    before = set(partitions(spark, path, DAY, window.glob()))
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    now = journal.newest(spark, f"{path}/{VERSIONS}") or {"version": 0, "folders": {}}
+    replaced = set(day_folders(spark, path, window, now))
     held = window.holds(F.col(DAY))
-    if not window.everything:
-        before &= set(window.days())
     if days is not None:
-        before &= set(days)
+        replaced &= set(days)
         held &= F.col(DAY).isin(*days)
     if days is not None or not window.everything:
         outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
         df = df.withColumn(DAY, F.when(held, F.col(DAY)).otherwise(F.raise_error(outside)))
     rows, written = _observed(_by_day(df, window))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        DAY
-    ).parquet(path)
+    rows.write.partitionBy(DAY).parquet(f"{path}/data/run={run}")
     metrics = written.get
     filled = sorted(metrics.get("days", ()))
-    for day in sorted(before.difference(filled)):
-        files.delete(spark, f"{path}/{DAY}={day}")
-    return metrics.get("rows", 0), filled
+    folders = {owner: sorted(set(held) - replaced - set(filled)) for owner, held in now["folders"].items()}
+    folders = {owner: held for owner, held in folders.items() if held} | ({run: filled} if filled else {})
+    return StagedDays(spark, path, now["version"] + 1, folders, metrics.get("rows", 0), filled)
+
+
+def replace_days(
+    df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
+) -> int:
+    """Make days of the table exactly the rows given, all at once; a rerun changes nothing.
+    Returns the rows written. See ``stage_days``."""
+    staged = stage_days(df, path, window, days)
+    staged.commit()
+    return staged.rows
+
+
+def refresh_days(df: DataFrame, path: str) -> int:
+    """Replace the whole table, columns included. Returns the rows written."""
+    return replace_days(df, path, DayWindow())
+
+
+def vacuum_days(spark: SparkSession, path: str) -> None:
+    """Delete day folders that the newest version does not name. Not to be run while the table
+    is being written, or an older version still being read."""
+    now = journal.newest(spark, f"{path}/{VERSIONS}") or {"folders": {}}
+    for name in files.matching(spark, f"{path}/data/run=*"):
+        named = now["folders"].get(name.partition("=")[2], ())
+        if not named:
+            files.delete(spark, f"{path}/data/{name}")
+            continue
+        for day in partitions(spark, f"{path}/data/{name}", DAY):
+            if day not in named:
+                files.delete(spark, f"{path}/data/{name}/{DAY}={day}")
 
 
 def register(
@@ -120,26 +187,39 @@ def register(
 
     Only the partitions of the run are named, so the cost does not grow with the table; with
     ``everything`` they are all there are, and partitions that the catalog has beyond them are
-    dropped. A table with other columns is registered anew, which needs all partitions.
+    dropped. A partition that has moved is pointed to its new folder in one statement, and new
+    columns are added in place, so that a reader sees every partition all the time. Only a table
+    whose columns changed otherwise is registered anew, which needs all partitions.
     """
-    if spark.catalog.tableExists(table) and _types(spark.table(table).schema) != _types(schema):
+    known_types = _types(spark.table(table).schema) if spark.catalog.tableExists(table) else {}
+    added = [f for f in schema.fields if f.name not in known_types]
+    kept = {name: kind for name, kind in _types(schema).items() if name in known_types}
+    if known_types and kept != known_types:
         if not everything:
             raise ValueError(f"{table} has other columns: register all of its partitions")
         spark.sql(f"DROP TABLE {table}")  # external: the files stay
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    elif known_types and added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(added)})")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema.fields)}) USING parquet "
         f"PARTITIONED BY ({column}) LOCATION '{path}'"
     )
     known = {row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    gone = known.difference(folders) if everything else set()
     located = dict(folders) if isinstance(folders, Mapping) else {}
-    # A partition may have moved to another folder.
-    _alter(spark, table, column, "DROP IF EXISTS", {v: None for v in gone | known.intersection(located)}, ", ")
-    _alter(spark, table, column, "ADD IF NOT EXISTS", {v: located.get(v) for v in folders}, " ")
+    for value in sorted(known.intersection(located)):
+        where = f"PARTITION ({column}='{value}') SET LOCATION '{located[value]}'"
+        spark.sql(f"ALTER TABLE {table} {where}")
+    new = {value: located.get(value) for value in folders if value not in known}
+    _alter(spark, table, column, "ADD IF NOT EXISTS", new, " ")
+    gone = known.difference(folders) if everything else ()
+    _alter(spark, table, column, "DROP IF EXISTS", dict.fromkeys(gone), ", ")
     spark.catalog.refreshTable(table)
 
 
+def _columns(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
 def _types(schema: T.StructType) -> dict[str, T.DataType]:
     return {field.name: field.dataType for field in schema.fields}
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import shutil
 import uuid
 from dataclasses import replace
@@ -9,7 +10,7 @@ import pytest
 
 from medallion.plans import client_etl, report
 from medallion.plans.client_etl import ClientEtl, bronze_schema, run
-from medallion.sources import tables
+from medallion.sources import journal, tables
 from medallion.sources.landing import Landing
 from tests.test_landing import put
 
@@ -117,7 +118,7 @@ def test_bad_lines_go_to_the_rejects(spark, job):
     )
     go(spark, job, "d-1", date(2024, 1, 2))
     assert list(silver(spark, job)) == [1]
-    found = spark.read.parquet(job.rejects)
+    found = client_etl.rejects(spark, job)
     assert sorted(r.reason for r in found.collect()) == ["bad_line", "null_key"]
 
 
@@ -200,6 +201,97 @@ def test_bronze_journal(spark, job):
     assert rows[0].run_ts == datetime(2024, 1, 9, 6)
 
 
+def late(spark, job, today=9, start=None):
+    return go(spark, job, "new-files", date(2024, 1, today), start).bronze.first()
+
+
+def test_a_file_that_comes_late_is_taken_in_once(spark, job):
+    three_days(job)
+    for today in (2, 3, 4):
+        go(spark, job, "d-1", date(2024, 1, today))
+    assert late(spark, job).days == []
+    drop(job, "20240101", line(7, "zed", "2024-01-01 10:00:00"), name="late.csv")
+    drop(job, "20231231", line(8, "old", "2023-12-31 10:00:00"))
+    audit = late(spark, job)
+    assert (audit.operation, audit.rows, audit.days) == ("new-files", 4, ["20231231", "20240101"])
+    assert silver(spark, job) == EXPECTED | {
+        7: ("ZED", GOOD_PHONE, "20240101"),
+        8: ("OLD", GOOD_PHONE, "20231231"),
+    }
+    after = bronze(spark, job)
+    assert late(spark, job).rows == 0 and bronze(spark, job) == after
+
+
+def test_a_changed_or_withdrawn_file_replaces_its_day(spark, job):
+    three_days(job)
+    drop(job, "20240102", line(9, "two", "2024-01-02 11:00:00"), name="b.csv")
+    assert late(spark, job).days == ["20240101", "20240102", "20240103"]
+    drop(job, "20240103", line(2, "bob", "2024-01-03 09:30:00"))
+    os.remove(f"{job.landing.path}/particao_20240102/b.csv")
+    assert late(spark, job).days == ["20240102", "20240103"]
+    assert [r[1:] for r in bronze(spark, job) if r[0] > "20240101"] == [
+        (1, "ANA LIMA"), (3, "CY"), (2, "BOB"),
+    ]
+    # Gone with its whole folder, a day stays as it is.
+    shutil.rmtree(f"{job.landing.path}/particao_20240102")
+    assert late(spark, job).days == []
+
+
+def test_late_files_within_a_window(spark, job):
+    three_days(job)
+    assert late(spark, job, 3, "20240102").days == ["20240102", "20240103"]
+    assert late(spark, job, 3, "20240102").days == []
+    assert late(spark, job).days == ["20240101"]
+    with pytest.raises(ValueError, match="no load_date"):
+        go(spark, job, "new-files", date(2024, 1, 9), load_date="20240109")
+
+
+def test_a_run_that_dies_before_the_ledger_is_made_again(spark, job, monkeypatch):
+    three_days(job)
+
+    def dies(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(client_etl.ledger, "record", dies)
+        with pytest.raises(RuntimeError):
+            late(spark, job)
+    assert len(bronze(spark, job)) == 6
+    assert len(late(spark, job).days) == 3 and late(spark, job).days == []
+    assert silver(spark, job) == EXPECTED
+
+
+def test_a_lost_race_leaves_bronze_and_rejects_alone(spark, job, monkeypatch):
+    three_days(job)
+    go(spark, job, "d-1", date(2024, 1, 2))
+    drop(job, "20240101", line("", "x", "2024-01-01 08:00:00"))
+    parsed = client_etl._parsed
+
+    def overtaken(*arguments):
+        monkeypatch.undo()
+        lines = parsed(*arguments)
+        stage = tables.stage_days
+
+        def staged(df, path, *rest):
+            found = stage(df, path, *rest)
+            if path == job.bronze_path and not inside:
+                inside.append(True)
+                go(spark, job, "d-1", date(2024, 1, 3))
+            return found
+
+        inside = []
+        monkeypatch.setattr(tables, "stage_days", staged)
+        return lines
+
+    monkeypatch.setattr(client_etl, "_parsed", overtaken)
+    with pytest.raises(journal.ConcurrentWrite):
+        go(spark, job, "d-1", date(2024, 1, 2))
+    assert [r[:2] for r in bronze(spark, job)] == [
+        ("20240101", 1), ("20240101", 2), ("20240102", 1), ("20240102", 3),
+    ]
+    assert client_etl.rejects(spark, job).count() == 0
+
+
 def test_a_file_with_another_header_stops_the_run(spark, job):
     three_days(job)
     swapped = HEADER.replace("nm_pais_cliente,nm_cidade_cliente", "nm_cidade_cliente,nm_pais_cliente")
@@ -240,8 +332,11 @@ def test_tables_are_registered_in_the_catalog(spark, job):
     go(spark, named, "d-x", date(2024, 1, 3), "20240102")
     assert spark.table(named.bronze_table).count() == 6
     assert spark.table(named.silver_table).count() == 3
-    for name in names.values():
-        spark.sql(f"DROP TABLE {name}")
+    go(spark, named, "d-1", date(2024, 1, 2))
+    assert spark.table(named.bronze_table).count() == 6
+    assert spark.table(named.silver_table).count() == 3
+    spark.sql(f"DROP TABLE {named.bronze_table}")
+    spark.sql(f"DROP VIEW {named.silver_table}")
 
 
 def test_report_on_the_tables_of_the_job(spark, job):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import glob
 import os
 import random
+import uuid
 from datetime import datetime, timedelta
 
 import pyarrow.parquet as pq
@@ -149,15 +150,7 @@ def test_compared_nulls_are_equal(lake):
     assert counts(lake.bring(event(1, 3, 3, "a"), compare=("kind",)))["updated"] == 1
 
 
-def test_untouched_buckets_are_not_rewritten(spark, lake):
-    lake.bring(*[event(c, c, 0) for c in range(40)])
-    before = lake.table.folders(spark)
-    lake.bring(event(3, 100, 9))
-    after = lake.table.folders(spark)
-    assert len(before) == 4 and len({b for b in after if after[b] != before[b]}) == 1
-
-
-def records_written(table):
+def rows_written(table):
     """Counts the rows of the data files written from now on."""
     before = set(glob.glob(f"{table.path}/data/**/*.parquet", recursive=True))
 
@@ -168,13 +161,88 @@ def records_written(table):
     return new
 
 
-def test_a_touched_bucket_is_written_once(spark, lake):
+def entry(spark, table):
+    return journal.newest(spark, table.journal)
+
+
+def test_small_batches_leave_the_base_alone(spark, lake):
     lake.bring(*[event(c, c, 0) for c in range(400)])
-    touched = lake.table.folders(spark)
-    written = records_written(lake.table)
-    audit = lake.bring(event(3, 500, 9))
-    moved = {b for b, f in lake.table.folders(spark).items() if touched[b] != f}
-    assert written() == audit.updated + audit.kept and len(moved) == 1
+    base = entry(spark, lake.table)["base"]
+    written, rows = rows_written(lake.table), dict((e[0], e) for e in lake.rows())
+    for number in range(3):
+        batch = [event(c, 1000 + c, 9 + number, "new") for c in range(number, 12 * number + 3)]
+        batch += [event(400 + number, 1, 1)]
+        audit = lake.bring(*batch)
+        rows.update((e[0], e) for e in batch)
+        assert (audit.inserted, audit.updated) == (1, len(batch) - 1)
+        assert audit.kept == 400 + number - audit.updated
+        assert entry(spark, lake.table)["base"] == base
+        assert lake.rows() == sorted(rows.values(), key=repr)
+    # Each run wrote the rows changed since the base, 4 and 17 and 30 of them.
+    assert written() == 4 + 17 + 30
+
+
+def test_many_changes_become_a_new_base(spark, lake):
+    lake.bring(*[event(c, c, 0) for c in range(40)])
+    base = entry(spark, lake.table)["base"]
+    lake.bring(*[event(c, 100 + c, 1) for c in range(8)])
+    assert (entry(spark, lake.table)["base"], entry(spark, lake.table)["changed_rows"]) == (base, 8)
+    written = rows_written(lake.table)
+    lake.bring(*[event(c, 200 + c, 2) for c in range(6, 15)])
+    now = entry(spark, lake.table)
+    assert now["base"] != base and now["changes"] is None and written() == 40
+    want = {c: event(c, c, 0) for c in range(40)}
+    want |= {c: event(c, 100 + c, 1) for c in range(8)} | {c: event(c, 200 + c, 2) for c in range(6, 15)}
+    assert lake.rows() == sorted(want.values(), key=repr)
+
+
+def test_a_stale_batch_writes_nothing(spark, lake):
+    lake.bring(*[event(c, 100 + c, 5) for c in range(40)])
+    lake.bring(event(3, 500, 9))
+    before, written = entry(spark, lake.table), rows_written(lake.table)
+    audit = lake.bring(*[event(c, c, 4) for c in range(40)])
+    assert counts(audit) == {"inserted": 0, "updated": 0, "unchanged": 0, "stale": 40}
+    after = entry(spark, lake.table)
+    assert written() == 0 and (after["base"], after["changes"]) == (before["base"], before["changes"])
+
+
+def test_rows_changed_since_a_version(spark, lake):
+    lake.bring(*[event(c, c, 0) for c in range(40)])
+    lake.bring(event(1, 100, 1), event(2, 1, -5), event(50, 3, 0))
+    lake.bring(event(1, 101, 2), event(3, 102, 2))
+    def changed(version):
+        return tuples(lake.table.changed_since(spark, version), "client_id", "_version")
+
+    assert changed(3) == [] and changed(2) == [(1, 3), (3, 3)]
+    assert changed(1) == [(1, 3), (3, 3), (50, 2)]
+    assert len(changed(0)) == 41 and lake.table.version(spark) == 3
+    plan = lake.table.changed_since(spark, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert entry(spark, lake.table)["base"] not in plan
+    lake.bring(*[event(c, 200 + c, 3) for c in range(30)])
+    assert changed(3) == [(c, 4) for c in sorted(range(30), key=lambda c: repr((c, 4)))]
+
+
+def test_layers_are_found_by_another_session(spark, lake):
+    lake.bring(*[event(c, c, 0) for c in range(40)])
+    lake.bring(event(1, 100, 1))
+    now, before = entry(spark, lake.table), lake.rows()
+    for run in (now["base"], now["changes"]):
+        spark.sql(f"DROP TABLE state_{run}")
+    assert lake.rows() == before
+    lake.bring(event(2, 100, 1))
+    assert len(lake.rows()) == 40
+
+
+def test_catalog_shows_the_newest_version(spark, lake):
+    name = f"v_{uuid.uuid4().hex}"
+    lake.table.register(spark, name)
+    assert spark.table(name).collect() == [] and spark.table(name).columns == SCHEMA.names
+    for batch in ([event(c, c, 0) for c in range(40)], [event(1, 100, 1)]):
+        lake.bring(*batch)
+        lake.table.register(spark, name)
+        assert tuples(spark.table(name)) == lake.rows()
+    vacuum(spark, lake.table)
+    assert tuples(spark.table(name)) == lake.rows()
 
 
 def test_another_bucket_count_is_noticed(spark, folder, lake):
@@ -251,7 +319,7 @@ def test_another_number_of_buckets(spark, folder, lake):
     wider = Lake(spark, folder, buckets=11)
     audit = rebucket(spark, wider.table, "wider", lake.stamp()).first()
     assert (audit.operation, audit.kept) == ("rebucket", 40)
-    assert wider.rows() == before and len(wider.table.folders(spark)) > 4
+    assert wider.rows() == before and entry(spark, wider.table)["buckets"] == 11
     wider.bring(event(3, 100, 9))
     assert len(wider.rows()) == 40
 
@@ -273,13 +341,52 @@ def test_last_operation_is_the_latest_batch(spark, lake):
     assert counts(last) == {"inserted": 1, "updated": 1, "unchanged": 0, "stale": 0}
 
 
-def test_merge_shuffles_once_by_bucket(spark, lake):
-    bucketed = lake.spark.createDataFrame([event(1, 1, 0)], SCHEMA).withColumn(
-        "bucket", lake.table.bucket_of()
-    )
-    plan = final_plan(module.merge(bucketed, bucketed, lake.table))
-    final = plan.split("== Initial Plan ==")[0]
-    assert final.count("Exchange") == 1 and "shufflepartitionidpassthrough" in final
+def below_scan(plan, run):
+    """The lines of the plan from its root down to the scan of that layer."""
+    lines = plan.split("== Initial Plan ==")[0].splitlines()
+    at = next(i for i, line in enumerate(lines) if f"state_{run}" in line)
+    depth, path = lines[at].index("F"), []
+    for line in reversed(lines[: at + 1]):
+        start = min((i for i, c in enumerate(line) if c.isalpha() or c == "*"), default=0)
+        if start < depth or line is lines[at]:
+            path.append(line)
+            depth = min(depth, start)
+    return path
+
+
+def test_no_row_of_the_table_is_shuffled(spark, lake):
+    """Judging a batch, and writing both kinds of layers, exchange the batch alone."""
+    lake.bring(*[event(c, c, 0) for c in range(400)])
+    lake.bring(event(1, 500, 1))
+    now = entry(spark, lake.table)
+    batch = spark.createDataFrame([event(2, 600, 2), event(900, 1, 1)], SCHEMA)
+    winners = batch.withColumn("_version", F.lit(3).cast("bigint"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes, base = (lake.table._layer(spark, now, name) for name in ("changes", "base"))
+        over = module.lay_over(changes, winners, lake.table)
+        for df in (
+            module.judge(batch, [changes, base], lake.table),
+            module.lay_over(base, over, lake.table),
+        ):
+            plan = final_plan(df)
+            assert plan.split("== Initial Plan ==")[0].count("Exchange") > 0
+            for name in ("base",) if df is not over else ("changes",):
+                path = below_scan(plan, now[name])
+                assert "Bucketed: true" in path[0] and not any("Exchange" in line for line in path)
+        path = below_scan(final_plan(over), now["changes"])
+        assert "Bucketed: true" in path[0] and not any("Exchange" in line for line in path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_judging_reads_order_columns_only(spark, lake):
+    lake.bring(*[event(c, c, 0) for c in range(40)])
+    base = lake.table._layer(spark, entry(spark, lake.table), "base")
+    batch = spark.createDataFrame([event(2, 600, 2)], SCHEMA)
+    plan = final_plan(module.judge(batch, [base], lake.table))
+    assert "ReadSchema: struct<client_id:bigint,event_id:bigint,updated_at:timestamp_ntz>" in plan
 
 
 def test_rows_without_a_time_are_the_oldest(lake):
