@@ -34,6 +34,7 @@ from medallion.sources import files, journal
 # The version in which a row came to be as it is.
 VERSION = "_version"
 ACTION, WINS, HELD = "_action", "_wins", "_held"
+BEFORE, AFTER = "_before", "_after"
 ACTIONS = ("inserted", "updated", "unchanged", "stale", "kept")
 OPERATION = struct(
     version=LONG,
@@ -42,6 +43,8 @@ OPERATION = struct(
     operation=TEXT,
     **dict.fromkeys(ACTIONS, LONG),
 )
+# Operations that leave every row as it is.
+KEEPS_ROWS = ("rebucket",)
 EMPTY = {"version": 0, "base": None, "changes": None, "base_version": 0, "rows": 0, "changed_rows": 0}
 
 
@@ -51,7 +54,8 @@ class StateTable:
 
     Choose ``buckets`` so that one is a task's work (a few hundred MB); ``rebucket`` changes it.
     ``fold`` is the share of the rows that may lie in the changed layer: more make small batches
-    cheaper, and reading dearer.
+    cheaper, and reading dearer. ``feed`` are columns of which each batch keeps the values of
+    changed rows before and after.
     """
 
     path: str
@@ -60,6 +64,7 @@ class StateTable:
     key: str = "client_id"
     order: Sequence[str] = ("updated_at", "event_id")
     fold: float = 0.25
+    feed: Sequence[str] = ()
 
     @property
     def journal(self) -> str:
@@ -100,6 +105,20 @@ class StateTable:
             return base.join(changes.select(self.key), self.key, "left_anti").unionByName(changes)
         return layers[0] if layers else spark.createDataFrame([], self.stored_schema)
 
+    def feed_folder(self, run: str) -> str:
+        return f"{self.path}/feed/run={run}"
+
+    def feed_rows(self, spark: SparkSession, runs: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """The feed of those runs: changed rows as they were before, and as they are after."""
+        values = T.StructType([self.schema[name] for name in self.feed])
+        schema = T.StructType([T.StructField(side, values) for side in (BEFORE, AFTER)])
+        if not runs:
+            empty = spark.createDataFrame([], values)
+            return empty, empty
+        rows = spark.read.schema(schema).parquet(*map(self.feed_folder, runs))
+        before, after = (rows.where(F.col(s).isNotNull()).select(f"{s}.*") for s in (BEFORE, AFTER))
+        return before, after
+
     def register(self, spark: SparkSession, name: str) -> None:
         """Make the newest version known to the catalog as a view, in one statement."""
         now = journal.newest(spark, self.journal) or EMPTY
@@ -153,7 +172,7 @@ def judge(
     Of the layers only key, order and compared columns of the batch's keys are looked at, where
     they lie.
     """
-    named = dict.fromkeys([*table.order, *compare])
+    named = dict.fromkeys([*table.order, *compare, *table.feed])
     keys = batch.select(table.key)
     sides = batch
     for number, layer in enumerate(layers):
@@ -161,8 +180,11 @@ def judge(
         sides = sides.join(held.join(keys, table.key, "left_semi"), table.key, "left")
     found = [F.col(f"{HELD}{number}") for number in range(len(layers))]
     sides = sides.withColumn(HELD, F.coalesce(*found) if found else F.lit(None))
+    before = [] if not table.feed else [BEFORE]
     if not found:
-        return sides.withColumns({ACTION: F.lit("inserted"), WINS: F.lit(True)}).drop(HELD)
+        nothing = F.lit(None).cast(T.StructType([table.schema[name] for name in table.feed]))
+        fed = {BEFORE: nothing for _ in before}
+        return sides.withColumns({ACTION: F.lit("inserted"), WINS: F.lit(True), **fed}).drop(HELD)
     held, offered = _side(table.order, HELD), _side(table.order)
     new = F.col(HELD).isNull()
     action = F.when(new, "inserted").when(held > offered, "stale")
@@ -170,6 +192,8 @@ def judge(
     if compare:
         action = action.when(_side(compare).eqNullSafe(_side(compare, HELD)), "unchanged")
     judged = sides.withColumns({ACTION: action.otherwise("updated"), WINS: new | (held < offered)})
+    if before:
+        judged = judged.withColumn(BEFORE, F.when(~new, _side(table.feed, HELD)))
     return judged.drop(HELD, *[f"{HELD}{number}" for number in range(len(layers))])
 
 
@@ -207,7 +231,11 @@ def upsert(
     judged = spark.read.schema(judged.schema).parquet(f"{work}/judged")
     counts = _counts(judged)
     won = counts.pop("won")
-    entry = {**now, "rows": now["rows"] + counts["inserted"]}
+    entry = {**now, "rows": now["rows"] + counts["inserted"], "won": won, "feed": None}
+    if won and table.feed:
+        fed = judged.where(WINS).select(BEFORE, _side(table.feed).alias(AFTER))
+        fed.write.parquet(table.feed_folder(run))
+        entry["feed"] = run
     winners = judged.where(WINS).select(*table.stored_schema.names)
     if won and won + now["changed_rows"] <= table.fold * now["rows"]:
         changed = lay_over(layers[0], winners, table) if now["changes"] else winners
@@ -261,15 +289,19 @@ def operations(spark: SparkSession, table: StateTable) -> DataFrame:
     return journal.history(spark, table.journal, OPERATION)
 
 
-def vacuum(spark: SparkSession, table: StateTable) -> None:
-    """Delete the folders of runs that the newest version does not name. Not to be run while
-    the table is being written, or an older version still being read."""
+def vacuum(spark: SparkSession, table: StateTable, fed_to: int = 0) -> None:
+    """Delete the folders of runs that the newest version does not name, and the feed up to
+    version ``fed_to``. Not to be run while the table is being written, or an older version
+    still being read."""
     now = journal.newest(spark, table.journal) or EMPTY
     for name in files.matching(spark, f"{table.path}/data/run=*"):
         run = name.partition("=")[2]
         if run not in (now["base"], now["changes"]):
             spark.sql(f"DROP TABLE IF EXISTS {_name(run)}")
             files.delete(spark, table.folder(run))
+    for number in journal.numbers(spark, table.journal):
+        if number <= fed_to and (run := journal.entry(spark, table.journal, number)["feed"]):
+            files.delete(spark, table.feed_folder(run))
 
 
 def _present(spark: SparkSession, table: StateTable, any_buckets: bool = False) -> dict:
@@ -307,6 +339,7 @@ def _write(spark: SparkSession, table: StateTable, rows: DataFrame, run: str, sp
 def _entered(spark, table, layers, operation, batch_id, run_ts, counts, work) -> DataFrame:
     version = layers["version"] + 1
     named = {name: layers[name] for name in EMPTY if name != "version"}
+    named |= {"feed": layers.get("feed"), "won": layers.get("won", layers["rows"])}
     entry = {
         **named,
         "batch_id": batch_id,

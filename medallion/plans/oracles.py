@@ -419,6 +419,7 @@ ORACLES: dict[str, str] = {
     "dq_report": f"WITH {SILVER} {REPORT}",
     "dq_incremental": INCREMENTAL,
     "dq_persisted": PERSISTED,
+    "dq_mean_kept": f"WITH {SILVER} {outlier()}",
     "dq_mean_outlier_wide": f"WITH {SILVER} SELECT client_id, offender FROM ({outlier()})",
     "top_updated": top("trail"),
     "top_updated_distinct": top(
@@ -432,6 +433,10 @@ ORACLES: dict[str, str] = {
         f"WITH {SILVER} SELECT country, person_type, count(*) AS clients, "
         "CAST(sum(income) AS varchar) AS income FROM silver GROUP BY ALL"
     ),
+    "gold_incremental": (
+        f"WITH {TRAIL} SELECT country, person_type, count(*) AS clients, "
+        f"CAST(sum(income) AS varchar) AS income FROM ({latest('trail')}) WHERE op <> 'D' GROUP BY ALL"
+    ),
     "gold_dq_summary": (
         f"WITH {SILVER} SELECT rule, analyzed_column, count(*) AS violations "
         f"FROM ({REPORT}) GROUP BY ALL"

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from medallion import fixtures
 from medallion.functions.phones import null_unless
-from medallion.operators import analytics, cdc
+from medallion.operators import analytics, cdc, sums
 from medallion.operators.dedupe import distinct_events, latest_per_key
 from medallion.operators.upsert import StateTable, last_operation, rebuild, upsert
 from medallion.operators.windows import DayWindow, day_window
@@ -406,6 +406,20 @@ def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(recorded.drop("checked_at"))
 
 
+def dq_mean_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean rule with a threshold from sums that were kept by differences over two batches."""
+    folder = work_folder(spark, "dq_mean_kept")
+    state = replace(_state(f"{folder}/silver"), feed=("income",))
+    parts = report.mean_parts_of(state, f"{folder}/parts")
+    cleaned = client_etl.silver_source(fixtures.bronze(spark, sf_dir))
+    for batch in (_second_batch(cleaned), cleaned):
+        upsert(spark, state, batch, "batch", fixtures.run_ts())
+        sums.refresh(spark, parts)
+    kind = state.schema["income"].dataType
+    rule = rules.mean_outlier_of_sums(parts.read(spark), "income", kind)
+    return engine.check_rows(state.read(spark), [rule])
+
+
 def dq_mean_outlier_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mean rule on incomes of 38 digits."""
     silver = fixtures.silver(spark, sf_dir)
@@ -476,6 +490,22 @@ def gold_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(report.clients_by_country(fixtures.silver(spark, sf_dir)))
 
 
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of living clients, kept by differences over batches of inserts, updates, deletes
+    and late events."""
+    folder = work_folder(spark, "gold_incremental")
+    deleted = T.StructField("deleted", T.BooleanType())
+    schema = T.StructType([*_columns_of(STATE_COLUMNS).fields, deleted])
+    feed = ("country", "person_type", "income", "deleted")
+    state = replace(fixtures.state_table(f"{folder}/table", schema), feed=feed)
+    gold = report.clients_by_country_of(state, f"{folder}/gold", "NOT deleted")
+    changes = cdc.with_tombstones(fixtures.bronze(spark, sf_dir).select(*STATE_COLUMNS, "op"))
+    for batch in (_second_batch(changes), changes.where("event_id % 5 = 0"), _first_batch(changes)):
+        upsert(spark, state, batch, "batch", fixtures.run_ts())
+        sums.refresh(spark, gold)
+    return comparable(gold.read(spark, "clients"))
+
+
 def gold_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.violations_by_rule(dq_report(spark, sf_dir))
 
@@ -515,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "dq_phone_extra": _rule(lambda df: rules.phone_extra(min_digits=4), on=fixtures.bronze),
     "dq_mean_outlier": _rule(rules.mean_outlier),
     "dq_mean_outlier_wide": dq_mean_outlier_wide,
+    "dq_mean_kept": dq_mean_kept,
     "dq_reference_missing": dq_reference_missing,
     "dq_report": dq_report,
     "dq_incremental": dq_incremental,
@@ -527,5 +558,6 @@ QUERIES: dict[str, Query] = {
     "cdc_stream": cdc_stream,
     "cdc_rejects": cdc_rejects,
     "gold_clients": gold_clients,
+    "gold_incremental": gold_incremental,
     "gold_dq_summary": gold_dq_summary,
 }

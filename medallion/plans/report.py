@@ -6,7 +6,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from medallion.operators.sums import SumTable
+from medallion.operators.upsert import StateTable
 from medallion.quality import rules
 from medallion.quality.engine import check_rows, run
 from medallion.schema import BUSINESS_COLUMNS, PERSON_TYPES
@@ -53,5 +56,18 @@ def clients_by_country(silver: DataFrame) -> DataFrame:
     )
 
 
+def clients_by_country_of(table: StateTable, path: str, living: str = "true") -> SumTable:
+    """The same, kept by differences beside a state table whose feed has the columns."""
+    income = {"income": ("income", T.DecimalType(28, 2))}
+    return SumTable(path, table, ("country", "person_type"), income, living)
+
+
+def mean_parts_of(table: StateTable, path: str, column: str = "income") -> SumTable:
+    """What the mean of a decimal column is made of, kept by differences; see
+    ``rules.mean_outlier_of_sums``."""
+    parts = {name: (half, T.DecimalType(30, 0)) for name, half in rules.halves(column, table.schema[column].dataType).items()}
+    return SumTable(path, table, (), {**parts, "values": (f"IF(`{column}` IS NULL, 0, 1)", T.LongType())})
+
+
 def violations_by_rule(violations: DataFrame) -> DataFrame:
     return violations.groupBy("rule", "analyzed_column").agg(F.count(F.lit(1)).alias("violations"))

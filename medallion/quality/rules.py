@@ -144,42 +144,72 @@ def mean_outlier(df: DataFrame, column: str = "income", multiplier: float = 3.0)
     value = F.col(column)
     kind = df.schema[column].dataType
     if isinstance(kind, T.DecimalType):
-        limit = df.select(_lowest_above_mean(value, kind, multiplier)).scalar()
-        violated, threshold = value >= limit, limit - F.lit(_unit(kind))
-    else:
-        threshold = df.select(F.avg(value) * F.lit(multiplier)).scalar()
-        violated = value > threshold
-    params = F.concat(
+        high, low = (F.expr(half) for half in halves(column, kind).values())
+        limit = df.select(_lowest_above_mean(F.sum(high), F.sum(low), F.count(value), kind, multiplier))
+        return _above(column, limit.scalar(), kind, multiplier)
+    threshold = df.select(F.avg(value) * F.lit(multiplier)).scalar()
+    return RowRule(
+        MEAN, column, value > threshold, _text(column), _mean_params(multiplier, threshold), settled=False
+    )
+
+
+def mean_outlier_of_sums(
+    sums: DataFrame, column: str, kind: T.DecimalType, multiplier: float = 3.0
+) -> RowRule:
+    """The same rule, to the last place, from sums that are kept beside the table.
+
+    ``sums`` has at most one row, with the sums of the two ``halves`` of the column and the
+    number of its values, under the names that ``halves`` gives them and ``values``.
+    """
+    # The types that sums of the halves have.
+    sizes = ("decimal(30,0)", "decimal(29,0)")
+    high, low = (F.sum(h).cast(s) for h, s in zip(halves(column, kind), sizes, strict=True))
+    limit = sums.select(_lowest_above_mean(high, low, F.sum("values"), kind, multiplier))
+    return _above(column, limit.scalar(), kind, multiplier)
+
+
+def _above(column: str, limit: Column, kind: T.DecimalType, multiplier: float) -> RowRule:
+    params = _mean_params(multiplier, limit - F.lit(_unit(kind)))
+    return RowRule(MEAN, column, F.col(column) >= limit, _text(column), params, settled=False)
+
+
+def _mean_params(multiplier: float, threshold: Column) -> Column:
+    return F.concat(
         F.lit(f'{{"multiplier":{multiplier},"threshold":"'), threshold.cast("string"), F.lit('"}')
     )
-    return RowRule(MEAN, column, violated, _text(column), params, settled=False)
 
 
 def _unit(kind: T.DecimalType) -> Decimal:
     return Decimal(1).scaleb(-kind.scale)
 
 
-def _lowest_above_mean(value: Column, kind: T.DecimalType, multiplier: float) -> Column:
-    """The smallest number of the column's type above the mean times ``multiplier``; null,
-    which nothing reaches, if the type has none.
-
-    Worked out in units of the last decimal place, in two halves of 19 digits: the sums of
-    the halves are exact, and so is a long division with them.
-    """
+def halves(column: str, kind: T.DecimalType) -> dict[str, str]:
+    """Expressions for a decimal in units of its last place, in two halves of 19 digits: their
+    sums are exact, however many there are."""
     if kind.scale > HALF_DIGITS:
         raise ValueError(f"a decimal may have at most {HALF_DIGITS} places: {kind.simpleString()}")
-    step, unit = Decimal(10) ** (HALF_DIGITS - kind.scale), Decimal(10) ** kind.scale
+    step, unit = 10 ** (HALF_DIGITS - kind.scale), 10**kind.scale
     # Cut towards zero, as the halves of a negative number are both negative then.
-    whole = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("decimal(38,0)")
-    below = whole % F.lit(step)
-    high = ((whole - below) / F.lit(step)).cast("decimal(20,0)")
-    places = (value - whole).cast(T.DecimalType(kind.scale + 1, kind.scale))
-    low = (below * F.lit(unit) + places * F.lit(unit)).cast("decimal(19,0)")
+    whole = f"CAST(IF(`{column}` < 0, ceil(`{column}`), floor(`{column}`)) AS DECIMAL(38,0))"
+    below = f"({whole} % {step}BD)"
+    places = f"CAST(`{column}` - {whole} AS DECIMAL({kind.scale + 1},{kind.scale}))"
+    return {
+        f"{column}_high": f"CAST(({whole} - {below}) / {step}BD AS DECIMAL(20,0))",
+        f"{column}_low": f"CAST({below} * {unit}BD + {places} * {unit}BD AS DECIMAL(19,0))",
+    }
+
+
+def _lowest_above_mean(
+    high: Column, low: Column, values: Column, kind: T.DecimalType, multiplier: float
+) -> Column:
+    """The smallest number of the column's type above the mean times ``multiplier``; null,
+    which nothing reaches, if the type has none. Worked out from the sums of the ``halves`` and
+    the number of values by a long division, which is exact."""
     factor = Decimal(str(multiplier))
     divisor = 10 ** max(0, -factor.as_tuple().exponent)
     times = F.lit(Decimal(int(factor * divisor)))
-    rows = (F.nullif(F.count(value), F.lit(0)) * divisor).cast("decimal(18,0)")
-    highs, lows = F.sum(high) * times, F.sum(low) * times
+    rows = (F.nullif(values, F.lit(0)) * divisor).cast("decimal(18,0)")
+    highs, lows = high * times, low * times
     upper = _floor_of_quotient(highs, rows)
     rest = (highs - upper * rows).cast("decimal(18,0)") * F.lit(HALF) + lows
     lower = _floor_of_quotient(rest, rows) + 1
