@@ -22,6 +22,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,17 @@ OPERATION = struct(
 )
 # Operations that leave every row as it is.
 KEEPS_ROWS = ("rebucket",)
-EMPTY = {"version": 0, "base": None, "changes": None, "base_version": 0, "rows": 0, "changed_rows": 0}
+# Events are late if they are older than the horizon of the table, if it has one.
+EMPTY = {
+    "version": 0,
+    "base": None,
+    "changes": None,
+    "base_version": 0,
+    "rows": 0,
+    "changed_rows": 0,
+    "horizon": None,
+}
+TOO_LATE = "too_late"
 
 
 @dataclass(frozen=True)
@@ -105,6 +116,9 @@ class StateTable:
             return base.join(changes.select(self.key), self.key, "left_anti").unionByName(changes)
         return layers[0] if layers else spark.createDataFrame([], self.stored_schema)
 
+    def late_folder(self, run: str) -> str:
+        return f"{self.path}/late/run={run}"
+
     def feed_folder(self, run: str) -> str:
         return f"{self.path}/feed/run={run}"
 
@@ -220,10 +234,16 @@ def upsert(
 
     ``source`` may hold many events per key, in any order, also older than the table's;
     an event without a key stops the run. The result does not depend on how the
-    events were split into batches, and a batch brought in twice changes nothing.
+    events were split into batches, and a batch brought in twice changes nothing. After a
+    ``purge`` events older than its horizon are not taken in, see ``late_events``.
     """
     now, run = _present(spark, table), uuid.uuid4().hex
     work = f"{table.path}/work/run={run}"
+    late = None
+    if now["horizon"]:
+        old = _older(table, now["horizon"])
+        late = _keep_late(source.where(old).select(*table.schema.names), table.late_folder(run), run)
+        source = source.where(~old)
     batch = _newest(spark, table, source, f"{work}/batch")
     layers = [table._layer(spark, now, name) for name in ("changes", "base") if now[name]]
     judged = judge(batch, layers, table, compare).withColumn(VERSION, F.lit(now["version"] + 1).cast("bigint"))
@@ -231,7 +251,7 @@ def upsert(
     judged = spark.read.schema(judged.schema).parquet(f"{work}/judged")
     counts = _counts(judged)
     won = counts.pop("won")
-    entry = {**now, "rows": now["rows"] + counts["inserted"], "won": won, "feed": None}
+    entry = {**now, "rows": now["rows"] + counts["inserted"], "won": won, "feed": None, "late": late}
     if won and table.feed:
         fed = judged.where(WINS).select(BEFORE, _side(table.feed).alias(AFTER))
         fed.write.parquet(table.feed_folder(run))
@@ -272,9 +292,51 @@ def rebucket(spark: SparkSession, table: StateTable, batch_id: str, run_ts: Colu
     return _anew(spark, table, now, rows, run, "rebucket", "kept", batch_id, run_ts, None)
 
 
+def purge(
+    spark: SparkSession, table: StateTable, gone: str, horizon: datetime, batch_id: str, run_ts: Column
+) -> DataFrame:
+    """Forget rows for which ``gone`` (SQL) holds and that are older than ``horizon``, in the
+    first order column; return the audit row.
+
+    From then on the table takes in no event older than the horizon: it could revive what is
+    forgotten. A horizon never goes back, other than by a ``rebuild`` from all events.
+    """
+    now, run = _present(spark, table, any_buckets=True), uuid.uuid4().hex
+    until = max(filter(None, (now["horizon"], horizon.isoformat(" "))))
+    forgotten = F.coalesce(F.expr(gone), F.lit(False)) & _older(table, until)
+    rows = table.rows(spark).where(~forgotten)
+    now = {**now, "horizon": until}
+    return _anew(spark, table, now, rows, run, "purge", "kept", batch_id, run_ts, None)
+
+
+def late_events(spark: SparkSession, table: StateTable) -> DataFrame:
+    """The events that batches could not take in because they came after a purge beyond their
+    time, with the reason."""
+    entries = (journal.entry(spark, table.journal, v) for v in journal.numbers(spark, table.journal))
+    runs = [entry["late"] for entry in entries if entry["late"]]
+    schema = T.StructType(table.schema.fields + [T.StructField("reason", T.StringType())])
+    if not runs:
+        return spark.createDataFrame([], schema)
+    # A batch brought in again leaves them again.
+    return spark.read.schema(schema).parquet(*map(table.late_folder, runs)).distinct()
+
+
+def _older(table: StateTable, horizon: str) -> Column:
+    # An event without a time is older than any.
+    kind = table.schema[table.order[0]].dataType
+    return F.coalesce(F.col(table.order[0]) < F.lit(horizon).cast(kind), F.lit(True))
+
+
+def _keep_late(events: DataFrame, path: str, run: str) -> str | None:
+    events.withColumn("reason", F.lit(TOO_LATE)).write.parquet(path)
+    return None if events.sparkSession.read.parquet(path).isEmpty() else run
+
+
 def _anew(spark, table, now, rows, run, operation, action, batch_id, run_ts, work) -> DataFrame:
     many = _write(spark, table, rows, run, True)
     entry = EMPTY | {"base": run, "base_version": now["version"] + 1, "rows": many, "version": now["version"]}
+    if operation != "rebuild":
+        entry["horizon"] = now["horizon"]
     counts = dict.fromkeys(ACTIONS, 0) | {action: many}
     return _entered(spark, table, entry, operation, batch_id, run_ts, counts, work)
 
@@ -339,7 +401,7 @@ def _write(spark: SparkSession, table: StateTable, rows: DataFrame, run: str, sp
 def _entered(spark, table, layers, operation, batch_id, run_ts, counts, work) -> DataFrame:
     version = layers["version"] + 1
     named = {name: layers[name] for name in EMPTY if name != "version"}
-    named |= {"feed": layers.get("feed"), "won": layers.get("won", layers["rows"])}
+    named |= {"feed": layers.get("feed"), "won": layers.get("won", layers["rows"]), "late": layers.get("late")}
     entry = {
         **named,
         "batch_id": batch_id,

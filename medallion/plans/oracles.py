@@ -428,6 +428,16 @@ ORACLES: dict[str, str] = {
     "avg_age_per_event": average_age("trail", TRAIL),
     "avg_age_per_client": average_age("silver", SILVER),
     "cdc_apply": LIVING,
+    "cdc_purged": f"""WITH {TRAIL}, first_batch AS ({latest(
+        "(SELECT * FROM trail WHERE updated_at < timestamp '1999-01-01' AND event_id % 3 <> 0)")})
+      SELECT {STATE} FROM ({latest(
+        "(SELECT * FROM first_batch WHERE op <> 'D' OR updated_at >= timestamp '1998-01-01' "
+        "UNION ALL SELECT * FROM trail WHERE updated_at >= timestamp '1998-01-01')")})
+      WHERE op <> 'D'""",
+    "cdc_late_events": (
+        f"WITH {TRAIL} SELECT client_id, event_id, {TIME.format('updated_at')}, 'too_late' AS reason "
+        "FROM trail WHERE updated_at < timestamp '1998-01-01'"
+    ),
     "cdc_stream": LIVING,
     "gold_clients": (
         f"WITH {SILVER} SELECT country, person_type, count(*) AS clients, "

@@ -15,7 +15,7 @@ from medallion import fixtures
 from medallion.functions.phones import null_unless
 from medallion.operators import analytics, cdc, sums
 from medallion.operators.dedupe import distinct_events, latest_per_key
-from medallion.operators.upsert import StateTable, last_operation, rebuild, upsert
+from medallion.operators.upsert import StateTable, last_operation, late_events, rebuild, upsert
 from medallion.operators.windows import DayWindow, day_window
 from medallion.plans import client_etl, report
 from medallion.quality import engine, rules
@@ -453,6 +453,29 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(cdc.apply_changes(changes))
 
 
+def _purged(spark: SparkSession, sf_dir: str, folder: str) -> StateTable:
+    """Two thirds of the older changes, a purge two years into them, and then all changes."""
+    deleted = T.StructField("deleted", T.BooleanType())
+    state = fixtures.state_table(folder, T.StructType([*_columns_of(STATE_COLUMNS).fields, deleted]))
+    changes = cdc.with_tombstones(fixtures.bronze(spark, sf_dir).select(*STATE_COLUMNS, "op"))
+    upsert(spark, state, _first_batch(changes).where("event_id % 3 <> 0"), "first", fixtures.run_ts())
+    cdc.purge_tombstones(spark, state, date(1999, 1, 1), 365, "purge", fixtures.run_ts())
+    upsert(spark, state, changes, "all", fixtures.run_ts())
+    return state
+
+
+def cdc_purged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Living clients when tombstones of more than a year have been forgotten in between."""
+    state = _purged(spark, sf_dir, work_folder(spark, "cdc_purged"))
+    return comparable(cdc.living(state.read(spark)))
+
+
+def cdc_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that came too late for that."""
+    state = _purged(spark, sf_dir, work_folder(spark, "cdc_late_events"))
+    return comparable(late_events(spark, state)).select("client_id", "event_id", "updated_at", "reason")
+
+
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as ``cdc_apply``, from CSV files that come in two deliveries: the newer
     changes first, then the older ones, some of them for the second time."""
@@ -555,6 +578,8 @@ QUERIES: dict[str, Query] = {
     "avg_age_per_event": _average_age(fixtures.bronze),
     "avg_age_per_client": _average_age(fixtures.silver),
     "cdc_apply": cdc_apply,
+    "cdc_purged": cdc_purged,
+    "cdc_late_events": cdc_late_events,
     "cdc_stream": cdc_stream,
     "cdc_rejects": cdc_rejects,
     "gold_clients": gold_clients,

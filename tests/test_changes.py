@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import glob
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from medallion.operators import cdc
-from medallion.operators.upsert import StateTable, upsert
+from medallion.operators.upsert import StateTable, late_events, rebucket, rebuild, upsert
 from medallion.schema import LONG, TEXT, TIME, struct
 from medallion.sources.landing import Landing
 from medallion.streaming.changes import apply_change_stream
@@ -109,3 +111,86 @@ def test_stream_gives_the_same_as_the_batch(spark, folder, files_per_batch):
     assert tuples(cdc.living(table_for(folder).read(spark))) == expected
     run_stream(spark, folder, files_per_batch)
     assert tuples(cdc.living(table_for(folder).read(spark))) == expected
+
+
+def purged(spark, folder, days=3):
+    """Clients 1 and 2 deleted on days 1 and 5, client 3 living; purged as of day 6."""
+    table = table_for(folder)
+    bring(spark, table, change(1, 1, 1, "D"), change(2, 2, 5, "D"), change(3, 3, 0, "U", "old"))
+    as_of = (DAY + timedelta(days=6)).date()
+    audit = cdc.purge_tombstones(spark, table, as_of, days, "purge", stamp())
+    return table, audit.first()
+
+
+def stamp():
+    return F.lit(STAMP).cast("timestamp_ntz")
+
+
+def bring(spark, table, *events):
+    source = cdc.with_tombstones(spark.createDataFrame(list(events), CHANGES))
+    return upsert(spark, table, source, "b", stamp()).first()
+
+
+def late(spark, table):
+    return tuples(late_events(spark, table), "client_id", "event_id", "reason")
+
+
+def test_old_tombstones_are_forgotten(spark, folder):
+    table, audit = purged(spark, folder)
+    assert (audit.operation, audit.kept) == ("purge", 2)
+    assert tuples(table.read(spark), "client_id", "deleted") == [(2, True), (3, False)]
+    assert tuples(cdc.living(table.read(spark)), "client_id") == [(3,)]
+
+
+def test_a_late_update_revives_nobody(spark, folder):
+    table, _ = purged(spark, folder)
+    audit = bring(spark, table, change(1, 9, 0, "U"), change(2, 10, 4, "U"), change(3, 11, 2, "U", "late"))
+    assert (audit.inserted, audit.updated, audit.stale) == (0, 0, 1)
+    assert late(spark, table) == [(1, 9, "too_late"), (3, 11, "too_late")]
+    # On the day of the horizon an event is in time, and a client may come back with a newer one.
+    bring(spark, table, change(1, 12, 3, "U", "back"), change(2, 13, 6, "U", "back"), (4, 14, None, "x", "U"))
+    assert tuples(cdc.living(table.read(spark)), "client_id", "name") == [(1, "back"), (2, "back"), (3, "old")]
+    assert late(spark, table) == [(1, 9, "too_late"), (3, 11, "too_late"), (4, 14, "too_late")]
+
+
+def test_late_events_brought_in_again_are_kept_once(spark, folder):
+    table, _ = purged(spark, folder)
+    for _ in range(2):
+        bring(spark, table, change(1, 9, 0, "U"))
+    assert late(spark, table) == [(1, 9, "too_late")]
+
+
+def test_a_horizon_never_goes_back_but_by_a_rebuild(spark, folder):
+    table, _ = purged(spark, folder)
+    cdc.purge_tombstones(spark, table, DAY.date(), 100, "again", stamp())
+    rebucket(spark, replace(table, buckets=5), "wider", stamp())
+    table = replace(table, buckets=5)
+    bring(spark, table, change(7, 20, 2, "U"))
+    assert late(spark, table) == [(7, 20, "too_late")]
+    everything = cdc.with_tombstones(spark.createDataFrame([change(1, 1, 1, "D"), change(3, 3, 0, "U")], CHANGES))
+    rebuild(spark, table, everything, "anew", stamp())
+    assert bring(spark, table, change(1, 9, 0, "U"), change(7, 20, 2, "U")).stale == 1
+    assert tuples(cdc.living(table.read(spark)), "client_id") == [(3,), (7,)]
+
+
+def test_without_a_purge_nothing_is_late(spark, folder):
+    table = table_for(folder)
+    bring(spark, table, change(1, 1, 5, "D"))
+    bring(spark, table, change(1, 2, 0, "U"), change(2, 3, -500, "U"))
+    assert late(spark, table) == [] and tuples(table.read(spark), "client_id") == [(1,), (2,)]
+
+
+def test_a_batch_of_stale_changes_writes_no_file(spark, folder):
+    landing = Landing(folder + "/landing", CHANGES, upper=())
+    table = table_for(folder)
+
+    def deliver(name, *events):
+        lines = (f"{c},{n},{t.isoformat()},{text},{op}" for c, n, t, text, op in events)
+        put(landing.path, "particao_20240101", name, *lines, header=",".join(CHANGES.names))
+        apply_change_stream(spark, landing, table, folder + "/checkpoint", stamp()).awaitTermination()
+        return sorted(glob.glob(f"{table.path}/data/**/*.parquet", recursive=True))
+
+    first = deliver("a.csv", *[change(c, c, 5, "U") for c in range(20)])
+    assert deliver("b.csv", *[change(c, 100 + c, 1, "U", "stale") for c in range(20)]) == first
+    assert len(deliver("c.csv", change(3, 200, 6, "U", "new"))) == len(first) + 1
+    assert table.read(spark).where("name = 'new'").count() == 1
