@@ -358,6 +358,11 @@ ORACLES: dict[str, str] = {
           SELECT load_date FROM daily WHERE event_id % 7 = 0 AND load_date <= '20240110')
         THEN '2024-02-01' ELSE '2024-01-31' END || ' 00:00:00.000000' AS ingested_at
       FROM daily WHERE load_date <> '20240120' OR event_type <> 'click'""",
+    "bronze_forms": (
+        "SELECT event_id, user_id, event_type AS channel, "
+        "CAST(CAST(event_id % 1000 AS decimal(20,6)) AS varchar) AS amount, "
+        "strftime(ts, '%Y%m%d') AS load_date FROM events WHERE CAST(ts AS date) <= date '2024-12-31'"
+    ),
     "bronze_audit": BRONZE_AUDIT,
     "bronze_replace_days": f"""SELECT {EVENT} FROM events
       WHERE CAST(ts AS date) NOT BETWEEN date '2024-01-10' AND date '2024-01-12'

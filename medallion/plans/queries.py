@@ -228,6 +228,29 @@ def bronze_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three generations of files as one table: narrow numbers under an old name, wider ones, and
+    a new name with wider decimals still."""
+    path = work_folder(spark, "bronze_forms")
+    events, day = _daily_events(spark, sf_dir), F.col("load_date")
+    amount = (F.col("event_id") % 1000).cast("decimal(10,2)")
+
+    def generation(user: str, kind: str, number: str) -> DataFrame:
+        return events.select(
+            "event_id", F.col("user_id").cast(user).alias("user_id"), F.col("event_type").alias(kind),
+            amount.cast(number).alias("amount"), "load_date",
+        )
+
+    first = generation("int", "kind", "decimal(10,2)").where(day < "20240111")
+    second = generation("bigint", "kind", "decimal(12,2)").where(day.between("20240111", "20240120"))
+    third = generation("bigint", "channel", "decimal(20,6)").where(day > "20240120")
+    tables.refresh_days(first, path)
+    tables.replace_days(second, path, DayWindow(date(2024, 1, 11), date(2024, 1, 20)))
+    later = DayWindow(date(2024, 1, 21), date(2024, 12, 31))
+    tables.replace_days(third, path, later, renames={"kind": "channel"})
+    return comparable(tables.read(spark, path, third.schema))
+
+
 def bronze_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of some load days; the other days' folders are not listed."""
     window = DayWindow(date(1997, 1, 1), date(1999, 12, 31))
@@ -548,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "bronze_replace_days": bronze_replace_days,
     "bronze_full_refresh": bronze_full_refresh,
     "bronze_evolve": bronze_evolve,
+    "bronze_forms": bronze_forms,
     "bronze_window": bronze_window,
     "catalog_partitions": catalog_partitions,
     "silver_latest": silver_latest,

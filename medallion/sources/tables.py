@@ -12,16 +12,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.windows import DayWindow
-from medallion.sources import files, journal
+from medallion.sources import files, forms, journal
 
 DAY = "load_date"
 VERSIONS = "versions"
+NOTHING = {"version": 0, "folders": {}, "form_of": {}, "history": None}
 # Partitions named in one ALTER TABLE statement.
 PARTITIONS_PER_STATEMENT = 500
 
@@ -36,7 +38,7 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     now = journal.newest(spark, f"{path}/{VERSIONS}")
     if now is None:
         return spark.read.schema(schema).parquet(path)
-    return _read_folders(spark, path, schema, day_folders(spark, path, now=now))
+    return _read_folders(spark, path, schema, now, DayWindow())
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -49,17 +51,31 @@ def read_days(
     spark: SparkSession, path: str, schema: T.StructType, window: DayWindow
 ) -> DataFrame:
     """The window's days of a by-day table; only their folders are listed."""
-    rows = _read_folders(spark, path, schema, day_folders(spark, path, window))
-    return rows.where(window.holds(F.col(DAY)))
+    now = journal.newest(spark, f"{path}/{VERSIONS}")
+    if now is None:
+        return spark.createDataFrame([], schema)
+    return _read_folders(spark, path, schema, now, window).where(window.holds(F.col(DAY)))
 
 
 def _read_folders(
-    spark: SparkSession, path: str, schema: T.StructType, folders: Mapping[str, str]
+    spark: SparkSession, path: str, schema: T.StructType, now: dict, window: DayWindow
 ) -> DataFrame:
-    if not folders:
-        return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("basePath", f"{path}/data")
-    return reader.parquet(*folders.values()).select(*schema.names)
+    """Days of a version, in one scan as far as the files have the columns as asked for; those of
+    each form that has other types or names are a scan of their own."""
+    scans: dict[int | None, list[str]] = {}
+    made = {}
+    for folder in day_folders(spark, path, window, now).values():
+        number = now["form_of"][folder.split("/run=")[1].split("/")[0]]
+        if number not in made:
+            made[number] = forms.columns(now["history"], number, schema)
+        scans.setdefault(None if made[number] is None else number, []).append(folder)
+    parts = []
+    for number, folders in scans.items():
+        held = schema if number is None else T.StructType.fromJson(now["history"]["forms"][number])
+        rows = spark.read.schema(held).option("basePath", f"{path}/data").parquet(*folders)
+        chosen = [made[number][name].alias(name) for name in schema.names] if number is not None else schema.names
+        parts.append(rows.select(*chosen))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def day_folders(
@@ -101,7 +117,7 @@ class StagedDays:
     spark: SparkSession
     path: str
     version: int
-    folders: Mapping[str, list[str]]
+    layout: dict
     rows: int
     days: list[str]
 
@@ -111,22 +127,32 @@ class StagedDays:
         Raises ``ConcurrentWrite``, without effect, if the table has changed meanwhile. The
         entry holds ``facts`` too.
         """
-        entry = {"folders": self.folders, "rows": self.rows, "days": self.days, **facts}
+        entry = {**self.layout, "rows": self.rows, "days": self.days, **facts}
         journal.add(self.spark, f"{self.path}/{VERSIONS}", self.version, entry)
         return self.version
 
 
 def stage_days(
-    df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
+    df: DataFrame,
+    path: str,
+    window: DayWindow,
+    days: Collection[str] | None = None,
+    renames: Mapping[str, str] | None = None,
 ) -> StagedDays:
     """Write the files with which days of the table become exactly the rows given.
 
     The days are those of the window, or of them the ones in ``days``: a row of another day
     stops the write, and a day that the table has but ``df`` has not is emptied. The files lie
     in a folder of this run alone; nobody reads them before ``commit``.
+
+    ``df`` may have more columns than the table, and wider types; a narrower one is refused, as
+    long as the table keeps other days. ``renames`` are columns that have another name from now
+    on, from old to new.
     """
     spark, run = df.sparkSession, uuid.uuid4().hex
-    now = journal.newest(spark, f"{path}/{VERSIONS}") or {"version": 0, "folders": {}}
+    now = journal.newest(spark, f"{path}/{VERSIONS}") or NOTHING
+    kept = None if window.everything and days is None else now["history"]
+    history = forms.extended(kept, df.schema, renames or {})
     replaced = set(day_folders(spark, path, window, now))
     held = window.holds(F.col(DAY))
     if days is not None:
@@ -141,15 +167,25 @@ def stage_days(
     filled = sorted(metrics.get("days", ()))
     folders = {owner: sorted(set(held) - replaced - set(filled)) for owner, held in now["folders"].items()}
     folders = {owner: held for owner, held in folders.items() if held} | ({run: filled} if filled else {})
-    return StagedDays(spark, path, now["version"] + 1, folders, metrics.get("rows", 0), filled)
+    form_of = {**now["form_of"], run: len(history["forms"]) - 1}
+    layout = {
+        "folders": folders,
+        "form_of": {owner: form_of[owner] for owner in folders},
+        "history": history,
+    }
+    return StagedDays(spark, path, now["version"] + 1, layout, metrics.get("rows", 0), filled)
 
 
 def replace_days(
-    df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None
+    df: DataFrame,
+    path: str,
+    window: DayWindow,
+    days: Collection[str] | None = None,
+    renames: Mapping[str, str] | None = None,
 ) -> int:
     """Make days of the table exactly the rows given, all at once; a rerun changes nothing.
     Returns the rows written. See ``stage_days``."""
-    staged = stage_days(df, path, window, days)
+    staged = stage_days(df, path, window, days, renames)
     staged.commit()
     return staged.rows
 
@@ -162,7 +198,7 @@ def refresh_days(df: DataFrame, path: str) -> int:
 def vacuum_days(spark: SparkSession, path: str) -> None:
     """Delete day folders that the newest version does not name. Not to be run while the table
     is being written, or an older version still being read."""
-    now = journal.newest(spark, f"{path}/{VERSIONS}") or {"folders": {}}
+    now = journal.newest(spark, f"{path}/{VERSIONS}") or NOTHING
     for name in files.matching(spark, f"{path}/data/run=*"):
         named = now["folders"].get(name.partition("=")[2], ())
         if not named:
