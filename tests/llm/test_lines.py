@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from medallion.llm import line_dedup
 from medallion.llm.queries import QUERIES
 from tests.llm.brute import components_of, edits
@@ -34,13 +36,14 @@ def by_hand(rows):
         (doc, n, line.strip(" "))
         for doc, text in rows
         for n, line in enumerate((text or "").split("\n"))
-        if len(line.strip(" ")) >= line_dedup.MIN_CHARS
+        if line.strip(" ")
     ]
     lines = sorted({line for _, _, line in places})
+    long = [line for line in lines if len(line) >= line_dedup.MIN_CHARS]
     links = [
         (a, b)
-        for i, a in enumerate(lines)
-        for b in lines[i + 1 :]
+        for i, a in enumerate(long)
+        for b in long[i + 1 :]
         if abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2
     ]
     groups = components_of(lines, links)
@@ -82,13 +85,36 @@ def test_against_all_pairs(spark):
     assert found == want
 
 
+def test_short_lines_are_classed_by_equality(spark):
+    rows = [(2, "Read more\nRead morn\n 词 "), (1, "Read more \n\nx"), (3, "词\nRead more\nRead more")]
+    found = [tuple(r) for r in line_dedup.near_duplicates(docs_of(spark, rows)).collect()]
+    assert set(found) == by_hand(rows) and len(found) == 8
+    assert {r[:2] for r in found if not r[5]} == {(2, 0), (3, 0), (3, 1), (3, 2)}
+    cleaned = line_dedup.without_repeats(docs_of(spark, rows))
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == {1: "Read more \n\nx", 2: "Read morn\n 词 ", 3: ""}
+
+
+def test_sketches_rule_out_no_pair_within_reach(spark):
+    draw = random.Random(8)
+    pairs = []
+    for _ in range(500):
+        a = "".join(draw.choices("etaoinsr xyz", k=draw.randrange(30, 400)))
+        pairs.append((a, changed(draw, a, 2)))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    possible = line_dedup._possible(line_dedup.sketch(F.col("a")), line_dedup.sketch(F.col("b")))
+    assert df.where(~possible).count() == 0
+    others = spark.createDataFrame([(a, d) for (a, _), (_, d) in zip(pairs, pairs[1:])], "a string, b string")
+    assert others.where(possible).count() < 50
+
+
 def test_odd_documents(spark):
     line = "this is a line of more than thirty letters"
     long = "long " * 40_000
     rows = [(3, line), (1, None), (2, ""), (4, f"{line}!\nshort\n{line}"), (5, long), (6, long), (7, "\n\n"), (8, line), (8, line), (None, line)]
     docs = docs_of(spark, rows)
     found = [tuple(r) for r in line_dedup.near_duplicates(docs).collect()]
-    assert len(found) == 8
+    assert len(found) == 9
+    assert (4, 1, 0, 4, 1, True) in found
     assert (None, 0, 1, None, 0, True) in found
     assert (3, 0, 1, None, 0, False) in found and (4, 0, 1, None, 0, False) in found
     assert (5, 0, 0, 5, 0, True) in found and (6, 0, 0, 5, 0, False) in found
@@ -107,7 +133,7 @@ def test_registered_query(spark):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     rows = sorted((r["doc_id"], r["text"]) for r in rows)
     found = QUERIES["op6_line_dedup"](spark, sf).collect()
-    places = [(d, n) for d, t in rows for n, x in enumerate(t.split("\n")) if len(x.strip(" ")) >= 30]
+    places = [(d, n) for d, t in rows for n, x in enumerate(t.split("\n")) if x.strip(" ")]
     assert sorted((r["doc_id"], r["line_no"]) for r in found) == sorted(places)
     some = rows[:40]
     near = line_dedup.near_duplicates(docs_of(spark, some))
