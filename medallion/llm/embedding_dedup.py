@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import arrow_table, written
@@ -59,18 +59,16 @@ def _usable() -> Column:
 def pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
     """Unit pivots of each label and dimension that has more vectors than a cell.
 
-    They are the vectors of smallest hash of their id; together at most ``2 * MAX_PIVOTS``.
+    They are the vectors whose hash is among the first of so many as a cell has, so about one to
+    a cell and ``2 * MAX_PIVOTS`` altogether; each task picks its own. A group without any is
+    one cell.
     """
     cell = max(CELL, classes.count() // MAX_PIVOTS)
-    group = Window.partitionBy("label", "_dim")
     sizes = classes.groupBy("label", "_dim").agg(F.count("*").alias("_size"))
-    large = written(
-        sizes.where(F.col("_size") > cell).withColumn("_pivots", F.ceil(F.col("_size") / cell)), "large"
-    )
-    ranked = classes.join(large, ["label", "_dim"]).withColumn(
-        "_rank", F.row_number().over(group.orderBy(F.xxhash64("_node"), "embedding"))
-    )
-    chosen = ranked.where((F.col("_rank") <= F.col("_pivots")) & (F.col("_rank") <= 2 * MAX_PIVOTS))
+    large = written(sizes.where(F.col("_size") > cell).select("label", "_dim"), "large")
+    hashed = F.xxhash64("embedding")
+    chosen = classes.where(F.pmod(hashed, F.lit(cell)) == 0).join(large, ["label", "_dim"], "left_semi")
+    chosen = chosen.withColumn("_rank", hashed)
     found: dict[tuple, list] = {}
     for row in chosen.orderBy("label", "_dim", "_rank").select("label", "_dim", "embedding").collect():
         found.setdefault((row["label"], row["_dim"]), []).append(row["embedding"])
@@ -187,8 +185,8 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     Vectors link if their labels are equal and their cosine, in double precision, is at least
     0.98. Those that are null, empty or zero, hold a null or non-finite component, or have no
     label or vec_id, link with nothing and are their own component; so do vectors of different
-    dimensions with one another. Rows are vectors: repeated rows link with each other. Other
-    columns are ignored; an empty table gives no rows.
+    dimensions with one another. Rows are vectors: repeated rows link with each other, and rows of
+    one id with different vectors are told apart. Other columns are ignored; an empty table gives no rows.
     """
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
@@ -198,9 +196,11 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     rows = rows.withColumn("_usable", _usable())
     good = rows.where("_usable")
     classes = good.groupBy("label", "embedding").agg(
-        F.min("vec_id").alias("_node"), F.count("*").alias("_copies")
+        F.min("vec_id").alias("_first"), F.count("*").alias("_copies")
     )
-    classes = written(classes.withColumn("_dim", F.size("embedding")), "classes")
+    # A class has a number of its own: rows of one id may have different vectors.
+    classes = classes.withColumns({"_dim": F.size("embedding"), "_node": F.monotonically_increasing_id()})
+    classes = written(classes, "classes")
     centres = pivots(classes)
     placed = written(classes.mapInArrow(_placer(centres), PLACED), "placed")
     joined = written(_blocks(placed).groupBy(*CELL_KEY).applyInArrow(
@@ -209,11 +209,14 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     counts = joined.groupBy("_node").agg(F.sum("_linked").alias("_linked"))
     edges = joined.where("_other is not null").select(F.col("_node").alias("a"), F.col("_other").alias("b"))
     reached = components(edges).select(F.col("node").alias("_node"), "component")
+    members = written(reached.join(classes.select("_node", "_first"), "_node"), "members")
+    named = members.groupBy("component").agg(F.min("_first").alias("_smallest"))
+    reached = members.join(named, "component").select("_node", "_smallest")
     result = classes.join(counts, "_node", "left").join(reached, "_node", "left").select(
         "label",
         "embedding",
         (F.coalesce("_linked", F.lit(0)) + F.col("_copies") - 1).alias("n_links"),
-        F.coalesce("component", "_node").alias("component_id"),
+        F.coalesce("_smallest", "_first").alias("component_id"),
     )
     linked = good.join(written(result, "result"), ["label", "embedding"]).select(
         "vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -51,6 +52,37 @@ def test_against_all_pairs(spark, monkeypatch, cell, block):
     assert collected(vectors) == want
 
 
+def test_rows_of_one_id_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [1.0, 0.01, 0.0], 0),
+            (3, [0.01, 1.0, 0.0], 0), (4, [0.0, 1.0, 0.01], 0), (9, [0.0, 0.0, 1.0], 0), (8, [0.01, 0.0, 1.0], 0)]
+    vectors = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    found = sorted(tuple(r) for r in embedding_dedup.near_duplicates(vectors).collect())
+    assert found == [
+        (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 2, 1, False),
+        (8, 1, 8, True), (9, 1, 8, False),
+    ]
+
+
+def test_given_vectors_and_near_copies_of_them_against_sql(spark):
+    """The given vectors have no links; copies with a little noise have, also under shared ids."""
+    given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()
+    draw, rows = np.random.default_rng(4), []
+    for r in given:
+        rows.append((r["vec_id"], r["embedding"], r["label"]))
+        for n in range(draw.integers(0, 4)):
+            noise = draw.normal(size=64) * draw.choice([0.0, 0.01, 0.03])
+            vector = [float(x) for x in np.float32(np.array(r["embedding"]) + noise)]
+            rows.append((r["vec_id"] % 97 if n == 2 else 10_000 * (n + 1) + r["vec_id"], vector, r["label"]))
+    vectors = spark.createDataFrame([(*r, None, None) for r in rows], SCHEMA)
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INTEGER)")
+    connection.executemany("INSERT INTO embeddings VALUES (?, ?, ?)", rows)
+    want = sorted(connection.execute(embedding_dedup.ORACLE).fetchall())
+    found = embedding_dedup.near_duplicates(vectors)
+    assert sorted(tuple(r) for r in found.select("vec_id", "n_links", "component_id", "kept").collect()) == want
+    assert sum(n > 0 for _, n, _, _ in want) > 500
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     odd = [None, [], [0.0, 0.0], [1.0, None], [1.0, nan], [inf, 1.0]]
