@@ -5,10 +5,10 @@ than edits are allowed, so that each line within reach has at least one segment
 unchanged, shifted by no more than the edits before or after it allow. Segments are indexed
 under the line's length and the segment's number; a line probes the index of each length that
 it may be near to, at the few places where such a segment can be. Equal lines are one row
-before this, and keys are hashes. Both sides of the key join carry a sketch of their line, counts
-of letters, and the join makes only pairs that these do not rule out; those are verified on the
-whole lines by a banded edit distance whose band is a word of bits. Lines too short for two
-edits to mean a typing error are classed by equality alone.
+before this, keys are hashes, and a candidate pair is met once. What the counts of a few
+letters can rule out goes first; the rest is verified on the whole lines by a banded edit
+distance whose band is a word of bits. Lines too short for two edits to mean a typing error are
+classed by equality alone.
 """
 
 from __future__ import annotations
@@ -25,9 +25,8 @@ MAX_EDITS = 2
 # Shorter lines, blanks at the ends not counted, are duplicates of equal ones only.
 MIN_CHARS = 30
 SEGMENTS = MAX_EDITS + 1
-# Letters that a line's sketch counts, four bits for each.
-SKETCHED = "etaoinsrhldcumfg"
-SKETCH_BITS = 4
+# Letters that a line's sketch counts, a byte for each.
+SKETCHED = "etaoinsr"
 
 
 def probes() -> list[tuple[int, int, int]]:
@@ -53,7 +52,7 @@ def _keyed(lines: DataFrame, places: list[tuple[int, int, int]], name: str) -> D
     They are cut out of its UTF-32 form, where places need not be counted out.
     """
     listed = F.array(*[F.struct(*map(F.lit, place)) for place in places])
-    rows = lines.select("_id", "_length", "_sketch", F.encode("_line", "UTF-32").alias("_code"))
+    rows = lines.select("_id", "_length", F.encode("_line", "UTF-32").alias("_code"))
     rows = rows.select("*", F.inline(listed).alias("_shorter", "_number", "_shift"))
     rows = rows.withColumn("_other", F.expr("_length - _shorter")).where(F.col("_other") >= MIN_CHARS)
     rows = rows.withColumn("_base", F.expr(f"int(_other div {SEGMENTS})"))
@@ -63,7 +62,7 @@ def _keyed(lines: DataFrame, places: list[tuple[int, int, int]], name: str) -> D
     ).withColumn("_size", F.expr("_base + if(_number > _plain, 1, 0)"))
     rows = rows.where("_start >= 1 and _start + _size - 1 <= _length")
     key = F.expr("xxhash64(_number, _other, substring(_code, 4 * _start - 3, 4 * _size))")
-    return rows.select(F.col("_id").alias(name), key.alias("_key"), F.col("_sketch").alias(f"_sketch{name}"))
+    return rows.select(F.col("_id").alias(name), key.alias("_key"))
 
 
 def letters(text: str) -> Column:
@@ -109,25 +108,20 @@ def _words(words: list[Column]) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    """The counts of some letters, modulo 16, as bits of a number."""
+    """The counts of some letters, at most 255 of each, as bytes of a number."""
     counted = F.lit(0).cast("bigint")
     for place, letter in enumerate(SKETCHED):
         count = F.length(text) - F.length(F.replace(text, F.lit(letter), F.lit("")))
-        low = count.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1)).cast("bigint")
-        counted = counted.bitwiseOR(F.shiftleft(low, SKETCH_BITS * place))
+        counted = counted.bitwiseOR(F.shiftleft(F.least(count, F.lit(255)).cast("bigint"), 8 * place))
     return counted
 
 
 def _possible(left: Column, right: Column) -> Column:
-    """An edit changes the counts by two at most; counts are no nearer than around the circle of
-    16 that they are known on."""
-    size, apart = 1 << SKETCH_BITS, F.lit(0)
+    """An edit changes the counts by two at most."""
+    apart = F.lit(0)
     for place in range(len(SKETCHED)):
-        one, other = (
-            F.shiftrightunsigned(x, SKETCH_BITS * place).bitwiseAND(F.lit(size - 1)) for x in (left, right)
-        )
-        ahead = (one - other + size).bitwiseAND(F.lit(size - 1))
-        apart = apart + F.least(ahead, size - ahead)
+        one, other = (F.shiftrightunsigned(x, 8 * place).bitwiseAND(F.lit(255)) for x in (left, right))
+        apart = apart + F.abs(one - other)
     return apart <= 2 * MAX_EDITS
 
 
@@ -149,11 +143,14 @@ def links(lines: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of ids of the distinct lines (_id, _line, _length, _sketch) that are
     near duplicates."""
     index = _keyed(lines, [(0, i, 0) for i in range(1, SEGMENTS + 1)], "_id")
-    probe = _keyed(lines, probes(), "_other").withColumnRenamed("_key", "_probed")
-    meet = (F.col("_key") == F.col("_probed")) & (F.col("_id") != F.col("_other"))
-    met = index.join(probe, meet & _possible(F.col("_sketch_id"), F.col("_sketch_other")))
+    probe = _keyed(lines, probes(), "_other")
+    met = index.join(probe, "_key").where("_id <> _other")
     met = met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b")).distinct()
-    met = written(met, "candidates")
+    left, right = (
+        lines.select(F.col("_id").alias(side), F.col("_sketch").alias(f"_{side}")) for side in ("a", "b")
+    )
+    met = met.join(left, "a").join(right, "b").where(_possible(F.col("_a"), F.col("_b")))
+    met = written(met.select("a", "b"), "candidates")
     ids = written(met.select(F.col("a").alias("_id")).union(met.select("b")).distinct(), "ids")
     texts = lines.join(ids, "_id", "left_semi").select("_id", letters("_line").alias("_letters"))
     texts = written(texts, "letters")
@@ -169,9 +166,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Lines are split at \\n and compared without blanks at their ends. ``n_links`` counts the
     other texts within two edits, if both have at least 30 code points; the class are all lines
-    reachable by such links and by equality. Its first occurrence by doc_id (null first), line number and hash of the whole
-    text names the class and is kept. Equal rows of a document share their verdict. Null and
-    empty texts have no lines; other columns are ignored.
+    reachable by such links and by equality. Its first occurrence by doc_id (null first), line
+    number and hash of the whole text names the class and is kept. Equal rows of a document
+    share their verdict. Null and empty texts have no lines; other columns are ignored.
     """
     found = _classified(docs)
     return found.select("doc_id", "line_no", "n_links", "class_doc_id", "class_line_no", "kept")
