@@ -1,16 +1,20 @@
 """Benchmark decontamination: MinHash containment search for short items in long documents.
 
 An item is contained in a document if the document has at least four fifths of its distinct
-five-word shingles. An item of n shingles is sketched by its
-smallest shingle hashes, as many as may be missing and one more: a document that contains the
-item lacks fewer, so it has at least one of them. The length of the sketch follows from the
-item's size, not from the documents', so that nothing is missed however long a document
-is, where the minima of a whole long document would almost never be those of a short item. One
-index holds items of all sizes; candidates that a document is too small for are passed over, the
-others verified by the shingles themselves. Items under five words have no shingle.
-
-Documents are scanned once for each block of items and never shuffled. Only words that the
-block's items use have a number; a shingle with any other word is passed over at once.
+five-word shingles. An item of fewer words is one shingle, all its words. An item of n shingles
+is sketched by its smallest shingle hashes, as many as may be missing and one more: a document
+that contains the item lacks fewer, so it has at least one of them. The length of the sketch
+follows from the item's size, not from the documents', so that nothing is missed however long a
+document is, where the minima of a whole long document would almost never be those of a short
+item.
+
+Items are partitioned by size, each partition with an index of its own, and a document probes
+the partitions whose items it has shingles enough to hold. Candidates are verified by the
+shingles themselves.
+
+Documents are scanned once for each block of items and never shuffled for it. Only words that the
+block's items use have a number; a shingle with any other word is passed over at once. Of a
+benchmark of several blocks one is with the executors at a time.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import arrow_table, bounded_batches, slices
+from medallion.llm.common import arrow_table, bounded_batches, slices, written
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-# Items sent to the executors at once; a larger benchmark is searched block by block.
+# Items, and bytes of them, sent to the executors at once; a larger benchmark is searched block
+# by block.
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 32_000_000
 BATCH_BYTES = 2_000_000
 # Bits of the table that tells most shingles apart from sketched ones.
 FILTER_BITS = 20
@@ -49,9 +55,9 @@ def _mixed(columns: Sequence[np.ndarray]) -> np.ndarray:
     return mixed
 
 
-def _windows(numbers: np.ndarray) -> list[np.ndarray]:
-    count = len(numbers) - SHINGLE_WORDS + 1
-    return [numbers[i : i + count] for i in range(SHINGLE_WORDS)]
+def _windows(numbers: np.ndarray, words: int) -> list[np.ndarray]:
+    count = len(numbers) - words + 1
+    return [numbers[i : i + count] for i in range(words)]
 
 
 @dataclass(frozen=True)
@@ -61,60 +67,85 @@ class Item:
     needed: int
 
 
+@dataclass(frozen=True)
+class Partition:
+    """The items of one size class, and the hashes of their sketches, sorted, with their owners.
+    ``least`` shingles are what the smallest of them needs."""
+
+    items: list[Item]
+    least: int
+    hashes: np.ndarray
+    owners: np.ndarray
+
+    def candidates(self, found: np.ndarray) -> list[Item]:
+        first = np.searchsorted(self.hashes, found)
+        last = np.searchsorted(self.hashes, found, side="right")
+        hits = np.flatnonzero(last > first)
+        owners = {self.owners[i] for h in hits.tolist() for i in range(first[h], last[h])}
+        return [self.items[owner] for owner in sorted(owners)]
+
+
 class Block:
-    """Sketches of a block of items, sorted by hash."""
+    """A block of items: words with numbers, and partitions by words of a shingle and by size."""
 
     def __init__(self, rows: Sequence[tuple[int, str]]):
         self.vocabulary: dict[bytes, int] = {}
-        self.items: list[Item] = []
-        sketch_hash, sketch_item = [], []
+        sketched: dict[tuple[int, int], list[tuple[Item, np.ndarray]]] = {}
+        number = self.vocabulary.setdefault
         for item_id, text in rows:
-            words = words_of(text)
-            if len(words) < SHINGLE_WORDS:
+            numbers = np.array([number(w, len(self.vocabulary) + 1) for w in words_of(text)])
+            if not len(numbers):
                 continue
-            number = self.vocabulary.setdefault
-            numbers = np.array([number(w, len(self.vocabulary) + 1) for w in words])
-            windows = _windows(numbers)
+            words = min(SHINGLE_WORDS, len(numbers))
+            windows = _windows(numbers, words)
             shingles = frozenset(zip(*[w.tolist() for w in windows], strict=True))
             needed = -(-len(shingles) * 4 // 5)
             minima = np.unique(_mixed(windows))[: len(shingles) - needed + 1]
-            sketch_hash += minima.tolist()
-            sketch_item += [len(self.items)] * len(minima)
-            self.items.append(Item(item_id, shingles, needed))
-        hashes = np.array(sketch_hash, np.uint64)
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, self.owners = hashes[order], np.array(sketch_item, np.int64)[order]
-        self.needed = np.array([item.needed for item in self.items], np.int64)
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self.hashes >> np.uint64(64 - FILTER_BITS)] = True
+            size = (words, needed.bit_length())
+            sketched.setdefault(size, []).append((Item(item_id, shingles, needed), minima))
+        self.filters: dict[int, np.ndarray] = {}
+        self.partitions: dict[int, list[Partition]] = {}
+        for (words, _), members in sorted(sketched.items(), key=lambda m: m[0]):
+            hashes = np.concatenate([minima for _, minima in members])
+            owners = np.repeat(np.arange(len(members)), [len(minima) for _, minima in members])
+            order = np.argsort(hashes, kind="stable")
+            items = [item for item, _ in members]
+            least = min(item.needed for item in items)
+            part = Partition(items, least, hashes[order], owners[order])
+            self.partitions.setdefault(words, []).append(part)
+            known = self.filters.setdefault(words, np.zeros(1 << FILTER_BITS, bool))
+            known[part.hashes >> np.uint64(64 - FILTER_BITS)] = True
 
     def search(self, texts: Sequence[str | None]) -> Iterator[tuple[int, Item, int]]:
         """(text, item, shared shingles) for each item contained in a text."""
         get = self.vocabulary.get
         for row, text in enumerate(texts):
             numbers = np.array([get(w, 0) for w in words_of(text)], np.int64)
-            if len(numbers) < SHINGLE_WORDS:
-                continue
-            known = np.convolve(numbers > 0, np.ones(SHINGLE_WORDS, np.int64), "valid")
-            at = np.flatnonzero(known == SHINGLE_WORDS)
-            if not len(at):
-                continue
-            windows = [w[at] for w in _windows(numbers)]
-            found = np.unique(_mixed(windows))
-            found = found[self.filter[found >> np.uint64(64 - FILTER_BITS)]]
-            first = np.searchsorted(self.hashes, found)
-            last = np.searchsorted(self.hashes, found, side="right")
-            candidates = {self.owners[i] for a, b in zip(first, last, strict=True) for i in range(a, b)}
-            if not candidates:
-                continue
-            shingles = set(zip(*[w.tolist() for w in windows], strict=True))
-            for candidate in sorted(candidates):
-                item = self.items[candidate]
-                # A document with fewer shingles can't hold the item.
-                if len(shingles) >= item.needed:
-                    shared = len(item.shingles & shingles)
-                    if shared >= item.needed:
-                        yield row, item, shared
+            for words, partitions in self.partitions.items():
+                for item, shared in self._held(numbers, words, partitions):
+                    yield row, item, shared
+
+    def _held(self, numbers: np.ndarray, words: int, partitions: list[Partition]):
+        if len(numbers) < words:
+            return
+        known = np.convolve(numbers > 0, np.ones(words, np.int64), "valid")
+        at = np.flatnonzero(known == words)
+        if not len(at):
+            return
+        windows = [w[at] for w in _windows(numbers, words)]
+        distinct = np.unique(_mixed(windows))
+        found = distinct[self.filters[words][distinct >> np.uint64(64 - FILTER_BITS)]]
+        shingles: set | None = None
+        for partition in partitions if len(found) else ():
+            # Partitions go up by size: this one's items, and all later ones, need more.
+            if partition.least > len(distinct):
+                return
+            for item in partition.candidates(found):
+                if shingles is None:
+                    shingles = set(zip(*[w.tolist() for w in windows], strict=True))
+                shared = len(item.shingles & shingles)
+                if shared >= item.needed:
+                    yield item, shared
 
 
 FOUND = pa.schema(
@@ -129,9 +160,10 @@ FOUND_DDL = "doc_id bigint, item_id bigint, shared bigint, shingles bigint"
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Block]:
-    """Blocks of at most about ``BLOCK_ITEMS`` items, one in memory at a time."""
+    """Blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` at most, one in memory at a time."""
     items = benchmark.where("text is not null").select(F.col("item_id").cast("bigint"), "text")
-    number = max(1, -(-items.count() // BLOCK_ITEMS))
+    size = items.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    number = max(1, -(-size["n"] // BLOCK_ITEMS), -(-(size["bytes"] or 0) // BLOCK_BYTES))
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(number))
     for i in range(number):
         rows = items.where(place == i).distinct().orderBy("item_id", "text").collect()
@@ -142,24 +174,30 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that it contains: doc_id, item_id, the number of
     the item's shingles, how many of them the document shares, and their ratio.
 
-    Words are runs of letters, digits and non-ASCII characters, in lower case. Items that are
-    null or shorter than five words have no shingle and match nothing. Repeated documents are
-    answered one by one, repeated items once; null texts contain nothing, an empty table on
-    either side gives no rows, and other columns are ignored.
+    Words are runs of letters, digits and non-ASCII characters, in lower case. An item of one to
+    four words is contained where they stand side by side; items that are null or have no word
+    match nothing. Repeated documents are answered one by one, repeated items once; null texts
+    contain nothing, an empty table on either side gives no rows, and other columns are ignored.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
-    found = spark.createDataFrame([], FOUND_DDL)
+    found = docs.sparkSession.createDataFrame([], FOUND_DDL)
     for block in _blocks(benchmark):
-        found = found.unionByName(rows.mapInArrow(_searcher(spark, block), FOUND_DDL))
+        found = found.unionByName(_searched(rows, block, _searcher, FOUND_DDL))
     ratio = F.col("shared") / F.col("shingles")
     return found.withColumn("containment", ratio)
 
 
-def _searcher(spark, block: Block):
-    shared = spark.sparkContext.broadcast(block)
+def _searched(rows: DataFrame, block: Block, searcher, schema) -> DataFrame:
+    """What a search for the block's items makes of the rows, written, so that the executors can
+    forget the block."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+    found = written(rows.mapInArrow(searcher(shared), schema), "searched")
+    shared.destroy()
+    return found
 
+
+def _searcher(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -180,22 +218,24 @@ def _texts(column: pa.Array) -> Iterator[str | None]:
         yield from column.slice(start, end - start).to_pylist()
 
 
+def _keeper(shared):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            stays = np.ones(batch.num_rows, bool)
+            stays[[row for row, _, _ in shared.value.search(_texts(batch.column(at)))]] = False
+            yield batch.filter(pa.array(stays))
+
+    return keep
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, whose text contains no benchmark item; see
-    ``contained``. Rows with null text or null doc_id are judged like any other."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    ``contained``. Rows with null text or null doc_id are judged like any other. What one block
+    leaves is written before the next one is searched for."""
+    bounded_batches(docs.sparkSession)
     for block in _blocks(benchmark):
-        shared = spark.sparkContext.broadcast(block)
-
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.schema.get_field_index("text")
-                stays = np.ones(batch.num_rows, bool)
-                stays[[row for row, _, _ in shared.value.search(_texts(batch.column(at)))]] = False
-                yield batch.filter(pa.array(stays))
-
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = _searched(docs, block, _keeper, docs.schema)
     return docs
 
 
@@ -220,4 +260,8 @@ SELECT doc_id, item_id, count(*) AS shared, shingles, count(*) / shingles AS con
 FROM doc_shingles JOIN items USING (shingle)
 GROUP BY r, doc_id, item_id, text, shingles
 HAVING count(*) * 5 >= shingles * 4
+UNION ALL
+SELECT doc_id, item_id, 1, 1, 1.0
+FROM item_words i JOIN doc_words d ON len(i.w) BETWEEN 1 AND 4
+    AND contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(i.w, ' ') || ' ')
 """
