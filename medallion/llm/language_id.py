@@ -8,11 +8,18 @@ symbol wins.
 Symbols are lower-case letters; every run of anything else is one blank. Parsing goes in
 pieces of ``PIECE`` symbols, at whose ends a phrase ends in every language alike, so that
 many pieces advance together through the automata as numpy arrays.
+
+An automaton of a text of n symbols has at most 2 n states and 3 n transitions. Those of the most
+frequent letters are a table of states and letters; those of other letters, of which scripts
+like Han have thousands, are sorted by state and letter. So the automata take at most
+2 * MODEL_CHARS * (FIRST + COMMON) * 4 bytes and 3 * MODEL_CHARS * 12, whatever the scripts:
+about 45 MB.
 """
 
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -32,30 +39,48 @@ MODEL_CHARS = 80_000
 PIECE = 1_024
 BATCH_BYTES = 1_500_000
 BLANK, OTHER, FIRST = 0, 1, 2
+# Letters that have a column in the table.
+COMMON = 64
 
 
 class Automata:
-    """Transition tables of all languages, one after the other.
+    """Transitions of all languages, one after the other.
 
     A state is the index of its row in the flat table. An entry holds twice the following
     state, plus one if the letter does not continue the phrase; it then leads to where that
     letter, as the first of a new phrase, leads. The last state of a language is one from which
     every letter begins a new phrase: pieces start there, and a letter that the language never
-    saw leads there.
+    saw leads there. Transitions by letters without a column are keyed by state and letter.
     """
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        letters = sorted({c for text in samples.values() for c in text.lower() if c.isalpha()})
+        counts = Counter(c for text in samples.values() for c in text.lower() if c.isalpha())
+        letters = sorted(counts, key=lambda c: (-counts[c], c))
         self.codes = _codes(letters)
-        self.width = FIRST + len(letters)
-        tables, self.starts, offset = [], [], 0
+        self.width = FIRST + min(len(letters), COMMON)
+        self.rare = FIRST + len(letters) - self.width
+        tables, starts, roots, keys, targets, offset = [], [], [], [], [], 0
         for language in self.languages:
-            rows = _suffix_automaton(_collapsed(self.encode(samples[language])), self.width)
+            rows, moves = _suffix_automaton(_collapsed(self.encode(samples[language])), self.width)
             tables.append(self._entries(rows, offset))
-            self.starts.append(offset + len(rows) * self.width)
+            roots.append(offset)
+            starts.append(offset + len(rows) * self.width)
+            state, code, target = moves.T
+            keys.append((state * self.width + offset) * self.rare + code - self.width)
+            targets.append(target * self.width + offset)
             offset += tables[-1].size
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int64)
+        self.table = np.concatenate([*tables, np.zeros(0, np.int32)])
+        self.starts, self.roots = np.array(starts, np.int64), np.array(roots, np.int64)
+        keys, targets = np.concatenate([*keys, np.zeros(0, np.int64)]), np.concatenate([*targets, np.zeros(0, np.int64)])
+        order = np.argsort(keys)
+        # One key above all others, so that every search ends at one.
+        self.keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.targets = np.append(targets[order], 0).astype(np.int32)
+
+    @property
+    def bytes(self) -> int:
+        return self.table.nbytes + self.keys.nbytes + self.targets.nbytes
 
     def _entries(self, rows: np.ndarray, offset: int) -> np.ndarray:
         dead = len(rows)
@@ -64,6 +89,20 @@ class Automata:
         target = np.where(rows < 0, start, rows) * self.width + offset
         return (target * 2 + (rows < 0)).ravel().astype(np.int32)
 
+    def _follow(self, state: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether there is a transition from each state, a row per language, by the letters
+        without a column, and where it leads."""
+        sought = state.astype(np.int64) * self.rare + (codes - self.width)
+        at = np.searchsorted(self.keys, sought)
+        return self.keys[at] == sought, self.targets[at]
+
+    def _rare_steps(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The entries of letters without a column."""
+        goes, target = self._follow(state, codes)
+        begins, first = self._follow(np.broadcast_to(self.roots[:, None], state.shape), codes)
+        anew = np.where(begins, first, self.starts[:, None])
+        return np.where(goes, target * 2, anew * 2 + 1)
+
     def encode(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         return self.codes[points]
@@ -71,10 +110,17 @@ class Automata:
     def phrases(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases per piece and language; the pieces in falling order of length."""
         found = np.zeros((len(self.languages), len(starts)), np.int32)
-        state = np.repeat(np.array(self.starts, np.int32)[:, None], len(starts), axis=1)
+        state = np.repeat(self.starts.astype(np.int32)[:, None], len(starts), axis=1)
         for step in range(int(lengths[0]) if len(lengths) else 0):
             active = int(np.searchsorted(-lengths, -step, side="left"))
-            entry = self.table[state[:, :active] + codes[starts[:active] + step]]
+            letters = codes[starts[:active] + step]
+            rare = np.flatnonzero(letters >= self.width)
+            if len(rare):
+                special = self._rare_steps(state[:, rare], letters[rare])
+                letters[rare] = OTHER
+            entry = self.table[state[:, :active] + letters]
+            if len(rare):
+                entry[:, rare] = special
             found[:, :active] += entry & 1
             state[:, :active] = entry >> 1
         return found
@@ -113,7 +159,7 @@ class Automata:
 def _codes(letters: Sequence[str]) -> np.ndarray:
     """The symbol of each code point."""
     symbol = {letter: FIRST + i for i, letter in enumerate(letters)}
-    codes = np.zeros(sys.maxunicode + 1, np.int16)
+    codes = np.zeros(sys.maxunicode + 1, np.int32)
     for point in range(sys.maxunicode + 1):
         char = chr(point)
         if char.isalpha():
@@ -129,8 +175,9 @@ def _collapsed(codes: np.ndarray) -> np.ndarray:
     return codes[keep]
 
 
-def _suffix_automaton(codes: np.ndarray, width: int) -> np.ndarray:
-    """Rows of following states, -1 where there is none; state 0 is the start.
+def _suffix_automaton(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of following states by codes below ``width``, -1 where there is none, and the other
+    transitions as (state, code, following state); state 0 is the start.
 
     Built letter by letter: the state of the whole text so far gets the new letter, and so do
     its suffixes, until one has it already; that one's target is split if it also ends longer
@@ -162,10 +209,14 @@ def _suffix_automaton(codes: np.ndarray, width: int) -> np.ndarray:
             link[new] = target
         last = new
     rows = np.full((len(following), width), -1, np.int32)
+    moves = []
     for i, row in enumerate(following):
         for code, target in row.items():
-            rows[i, code] = target
-    return rows
+            if code < width:
+                rows[i, code] = target
+            else:
+                moves.append((i, code, target))
+    return rows, np.array(moves, np.int64).reshape(len(moves), 3)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -4,6 +4,7 @@ columns."""
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import duckdb
@@ -78,7 +79,9 @@ def test_language_learns_nothing_from_held_out_rows(spark):
     assert [tuple(r) for r in only] == [(held, True, "und", 0.0)]
 
 
-def test_cross_parsing_counts_phrases():
+@pytest.mark.parametrize("common", [64, 2, 0])
+def test_cross_parsing_counts_phrases(monkeypatch, common):
+    monkeypatch.setattr(language_id, "COMMON", common)
     automata = language_id.Automata({"x": "abcabd", "y": "zzz"})
     texts = ["abcabd", "abdabc", "zz", "q", "ab" * 2000]
     for text in texts:
@@ -87,6 +90,35 @@ def test_cross_parsing_counts_phrases():
         assert counts[:, 0].tolist() == [_phrases(text, "abcabd"), _phrases(text, "zzz")]
 
 
+def test_letters_without_a_column_change_no_verdict(monkeypatch):
+    draw = random.Random(6)
+    letters = "abcdefghij词語数据пр"
+    samples = {k: "".join(draw.choices(letters[i:] + " ", k=400)) for i, k in enumerate("uvwxyz")}
+    texts = ["".join(draw.choices(letters + " q", k=draw.randrange(0, 3000))) for _ in range(40)] + ["", None, "学"]
+    verdicts = []
+    for common in (64, 5, 1, 0):
+        monkeypatch.setattr(language_id, "COMMON", common)
+        verdicts.append(language_id.Automata(samples).classify(texts))
+    assert all(v == verdicts[0] for v in verdicts)
+
+
+def test_automata_of_ten_thousand_letters_stay_small():
+    draw = random.Random(2)
+    scripts = {"zh": 0x4E00, "ko": 0xAC00, "ja": 0x6A00, "yi": 0xA000}
+    samples = {
+        k: "".join(chr(first + int(2700 * draw.random() ** 2) % (1160 if k == "yi" else 2700)) for _ in range(20_000))
+        for k, first in scripts.items()
+    }
+    automata = language_id.Automata(samples)
+    assert len({c for t in samples.values() for c in t}) > 7_500 and automata.bytes < 60_000_000
+    parts = [samples[k][4_000:6_000] for k in scripts]
+    tracemalloc.start()
+    predicted, _ = automata.classify(parts * 10)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert predicted == list(scripts) * 10 and most < 60_000_000
+
+
 def _phrases(text, sample):
     count = at = 0
     while at < len(text):
