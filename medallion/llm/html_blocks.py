@@ -23,9 +23,10 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|(?P<empty><svg\b[^>]*/>)"
-    r"|<(?P<hidden>" + "|".join(HIDDEN[:-2]) + r")\b[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attributes>(?:\s[^<>\"']*(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)?)/?>"
+    r"|(?P<empty><svg(?=[\s/>])[^>]*/>)"
+    # A name ends at white space or a mark: "svg-icon" is another element.
+    r"|<(?P<hidden>" + "|".join(HIDDEN[:-2]) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/<>\"']*)(?P<attributes>(?:\s[^<>\"']*(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*)?)/?>"
     r"|<[!?/][^>]*>",
     re.IGNORECASE | re.DOTALL,
 )

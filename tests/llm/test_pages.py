@@ -115,5 +115,9 @@ def test_nothing_is_lost_after_empty_elements_formulas_and_open_heads():
     assert texts("<p>one</p><math/><p>two</p>") == ["one", "two"]
     assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["so x=1 holds"]
     assert texts("<p>a<svg><text>no</text></svg>b") == ["a b"]
+    for name in ("svg-icon", "template-part", "select-menu", "script-note", "object1", "style.x", "iframe:x"):
+        assert texts(f"<p>one</p><{name}></{name}><p>two</p>") == ["one", "two"]
+        assert texts(f"<p>one</p><{name} class='x'>in</{name}><p>two</p>") == ["one", "in", "two"]
+    assert texts("<p>one</p><svg/><script>no</script ><style\n>no</style><p>two</p>") == ["one", "two"]
     assert texts("<head><title>T</title><meta charset=x><p>one</p><p>two <b>three</b></p>") == ["one", "two three"]
     assert texts("<html><head><title>T</title><link rel=x>plain<p>one") == ["plain", "one"]
