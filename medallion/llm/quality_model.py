@@ -439,9 +439,11 @@ def text_costs(found: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, perplexity, threshold and kept of each row of ``docs``.
+    """doc_id, lang, perplexity, threshold, fluent, clear and kept of each row of ``docs``.
 
-    Perplexity is that of a character; null and empty texts have none and are not kept.
+    Perplexity is that of a character; null and empty texts have none and are not kept. A
+    document is ``fluent`` if its cross-entropy passes, ``clear`` if the evidence of its grams
+    does, and kept if it is both.
     ``threshold`` is the cross-entropy in nats that the language's documents may have, steadied
     by ``STEADY`` symbols of the language's average; a language without trusted documents,
     null among them, takes the threshold of all trusted documents together. Without any
@@ -480,13 +482,16 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     joined = joined.join(F.broadcast(most), F.lit(True), "left")
     threshold = F.coalesce("threshold", "_t")
     cross = (F.col("_sum") + STEADY * F.coalesce("mean", "_m")) / (F.col("_n") + STEADY)
-    return joined.select(
+    some = F.col("_n") > 0
+    judged = joined.select(
         "doc_id",
         "lang",
-        F.when(F.col("_n") > 0, F.exp(F.col("_sum") / F.col("_n"))).alias("perplexity"),
+        F.when(some, F.exp(F.col("_sum") / F.col("_n"))).alias("perplexity"),
         threshold.alias("threshold"),
-        ((F.col("_n") > 0) & F.coalesce((cross <= threshold) & (F.col("_odds") <= F.col("_most")), F.lit(True))).alias("kept"),
+        (some & F.coalesce(cross <= threshold, F.lit(True))).alias("fluent"),
+        (some & F.coalesce(F.col("_odds") <= F.col("_most"), F.lit(True))).alias("clear"),
     )
+    return judged.withColumn("kept", F.col("fluent") & F.col("clear"))
 
 
 def thresholds(scored: DataFrame) -> DataFrame:
