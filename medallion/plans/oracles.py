@@ -444,6 +444,7 @@ ORACLES: dict[str, str] = {
         "FROM trail WHERE updated_at < timestamp '1998-01-01'"
     ),
     "cdc_stream": LIVING,
+    "cdc_keyed_stream": LIVING,
     "gold_clients": (
         f"WITH {SILVER} SELECT country, person_type, count(*) AS clients, "
         "CAST(sum(income) AS varchar) AS income FROM silver GROUP BY ALL"

@@ -24,7 +24,7 @@ from medallion.schema import BUSINESS_COLUMNS, DAY_FOLDER, PERSON_TYPES, TEXT, s
 from medallion.session import work_folder
 from medallion.sources import files, tables
 from medallion.sources.landing import Landing, accepted, ingest, rejects, scan
-from medallion.streaming.changes import apply_change_stream
+from medallion.streaming.changes import apply_change_stream, apply_keyed_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -502,7 +502,15 @@ def cdc_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as ``cdc_apply``, from CSV files that come in two deliveries: the newer
     changes first, then the older ones, some of them for the second time."""
-    folder = work_folder(spark, "cdc_stream")
+    return _streamed(spark, sf_dir, work_folder(spark, "cdc_stream"), apply_change_stream)
+
+
+def cdc_keyed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of keyed state."""
+    return _streamed(spark, sf_dir, work_folder(spark, "cdc_keyed_stream"), apply_keyed_stream)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, folder: str, apply) -> DataFrame:
     columns = _columns_of([*STATE_COLUMNS, "op"])
     landing = Landing(f"{folder}/landing", columns, upper=(), options=fixtures.CSV_TIMES)
     deleted = T.StructField("deleted", T.BooleanType())
@@ -511,9 +519,7 @@ def cdc_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = fixtures.bronze(spark, sf_dir).withColumn("particao", F.col("load_date"))
     for delivery in (_second_batch(changes), _first_batch(changes)):
         fixtures.write_landing(delivery.select(*columns.names, "particao"), landing.path)
-        apply_change_stream(
-            spark, landing, state, f"{folder}/checkpoint", fixtures.run_ts()
-        ).awaitTermination()
+        apply(spark, landing, state, f"{folder}/checkpoint", fixtures.run_ts()).awaitTermination()
     return comparable(cdc.living(state.read(spark)))
 
 
@@ -605,6 +611,7 @@ QUERIES: dict[str, Query] = {
     "cdc_purged": cdc_purged,
     "cdc_late_events": cdc_late_events,
     "cdc_stream": cdc_stream,
+    "cdc_keyed_stream": cdc_keyed_stream,
     "cdc_rejects": cdc_rejects,
     "gold_clients": gold_clients,
     "gold_incremental": gold_incremental,

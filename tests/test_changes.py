@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from medallion.operators import cdc
-from medallion.operators.upsert import StateTable, late_events, rebucket, rebuild, upsert
+from medallion.operators.upsert import StateTable, last_operation, late_events, operations, rebucket, rebuild, upsert
 from medallion.schema import LONG, TEXT, TIME, struct
 from medallion.sources.landing import Landing
-from medallion.streaming.changes import apply_change_stream
+from medallion.streaming.changes import apply_change_stream, apply_keyed_stream
 from tests.conftest import tuples
 from tests.test_landing import put
 
@@ -194,3 +194,78 @@ def test_a_batch_of_stale_changes_writes_no_file(spark, folder):
     assert deliver("b.csv", *[change(c, 100 + c, 1, "U", "stale") for c in range(20)]) == first
     assert len(deliver("c.csv", change(3, 200, 6, "U", "new"))) == len(first) + 1
     assert table.read(spark).where("name = 'new'").count() == 1
+
+
+class Keyed:
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.table = spark, folder, table_for(folder)
+        self.landing = Landing(folder + "/landing", CHANGES, upper=())
+
+    def put(self, name, *events):
+        lines = (f"{c},{n},{t.isoformat()},{text},{op}" for c, n, t, text, op in events)
+        put(self.landing.path, "particao_20240101", name, *lines, header=",".join(CHANGES.names))
+
+    def run(self, **settings):
+        apply_keyed_stream(
+            self.spark, self.landing, self.table, self.folder + "/checkpoint", stamp(), **settings
+        ).awaitTermination()
+
+    def deliver(self, name, *events):
+        self.put(name, *events)
+        self.run()
+        return last_operation(self.spark, self.table).first()
+
+
+@pytest.fixture
+def keyed(spark, folder):
+    return Keyed(spark, folder)
+
+
+def test_only_keys_with_a_newer_version_reach_the_upsert(spark, keyed):
+    first = keyed.deliver("a.csv", *[change(c, c, 5, "U") for c in range(20)])
+    assert (first.version, first.inserted) == (1, 20)
+    stale = [change(c, 100 + c, 1, "U", "stale") for c in range(20)]
+    same = keyed.deliver("b.csv", *stale, *[change(c, c, 5, "U") for c in range(20)])
+    assert same.version == 1
+    some = keyed.deliver("c.csv", *stale, change(3, 200, 6, "U", "new"), change(4, 201, 6, "D"))
+    assert (some.version, some.updated, some.stale, some.unchanged) == (2, 2, 0, 0)
+    assert tuples(cdc.living(keyed.table.read(spark)), "client_id", "name") == sorted(
+        [(c, "new" if c == 3 else "n") for c in range(20) if c != 4], key=repr
+    )
+
+
+def test_keyed_stream_of_files_in_any_order(spark, keyed):
+    events = dice_events()
+    dice = random.Random(4)
+    dice.shuffle(events)
+    for number in range(6):
+        keyed.put(f"{number}.csv", *events[number::6], *events[:5])
+    keyed.run(files_per_batch=2)
+    assert tuples(cdc.living(keyed.table.read(spark))) == state_of(events)
+    assert operations(spark, keyed.table).count() > 1
+
+
+def test_a_keyed_batch_that_failed_is_made_good(spark, keyed, monkeypatch):
+    keyed.deliver("a.csv", *[change(c, c, 1, "U") for c in range(6)])
+    events = [change(c, 10 + c, 2, "U", "new") for c in range(4)]
+
+    def fails(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("medallion.streaming.changes.upsert", fails)
+        with pytest.raises(Exception, match="executor lost"):
+            keyed.deliver("b.csv", *events)
+    keyed.run()
+    assert keyed.table.read(spark).where("name = 'new'").count() == 4
+    assert last_operation(spark, keyed.table).first().updated == 4
+
+
+def test_keyed_stream_keeps_the_lines_it_cannot_take_in(spark, keyed):
+    keyed.put("a.csv", change(1, 1, 1, "U"))
+    put(keyed.landing.path, "particao_20240102", "b.csv", ",7,2024-01-01T00:00:00,x,U", "2,x,y", header=",".join(CHANGES.names))
+    keyed.run()
+    found = spark.read.parquet(keyed.folder + "/checkpoint/rejects")
+    assert sorted(r.reason for r in found.collect()) == ["bad_line", "null_key"]
+    assert tuples(keyed.table.read(spark), "client_id") == [(1,)]
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or "")
