@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import arrow_table, bounded_batches, gathered, unused, written
 from medallion.llm.counting import block_of_row_id, counting_pass, digits, field
+from medallion.session import work_folder
+from medallion.sources import files
 
 BUCKETS = 10_000
 SCALE = 1_000
@@ -171,10 +173,15 @@ def ranked(rows: DataFrame, fields: list[tuple]) -> DataFrame:
     """``rows``, a written table with a unique ``_place`` of ``monotonically_increasing_id``,
     with dense places from 0 in the order of a composite key instead; rows with equal keys keep
     their order. See ``counting.digits`` for ``fields``."""
-    state = rows.withColumn("_block", block_of_row_id("_place"))
+    state, before = rows.withColumn("_block", block_of_row_id("_place")), None
     # Without any bit to sort by a pass still makes the places dense.
     for digit in digits(fields) or [F.lit(0)]:
-        state = written(counting_pass(state.withColumn("_digit", digit), "_digit", "_block", "_place"), "pass")
+        path = work_folder(rows.sparkSession, "pass")
+        counting_pass(state.withColumn("_digit", digit), "_digit", "_block", "_place").write.parquet(path)
+        # The pass before is not read again.
+        if before:
+            files.delete(rows.sparkSession, before)
+        state, before = rows.sparkSession.read.schema(state.schema).parquet(path), path
     return state.drop("_block")
 
 

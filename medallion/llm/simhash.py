@@ -15,7 +15,9 @@ Four errors over four segments leave either
 - exactly one error in each segment: the key is three numbers (36 bits), out of the list of
   one side where the other side gives its nearest, in both ways.
 
-No pair within four bits is missed, and every candidate is verified on all 64 bits.
+No pair within four bits is missed, and every candidate is verified on all 64 bits. A task links
+the fingerprints of one key after the other. It passes a key with more than ``HOT`` of them on:
+these are cut into blocks by a hash, and each pair of blocks is a task of its own.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ MAX_DISTANCE = 4
 HASH_SEED = 42
 BATCH_BYTES = 500_000
 SEGMENT_BITS = 16
+# Fingerprints of a key that a task links by itself, and those of a block of a larger key.
+HOT, BLOCK = 32_768, 8_192
 # Fixed values of the Golay code: 23 bits carry 12, by this generator polynomial.
 CODE_BITS, DATA_BITS, GENERATOR = 23, 12, 0b101011100011
 LIST_RADIUS = 4
@@ -197,28 +201,75 @@ def links(
     return pairs[:, 0], pairs[:, 1]
 
 
-EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+LINKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("_key", pa.int64())])
 
 
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key; a run may go on in the next batch."""
-    held = np.zeros((3, 0), np.int64)
+    """Edges (a, b) of rows that come sorted by key; a run may go on in the next batch. Those of
+    a run that grows beyond ``HOT`` are passed on, as (fingerprint, node) with their key."""
+    held, hot = np.zeros((3, 0), np.int64), None
     for batch in batches:
         rows = np.stack([batch.column(i).to_numpy() for i in range(3)])
         rows = np.concatenate([held, rows], axis=1) if held.shape[1] else rows
+        if hot is not None and rows.shape[1]:
+            end = int(np.searchsorted(rows[0], hot, side="right"))
+            yield _passed_on(rows[:, :end])
+            rows = rows[:, end:]
+            hot = hot if not rows.shape[1] else None
         last = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
-        yield _edges(rows[:, :last])
+        yield from _linked_runs(rows[:, :last])
         held = rows[:, last:]
-    if held.shape[1]:
-        yield _edges(held)
+        if held.shape[1] > HOT:
+            hot = held[0, 0]
+            yield _passed_on(held)
+            held = held[:, :0]
+    yield from _linked_runs(held)
+
+
+def _passed_on(rows: np.ndarray) -> pa.RecordBatch:
+    return arrow_table(LINKED, rows[1], rows[2], rows[0])
 
 
-def _edges(rows: np.ndarray) -> pa.RecordBatch:
-    if not rows.shape[1]:
-        return arrow_table(EDGES, [], [])
+def _linked_runs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The same for rows of whole runs."""
     starts = np.searchsorted(rows[0], rows[0])
     ends = np.searchsorted(rows[0], rows[0], side="right")
-    return arrow_table(EDGES, *links(rows[1].view(np.uint64), rows[2], starts, ends))
+    large = ends - starts > HOT
+    if large.any():
+        yield _passed_on(rows[:, large])
+        rows = rows[:, ~large]
+        starts = np.searchsorted(rows[0], rows[0])
+        ends = np.searchsorted(rows[0], rows[0], side="right")
+    if rows.shape[1]:
+        a, b = links(rows[1].view(np.uint64), rows[2], starts, ends)
+        yield arrow_table(LINKED, a, b, np.full(len(a), None))
+
+
+EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _link_blocks(rows: pa.Table) -> pa.Table:
+    """Edges of the fingerprints of two blocks, or of one, as of one run."""
+    fps, nodes = (rows.column(c).to_numpy() for c in ("_fp", "_node"))
+    size = len(fps)
+    a, b = links(fps.view(np.uint64), nodes, np.zeros(size, np.int64), np.full(size, size))
+    return pa.Table.from_batches([arrow_table(EDGES, a, b)])
+
+
+def linked(keyed: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the nodes of (_key, _fp, _node) whose fingerprints share a key
+    and are linked."""
+    runs = keyed.repartition("_key").sortWithinPartitions("_key")
+    found = written(runs.mapInArrow(_link_batches, "a bigint, b bigint, _key bigint"), "linked")
+    edges = found.where("_key is null").select("a", "b")
+    hot = found.where("_key is not null").select("_key", F.col("a").alias("_fp"), F.col("b").alias("_node"))
+    sizes = hot.groupBy("_key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    blocks = hot.join(written(sizes, "sizes"), "_key")
+    blocks = blocks.withColumn("_block", F.pmod(F.xxhash64("_fp"), F.col("_blocks")).cast("int"))
+    blocks = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    pair = (F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"))
+    pairs = blocks.select("_key", "_fp", "_node", *pair).groupBy("_key", "_low", "_high")
+    return edges.unionByName(pairs.applyInArrow(_link_blocks, "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -236,9 +287,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = written(prints.groupBy("_fp").agg(F.min("doc_id").alias("_node")), "nodes")
     found = nodes.where("_node is not null")
     keyed = found.mapInArrow(_key_batches, "_key bigint, _fp bigint, _node bigint")
-    keyed = keyed.repartition("_key").sortWithinPartitions("_key")
-    edges = keyed.mapInArrow(_link_batches, "a bigint, b bigint")
-    reached = components(edges).select(F.col("node").alias("_node"), "component")
+    reached = components(linked(keyed)).select(F.col("node").alias("_node"), "component")
     reached = reached.groupBy("_node").agg(F.min("component").alias("component"))
     classes = nodes.join(reached, "_node", "left").select(
         "_fp", F.coalesce("component", "_node").alias("component_id")

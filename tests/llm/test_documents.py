@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -70,6 +71,58 @@ def test_language(odd):
     assert kept.where("doc_id is null").count() == 1
 
 
+def planted_run(n, groups, seed):
+    """Fingerprints far from each other, and chains of some that are four bits apart."""
+    draw = np.random.default_rng(seed)
+    fps = draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+    for group in range(groups):
+        at = draw.choice(n, 4, replace=False)
+        for one, other in zip(at, at[1:]):
+            flipped = draw.choice(64, 4, replace=False).astype(np.uint64)
+            fps[other] = fps[one] ^ np.bitwise_or.reduce(np.uint64(1) << flipped)
+    return np.unique(fps)
+
+
+@pytest.mark.parametrize("hot, batch", [(500, 300), (500, 10_000), (10_000, 300)])
+def test_keys_of_many_fingerprints_are_linked_in_blocks(spark, monkeypatch, hot, batch):
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "BLOCK", 400)
+    rows, want = [], set()
+    for key, n in ((-5, 20), (3, 3000), (4, 1), (9, 700), (11, 40)):
+        fps = planted_run(n, n // 20, seed=n)
+        nodes = {int(fp): 100_000 * (key + 5) + i for i, fp in enumerate(fps.tolist())}
+        rows += [(key, int(np.uint64(fp).view(np.int64)), node) for fp, node in nodes.items()]
+        near = np.bitwise_count(fps[:, None] ^ fps) <= 4
+        edges = [(nodes[int(fps[i])], nodes[int(fps[j])]) for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True)]
+        want |= set(components_of(list(nodes.values()), edges).items())
+    limit = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        keyed = spark.createDataFrame(rows, "_key long, _fp long, _node long").repartition(4)
+        found = [tuple(r) for r in simhash.linked(keyed).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", limit)
+    assert set(components_of([node for _, _, node in rows], found).items()) == want
+    assert len(found) < 3 * len(rows)
+
+
+def test_a_hundred_thousand_fingerprints_of_one_key(spark, monkeypatch):
+    most = []
+    original = simhash.links
+
+    def watched(fps, *rest):
+        most.append(len(fps))
+        return original(fps, *rest)
+
+    fps = planted_run(100_000, 500, seed=1)
+    held = np.stack([np.full(len(fps), 7), fps.view(np.int64), np.arange(len(fps))])
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in held[:, i : i + 1000]], ["_key", "_fp", "_node"]) for i in range(0, len(fps), 1000)]
+    monkeypatch.setattr(simhash, "links", watched)
+    passed = list(simhash._link_batches(iter(batches)))
+    assert sum(b.num_rows for b in passed) == len(fps) and not most
+    assert {b.column("_key").null_count for b in passed} == {0}
+
+
 def test_language_learns_nothing_from_held_out_rows(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
     free = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2)
