@@ -7,6 +7,7 @@ import ipaddress
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 from hashlib import sha256
 
 # Forms of address by language, with the gender they tell.
@@ -39,6 +40,11 @@ DIGIT = re.compile(r"\d")
 
 LOOPBACK, PRIVATE = ipaddress.IPv4Network("127.0.0.0/8"), ipaddress.IPv4Network("10.0.0.0/8")
 
+# Tries after which addresses and domains grow longer.
+LENGTHENED = 8
+# The lower-case letters of alphabets, from the first to the last.
+ALPHABETS = (("a", "z"), ("а", "я"), ("α", "ω"))
+
 # Syllables of made-up names, by script, and how given names end by gender.
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ha jo ka ke ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se so ta te ti to va ve vi wa ze".split(),
@@ -200,10 +206,12 @@ def surrogate(key: bytes, kind: str, value: str, tries: int = 0) -> str:
     """The replacement of an entity, of its kind and in normal form."""
     draw = Stream(key, kind, value, tries)
     if kind == "email":
+        # Its domain is an entity of its own, so that addresses at one domain stay together.
         local, _, domain = value.partition("@")
-        names, _, top = domain.rpartition(".")
-        place = Stream(key, "domain", domain, 0)  # addresses at one domain stay together
-        return f"{_alike(draw, local)}@{_alike(place, names)}.{top}"
+        return f"{_alike(draw, local)}{_longer(draw, tries)}@{domain}"
+    if kind == "domain":
+        names, _, top = value.rpartition(".")
+        return f"{_alike(draw, names)}{_longer(draw, tries)}.{top}"
     if kind == "secret":
         if HEX.fullmatch(value):
             return "".join(draw.choice("0123456789abcdef") for _ in value)
@@ -228,12 +236,34 @@ def surrogate(key: bytes, kind: str, value: str, tries: int = 0) -> str:
     return f"{script}:{stem}{draw.choice(endings)}"
 
 
+@cache
+def _letters_like(char: str) -> str:
+    """The lower-case letters among which one is drawn in place of that one: those of its
+    alphabet, or of its 128 code points where no alphabet is known."""
+    for first, last in ALPHABETS:
+        if first <= char <= last:
+            return "".join(map(chr, range(ord(first), ord(last) + 1)))
+    start = ord(char) & ~127
+    near = [c for c in map(chr, range(start, start + 128)) if c.isalpha() and c.lower() == c]
+    return "".join(c for c in near if c.upper() == c or len(c.upper()) == 1) or char
+
+
 def _letter(draw: Stream, char: str) -> str:
+    """A letter of the same script and case, a digit for a digit, a mark as it is."""
     if char.isalpha():
-        return chr((65 if char.isupper() else 97) + draw.below(26))
+        low = char.lower()
+        if len(low) > 1:
+            return char
+        drawn = draw.choice(_letters_like(low))
+        return drawn.upper() if char.isupper() else drawn
     return str(draw.below(10)) if char.isdigit() else char
 
 
+def _longer(draw: Stream, tries: int) -> str:
+    """Letters added where names as long as the real ones are all taken."""
+    return "".join(chr(97 + draw.below(26)) for _ in range(min(4, max(0, tries - LENGTHENED))))
+
+
 def _alike(draw: Stream, text: str) -> str:
     return "".join(_letter(draw, c) for c in text)
 
@@ -262,4 +292,19 @@ def written_like(found: str, kind: str, replacement: str) -> str:
     if kind == "family" or kind.startswith("given"):
         name = replacement.partition(":")[2]
         return name.upper() if len(found) > 1 and found.isupper() else name.capitalize() if found[0].isupper() else name
+    if kind == "email" and not found.islower():
+        shown = [n.upper() if o.isupper() else n for o, n in zip(found, replacement)]
+        return "".join(shown) + replacement[len(found) :]
     return replacement.upper() if found.isupper() else replacement
+
+
+def entities_of(mention: Mention) -> list[tuple[str, str]]:
+    """Kind and value of the entities that a mention names: an address has two."""
+    own = (mention.kind, mention.value)
+    return [own, ("domain", mention.value.partition("@")[2])] if mention.kind == "email" else [own]
+
+
+def replacement_of(key: bytes, mention: Mention, tries: dict[tuple[str, str], int]) -> str:
+    """What stands for a mention, given the tries of entities that had to draw again."""
+    drawn = [surrogate(key, *entity, tries.get(entity, 0)) for entity in entities_of(mention)]
+    return f"{drawn[0].partition('@')[0]}@{drawn[1]}" if len(drawn) > 1 else drawn[0]

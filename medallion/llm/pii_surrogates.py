@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import arrow_table, bounded_batches, slices, written
-from medallion.llm.pii_entities import find, surrogate, written_like
+from medallion.llm.pii_entities import entities_of, find, replacement_of, surrogate, written_like
 
 BATCH_BYTES = 2_000_000
 OWN_TRIES, MOST_TRIES = 8, 100
@@ -36,7 +36,7 @@ def _mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(start, end - start)
             rows = set()
             for key, text in zip(part.column("_text").to_pylist(), part.column("text").to_pylist(), strict=True):
-                rows.update((key, m.kind, m.value) for m in find(text))
+                rows.update((key, *entity) for m in find(text) for entity in entities_of(m))
             yield arrow_table(MENTIONS, *(zip(*sorted(rows), strict=True) if rows else ([], [], [])))
 
 
@@ -54,12 +54,12 @@ def drawn_again(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, value, tries) of the entities whose first draw may not stand.
 
     An entity keeps its draw if nothing before it has the same, those that have settled first
-    and then by value, and if it is no entity's real value. After ``OWN_TRIES`` a real value
+    and then by value, and if it is no entity's real value, of whatever kind. After ``OWN_TRIES`` a real value
     will do, as it is replaced itself: a kind may have few values that no entity has.
     """
     settled = entities.sparkSession.createDataFrame([], DRAWN_DDL)
     waiting = entities.withColumn("tries", F.lit(0))
-    real = entities.select("kind", F.col("value").alias("drawn"))
+    real = entities.select(F.col("value").alias("drawn"))
     for tries in range(MOST_TRIES):
         drawn = written(waiting.mapInArrow(_drawer(key), DRAWN_DDL), "drawn")
         both = settled.withColumn("_new", F.lit(1)).unionByName(drawn.withColumn("_new", F.lit(2)))
@@ -68,7 +68,7 @@ def drawn_again(entities: DataFrame, key: bytes) -> DataFrame:
             (F.col("_first._new") == 2) & (F.col("_first.value") == F.col("value"))
         ).drop("_first")
         if tries < OWN_TRIES:
-            free = free.join(real, ["kind", "drawn"], "left_anti")
+            free = free.join(real, "drawn", "left_anti")
         free = written(free.select(*drawn.columns), "free")
         settled = settled.unionByName(free)
         losers = drawn.join(free, ["kind", "value"], "left_anti")
@@ -103,7 +103,7 @@ def _replaced(key: bytes, text: str | None, again: list | None) -> tuple[int, st
     tries = {(a["kind"], a["value"]): a["tries"] for a in again or ()}
     pieces, at, mentions = [], 0, find(text)
     for mention in mentions:
-        drawn = surrogate(key, mention.kind, mention.value, tries.get((mention.kind, mention.value), 0))
+        drawn = replacement_of(key, mention, tries)
         pieces += [text[at : mention.start], written_like(text[mention.start : mention.end], mention.kind, drawn)]
         at = mention.end
     return len(mentions), "".join([*pieces, text[at:]])

@@ -146,3 +146,70 @@ def test_one_person_has_one_surrogate():
     _, replaced = pii_surrogates._replaced(KEY, text, None)
     names = re.fullmatch(r"Dr (\w+) (\w+) and Frau (\w+) (\w+); (\w+), Prof. (\w+) (\w+), Dr (\w+) (\w+)\.", replaced)
     assert names[1] == names[3] == names[5] == names[6] and names[2] == names[4] == names[7] == names[9]
+
+
+def one(text):
+    return pii_surrogates._replaced(KEY, text, None)[1]
+
+
+def test_addresses_keep_script_case_and_marks():
+    assert re.fullmatch(r"[а-я]{4}@[а-я]{6}\.рф", one("иван@пример.рф"))
+    assert re.fullmatch(r"[α-ω]{3}\.[a-z]\d@[a-z]{3}\.gr", one("νικ.a7@abc.gr"))
+    assert re.fullmatch(r"[A-Z][a-z]{3}\.[A-Z][a-z]{4}@[A-Z][a-z]{6}\.com", one("John.Smith@Example.com"))
+    assert re.fullmatch(r"[A-Z]{3}\d@[A-Z]{3}\.DE", one("BOB1@WEB.DE"))
+    assert one("John.Smith@Example.com").lower() == one("john.smith@example.com")
+    han = one("书名@例子.com")
+    assert han != "书名@例子.com" and all(0x4E00 <= ord(c) < 0x9FFF for c in han.partition("@")[0])
+    assert re.fullmatch(r"[ء-ي]{3}@[a-z]{2}\.org", one("سلم@ab.org")) or "سلم" not in one("سلم@ab.org")
+
+
+def test_letters_are_drawn_in_their_script():
+    draw = pii_entities.Stream(KEY, "x", "y", 0)
+    for text in ("zebra", "ЁЖик", "Ωμέγα", "éÀ", "한글", "かな", "שלום", "१२", "𝒳"):
+        for char in text:
+            new = pii_entities._letter(draw, char)
+            assert len(new) == 1 and new.isalpha() == char.isalpha() and new.isupper() == char.isupper()
+            assert abs(ord(new) - ord(char)) < 256 or char.isdigit()
+
+
+def test_domains_stay_distinct_and_together(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = [(i, f"mail x@{c}.com, y@{c}.com or Z@{c.upper()}.com") for i, c in enumerate(letters)]
+    rows = pii_surrogates.replace(spark.createDataFrame(docs, "doc_id bigint, text string"), KEY).collect()
+    domains = {}
+    for r in rows:
+        found = re.findall(r"([\w]+)@([\w.]+)", r["text"])
+        assert len({domain.lower() for _, domain in found}) == 1 and found[0][0] != found[1][0]
+        domains[r["doc_id"]] = found[0][1].lower()
+    assert len(set(domains.values())) == 26
+
+
+def test_no_surrogate_is_a_real_value_of_another_kind(spark, monkeypatch):
+    few = lambda key, kind, value, tries=0: f"v{(int(value[1:]) + 1 + tries) % 60}"
+    monkeypatch.setattr(pii_surrogates, "surrogate", few)
+    entities = [("family", f"v{i}") for i in range(5)] + [("given_f", f"v{i}") for i in range(5, 9)]
+    again = pii_surrogates.drawn_again(spark.createDataFrame(entities, "kind string, value string"), KEY)
+    tries = {(r["kind"], r["value"]): r["tries"] for r in again.collect()}
+    drawn = {e: few(KEY, *e, tries.get(e, 0)) for e in entities}
+    early = [e for e in entities if tries.get(e, 0) < pii_surrogates.OWN_TRIES]
+    assert not {drawn[e] for e in early} & {value for _, value in entities}
+    for kind in ("family", "given_f"):
+        assert len({d for e, d in drawn.items() if e[0] == kind}) == sum(e[0] == kind for e in entities)
+
+
+def test_a_small_corpus_against_brute_force(spark):
+    """Every entity has one surrogate, no two of a kind the same, none a real value."""
+    texts = ["Mr Ivo Lang, ivo@a.de", "Mrs Ada Lang, ada@a.de, ada@b.de", "Dr Lang and IVO@A.DE, 10.0.0.1", "8.8.8.8 8.8.4.4 ivo@b.de"]
+    docs = spark.createDataFrame(list(enumerate(texts * 3)), "doc_id bigint, text string")
+    after = {r["doc_id"]: r["text"] for r in pii_surrogates.replace(docs, KEY).collect()}
+    pairs = set()
+    for number, text in enumerate(texts * 3):
+        new, shift = after[number], 0
+        mentions = find(text)
+        kept = [re.escape(text[a.end : b.start]) for a, b in zip(mentions, mentions[1:])]
+        pattern = re.escape(text[: mentions[0].start]) + "(.+?)" + "".join(k + "(.+?)" for k in kept) + re.escape(text[mentions[-1].end :])
+        for mention, drawn in zip(mentions, re.fullmatch(pattern, new).groups(), strict=True):
+            pairs.add((mention.kind, mention.value, drawn.lower()))
+    assert len({(k, v) for k, v, _ in pairs}) == len(pairs) == len({(k, d) for k, _, d in pairs})
+    real = {v.rpartition(":")[2] for _, v, _ in pairs}
+    assert not {d for _, _, d in pairs} & real
