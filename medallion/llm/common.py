@@ -38,7 +38,7 @@ def unused(df: DataFrame, name: str) -> str:
 def bounded_batches(spark: SparkSession) -> None:
     """Bounds the Arrow batches that tasks hold: their rows alone would not bound long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:

@@ -44,7 +44,7 @@ END_ID = 1
 SEGMENT_IDS = 1 << 17
 BATCH_BYTES = 2_000_000
 # Words of plain letters, and others, whose ids a worker keeps; emptied when full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 # What goes to the tokenizer at once: words in a text, and texts.
 WORDS_A_CALL, TEXTS_A_CALL = 100, 100
 # How the tokenizer marks the last token of a word.
