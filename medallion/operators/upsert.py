@@ -343,7 +343,10 @@ def _anew(spark, table, now, rows, run, operation, action, batch_id, run_ts, wor
 
 def last_operation(spark: SparkSession, table: StateTable) -> DataFrame:
     """Version, time, operation and counts of the latest finished batch, as one row."""
-    return operations(spark, table).orderBy(F.desc("version")).limit(1)
+    found = journal.numbers(spark, table.journal)
+    if not found:
+        return spark.createDataFrame([], OPERATION)
+    return journal.one(spark, table.journal, found[-1], OPERATION)
 
 
 def operations(spark: SparkSession, table: StateTable) -> DataFrame:
@@ -413,4 +416,4 @@ def _entered(spark, table, layers, operation, batch_id, run_ts, counts, work) ->
     journal.add(spark, table.journal, version, entry)
     if work:
         files.delete(spark, work)
-    return last_operation(spark, table)
+    return journal.one(spark, table.journal, version, OPERATION)

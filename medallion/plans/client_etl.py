@@ -157,7 +157,7 @@ def update_bronze(
         tables.register(
             spark, job.bronze_table, job.bronze_path, schema, tables.DAY, folders, everything
         )
-    return bronze_operations(spark, job).where(F.col("version") == version)
+    return journal.one(spark, job.journal, version, BRONZE_OPERATION)
 
 
 def late_days(spark: SparkSession, job: ClientEtl, window: DayWindow = DayWindow()) -> DayWindow:

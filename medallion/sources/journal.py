@@ -43,6 +43,11 @@ def add(spark: SparkSession, folder: str, version: int, entry: dict) -> None:
         raise ConcurrentWrite(f"version {version} in {folder} was written by somebody else")
 
 
+def one(spark: SparkSession, folder: str, number: int, schema: T.StructType) -> DataFrame:
+    """That entry as a row of ``schema``; no other is read."""
+    return spark.read.schema(schema).json(_file(folder, number))
+
+
 def history(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All entries as rows of ``schema``, oldest first."""
     if not numbers(spark, folder):
