@@ -9,6 +9,7 @@ queries on them start from a table scan as they would in a lake.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -170,11 +171,14 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state_table(_once(spark, sf_dir, "silver", write)).read(spark)
 
 
-def write_landing(df: DataFrame, path: str) -> None:
-    """Add CSV files in day folders, by the column ``particao``."""
+def write_landing(df: DataFrame, path: str, by_day: bool = False) -> None:
+    """Add CSV files in day folders, by the column ``particao``; ``by_day`` says that the rows
+    come from a table by day, whose files need not be dealt anew."""
     # One job for all days; the hot ones are split over several files.
-    days = df.hint("rebalance", F.col("particao")).write.partitionBy("particao")
-    days.mode("append").options(header="true", **CSV_TIMES).csv(path)
+    days = df if by_day else df.hint("rebalance", F.col("particao"))
+    days = days.write.partitionBy("particao").mode("append").options(header="true", **CSV_TIMES)
+    with tables.days_open(df.sparkSession) if by_day else nullcontext():
+        days.csv(path)
 
 
 def events_landing(spark: SparkSession, sf_dir: str) -> Landing:
@@ -200,7 +204,7 @@ def client_landing(spark: SparkSession, sf_dir: str) -> Landing:
 
     def write(path: str) -> None:
         rows = distinct_times(bronze(spark, sf_dir)).withColumn("particao", F.col("load_date"))
-        write_landing(rows.select(*client_schema().names, "particao"), path)
+        write_landing(rows.select(*client_schema().names, "particao"), path, by_day=True)
 
     path = _once(spark, sf_dir, "client_landing", write)
     return Landing(path, options=CSV_TIMES, header=client_schema().names)
@@ -217,7 +221,7 @@ def corrected_landing(spark: SparkSession, sf_dir: str) -> Landing:
         street = F.when(F.col("event_id") % 7 == 0, F.concat("street", F.lit(" B")))
         rows = rows.withColumn("street", F.coalesce(street, F.col("street")))
         rows = rows.withColumn("particao", F.col("load_date"))
-        write_landing(rows.select(*client_schema().names, "particao"), path)
+        write_landing(rows.select(*client_schema().names, "particao"), path, by_day=True)
 
     path = _once(spark, sf_dir, "corrected_landing", write)
     return Landing(path, options=CSV_TIMES, header=client_schema().names)

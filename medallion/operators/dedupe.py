@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medallion.session import work_folder
+
+HASH = "_identity"
+# Hashes of copies up to which only the copies are shuffled; a broadcast of them is small.
+FEW = 1_000_000
+
 
 def distinct_events(
     df: DataFrame, identity: Sequence[str], lineage: Sequence[str] = ("source_file",)
@@ -22,6 +28,30 @@ def distinct_events(
     return df.groupBy(*identity).agg(*kept)
 
 
+def distinct_stored(
+    df: DataFrame, identity: Sequence[str], lineage: Sequence[str] = ("source_file",)
+) -> DataFrame:
+    """The same rows as ``distinct_events``, of a table that is cheap to read again.
+
+    Copies have the same hash, so a first pass shuffles one number per row instead of all
+    columns, and only rows whose hash occurs again are compared in full. The others stay where
+    they lie. Where copies are more than ``FEW``, all rows are compared at once.
+    """
+    hashed = df.withColumn(HASH, F.xxhash64(*identity))
+    again = hashed.groupBy(HASH).agg(F.count("*").alias("_times")).where("_times > 1").select(HASH)
+    path = work_folder(df.sparkSession, "again")
+    again.write.parquet(path)
+    again = df.sparkSession.read.schema(again.schema).parquet(path)
+    many = again.count()
+    if many > FEW:
+        return distinct_events(df, identity, lineage)
+    columns = [*identity, *lineage]
+    if not many:
+        return df.select(*columns)
+    copies = distinct_events(hashed.join(again, HASH, "left_semi"), identity, lineage)
+    return hashed.join(again, HASH, "left_anti").select(*columns).unionByName(copies)
+
+
 def latest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The newest row of each key; ``order`` columns are compared descending, nulls last.
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from medallion import session
 from medallion.functions.phones import null_unless
+from medallion.operators.dedupe import distinct_stored
 from medallion.operators.upsert import StateTable, rebuild, upsert
 from medallion.operators.windows import DayWindow, day_window, one_day
 from medallion.schema import LONG, TEXT, TIME, struct
@@ -140,11 +141,13 @@ def update_bronze(
     stamp = F.lit(run_ts.isoformat(" ")).cast("timestamp_ntz")
     schema = bronze_schema(job.landing)
     lines = _parsed(spark, job, window)
-    rows = events(good_lines(lines, job.landing), job.landing, stamp, load_date)
+    good = good_lines(lines, job.landing)
+    rows = events(good, job.landing, stamp, load_date, distinct_stored)
     days = None if window.everything else found
     if load_date and not window.everything:
         window, days = one_day(load_date), [load_date] if found else []
-    new = tables.stage_days(rows.select(*schema.names), job.bronze_path, window, days)
+    stage = tables.stage_gathered if tables.gathered_by_day(lines) else tables.stage_days
+    new = stage(rows.select(*schema.names), job.bronze_path, window, days)
     rejected = tables.stage_days(
         bad_lines(lines), job.rejects, DayWindow(), None if days is None else found
     )

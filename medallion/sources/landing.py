@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add, or_
@@ -179,11 +179,16 @@ def ingest(
 
 
 def events(
-    rows: DataFrame, landing: Landing, ingested_at: Column, load_date: str | None = None
+    rows: DataFrame,
+    landing: Landing,
+    ingested_at: Column,
+    load_date: str | None = None,
+    distinct: Callable[[DataFrame, Sequence[str]], DataFrame] = distinct_events,
 ) -> DataFrame:
-    """Accepted lines without exact copies, as ``ingest`` returns them."""
+    """Accepted lines without exact copies, as ``ingest`` returns them; ``distinct`` is
+    ``distinct_stored`` for rows that are cheap to read again."""
     if load_date is not None:
         rows = rows.withColumn("load_date", F.lit(load_date))
-    return distinct_events(rows, [*landing.business_columns, "load_date"]).withColumn(
+    return distinct(rows, [*landing.business_columns, "load_date"]).withColumn(
         "ingested_at", ingested_at
     )

@@ -10,7 +10,8 @@ version the later one fails without effect. Readers keep the version they found
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,6 +27,10 @@ VERSIONS = "versions"
 NOTHING = {"version": 0, "folders": {}, "form_of": {}, "history": None}
 # Partitions named in one ALTER TABLE statement.
 PARTITIONS_PER_STATEMENT = 500
+# Rows of one day that make a file large enough not to be put together with others.
+PIECE_ROWS = 100_000
+# Days whose files a task keeps open at a time, instead of sorting its rows by day.
+DAYS_OPEN = "32"
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -93,11 +98,32 @@ def day_folders(
     return dict(sorted(found.items()))
 
 
-def _by_day(df: DataFrame, window: DayWindow) -> DataFrame:
+def _by_day(df: DataFrame, window: DayWindow, gathered: bool) -> DataFrame:
     # Rebalancing gives small days one file and splits a day that holds much of the
     # data over several tasks; a plain repartition by day would put it into one. Tasks
-    # that all write the same day need no further shuffle.
-    return df if window.single else df.hint("rebalance", F.col(DAY))
+    # that all write the same day, or a few days each, need no further shuffle.
+    return df if window.single or gathered else df.hint("rebalance", F.col(DAY))
+
+
+def gathered_by_day(df: DataFrame) -> bool:
+    """Whether the files of the rows read hold, of each day in them, many rows on average. Only
+    the day column is read."""
+    pieces = df.groupBy(F.col("_metadata.file_path"), DAY).agg(F.count("*").alias("rows"))
+    total = pieces.agg(F.sum("rows").alias("rows"), F.count("*").alias("pieces")).first()
+    return bool(total["pieces"]) and total["rows"] >= PIECE_ROWS * total["pieces"]
+
+
+@contextmanager
+def days_open(spark: SparkSession) -> Iterator[None]:
+    """Tasks that write rows of a few days hold the files of all open. The sort by day that Spark
+    does otherwise would spill, as such tasks are as large as a scan makes them."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, DAYS_OPEN)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -138,6 +164,7 @@ def stage_days(
     window: DayWindow,
     days: Collection[str] | None = None,
     renames: Mapping[str, str] | None = None,
+    gathered: bool = False,
 ) -> StagedDays:
     """Write the files with which days of the table become exactly the rows given.
 
@@ -147,7 +174,8 @@ def stage_days(
 
     ``df`` may have more columns than the table, and wider types; a narrower one is refused, as
     long as the table keeps other days. ``renames`` are columns that have another name from now
-    on, from old to new.
+    on, from old to new. Rows that are ``gathered`` come in large pieces of one day each, and are
+    written where they lie.
     """
     spark, run = df.sparkSession, uuid.uuid4().hex
     now = journal.newest(spark, f"{path}/{VERSIONS}") or NOTHING
@@ -161,8 +189,9 @@ def stage_days(
     if days is not None or not window.everything:
         outside = F.concat(F.lit("row outside the days to replace: "), F.col(DAY))
         df = df.withColumn(DAY, F.when(held, F.col(DAY)).otherwise(F.raise_error(outside)))
-    rows, written = _observed(_by_day(df, window))
-    rows.write.partitionBy(DAY).parquet(f"{path}/data/run={run}")
+    rows, written = _observed(_by_day(df, window, gathered))
+    with days_open(spark) if gathered else nullcontext():
+        rows.write.partitionBy(DAY).parquet(f"{path}/data/run={run}")
     metrics = written.get
     filled = sorted(metrics.get("days", ()))
     folders = {owner: sorted(set(held) - replaced - set(filled)) for owner, held in now["folders"].items()}
@@ -176,6 +205,11 @@ def stage_days(
     return StagedDays(spark, path, now["version"] + 1, layout, metrics.get("rows", 0), filled)
 
 
+def stage_gathered(df: DataFrame, path: str, window: DayWindow, days: Collection[str] | None = None) -> StagedDays:
+    """``stage_days`` of rows that are gathered by day."""
+    return stage_days(df, path, window, days, gathered=True)
+
+
 def replace_days(
     df: DataFrame,
     path: str,
