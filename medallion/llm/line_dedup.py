@@ -7,7 +7,8 @@ under the line's length and the segment's number; a line probes the index of eac
 it may be near to, at the few places where such a segment can be. Equal lines are one row
 before this, keys are hashes, and a candidate pair is met once. What the counts of a few
 letters can rule out goes first; the rest is verified on the whole lines by a banded edit
-distance whose band is a word of bits. Lines too short for two edits to mean a typing error are
+distance whose band is a word of bits. Where a segment is common to very many lines, as in
+boilerplate, these meet by all but two of many short pieces instead, see ``crowd_pairs``. Lines too short for two edits to mean a typing error are
 classed by equality alone.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.common import written
@@ -25,6 +26,9 @@ MAX_EDITS = 2
 # Shorter lines, blanks at the ends not counted, are duplicates of equal ones only.
 MIN_CHARS = 30
 SEGMENTS = MAX_EDITS + 1
+# Lines with a segment in common beyond which they are compared by pieces, and those pieces.
+CROWD = 50
+PIECES = 10
 # Letters that a line's sketch counts, a byte for each.
 SKETCHED = "etaoinsr"
 
@@ -139,13 +143,101 @@ def occurrences(docs: DataFrame) -> DataFrame:
     )
 
 
+def _dropped(longer: int | None) -> list[tuple[int, int, int, int]]:
+    """(first, last, shift, longer): which two pieces of the shorter line may be edited, or one
+    twice, by how much the first of them is longer in the other line, and that line as a whole."""
+    found = []
+    for first in range(1, PIECES + 1):
+        found.append((first, first, longer or 0, longer or 0))
+        for last in range(first + 1, PIECES + 1):
+            # One edit each.
+            shifts = [0] if longer is None else [s for s in (-1, 0, 1) if abs(longer - s) <= 1]
+            found += [(first, last, shift, longer or 0) for shift in shifts]
+    return found
+
+
+def _left_over(lines: DataFrame, dropped: list[tuple[int, int, int, int]], name: str) -> DataFrame:
+    """Ids of the lines, under that name, with the hash of what is left of a line without two
+    pieces, and a checksum of each of these that has the length of the shorter line's piece.
+
+    A CRC of 32 bits differs for certain if one letter, of 32 bits, does.
+    """
+    listed = F.array(*[F.struct(*map(F.lit, places)) for places in dropped])
+    rows = lines.select("_id", "_length", "_sketch", F.encode("_line", "UTF-32").alias("_code"))
+    rows = rows.select("*", F.inline(listed).alias("_first", "_last", "_shift", "_longer"))
+    rows = rows.withColumn("_short", F.expr("_length - _longer")).where(F.col("_short") >= MIN_CHARS)
+    rows = rows.withColumn("_base", F.expr(f"int(_short div {PIECES})"))
+    rows = rows.withColumn("_plain", F.expr(f"{PIECES} - _short % {PIECES}"))
+
+    def start(piece: str) -> str:
+        return f"(_base * ({piece} - 1) + greatest({piece} - 1 - _plain, 0))"
+
+    def part(begin: str, end: str) -> str:
+        return f"substring(_code, 4 * ({begin}) + 1, 4 * (({end}) - ({begin})))"
+
+    ends = {
+        "_a": start("_first"),
+        "_b": f"{start('_first + 1')} + _shift",
+        "_c": f"if(_first = _last, {start('_first + 1')} + _shift, {start('_last')} + _shift)",
+        "_d": f"{start('_last + 1')} + _longer",
+    }
+    rows = rows.withColumns({end: F.expr(place) for end, place in ends.items()})
+    left = f"{part('0', '_a')}, {part('_b', '_c')}, {part('_d', '_length')}"
+    two = "_first < _last and "
+    return rows.select(
+        F.col("_id").alias(name),
+        F.expr(f"xxhash64(_first, _last, _short, {left})").alias("_key"),
+        F.expr(f"if({two} _shift = 0, crc32({part('_a', '_b')}), null)").alias(f"{name}_first"),
+        F.expr(f"if({two} _shift = _longer, crc32({part('_c', '_d')}), null)").alias(f"{name}_last"),
+        F.col("_sketch").alias(f"{name}_sketch"),
+        F.col("_longer").alias(f"{name}_longer"),
+    )
+
+
+def crowd_pairs(lines: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of ids among which are all near duplicates of these lines.
+
+    Two edits lie in one piece of ``PIECES`` or in two, and the rest of the line is as it was, up
+    to a shift between them. So lines meet that agree in all but two pieces, and not all that
+    have a third of the line in common. A pair that differs in one piece only meets there alone:
+    for two, both must differ. Sketches are compared in the join.
+    """
+    index = _left_over(lines, _dropped(None), "_id")
+    probe = _left_over(lines, [places for n in range(MAX_EDITS + 1) for places in _dropped(n)], "_other")
+    once = (F.col("_other_longer") > 0) | (F.col("_id") < F.col("_other"))
+    differ = [
+        F.coalesce(F.col(f"_id{side}") != F.col(f"_other{side}"), F.lit(True)) for side in ("_first", "_last")
+    ]
+    possible = _possible(F.col("_id_sketch"), F.col("_other_sketch"))
+    met = index.withColumnRenamed("_key", "_left").join(
+        probe, (F.col("_left") == F.col("_key")) & once & differ[0] & differ[1] & possible
+    )
+    return met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b"))
+
+
+def candidates(lines: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of ids of lines among which are all near duplicates."""
+    index = _keyed(lines, [(0, i, 0) for i in range(1, SEGMENTS + 1)], "_id")
+    probe = _keyed(lines, probes(), "_other")
+    # Of a crowd one row stays, which tells the lines that meet it.
+    same = Window.partitionBy("_key")
+    index = index.withColumns({"_many": F.count("*").over(same), "_one": F.min("_id").over(same)})
+    crowd = F.col("_many") > CROWD
+    index = index.where(~crowd | (F.col("_id") == F.col("_one")))
+    met = index.join(probe, "_key").where(crowd | (F.col("_id") != F.col("_other")))
+    met = written(met.select(F.when(~crowd, F.col("_id")).alias("_id"), "_other"), "met")
+    pairs = met.where("_id is not null")
+    pairs = pairs.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b"))
+    crowded = written(met.where("_id is null").select(F.col("_other").alias("_id")).distinct(), "crowded")
+    if not crowded.isEmpty():
+        pairs = pairs.union(crowd_pairs(written(lines.join(crowded, "_id", "left_semi"), "crowd")))
+    return pairs.distinct()
+
+
 def links(lines: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of ids of the distinct lines (_id, _line, _length, _sketch) that are
     near duplicates."""
-    index = _keyed(lines, [(0, i, 0) for i in range(1, SEGMENTS + 1)], "_id")
-    probe = _keyed(lines, probes(), "_other")
-    met = index.join(probe, "_key").where("_id <> _other")
-    met = met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b")).distinct()
+    met = candidates(lines)
     left, right = (
         lines.select(F.col("_id").alias(side), F.col("_sketch").alias(f"_{side}")) for side in ("a", "b")
     )
