@@ -8,7 +8,8 @@ it may be near to, at the few places where such a segment can be. Equal lines ar
 before this, keys are hashes, and a candidate pair is met once. What the counts of a few
 letters can rule out goes first; the rest is verified on the whole lines by a banded edit
 distance whose band is a word of bits. Where a segment is common to very many lines, as in
-boilerplate, these meet by all but two of many short pieces instead, see ``crowd_pairs``. Lines too short for two edits to mean a typing error are
+boilerplate, these meet by all but two of several pieces instead, and only if few of their runs
+of letters differ, see ``crowd_pairs``. Lines too short for two edits to mean a typing error are
 classed by equality alone.
 """
 
@@ -27,8 +28,11 @@ MAX_EDITS = 2
 MIN_CHARS = 30
 SEGMENTS = MAX_EDITS + 1
 # Lines with a segment in common beyond which they are compared by pieces, and those pieces.
-CROWD = 50
-PIECES = 10
+CROWD = 16
+PIECES = 5
+# Lengths of the runs of letters of which lines of a crowd keep the parities, and the words of 64
+# bits for each.
+RUNS = {1: 1, 2: 4, 3: 4}
 # Letters that a line's sketch counts, a byte for each.
 SKETCHED = "etaoinsr"
 
@@ -129,6 +133,32 @@ def _possible(left: Column, right: Column) -> Column:
     return apart <= 2 * MAX_EDITS
 
 
+def _parities(run: int) -> dict[str, Column]:
+    """Of each class of runs of so many letters, whether the line (``_length``, stored ``_code`` in
+    UTF-32) has an odd number of them, as bits of words. The last runs are shorter."""
+    kind = f"pmod(xxhash64(substring(_code, 4 * at - 3, 4 * {run})), {64 * RUNS[run]})"
+    found = {}
+    for word in range(RUNS[run]):
+        bit = f"if({kind} div 64 = {word}, shiftleft(1L, int({kind} % 64)), 0L)"
+        odd = F.expr(f"aggregate(sequence(1, _length), 0L, (bits, at) -> bits ^ {bit})")
+        found[f"_{run}_{word}"] = odd
+    return found
+
+
+def parities() -> dict[str, Column]:
+    return {name: odd for run in RUNS for name, odd in _parities(run).items()}
+
+
+def _same_runs(left: str, right: str) -> Column:
+    """An edit takes as many runs as they are long at most, and adds as many."""
+    few = F.lit(True)
+    for run, words in RUNS.items():
+        pairs = [[F.col(f"{side}_{run}_{word}") for side in (left, right)] for word in range(words)]
+        apart = reduce(Column.__add__, [F.bit_count(one.bitwiseXOR(other)) for one, other in pairs])
+        few = few & (apart <= 2 * run * MAX_EDITS)
+    return few
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank: the document, the line's number from 0, the text
     without blanks at its ends, and two hashes of it."""
@@ -163,7 +193,8 @@ def _left_over(lines: DataFrame, dropped: list[tuple[int, int, int, int]], name:
     A CRC of 32 bits differs for certain if one letter, of 32 bits, does.
     """
     listed = F.array(*[F.struct(*map(F.lit, places)) for places in dropped])
-    rows = lines.select("_id", "_length", "_sketch", F.encode("_line", "UTF-32").alias("_code"))
+    runs = list(parities())
+    rows = lines.select("_id", "_length", "_sketch", "_code", *runs)
     rows = rows.select("*", F.inline(listed).alias("_first", "_last", "_shift", "_longer"))
     rows = rows.withColumn("_short", F.expr("_length - _longer")).where(F.col("_short") >= MIN_CHARS)
     rows = rows.withColumn("_base", F.expr(f"int(_short div {PIECES})"))
@@ -191,6 +222,7 @@ def _left_over(lines: DataFrame, dropped: list[tuple[int, int, int, int]], name:
         F.expr(f"if({two} _shift = _longer, crc32({part('_c', '_d')}), null)").alias(f"{name}_last"),
         F.col("_sketch").alias(f"{name}_sketch"),
         F.col("_longer").alias(f"{name}_longer"),
+        *[F.col(run).alias(f"{name}{run}") for run in runs],
     )
 
 
@@ -200,8 +232,12 @@ def crowd_pairs(lines: DataFrame) -> DataFrame:
     Two edits lie in one piece of ``PIECES`` or in two, and the rest of the line is as it was, up
     to a shift between them. So lines meet that agree in all but two pieces, and not all that
     have a third of the line in common. A pair that differs in one piece only meets there alone:
-    for two, both must differ. Sketches are compared in the join.
+    for two, both must differ. Sketches are compared in the join, and so are the parities of runs
+    of letters: lines that agree in all but two pieces differ in few letters, but near copies
+    changed by more than two edits mostly in more runs than two edits can change.
     """
+    lines = written(lines.withColumn("_code", F.encode("_line", "UTF-32")).drop("_line"), "codes")
+    lines = written(lines.withColumns(parities()), "crowd")
     index = _left_over(lines, _dropped(None), "_id")
     probe = _left_over(lines, [places for n in range(MAX_EDITS + 1) for places in _dropped(n)], "_other")
     once = (F.col("_other_longer") > 0) | (F.col("_id") < F.col("_other"))
@@ -210,7 +246,7 @@ def crowd_pairs(lines: DataFrame) -> DataFrame:
     ]
     possible = _possible(F.col("_id_sketch"), F.col("_other_sketch"))
     met = index.withColumnRenamed("_key", "_left").join(
-        probe, (F.col("_left") == F.col("_key")) & once & differ[0] & differ[1] & possible
+        probe, (F.col("_left") == F.col("_key")) & once & differ[0] & differ[1] & possible & _same_runs("_id", "_other")
     )
     return met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b"))
 
@@ -230,7 +266,7 @@ def candidates(lines: DataFrame) -> DataFrame:
     pairs = pairs.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b"))
     crowded = written(met.where("_id is null").select(F.col("_other").alias("_id")).distinct(), "crowded")
     if not crowded.isEmpty():
-        pairs = pairs.union(crowd_pairs(written(lines.join(crowded, "_id", "left_semi"), "crowd")))
+        pairs = pairs.union(crowd_pairs(lines.join(crowded, "_id", "left_semi")))
     return pairs.distinct()
 
 
