@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -203,3 +204,44 @@ def test_held_out_bad_and_toxic_rows_are_caught(spark):
     assert sum(good) >= 0.97 * len(good)
     assert sum(bad) <= 0.22 * len(bad)
     assert sum(toxic) <= 0.12 * len(toxic)
+
+
+def test_words_are_those_of_the_pattern():
+    texts = [EN, "", "  ", "İstanbul'da ΟΔΟΣ x_y 3½", "日本の猫 ไทย　ab!!", "\ud800 a\nb\tc\x1f\x85d", "ß" * 500 + "…", "é \U0001f600‍"]
+    numbers, hashes, distinct, of, place = quality_model._numbered(texts)
+    assert len(set(hashes.tolist())) == len(hashes) == len(distinct)
+    for i, text in enumerate(texts):
+        found = [distinct[n] for n in numbers[of == i]]
+        assert found[2:-1] == quality_model.WORD.findall(text.lower())
+        assert place[of == i].tolist() == list(range(len(found)))
+    starts = {numbers[(of == i) & (place < 2)].tolist()[k] for i in range(len(texts)) for k in (0, 1)}
+    assert len(starts) == 1
+
+
+def test_packed_numbers():
+    for numbers in ([], [0, 0], [7], [1, 255, 256], [0, 2**64 - 1, 5]):
+        numbers = np.array(numbers, np.uint64)
+        assert quality_model.unpacked(quality_model.packed(numbers)).tolist() == numbers.tolist()
+    signed = np.array([0, -1, 1, -(2**62), 2**62 - 1])
+    assert quality_model._unsigned(quality_model._signed(signed)).tolist() == signed.tolist()
+
+
+def test_rounds_give_the_same_rows_and_leave_little(spark, monkeypatch, tmp_path):
+    rows = [(i, " ".join(f"w{(i * i + k * k) % 997}" for k in range(300)), "en") for i in range(90)]
+    rows += [(100, rows[3][1], "en"), (101, None, "en"), (102, "a " * 50, "xx")]
+    docs, labels = docs_of(spark, rows), labels_of(spark, [(i, int(i % 5 > 0), 0) for i in range(60)])
+    columns = ("perplexity", "threshold", "fluent", "clear", "kept")
+    once = {r["doc_id"]: [r[c] for c in columns] for r in quality_model.classify(docs, labels).collect()}
+    for name in ("TEXT_CHARS", "VALUE_CHARS"):
+        monkeypatch.setattr(quality_model, name, 1000)
+    before = spark.conf.get(quality_model.CLEANUP)
+    monkeypatch.setattr(quality_model, "work_folder", lambda _, name: f"{tmp_path}/{uuid.uuid4().hex}/{name}")
+    many = {r["doc_id"]: [r[c] for c in columns] for r in quality_model.classify(docs, labels).collect()}
+    for key, row in once.items():
+        assert many[key][1:] == row[1:]
+        assert many[key][0] == (row[0] and pytest.approx(row[0], rel=1e-6))
+    assert many[100] == many[3]
+    left = {x.relative_to(tmp_path).parts[1] for x in tmp_path.rglob("*.parquet")}
+    assert left == {"costs"}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("values_")]
+    assert spark.conf.get(quality_model.CLEANUP) == before
