@@ -1,77 +1,132 @@
 """Near-duplicate embeddings by an exact metric range join.
 
-Unit vectors whose cosine is at least 0.98 are at most ``REACH`` apart. The vectors of a label
-are partitioned by their nearest pivot. A vector is also sent, as a guest, to each cell in
-which a vector within reach of it may be at home: by the triangle inequality such a cell's
-pivot is at most twice the reach farther than its own, and the plane halfway between the two
-pivots is at most the reach away. So a vector meets in its home cell all that it links with,
-is counted there only, and cells join independently.
-
-Cells of more than ``BLOCK`` vectors are cut into blocks, each pair of which is a task of its
-own: no task holds more than two blocks, however many vectors crowd into a cell. A task
-returns one count per vector and the edges of a star per connected group, never all pairs.
-Equal vectors are one class before all this.
+Unit vectors whose cosine is at least 0.98 are at most ``REACH`` apart. Equal vectors are one
+class. The classes of a label are partitioned by their nearest pivot into cells, and cells of more
+than ``BLOCK`` vectors into blocks, each of which is at home in one task. A vector is also sent, as
+a guest, to the blocks of other cells in which a vector within reach of it may be at home: by the
+triangle inequality such a cell's pivot is at most twice the reach farther than its own, and the
+plane halfway between the two pivots is at most the reach away. This holds in both directions, so
+of two blocks only one sends to the other, and every pair of vectors meets once.
+
+A task holds one block, whatever its guests, and finds pairs in it by pivots again, then by the
+first components in a basis of the block: they and the length of the rest bound a cosine from
+above. A task returns one count per vector and the edges of a star per connected group, never all
+pairs. Vectors are shipped as they were given, packed, and in rounds that each ship about as much
+as all classes hold; a round's shuffle is deleted before the next.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.llm.common import arrow_table, written
 from medallion.llm.components import components
+from medallion.session import work_folder
+from medallion.sources import files
 
 MIN_COSINE = 0.98
 REACH = (2 - 2 * MIN_COSINE) ** 0.5
-# Room for rounding, in cosines and in distances.
+ANGLE = np.arccos(MIN_COSINE)
+# Room for rounding: in cosines and distances, and in those of single precision, which
+# only ever rule pairs out or in that are far from the limit.
 SLACK = 1e-9
 DISTANCE_SLACK = 1e-6
-BLOCK = 2_048
-# Vectors to a pivot, and pivots of all labels together: the driver holds at most twice as
-# many. Where there are more vectors, cells are larger and have more blocks.
-CELL = 2_048
+FLOAT_SLACK = 1e-4
+# Vectors to a pivot, and at home in a task at most, of up to ``DIM`` dimensions; fewer of more.
+CELL, BLOCK, DIM = 1 << 17, 3 << 16, 64
+# Pivots of all labels together: the driver holds at most twice as many. Where there are more
+# vectors, cells are larger and have more blocks.
 MAX_PIVOTS = 2_048
-CELL_KEY = ("label", "_dim", "_cell", "_low", "_high")
+# Components that a round ships at least, if there are so many.
+ROUND = 1 << 26
+# Inside a task: vectors to a pivot, of a piece of a cell, and of guests at a time.
+INNER, PIECE, CHUNK = 128, 512, 4_096
+PREFIX = 15
+# Cells or blocks times rows that are placed at a time.
+WIDE = 1 << 20
+# Spark's setting that deletes the shuffle files of a write when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
-
+    with np.errstate(over="ignore"):
+        lengths = np.sqrt((vectors * vectors).sum(axis=1))
+    odd = (lengths < 1e-150) | (lengths > 1e150)
+    if odd.any():
+        # Their squares are too large or too small for a number.
+        vectors = vectors.copy()
+        vectors[odd] /= np.abs(vectors[odd]).max(axis=1)[:, None]
+        lengths[odd] = np.sqrt((vectors[odd] * vectors[odd]).sum(axis=1))
+    return vectors / lengths[:, None]
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int, kind: str) -> np.ndarray:
+    """The packed vectors of a column as rows."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    found = []
+    for chunk in chunks:
+        size = dim * np.dtype(kind).itemsize
+        flat = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)
+        first = np.frombuffer(chunk.buffers()[1], np.int32)[chunk.offset] if len(chunk) else 0
+        found.append(flat[first : first + size * len(chunk)].view(kind).reshape(len(chunk), dim))
+    return found[0] if len(found) == 1 else np.concatenate(found or [np.empty((0, dim), kind)])
+
+
+def _packer(kind: str):
+    """Packs vectors into bytes; null for rows that cannot link: those without id or label, and
+    vectors that are null, empty, zero or not finite. A negative zero becomes a zero."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("embedding")
+            lengths = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype(kind) + np.dtype(kind).type(0)
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            odd, other = (np.concatenate([[0], np.cumsum(x)]) for x in (~np.isfinite(values), values != 0))
+            usable = (odd[ends[1:]] == odd[ends[:-1]]) & (other[ends[1:]] > other[ends[:-1]])
+            for name in ("vec_id", "label"):
+                usable &= batch.column(name).is_valid().to_numpy(zero_copy_only=False)
+            places = pa.py_buffer((ends * values.itemsize).astype(np.int32))
+            valid = pa.array(usable).buffers()[1]
+            packed = pa.Array.from_buffers(pa.binary(), len(usable), [valid, places, pa.py_buffer(values)])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "vec_id": batch.column("vec_id"),
+                    "label": batch.column("label"),
+                    "_dim": pa.array(lengths.astype(np.int32)),
+                    "_vector": packed,
+                }
+            )
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Rows of a list column whose lists are equally long."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    return pack
 
 
-def _usable() -> Column:
-    """True for rows that can link: with id, label, and a finite vector other than zero."""
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    nonzero = F.exists("embedding", lambda x: x != 0)
-    known = F.col("vec_id").isNotNull() & F.col("label").isNotNull()
-    return F.coalesce(known & finite & nonzero, F.lit(False))
+def _most(rows: int, dim):
+    """So many rows of 64 dimensions, in rows of ``dim``."""
+    return F.greatest(F.lit(1), F.floor(F.lit(rows * DIM) / F.greatest(dim, F.lit(DIM))))
 
 
-def pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
-    """Unit pivots of each label and dimension that has more vectors than a cell.
+def pivots(classes: DataFrame, large: DataFrame, count: int, kind: str) -> dict[tuple, np.ndarray]:
+    """Unit pivots of each label and dimension in ``large``.
 
     They are the vectors whose hash is among the first of so many as a cell has, so about one to
     a cell and ``2 * MAX_PIVOTS`` altogether; each task picks its own. A group without any is
     one cell.
     """
-    cell = max(CELL, classes.count() // MAX_PIVOTS)
-    sizes = classes.groupBy("label", "_dim").agg(F.count("*").alias("_size"))
-    large = written(sizes.where(F.col("_size") > cell).select("label", "_dim"), "large")
-    hashed = F.xxhash64("embedding")
-    chosen = classes.where(F.pmod(hashed, F.lit(cell)) == 0).join(large, ["label", "_dim"], "left_semi")
+    cell = F.greatest(_most(CELL, F.col("_dim")), F.lit(count // MAX_PIVOTS))
+    hashed = F.xxhash64("_vector")
+    chosen = classes.where(F.pmod(hashed, cell) == 0).join(large, ["label", "_dim"], "left_semi")
     chosen = chosen.withColumn("_rank", hashed)
     found: dict[tuple, list] = {}
-    for row in chosen.orderBy("label", "_dim", "_rank").select("label", "_dim", "embedding").collect():
-        found.setdefault((row["label"], row["_dim"]), []).append(row["embedding"])
+    for row in chosen.orderBy("label", "_dim", "_rank").select("label", "_dim", "_vector").collect():
+        found.setdefault((row["label"], row["_dim"]), []).append(np.frombuffer(row["_vector"], kind))
     return {key: _unit(np.array(rows, np.float64)) for key, rows in found.items()}
 
 
@@ -88,95 +143,398 @@ def cells_of(units: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.nda
     return rows, cells, cells == home[rows]
 
 
-PLACED = "label int, _dim int, _cell int, _home boolean, _node bigint, _copies bigint, embedding array<double>"
+def _groups(batch: pa.RecordBatch, width: dict[tuple, int]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
+    """The rows of each label and dimension of a batch, fewer at a time if many numbers are made of each."""
+    labels, dims = batch.column("label").to_numpy(), batch.column("_dim").to_numpy()
+    groups, member = np.unique(np.stack([labels, dims]), axis=1, return_inverse=True)
+    for number, key in enumerate(groups.T.tolist()):
+        rows = np.flatnonzero(member.ravel() == number)
+        step = max(1, WIDE // width.get(tuple(key), 1))
+        for start in range(0, len(rows), step):
+            yield tuple(key), batch.take(pa.array(rows[start : start + step]))
+
+
+def _surveyor(centres: dict[tuple, np.ndarray], kind: str):
+    """Counts the vectors at home in each cell, and its guests."""
+
+    width = {key: len(found) for key, found in centres.items()}
 
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, part in _groups(batch, width):
+                home, guests = np.array([part.num_rows]), np.array([0])
+                if key in centres:
+                    units = _unit(_matrix(part.column("_vector"), key[1], kind).astype(np.float64))
+                    _, cells, own = cells_of(units, centres[key])
+                    home, guests = (np.bincount(cells[x], minlength=len(centres[key])) for x in (own, ~own))
+                size = len(home)
+                yield arrow_table(
+                    SURVEYED, np.full(size, key[0]), np.full(size, key[1]), np.arange(size), home, guests
+                )
+
+    return survey
+
+
+SURVEYED = pa.schema(
+    [("label", pa.int32()), ("_dim", pa.int32()), ("_cell", pa.int32()), ("_home", pa.int64()), ("_guests", pa.int64())]
+)
+# _place: twice the block, and one more for a guest.
+PLACED = "label int, _dim int, _place bigint, _node bigint, _copies bigint, _vector binary"
+
+
+class Plan:
+    """The blocks of the cells of all large groups, and the round of each."""
+
+    def __init__(self, centres: dict[tuple, np.ndarray], cells: list, total: int):
+        self.centres = centres
+        self.first: dict[tuple, np.ndarray] = {}
+        self.blocks: dict[tuple, np.ndarray] = {}
+        # Rounds are filled up label by label, so that few rounds read a label.
+        self.rounds: list[set] = []
+        turns, held = [], total
+        for label, dim, cell, home, guests in sorted(cells):
+            key = label, dim
+            if key not in self.first:
+                size = len(centres[key]) if key in centres else 1
+                self.first[key], self.blocks[key] = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            most = max(1, BLOCK * DIM // max(dim, DIM))
+            blocks = -(-home // most)
+            self.first[key][cell], self.blocks[key][cell] = len(turns), blocks
+            for _ in range(blocks):
+                # Of its guests a block gets those of about half of the other blocks.
+                load = dim * (home // blocks + (guests + home - home // blocks) // 2)
+                if held + load > total:
+                    self.rounds.append(set())
+                    held = 0
+                held += load
+                self.rounds[-1].add(key)
+                turns.append(len(self.rounds) - 1)
+        self.turns = np.array(turns, np.int64)
+
+    def places(self, key: tuple, units: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, the blocks they go to, and whether they are at home there."""
+        rows = np.arange(len(units))
+        cells, own = np.zeros_like(rows), np.ones(len(rows), bool)
+        if key in self.centres:
+            rows, cells, own = cells_of(units, self.centres[key])
+        first, blocks = self.first[key], self.blocks[key]
+        cell = np.empty(len(units), np.int64)
+        cell[rows[own]] = cells[own]
+        mixed = (nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+        mine = first[cell] + mixed % blocks[cell]
+        copies = blocks[cells]
+        inside = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+        rows, to = np.repeat(rows, copies), np.repeat(first[cells], copies) + inside
+        mine = mine[rows]
+        # Of two blocks the lower sends to the higher if both are even or both odd.
+        goes = (to == mine) | ((mine < to) == ((mine + to) % 2 == 0))
+        return rows[goes], to[goes], (to == mine)[goes]
+
+
+def _placer(plan: Plan, turn: int, kind: str):
+    width = {key: int(found.sum()) for key, found in plan.blocks.items()}
 
-def _placer(centres: dict[tuple, np.ndarray]):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, dims = batch.column("label").to_numpy(), batch.column("_dim").to_numpy()
-            groups, member = np.unique(np.stack([labels, dims]), axis=1, return_inverse=True)
-            for number, (label, dim) in enumerate(groups.T.tolist()):
-                part = batch.take(pa.array(np.flatnonzero(member.ravel() == number)))
-                units = _unit(_matrix(part.column("embedding")))
-                rows = cells = np.arange(part.num_rows)
-                home = np.ones(len(rows), bool)
-                if (label, dim) in centres:
-                    rows, cells, home = cells_of(units, centres[label, dim])
-                else:
-                    cells = np.zeros_like(rows)
-                where = pa.array(rows)
-                flat = pa.array(units[rows].ravel())
-                offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * dim)
-                columns = {
-                    "label": pa.array(np.full(len(rows), label, np.int32)),
-                    "_dim": pa.array(np.full(len(rows), dim, np.int32)),
-                    "_cell": pa.array(cells.astype(np.int32)),
-                    "_home": pa.array(home),
-                    "_node": part.column("_node").take(where),
-                    "_copies": part.column("_copies").take(where),
-                    "embedding": pa.ListArray.from_arrays(offsets, flat),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
+            for key, part in _groups(batch, width):
+                units = _unit(_matrix(part.column("_vector"), key[1], kind).astype(np.float64))
+                rows, to, home = plan.places(key, units, part.column("_node").to_numpy())
+                now = plan.turns[to] == turn
+                rows, place = rows[now], 2 * to[now] + ~home[now]
+                for start in range(0, len(rows), batch.num_rows):
+                    some = pa.array(rows[start : start + batch.num_rows])
+                    columns = {name: part.column(name).take(some) for name in ("label", "_dim", "_node", "_copies", "_vector")}
+                    columns["_place"] = pa.array(place[start : start + batch.num_rows])
+                    yield pa.RecordBatch.from_pydict({name: columns[name] for name in PLACED_NAMES})
 
     return place
 
 
+PLACED_NAMES = [part.split()[0] for part in PLACED.split(",")]
 JOINED = pa.schema([("_node", pa.int64()), ("_linked", pa.int64()), ("_other", pa.int64())])
 
 
-def _join_cell(rows: pa.Table) -> pa.Table:
-    """Counts of the home vectors, and a star per connected group, of one pair of blocks."""
-    units = _matrix(rows.column("embedding").combine_chunks())
-    low = rows.column("_block").to_numpy() == rows.column("_low")[0].as_py()
-    diagonal = rows.column("_low")[0].as_py() == rows.column("_high")[0].as_py()
-    nodes, copies = rows.column("_node").to_numpy(), rows.column("_copies").to_numpy()
-    home = rows.column("_home").to_numpy()
-    first = np.flatnonzero(low)
-    second = first if diagonal else np.flatnonzero(~low)
-    linked = _linked(units[first], units[second])
-    if diagonal:
-        np.fill_diagonal(linked, False)
-    counts = np.zeros(len(nodes), np.int64)
-    counts[first] += linked @ copies[second]
-    if not diagonal:
-        counts[second] += linked.T @ copies[first]
-    near = np.zeros((len(nodes), len(nodes)), bool)
-    near[np.ix_(first, second)] = linked
-    group = _groups(near | near.T, nodes)
-    counted = np.flatnonzero((counts > 0) & home)
-    starred = np.flatnonzero((group >= 0) & (group != nodes))
-    return pa.Table.from_batches(
-        [
-            arrow_table(JOINED, nodes[counted], counts[counted], np.full(len(counted), None)),
-            arrow_table(JOINED, nodes[starred], np.zeros(len(starred), np.int64), group[starred]),
+def _basis(vectors: np.ndarray) -> np.ndarray:
+    """Orthonormal columns, along which the vectors differ most; all of few dimensions."""
+    dim = vectors.shape[1]
+    if dim <= PREFIX:
+        return np.eye(dim)
+    some = _unit(vectors[:: max(1, len(vectors) // 4_096)].astype(np.float64))
+    found = np.random.default_rng(0).normal(size=(dim, PREFIX))
+    for _ in range(4):
+        found = np.linalg.qr(some.T @ (some @ found))[0]
+    return found
+
+
+class Block:
+    """The vectors at home in a task, in order of their nearest pivots, and what they link with."""
+
+    def __init__(self, nodes: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
+        self.basis = _basis(vectors)
+        picked = [0]
+        if len(vectors) > 2 * INNER:
+            picked = np.random.default_rng(0).choice(len(vectors), len(vectors) // INNER, replace=False)
+        centres = _unit(vectors[picked].astype(np.float64))
+        self.centres = centres.T.astype(np.float32)
+        cell, cosine = np.empty(len(vectors), np.int64), np.empty(len(vectors), np.float32)
+        for start in range(0, len(vectors), CHUNK):
+            found = _unit(vectors[start : start + CHUNK].astype(np.float64)).astype(np.float32) @ self.centres
+            cell[start : start + CHUNK] = found.argmax(axis=1)
+            cosine[start : start + CHUNK] = found.max(axis=1)
+        order = np.argsort(cell, kind="stable")
+        self.nodes, self.copies, self.vectors = nodes[order], copies[order], vectors[order]
+        cell, cosine = cell[order], cosine[order]
+        bounds = np.searchsorted(cell, np.arange(len(picked) + 1))
+        self.pieces = [
+            (c, a, min(a + PIECE, end))
+            for c, (start, end) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True))
+            for a in range(start, end, PIECE)
         ]
-    )
-
-
-def _linked(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        # What a vector's cosine with a pivot is at least if it is within reach of a member.
+        lowest = np.ones(len(picked))
+        np.minimum.at(lowest, cell, cosine)
+        farthest = np.arccos(np.clip(lowest - FLOAT_SLACK, -1, 1)) + ANGLE
+        self.least = (np.cos(np.minimum(farthest, np.pi)) - FLOAT_SLACK).astype(np.float32)
+        # By how much less than its cosine with its own pivot.
+        apart = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 0))
+        self.apart = ((REACH + DISTANCE_SLACK) * apart + FLOAT_SLACK).astype(np.float32)
+        self.prefix = np.concatenate(
+            [self._prefix(self._units(a, min(a + CHUNK, len(vectors)))) for a in range(0, len(vectors), CHUNK)]
+        )
+        self.counts = np.zeros(len(vectors), np.int64)
+        self.parent = np.arange(len(vectors))
+
+    def _units(self, start: int, end: int) -> np.ndarray:
+        return _unit(self.vectors[start:end].astype(np.float64))
+
+    def _prefix(self, units: np.ndarray) -> np.ndarray:
+        """Components along the basis, and the length of the rest: a product of two such rows is
+        no less than the cosine."""
+        inside = units @ self.basis
+        rest = np.sqrt(np.maximum(1 - (inside * inside).sum(axis=1), 0))
+        return np.column_stack([inside, rest]).astype(np.float32)
+
+    def meet_itself(self) -> None:
+        for start in range(0, len(self.nodes), CHUNK):
+            units = self._units(start, min(start + CHUNK, len(self.nodes)))
+            anchors = np.arange(start, start + len(units))
+            self._meet(units, self.copies[start : start + CHUNK], self.counts[start : start + CHUNK], anchors, start)
+
+    def meet(self, nodes: np.ndarray, copies: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+        """Counts of guests, and for each that links one at home that it links with."""
+        counts, anchors = np.zeros(len(nodes), np.int64), np.full(len(nodes), -1)
+        self._meet(_unit(vectors.astype(np.float64)), copies, counts, anchors, None)
+        found = np.flatnonzero(counts)
+        return arrow_table(JOINED, nodes[found], counts[found], self.nodes[anchors[found]])
+
+    def found(self) -> pa.RecordBatch:
+        """Counts of those at home, and stars of their connected groups."""
+        roots = self._roots(np.arange(len(self.nodes)))
+        least = np.full(len(roots), np.iinfo(np.int64).max)
+        np.minimum.at(least, roots, self.nodes)
+        some = np.flatnonzero(self.counts)
+        other = least[roots[some]]
+        other = pa.array(other, mask=other == self.nodes[some])
+        return arrow_table(JOINED, self.nodes[some], self.counts[some], other)
+
+    def _meet(self, units, copies, counts, anchors, start: int | None) -> None:
+        """Adds the links of some vectors; ``start`` is the place of the first if they are at
+        home themselves, and each then meets those after it."""
+        single, prefix = units.astype(np.float32), self._prefix(units)
+        near = None
+        if self.centres.shape[1] > 1:
+            cosines = single @ self.centres
+            own = cosines.argmax(axis=1)
+            limit = self.apart[own]
+            np.subtract(cosines[np.arange(len(own)), own][:, None], limit, out=limit)
+            np.maximum(limit, self.least, out=limit)
+            near = np.ascontiguousarray((cosines >= limit).T)
+            del cosines, limit
+        last, rows, some = -1, np.arange(len(units)), prefix
+        for cell, a, b in self.pieces:
+            if start is not None and b <= start:
+                continue
+            if near is not None and cell != last:
+                rows = np.flatnonzero(near[cell])
+                some, last = prefix.take(rows, axis=0), cell
+            if not len(rows):
+                continue
+            bounds = some @ self.prefix[a:b].T
+            if bounds.max() < MIN_COSINE - FLOAT_SLACK:
+                continue
+            later = None
+            if start is not None and a < start + len(units):
+                later = np.arange(a, b) > (start + rows)[:, None]
+            self._link(rows, a, b, bounds, later, units, single, copies, counts, anchors)
+
+    def _link(self, rows, a, b, bounds, later, units, single, copies, counts, anchors) -> None:
+        maybe = bounds >= MIN_COSINE - FLOAT_SLACK
+        if later is not None:
+            maybe &= later
+        number = np.count_nonzero(maybe)
+        if not number:
+            return
+        members = self._units(a, b)
+        if 16 * number < maybe.size:
+            i, j = np.nonzero(maybe)
+            linked = _linked(units, members, rows[i], j)
+            i, j = rows[i[linked]], j[linked]
+            np.add.at(counts, i, self.copies[a + j])
+            np.add.at(self.counts, a + j, copies[i])
+            new = anchors[i] < 0
+            anchors[i[new]] = a + j[new]
+            self._unite(anchors[i], a + j)
+            return
+        cosines = single[rows] @ members.astype(np.float32).T
+        linked = maybe & (cosines >= MIN_COSINE)
+        cosines -= MIN_COSINE
+        i, j = np.nonzero(maybe & (np.abs(cosines, out=cosines) < FLOAT_SLACK))
+        linked[i, j] = _linked(units, members, rows[i], j)
+        weights = linked.astype(np.float64)
+        counts[rows] += (weights @ self.copies[a:b]).astype(np.int64)
+        self.counts[a:b] += (copies[rows] @ weights).astype(np.int64)
+        first = linked.argmax(axis=1)
+        new = (anchors[rows] < 0) & linked[np.arange(len(rows)), first]
+        anchors[rows[new]] = a + first[new]
+        while True:
+            here, there = self._roots(np.maximum(anchors[rows], 0)), self._roots(np.arange(a, b))
+            if len(there) and here.min() == here.max() == there.min() == there.max():
+                return
+            differ = linked & (here[:, None] != there)
+            i = np.flatnonzero(differ.any(axis=1))
+            if not len(i):
+                return
+            self._unite(anchors[rows[i]], a + differ[i].argmax(axis=1))
+
+    def _roots(self, at: np.ndarray) -> np.ndarray:
+        roots = self.parent[at]
+        while True:
+            above = self.parent[roots]
+            if (above == roots).all():
+                break
+            roots = above
+        self.parent[at] = roots
+        return roots
+
+    def _unite(self, left: np.ndarray, right: np.ndarray) -> None:
+        while True:
+            left, right = self._roots(left), self._roots(right)
+            differ = left != right
+            if not differ.any():
+                return
+            left, right = left[differ], right[differ]
+            np.minimum.at(self.parent, np.maximum(left, right), np.minimum(left, right))
+
+
+def _linked(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs reach the cosine; close calls are decided by a sum without rounding steps."""
-    cosines = left @ right.T
-    linked = cosines >= MIN_COSINE
-    for i, j in zip(*np.nonzero(np.abs(cosines - MIN_COSINE) < SLACK), strict=True):
-        linked[i, j] = (left[i].astype(np.longdouble) * right[j]).sum() >= MIN_COSINE
+    linked = np.empty(len(i), bool)
+    step = max(1, (1 << 21) // left.shape[1])
+    for start in range(0, len(i), step):
+        some, other = left[i[start : start + step]], right[j[start : start + step]]
+        cosines = (some * other).sum(axis=1)
+        found = cosines >= MIN_COSINE
+        for k in np.flatnonzero(np.abs(cosines - MIN_COSINE) < SLACK):
+            found[k] = (some[k].astype(np.longdouble) * other[k]).sum() >= MIN_COSINE
+        linked[start : start + step] = found
     return linked
 
 
-def _groups(near: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """The smallest node of the connected group of each row; -1 without a link."""
-    group = np.full(len(nodes), -1, np.int64)
-    waiting = near.any(axis=1)
-    while waiting.any():
-        members = np.zeros(len(nodes), bool)
-        members[waiting.argmax()] = True
-        frontier = members
-        while frontier.any():
-            frontier = near[frontier].any(axis=0) & ~members
-            members = members | frontier
-        group[members] = nodes[members].min()
-        waiting &= ~members
-    return group
+def _joiner(kind: str):
+    """Joins blocks with their guests, which come sorted: a block's own vectors first."""
+
+    def arrays(held: list[pa.RecordBatch], dim: int) -> tuple:
+        rows = pa.Table.from_batches(held)
+        return rows.column("_node").to_numpy(), rows.column("_copies").to_numpy(), _matrix(rows.column("_vector"), dim, kind)
+
+    def meeting(dim: int, block: Block | None, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if block is not None and held:
+            yield block.meet(*arrays(held, dim))
+
+    def at_home(dim: int, held: list[pa.RecordBatch], guests: bool) -> Block | None:
+        if not held or (not guests and sum(x.num_rows for x in held) == 1):
+            return None
+        block = Block(*arrays(held, dim))
+        block.meet_itself()
+        return block
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, block, held, guests = None, None, [], False
+        for batch in batches:
+            keys = np.stack([batch.column(name).to_numpy().astype(np.int64) for name in ("label", "_dim", "_place")])
+            starts = np.concatenate([[0], 1 + np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)), [batch.num_rows]])
+            for start, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                label, dim, place = keys[:, start].tolist()
+                if unit != (label, dim, place >> 1):
+                    yield from finished(unit, block, held, guests)
+                    unit, block, held, guests = (label, dim, place >> 1), None, [], False
+                if place & 1 and not guests:
+                    block, held, guests = at_home(dim, held, True), [], True
+                held.append(batch.slice(start, end - start))
+                if guests and sum(x.num_rows for x in held) >= CHUNK:
+                    yield from meeting(dim, block, held)
+                    held = []
+        yield from finished(unit, block, held, guests)
+
+    def finished(unit, block, held, guests) -> Iterator[pa.RecordBatch]:
+        if unit is None:
+            return
+        if guests:
+            yield from meeting(unit[1], block, held)
+        else:
+            block = at_home(unit[1], held, False)
+        if block is not None:
+            yield block.found()
+
+    return join
+
+
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files are deleted when the write that made them ends."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
+def _joined(classes: DataFrame, kind: str) -> DataFrame:
+    """_node, _linked, _other: parts of the number of links of a node, and edges."""
+    spark = classes.sparkSession
+    count, total = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("_dim"), F.lit(0))).first()
+    total = max(total, ROUND)
+    sizes = classes.groupBy("label", "_dim").agg(F.count("*").alias("_size"))
+    large = sizes.where(F.col("_size") > F.greatest(_most(CELL, F.col("_dim")), F.lit(1)))
+    large = written(large.select("label", "_dim"), "large")
+    plan = Plan({}, [], total)
+    if not large.isEmpty():
+        centres = pivots(classes, large, count, kind)
+        schema = "label int, _dim int, _cell int, _home bigint, _guests bigint"
+        cells = classes.join(large, ["label", "_dim"], "left_semi").select("label", "_dim", "_vector")
+        cells = cells.mapInArrow(_surveyor(centres, kind), schema).groupBy("label", "_dim", "_cell")
+        cells = cells.agg(F.sum("_home"), F.sum("_guests")).collect()
+        plan = Plan(centres, [tuple(row) for row in cells], total)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = work_folder(spark, "joined")
+    schema = "_node bigint, _linked bigint, _other bigint"
+
+    def add(placed: DataFrame) -> None:
+        placed.mapInArrow(_joiner(kind), schema).write.mode("append").parquet(folder)
+
+    # A group of no more than a cell is one block without guests.
+    small = classes.join(large, ["label", "_dim"], "left_anti").withColumn("_place", F.lit(0).cast("bigint"))
+    small = small.select(*PLACED_NAMES).repartition(partitions, "label", "_dim")
+    add(small.sortWithinPartitions("label", "_dim"))
+    for turn, keys in enumerate(plan.rounds):
+        here = spark.createDataFrame(sorted(keys), "label int, _dim int")
+        rows = classes.join(F.broadcast(here), ["label", "_dim"], "left_semi").select("label", "_dim", "_node", "_copies", "_vector")
+        placed = rows.mapInArrow(_placer(plan, turn, kind), PLACED)
+        blocks = int((plan.turns == turn).sum())
+        placed = placed.repartition(max(partitions, 2 * blocks), F.shiftright("_place", 1))
+        add(placed.sortWithinPartitions("_place"))
+    return spark.read.schema(schema).parquet(folder)
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
@@ -188,59 +546,54 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     dimensions with one another. Rows are vectors: repeated rows link with each other, and rows of
     one id with different vectors are told apart. Other columns are ignored; an empty table gives no rows.
     """
+    with _cleaned(vectors.sparkSession):
+        return _near_duplicates(vectors)
+
+
+def _near_duplicates(vectors: DataFrame) -> DataFrame:
+    spark = vectors.sparkSession
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    kind = "float32" if single else "float64"
     rows = vectors.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.col("label").cast("int").alias("label"),
-        F.col("embedding").cast("array<double>").alias("embedding"),
-    )
-    rows = rows.withColumn("_usable", _usable())
-    good = rows.where("_usable")
-    classes = good.groupBy("label", "embedding").agg(
+        F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"),
+    ).mapInArrow(_packer(kind), "vec_id bigint, label int, _dim int, _vector binary")
+    classes = rows.where("_vector is not null").groupBy("label", "_dim", "_vector").agg(
         F.min("vec_id").alias("_first"), F.count("*").alias("_copies")
     )
-    # A class has a number of its own: rows of one id may have different vectors.
-    classes = classes.withColumns({"_dim": F.size("embedding"), "_node": F.monotonically_increasing_id()})
-    classes = written(classes, "classes")
-    centres = pivots(classes)
-    placed = written(classes.mapInArrow(_placer(centres), PLACED), "placed")
-    joined = written(_blocks(placed).groupBy(*CELL_KEY).applyInArrow(
-        _join_cell, "_node bigint, _linked bigint, _other bigint"
-    ), "joined")
+    # A class has a number of its own: rows of one id may have different vectors. By its two
+    # hashes, 128 bits together, rows find it without their vectors being shipped again.
+    hashes = {"_key": F.xxhash64("label", "_vector"), "_second": F.xxhash64(F.lit(1), "_vector", "label")}
+    classes = classes.withColumns({"_node": F.monotonically_increasing_id(), **hashes})
+    path = work_folder(spark, "classes")
+    classes.write.option("parquet.enable.dictionary", "false").parquet(path)
+    classes = spark.read.schema(classes.schema).parquet(path)
+    joined = _joined(classes, kind)
     counts = joined.groupBy("_node").agg(F.sum("_linked").alias("_linked"))
     edges = joined.where("_other is not null").select(F.col("_node").alias("a"), F.col("_other").alias("b"))
     reached = components(edges).select(F.col("node").alias("_node"), "component")
     members = written(reached.join(classes.select("_node", "_first"), "_node"), "members")
     named = members.groupBy("component").agg(F.min("_first").alias("_smallest"))
     reached = members.join(named, "component").select("_node", "_smallest")
-    result = classes.join(counts, "_node", "left").join(reached, "_node", "left").select(
-        "label",
-        "embedding",
+    # Other classes are one row each, without links.
+    result = classes.join(counts, "_node", "left").join(reached, "_node", "left")
+    result = result.where("_copies > 1 or _linked is not null").select(
+        "_key",
+        "_second",
         (F.coalesce("_linked", F.lit(0)) + F.col("_copies") - 1).alias("n_links"),
         F.coalesce("_smallest", "_first").alias("component_id"),
     )
-    linked = good.join(written(result, "result"), ["label", "embedding"]).select(
-        "vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept")
-    )
-    return linked.unionByName(
-        rows.where("not _usable").select(
-            "vec_id",
-            F.lit(0).cast("bigint").alias("n_links"),
-            F.col("vec_id").alias("component_id"),
-            F.col("vec_id").isNotNull().alias("kept"),
-        )
-    )
-
-
-def _blocks(placed: DataFrame) -> DataFrame:
-    """Each vector once for every pair of blocks of its cell that its own block is part of."""
-    cell = ["label", "_dim", "_cell"]
-    sizes = placed.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
-    known = placed.join(written(sizes, "cells"), cell)
-    known = known.withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    paired = known.withColumn("_other", other)
-    return paired.withColumn("_low", F.least("_block", "_other")).withColumn(
-        "_high", F.greatest("_block", "_other")
+    result = written(result, "result")
+    files.delete(spark, path)
+    named = rows.select("vec_id", F.col("_vector").isNotNull().alias("_usable"), *(x.alias(name) for name, x in hashes.items()))
+    named = named.withColumns({name: F.when(F.col("_usable"), F.col(name)) for name in hashes}).drop("_usable")
+    component = F.coalesce("component_id", "vec_id")
+    return named.join(result, ["_key", "_second"], "left").select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )
 
 

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import pathlib
+
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from medallion.llm import embedding_dedup
 from medallion.llm.queries import QUERIES
@@ -52,6 +56,90 @@ def test_against_all_pairs(spark, monkeypatch, cell, block):
     assert collected(vectors) == want
 
 
+def held(spark):
+    """Bytes of the files in the shared folder and in Spark's own."""
+    sc = spark.sparkContext
+    tops = [spark.conf.get("spark.checkpoint.dir"), *sc._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+    return sum(p.stat().st_size for top in tops for p in pathlib.Path(top).rglob("*") if p.is_file())
+
+
+def test_scratch_of_many_cells_stays_near_the_size_of_the_vectors(spark, monkeypatch):
+    """Random vectors are guests in most cells: shipping them at once takes the disk of so many copies."""
+    for name, value in (("CELL", 1000), ("BLOCK", 600), ("ROUND", 1 << 10)):
+        monkeypatch.setattr(embedding_dedup, name, value, raising=False)
+    draw = np.random.default_rng(7)
+    vectors = draw.normal(size=(8000, 64))
+    vectors[4000:4500] = vectors[:500] + draw.normal(size=(500, 64)) * 0.1
+    vectors[5000:5300] = vectors[-1] + draw.normal(size=(300, 64)) * 0.08
+    vectors = np.float32(vectors)
+    rows = pa.table({"vec_id": range(8000), "embedding": list(vectors), "label": pa.array(np.zeros(8000, np.int32))})
+    before, most = held(spark), []
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (write(self, *a, **b), most.append(held(spark)))[0])
+    found = collected(spark.createDataFrame(rows))
+    units = vectors / np.linalg.norm(vectors.astype(float), axis=1)[:, None]
+    near = units @ units.T >= 0.98
+    links = near.sum(axis=1) - 1
+    assert [found[n][0] for n in range(8000)] == links.tolist()
+    edges = [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b]
+    assert {n: c for n, (_, c) in found.items()} == components_of(range(8000), edges)
+    assert (links > 0).sum() > 1000 and (links > 100).sum() > 100
+    assert max(most) - before < 4 * vectors.nbytes
+
+
+@pytest.mark.parametrize("dim,noise", [(3, 0.02), (40, 0.01), (40, 0.022)])
+def test_block_and_guests_against_all_pairs(monkeypatch, dim, noise):
+    for name, value in (("INNER", 10), ("PIECE", 16), ("CHUNK", 50)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    draw = np.random.default_rng(dim)
+    centres = draw.normal(size=(30, dim))
+    centres /= np.linalg.norm(centres, axis=1)[:, None]
+    vectors = centres[draw.integers(0, 30, 500) ** 2 // 30] + draw.normal(size=(500, dim)) * noise
+    vectors *= draw.choice([1, 5], 500)[:, None]
+    nodes, copies = draw.permutation(5000)[:500], draw.integers(1, 4, 500)
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    near = units @ units.T >= 0.98
+    np.fill_diagonal(near, False)
+    block = embedding_dedup.Block(nodes[:300], copies[:300], vectors[:300])
+    block.meet_itself()
+    parts = [block.meet(nodes[a : a + 50], copies[a : a + 50], vectors[a : a + 50]) for a in range(300, 500, 50)]
+    parts.append(block.found())
+    rows = [tuple(r.values()) for part in parts for r in part.to_pylist()]
+    near[300:, 300:] = False
+    want = near @ copies
+    assert {node: n for node, n, _ in rows} == {n: c for n, c in zip(nodes.tolist(), want.tolist(), strict=True) if c}
+    ids = nodes[want > 0].tolist()
+    edges = [(nodes[a], nodes[b]) for a, b in zip(*np.nonzero(near), strict=True)]
+    assert len(edges) > 1000
+    assert components_of(ids, [(a, b) for a, _, b in rows if b is not None]) == components_of(ids, edges)
+
+
+def test_every_pair_within_reach_meets_once_and_rounds_are_bounded(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 40)
+    draw = np.random.default_rng(3)
+    units = embedding_dedup._unit(draw.normal(size=(600, 4)))
+    centres = units[:8]
+    _, cells, own = embedding_dedup.cells_of(units, centres)
+    home, guests = (np.bincount(cells[x], minlength=8) for x in (own, ~own))
+    plan = embedding_dedup.Plan({(1, 4): centres}, [(1, 4, c, int(home[c]), int(guests[c])) for c in range(8)], 4 * 600)
+    rows, to, at_home = plan.places((1, 4), units, np.arange(600))
+    assert at_home.sum() == 600 and len(plan.turns) > 12
+    shipped = np.bincount(plan.turns[to])
+    assert len(plan.rounds) > 2 and shipped.max() < 2 * 600
+    mine = dict(zip(rows[at_home].tolist(), to[at_home].tolist(), strict=True))
+    there = {(r, b) for r, b in zip(rows.tolist(), to.tolist(), strict=True)}
+    assert len(there) == len(rows)
+    for a, b in zip(*np.nonzero(np.triu(units @ units.T >= 0.98, 1)), strict=True):
+        assert mine[a] == mine[b] or ((a, mine[b]) in there) + ((b, mine[a]) in there) == 1
+
+
+def test_doubles_whose_squares_leave_their_range(spark):
+    schema = "vec_id bigint, embedding array<double>, label int"
+    rows = [(1, [1e-200, 0.0], 0), (2, [1e200, 1e190], 0), (3, [0.0, 1e-200], 0), (4, [1.0, 0.0], 0), (5, [-0.0, 2.0], 0), (6, [0.0, 2.0], 0)]
+    found = collected(spark.createDataFrame(rows, schema))
+    assert found == {1: (2, 1), 2: (2, 1), 4: (2, 1), 3: (2, 3), 5: (2, 3), 6: (2, 3)}
+
+
 def test_rows_of_one_id_with_different_vectors(spark):
     rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [1.0, 0.01, 0.0], 0),
             (3, [0.01, 1.0, 0.0], 0), (4, [0.0, 1.0, 0.01], 0), (9, [0.0, 0.0, 1.0], 0), (8, [0.01, 0.0, 1.0], 0)]
