@@ -296,8 +296,11 @@ class Block:
         farthest = np.arccos(np.clip(lowest - FLOAT_SLACK, -1, 1)) + ANGLE
         self.least = (np.cos(np.minimum(farthest, np.pi)) - FLOAT_SLACK).astype(np.float32)
         # By how much less than its cosine with its own pivot.
-        apart = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 0))
-        self.apart = ((REACH + DISTANCE_SLACK) * apart + FLOAT_SLACK).astype(np.float32)
+        apart = 2 - 2 * (centres @ centres.T)
+        np.sqrt(np.maximum(apart, 0, out=apart), out=apart)
+        self.apart = apart.astype(np.float32)
+        self.apart *= REACH + DISTANCE_SLACK
+        self.apart += FLOAT_SLACK
         self.prefix = np.concatenate(
             [self._prefix(self._units(a, min(a + CHUNK, len(vectors)))) for a in range(0, len(vectors), CHUNK)]
         )
@@ -374,10 +377,9 @@ class Block:
         number = np.count_nonzero(maybe)
         if not number:
             return
-        members = self._units(a, b)
         if 16 * number < maybe.size:
-            i, j = np.nonzero(maybe)
-            linked = _linked(units, members, rows[i], j)
+            i, j = _places(maybe)
+            linked = _linked(units, self.vectors, rows[i], a + j)
             i, j = rows[i[linked]], j[linked]
             np.add.at(counts, i, self.copies[a + j])
             np.add.at(self.counts, a + j, copies[i])
@@ -385,11 +387,12 @@ class Block:
             anchors[i[new]] = a + j[new]
             self._unite(anchors[i], a + j)
             return
-        cosines = single[rows] @ members.astype(np.float32).T
+        cosines = single[rows] @ self._units(a, b).astype(np.float32).T
         linked = maybe & (cosines >= MIN_COSINE)
         cosines -= MIN_COSINE
-        i, j = np.nonzero(maybe & (np.abs(cosines, out=cosines) < FLOAT_SLACK))
-        linked[i, j] = _linked(units, members, rows[i], j)
+        maybe &= np.abs(cosines, out=cosines) < FLOAT_SLACK
+        i, j = _places(maybe)
+        linked[i, j] = _linked(units, self.vectors, rows[i], a + j)
         weights = linked.astype(np.float64)
         counts[rows] += (weights @ self.copies[a:b]).astype(np.int64)
         self.counts[a:b] += (copies[rows] @ weights).astype(np.int64)
@@ -401,10 +404,13 @@ class Block:
             if len(there) and here.min() == here.max() == there.min() == there.max():
                 return
             differ = linked & (here[:, None] != there)
-            i = np.flatnonzero(differ.any(axis=1))
+            i, j = np.flatnonzero(differ.any(axis=1)), np.flatnonzero(differ.any(axis=0))
             if not len(i):
                 return
-            self._unite(anchors[rows[i]], a + differ[i].argmax(axis=1))
+            # Each group on either side grows in every turn.
+            left, right = anchors[rows[i]], a + differ[i].argmax(axis=1)
+            other = anchors[rows[differ[:, j].argmax(axis=0)]]
+            self._unite(np.concatenate([left, other]), np.concatenate([right, a + j]))
 
     def _roots(self, at: np.ndarray) -> np.ndarray:
         roots = self.parent[at]
@@ -426,12 +432,18 @@ class Block:
             np.minimum.at(self.parent, np.maximum(left, right), np.minimum(left, right))
 
 
+def _places(true: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of what is true, which is little; much faster than of a matrix."""
+    return np.divmod(np.flatnonzero(true.ravel()), true.shape[1])
+
+
 def _linked(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Which pairs reach the cosine; close calls are decided by a sum without rounding steps."""
+    """Which pairs of units on the left and vectors on the right reach the cosine; close calls are
+    decided by a sum without rounding steps."""
     linked = np.empty(len(i), bool)
     step = max(1, (1 << 21) // left.shape[1])
     for start in range(0, len(i), step):
-        some, other = left[i[start : start + step]], right[j[start : start + step]]
+        some, other = left[i[start : start + step]], _unit(right[j[start : start + step]].astype(np.float64))
         cosines = (some * other).sum(axis=1)
         found = cosines >= MIN_COSINE
         for k in np.flatnonzero(np.abs(cosines - MIN_COSINE) < SLACK):
@@ -454,7 +466,11 @@ def _joiner(kind: str):
     def at_home(dim: int, held: list[pa.RecordBatch], guests: bool) -> Block | None:
         if not held or (not guests and sum(x.num_rows for x in held) == 1):
             return None
-        block = Block(*arrays(held, dim))
+        rows = arrays(held, dim)
+        # The block has a copy of its own, and is large.
+        held.clear()
+        block = Block(*rows)
+        del rows
         block.meet_itself()
         return block
 
