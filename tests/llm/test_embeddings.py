@@ -87,9 +87,9 @@ def test_scratch_of_many_cells_stays_near_the_size_of_the_vectors(spark, monkeyp
     assert max(most) - before < 4 * vectors.nbytes
 
 
-@pytest.mark.parametrize("dim,noise", [(3, 0.02), (40, 0.01), (40, 0.022)])
+@pytest.mark.parametrize("dim,noise", [(3, 0.02), (40, 0.01), (40, 0.022), (800, 0.004)])
 def test_block_and_guests_against_all_pairs(monkeypatch, dim, noise):
-    for name, value in (("INNER", 10), ("PIECE", 16), ("CHUNK", 50)):
+    for name, value in (("INNER", 10), ("PIECE", 16), ("CHUNK", 50), ("WIDEST", 16_000)):
         monkeypatch.setattr(embedding_dedup, name, value)
     draw = np.random.default_rng(dim)
     centres = draw.normal(size=(30, dim))
